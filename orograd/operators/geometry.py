@@ -19,11 +19,18 @@ from ..types import CELL_SIZE_M, Grid
 SPAN_BLOCK = 256
 
 
+def _bind(value: Column, body) -> Column:
+    """`body(value)` with `value` computed once; plain reuse would compute it per mention."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _ring_fold(pts: Column, term) -> Column:
     """Sum `term(p, next p)` over the edges of a ring."""
-    n = F.size(pts)
-    return F.aggregate(F.sequence(F.lit(1), n), F.lit(0.0), lambda acc, i: acc + term(
-        F.element_at(pts, i), F.element_at(pts, F.when(i == n, F.lit(1)).otherwise(i + 1))))
+    def fold(ring: Column) -> Column:
+        n = F.size(ring)
+        return F.aggregate(F.sequence(F.lit(1), n), F.lit(0.0), lambda acc, i: acc + term(
+            F.element_at(ring, i), F.element_at(ring, F.when(i == n, F.lit(1)).otherwise(i + 1))))
+    return _bind(pts, fold)
 
 
 def _cross(p: Column, q: Column) -> Column:
@@ -32,7 +39,7 @@ def _cross(p: Column, q: Column) -> Column:
 
 def ring_area(pts: Column) -> Column:
     """Shoelace area, positive for either orientation; fewer than three points give 0."""
-    return F.when(F.size(pts) < 3, 0.0).otherwise(F.abs(_ring_fold(pts, _cross)) / 2.0)
+    return _bind(pts, lambda r: F.when(F.size(r) < 3, 0.0).otherwise(F.abs(_ring_fold(r, _cross)) / 2.0))
 
 
 def edges(polygons: DataFrame, *, keys: tuple[str, ...] = ("id",)) -> DataFrame:
@@ -166,7 +173,7 @@ def as_region(polygons: DataFrame, *, region: str = "region_code") -> DataFrame:
 def _half_plane(pts: Column, axis: str, limit: Column, keep_above: bool) -> Column:
     """Cut a ring at a vertical or horizontal line (one Sutherland-Hodgman pass)."""
     other = "y" if axis == "x" else "x"
-    n = F.size(pts)
+    empty = F.array().cast("array<struct<x:double,y:double>>")
 
     def inside(p: Column) -> Column:
         return p[axis] >= limit if keep_above else p[axis] <= limit
@@ -177,16 +184,18 @@ def _half_plane(pts: Column, axis: str, limit: Column, keep_above: bool) -> Colu
         xy = (limit, along) if axis == "x" else (along, limit)
         return F.struct(xy[0].cast("double").alias("x"), xy[1].cast("double").alias("y"))
 
-    def step(i: Column) -> Column:
-        p, q = F.element_at(pts, i), F.element_at(pts, F.when(i == n, F.lit(1)).otherwise(i + 1))
-        end = F.struct(q["x"].alias("x"), q["y"].alias("y"))
-        return (F.when(inside(p) & inside(q), F.array(end))
-                .when(inside(p), F.array(cut(p, q)))
-                .when(inside(q), F.array(cut(p, q), end))
-                .otherwise(F.array().cast("array<struct<x:double,y:double>>")))
+    def pass_(ring: Column) -> Column:
+        n = F.size(ring)
 
-    empty = F.array().cast("array<struct<x:double,y:double>>")
-    return F.when(n < 1, empty).otherwise(F.flatten(F.transform(F.sequence(F.lit(1), n), step)))
+        def step(i: Column) -> Column:
+            p, q = F.element_at(ring, i), F.element_at(ring, F.when(i == n, F.lit(1)).otherwise(i + 1))
+            end = F.struct(q["x"].alias("x"), q["y"].alias("y"))
+            return (F.when(inside(p) & inside(q), F.array(end)).when(inside(p), F.array(cut(p, q)))
+                    .when(inside(q), F.array(cut(p, q), end)).otherwise(empty))
+
+        return F.when(n < 1, empty).otherwise(F.flatten(F.transform(F.sequence(F.lit(1), n), step)))
+
+    return _bind(F.coalesce(pts, empty), pass_)
 
 
 def create_cells(polygons: DataFrame, *, cell_size_m: float = CELL_SIZE_M) -> DataFrame:

@@ -90,12 +90,12 @@ def _triangles(xy: np.ndarray) -> list[tuple[int, int, int]]:
     return out
 
 
-def _interpolated(x: Column, y: Column, pts: list[tuple[float, float, float]]) -> Column | None:
+def _interpolated(x: Column, y: Column, pts: list[tuple[float, float, float | Column]]) -> Column | None:
     """Piecewise linear surface through (x, y, value); NULL outside the convex hull."""
     xy = np.array([(p[0], p[1]) for p in pts])
     pieces = []
     for i, j, k in _triangles(xy):
-        (ax, ay, av), (bx, by, bv), (cx, cy, cv) = (tuple(map(float, pts[n])) for n in (i, j, k))
+        (ax, ay, av), (bx, by, bv), (cx, cy, cv) = pts[i], pts[j], pts[k]
         det = (by - cy) * (ax - cx) + (cx - bx) * (ay - cy)
         wa = ((by - cy) * (x - cx) + (cx - bx) * (y - cy)) / det
         wb = ((cy - ay) * (x - cx) + (ax - cx) * (y - cy)) / det
@@ -137,6 +137,39 @@ def station_bias(px: DataFrame, grid: Grid, *, value: str = "value", out: str =
     return px.withColumn(out, c(value) + offset)
 
 
+def station_bias_monthly(px: DataFrame, grid: Grid, *, value: str = "hdd", out: str = "corrected",
+                         mode: str = "reference") -> DataFrame:
+    """Station correction of twelve monthly HDD grids `(grid_id, row, col, month, value)`.
+
+    `reference` takes every month's offset against the annual normal, so the months no longer sum to
+    the annual grid. `scaled` shares the annual offset out by each month's part of the year.
+    """
+    if mode not in ("reference", "scaled"):
+        raise ValueError(f"unknown mode {mode}")
+    at = (_placed(stations(px.sparkSession), grid)
+          .withColumn("col", F.rint((F.col("sx") - grid.c) / grid.a).cast("long"))
+          .withColumn("row", F.rint((F.col("sy") - grid.f) / grid.e).cast("long")))
+    hits = (px.select(F.col("row").cast("long"), F.col("col").cast("long"), "month", F.col(value).alias("_v"))
+            .join(F.broadcast(at), ["row", "col"]).select("station_id", "sx", "sy", "hdd_normal", "month", "_v")
+            .orderBy("station_id", "month").collect())  # at most 11 stations x 12 months
+    series: dict[str, dict] = {}
+    for r in hits:
+        s = series.setdefault(r["station_id"], {"xy": (r["sx"], r["sy"]), "normal": r["hdd_normal"], "v": {}})
+        s["v"][r["month"]] = r["_v"]
+    whole = {k: s for k, s in series.items() if len(s["v"]) == 12 and None not in s["v"].values()}
+    if len(whole) < 3:
+        return px.withColumn(out, c(value))
+    pts = []
+    for s in whole.values():
+        year = sum(s["v"].values())
+        offset = {m: (s["normal"] - v if mode == "reference" else (s["normal"] - year) * v / year if year else 0.0)
+                  for m, v in s["v"].items()}
+        by_month = F.element_at(F.array(*[F.lit(float(offset[m])) for m in range(1, 13)]), F.col("month").cast("int"))
+        pts.append((*s["xy"], by_month))
+    x, y = _origin_xy(grid)
+    return px.withColumn(out, c(value) + F.coalesce(_interpolated(x, y, pts), F.lit(0.0)))
+
+
 def wind_merge(px: DataFrame, grid: Grid, wind: DataFrame, *, value: str = "value", out: str = "wind_ms") -> DataFrame:
     """Station wind where it can be interpolated, gridded wind elsewhere."""
     rows = (_placed(stations(px.sparkSession), grid).join(wind, "station_id")
