@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,6 +49,12 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder beside the checkpoints, hence shared by all executors."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
 def bounded_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner",
                  max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Join per-grid or per-group figures back onto the rows they came from.
