@@ -33,12 +33,12 @@ def clim(spark, d):
     return timeseries.climatology(v.daily_temp(spark, d).withColumnRenamed("date", "ts"), keys=ZIP, check=False)
 
 
-@query("climatology", "SELECT * FROM clim", use="clim", doubles="clim_f:8")
+@query("climatology", "SELECT * FROM clim", use="clim", doubles="clim_f")
 def _(spark, d):
     return clim(spark, d)
 
 
-@query("bias_field", "SELECT month, zip_code, normal_f - clim_f AS bias_f FROM normals JOIN clim USING (month, zip_code)", use="normals clim", doubles="bias_f:8")
+@query("bias_field", "SELECT month, zip_code, normal_f - clim_f AS bias_f FROM normals JOIN clim USING (month, zip_code)", use="normals clim", doubles="bias_f")
 def _(spark, d):
     return timeseries.bias_field(v.normals(spark, d), clim(spark, d), keys=ZIP)
 
@@ -54,14 +54,14 @@ def corrected(spark, d):
     return timeseries.bias_correct(v.daily_temp(spark, d), v.normals(spark, d), clim(spark, d).where("month <> 6"), keys=ZIP, strict=False)
 
 
-@query("bias_correct", "SELECT month, zip_code, date, temp_f, bias_f, adjusted_f FROM corrected", use="corrected", doubles="temp_f:8 bias_f:8 adjusted_f:8")
+@query("bias_correct", "SELECT month, zip_code, date, temp_f, bias_f, adjusted_f FROM corrected", use="corrected", doubles="temp_f bias_f adjusted_f")
 def _(spark, d):
     return corrected(spark, d)
 
 
 @query("bias_correct_fallback", """SELECT CAST(month(date) AS INTEGER) AS month, t.zip_code, date, temp_f, normal_f - own_f AS bias_f, temp_f + (normal_f - own_f) AS adjusted_f
     FROM daily_temp t LEFT JOIN normals n ON n.zip_code = t.zip_code AND n.month = month(date) LEFT JOIN own o ON o.zip_code = t.zip_code""", use="daily_temp normals own",
-       doubles="temp_f:8 bias_f:8 adjusted_f:8")
+       doubles="temp_f bias_f adjusted_f")
 def _(spark, d):
     return timeseries.bias_correct(v.daily_temp(spark, d), v.normals(spark, d), keys=ZIP, strict=False)
 

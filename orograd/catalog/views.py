@@ -228,13 +228,13 @@ def normals(spark: SparkSession, d: str) -> DataFrame:
 
 
 cte("daily_temp", """SELECT CAST(o_orderdate AS DATE) AS date, CAST(97000 + o_custkey % 100 AS VARCHAR) AS zip_code,
-    avg(20 + o_totalprice / 7000) AS temp_f FROM orders GROUP BY 1, 2""")
+    avg(20 + sqrt(o_totalprice) / 15) AS temp_f FROM orders GROUP BY 1, 2""")
 
 
 def daily_temp(spark: SparkSession, d: str) -> DataFrame:
     return (table(spark, d, "orders").groupBy(F.to_date("o_orderdate").alias("date"),
                                               (97000 + F.col("o_custkey") % 100).cast("string").alias("zip_code"))
-            .agg(F.avg(20 + F.col("o_totalprice") / 7000).alias("temp_f")))
+            .agg(F.avg(20 + F.sqrt("o_totalprice") / 15).alias("temp_f")))
 
 
 cte("roads", """SELECT o_orderkey AS road_id, CASE WHEN o_orderkey % 29 = 0 THEN 0.0::DOUBLE ELSE o_totalprice / 5 END AS aadt,

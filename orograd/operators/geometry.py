@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.surface import road_buffer_m, road_temp_offset
+from ..session import spread
 from ..types import CELL_SIZE_M, Grid
 
 SPAN_BLOCK = 256
@@ -211,8 +212,8 @@ def create_cells(polygons: DataFrame, *, cell_size_m: float = CELL_SIZE_M) -> Da
     box = bounds(polygons)
     strip = (signed_rings(polygons).join(box, "id")
              .withColumn("_nx", F.ceil((F.col("maxx") - F.col("minx")) / size).cast("int"))
-             .withColumn("ix", F.explode(F.sequence(F.lit(0), F.greatest(F.col("_nx") - 1, F.lit(0)))))
-             .repartition("id", "ix"))
+             .withColumn("ix", F.explode(F.sequence(F.lit(0), F.greatest(F.col("_nx") - 1, F.lit(0))))))
+    strip = spread(strip, "id", "ix")
     left = F.col("minx") + F.col("ix") * size
     strip = (strip.withColumn("pts", _half_plane(F.col("pts"), "x", left, True))
              .withColumn("pts", _half_plane(F.col("pts"), "x", left + size, False))
@@ -341,34 +342,39 @@ def road_heat(px: DataFrame, grid: Grid, roads: DataFrame) -> DataFrame:
     """
     seg = _segments(roads.where("size(pts) >= 2 and heat_flux_wm2 is not null")
                     .withColumn("_d", road_buffer_m("aadt")), ["road_id", "heat_flux_wm2", "_d"])
+    seg = spread(seg, "road_id", "x1", "y1")
     d = F.col("_d")
 
-    def index_range(lo: Column, hi: Column, origin: float, step: float, n: int | None) -> Column:
-        a, b = (lo - origin) / step - 0.5, (hi - origin) / step - 0.5
-        first, last = F.floor(F.least(a, b)), F.ceil(F.greatest(a, b))
+    def each_index(df: DataFrame, out: str, lo: str, hi: str, origin: float, step: float, n: int | None) -> DataFrame:
+        a, b = (F.col(lo) - origin) / step - 0.5, (F.col(hi) - origin) / step - 0.5
+        if step < 0:
+            a, b = b, a
+        first, last = F.floor(a), F.ceil(b)
         if n is not None:
             first, last = F.greatest(first, F.lit(0)), F.least(last, F.lit(n - 1))
-        return F.when(first <= last, F.sequence(first, last))
+        return (df.withColumn("_first", first).withColumn("_last", last).where("_first <= _last")
+                .withColumn(out, F.explode(F.sequence("_first", "_last"))))
 
-    seg = seg.withColumn("row", F.explode(index_range(
-        F.least("y1", "y2") - d, F.greatest("y1", "y2") + d, grid.f, grid.e, grid.n_rows)))
+    # every step is a column of its own: inlined into one expression they would multiply
+    seg = (seg.withColumn("_lo", F.least("y1", "y2") - d).withColumn("_hi", F.greatest("y1", "y2") + d)
+           .withColumn("_dx", F.col("x2") - F.col("x1")).withColumn("_dy", F.col("y2") - F.col("y1")))
+    seg = each_index(seg, "row", "_lo", "_hi", grid.f, grid.e, grid.n_rows)
     # only the part of the segment within reach of this row can touch its pixels
     y = grid.f + grid.e * (F.col("row") + 0.5)
-    dy = F.nullif(F.col("y2") - F.col("y1"), F.lit(0.0))
-    t1, t2 = (y - d - F.col("y1")) / dy, (y + d - F.col("y1")) / dy
-    lo_t = F.when(dy.isNull(), 0.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.least(t1, t2))))
-    hi_t = F.when(dy.isNull(), 1.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.greatest(t1, t2))))
-    dx = F.col("x2") - F.col("x1")
-    xa, xb = F.col("x1") + lo_t * dx, F.col("x1") + hi_t * dx
-    near = seg.withColumn("col", F.explode(index_range(
-        F.least(xa, xb) - d, F.greatest(xa, xb) + d, grid.c, grid.a, grid.n_cols)))
+    flat = F.nullif(F.col("_dy"), F.lit(0.0))
+    near = (seg.withColumn("_y", y).withColumn("_t1", (F.col("_y") - d - F.col("y1")) / flat)
+            .withColumn("_t2", (F.col("_y") + d - F.col("y1")) / flat)
+            .withColumn("_from", F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(F.least("_t1", "_t2"), F.lit(0.0)))))
+            .withColumn("_to", F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(F.greatest("_t1", "_t2"), F.lit(1.0)))))
+            .withColumn("_xa", F.col("x1") + F.col("_from") * F.col("_dx"))
+            .withColumn("_xb", F.col("x1") + F.col("_to") * F.col("_dx"))
+            .withColumn("_lo", F.least("_xa", "_xb") - d).withColumn("_hi", F.greatest("_xa", "_xb") + d))
+    near = each_index(near, "col", "_lo", "_hi", grid.c, grid.a, grid.n_cols)
+    dx, dy = F.col("_dx"), F.col("_dy")
     x = grid.c + grid.a * (F.col("col") + 0.5)
-    len2 = dx * dx + F.pow(F.col("y2") - F.col("y1"), 2)
-    t = F.coalesce(((x - F.col("x1")) * dx + (y - F.col("y1")) * (F.col("y2") - F.col("y1")))
-                   / F.nullif(len2, F.lit(0.0)), F.lit(0.0))
-    t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), t))
-    gap2 = (F.pow(x - F.col("x1") - t * dx, 2)
-            + F.pow(y - F.col("y1") - t * (F.col("y2") - F.col("y1")), 2))
+    along = ((x - F.col("x1")) * dx + (F.col("_y") - F.col("y1")) * dy) / F.nullif(dx * dx + dy * dy, F.lit(0.0))
+    near = near.withColumn("_x", x).withColumn("_t", F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(along, F.lit(0.0)))))
+    gap2 = (F.pow(F.col("_x") - F.col("x1") - F.col("_t") * dx, 2) + F.pow(F.col("_y") - F.col("y1") - F.col("_t") * dy, 2))
     touched = near.where(gap2 <= d * d).select("road_id", "row", "col", "heat_flux_wm2").distinct()
     flux = touched.groupBy("row", "col").agg(F.sum("heat_flux_wm2").alias("_flux"))
     return (px.withColumn("row", F.col("row").cast("long")).withColumn("col", F.col("col").cast("long"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import bounded_join
+from ..session import bounded_join, checkpoint
 from .quantiles import exact_quantiles
 from ..types import ALTITUDES_FT, MIN_CELL_PIXELS, MONTHS, TURBULENCE_FLAGS, require_columns
 
@@ -195,7 +195,8 @@ def results(issues: DataFrame, checks: list[str] | None = None) -> DataFrame:
 
 def run_all_checks(t: DataFrame, *, billing: DataFrame | None = None,
                    profile: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    issues = all_issues(t, billing=billing, profile=profile)
+    t = checkpoint(t)  # five checks read it; written once instead of derived five times
+    issues = checkpoint(all_issues(t, billing=billing, profile=profile))
     return results(issues), issues
 
 

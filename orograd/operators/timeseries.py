@@ -80,42 +80,53 @@ def bias_validate(df: DataFrame, *, adjusted: str = "adjusted_f", normal: str =
         (F.col("mean_diff") < tolerance) & (F.col("pct_within_tolerance") > 95), F.lit(False)))
 
 
-def interpolate_profile(levels: Column, target_mb: Column, field: str) -> Column:
-    """Linear in ln(p) between the bracketing levels of an array sorted by `lnp`."""
-    q = F.ln(target_mb)
-    above = F.try_element_at(F.filter(levels, lambda s: s["lnp"] >= q), F.lit(1))
-    below = F.try_element_at(F.filter(levels, lambda s: s["lnp"] <= q), F.lit(-1))
-    lo, hi = F.coalesce(below, above), F.coalesce(above, below)
-    span = F.nullif(hi["lnp"] - lo["lnp"], F.lit(0.0))
-    return lo[field] + F.coalesce((q - lo["lnp"]) / span, F.lit(0.0)) * (hi[field] - lo[field])
-
-
 def wind_profiles(sfc: DataFrame, prs: DataFrame, *, keys: tuple[str, ...] = ("zip_code", "ts"),
                   altitudes: list[int] = ALTITUDES_FT) -> DataFrame:
-    """Wind and temperature at each altitude: the surface row at 0 ft, ln(p) interpolation above.
+    """Wind and temperature at each altitude: the surface row at 0 ft, above it linear in ln(p).
 
     `sfc(keys, t2m_k, u10, v10, sp_mb)`, `prs(keys, level_mb, u, v, t_k)`. A group is one place and
     hour, so its array holds no more than the pressure levels. Repeated levels are averaged first.
+    The target pressure is clipped to the given levels, so nothing is extrapolated.
     """
     level = prs.groupBy(*keys, "level_mb").agg(*[F.avg(k).alias(k) for k in ("u", "v", "t_k")])
     column = level.groupBy(*keys).agg(
         F.array_sort(F.collect_list(F.struct(F.ln("level_mb").alias("lnp"), "u", "v", "t_k"))).alias("levels"),
         F.min("level_mb").cast("double").alias("_lo"), F.max("level_mb").cast("double").alias("_hi"))
-    p = F.explode(F.array(*[F.lit(a) for a in altitudes])).alias("altitude_ft")
-    at = sfc.join(column, list(keys), "left").select("*", p).withColumn("_p", air.altitude_pressure_mb(
-        F.col("altitude_ft").cast("double"), "sp_mb", "t2m_k", "_lo", "_hi"))
-    ground = F.col("altitude_ft") == 0
 
-    def value(surface_col: str, field: str) -> Column:
-        return F.when(ground, F.col(surface_col)).otherwise(interpolate_profile(F.col("levels"), F.col("_p"), field))
-
-    out = at.select(*keys, "altitude_ft", value("u10", "u").alias("u"), value("v10", "v").alias("v"),
-                    value("t2m_k", "t_k").alias("temperature_k"))
+    def at_altitude(alt: int) -> Column:
+        if alt == 0:
+            return F.struct(F.lit(0).alias("altitude_ft"), F.col("u10").alias("u"), F.col("v10").alias("v"),
+                            F.col("t2m_k").alias("t_k"))
+        q = F.ln(air.altitude_pressure_mb(float(alt), "sp_mb", "t2m_k", "_lo", "_hi"))
+        # one pass finds the last level at or below the target and the first one at or above it
+        return _bind(F.struct(q.alias("q"), F.col("levels").alias("lv")), lambda s: _bind(F.struct(
+            s["q"].alias("q"), F.filter(s["lv"], lambda x: x["lnp"] <= s["q"]).alias("below"), s["lv"].alias("lv")),
+            lambda t: _bind(F.struct(
+                t["q"].alias("q"), F.coalesce(F.get(t["below"], F.size(t["below"]) - 1), F.get(t["lv"], F.lit(0))).alias("lo"),
+                F.coalesce(F.get(t["lv"], F.size(t["below"])), F.get(t["lv"], F.size(t["lv"]) - 1)).alias("hi")),
+                lambda b: _mix(alt, b))))
+
+    out = (sfc.join(column, list(keys), "left")
+           .select(*keys, F.explode(F.array(*[at_altitude(a) for a in altitudes])).alias("p"))
+           .select(*keys, "p.altitude_ft", "p.u", "p.v", F.col("p.t_k").alias("temperature_k")))
     return out.select(*keys, "altitude_ft", air.wind_speed("u", "v").alias("wind_speed_ms"),
                       air.wind_direction("u", "v").alias("wind_direction_deg"), "temperature_k",
                       kelvin_to_f("temperature_k").alias("temperature_f"))
 
 
+def _bind(value: Column, body) -> Column:
+    """`body(value)` with `value` computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _mix(alt: int, b: Column) -> Column:
+    """Values at `q` between the levels `lo` and `hi` of a bracket."""
+    gap = F.nullif(b["hi"]["lnp"] - b["lo"]["lnp"], F.lit(0.0))
+    share = F.coalesce((b["q"] - b["lo"]["lnp"]) / gap, F.lit(0.0))
+    return F.struct(F.lit(alt).alias("altitude_ft"), *[
+        (b["lo"][k] + share * (b["hi"][k] - b["lo"][k])).alias(k) for k in ("u", "v", "t_k")])
+
+
 def altitude_process(profiles: DataFrame, *, bias: Column | str | float, base_f: float = 65.0,
                      temp: str = "temperature_f") -> DataFrame:
     """The surface bias added at every level, and the HDD of each level."""

@@ -55,6 +55,14 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
     return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame, *cols: str) -> DataFrame:
+    """Hash rows over all tasks before a step that turns each into many.
+
+    The count is explicit, so adaptive execution does not merge the small input back together.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *cols)
+
+
 def bounded_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner",
                  max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Join per-grid or per-group figures back onto the rows they came from.
