@@ -64,12 +64,16 @@ def signed_rings(polygons: DataFrame) -> DataFrame:
         return F.pmod(crossings, F.lit(2.0)) == 1.0
 
     rings = polygons.select("id", "rings", F.posexplode("rings").alias("ring_no", "pts"))
-    return rings.select(
-        "id", "ring_no", "pts",
-        F.when(F.size("rings") == 1, F.lit(1.0)).otherwise(
-            F.when(F.pmod(F.size(F.filter("rings", lambda r, i: (i != F.col("ring_no"))
-                                          & contains(r, F.col("pts")[0]))), F.lit(2)) == 0, 1.0)
-            .otherwise(-1.0)).alias("sign"))
+    n = F.size("pts")
+    # two of three spread vertices decide, so a ring that touches another in one point is still placed right
+    probes = F.array(F.get("pts", F.lit(0)), F.get("pts", F.floor(n / 3).cast("int")), F.get("pts", F.floor(2 * n / 3).cast("int")))
+
+    def around(r: Column) -> Column:
+        return F.size(F.filter(probes, lambda p: contains(r, p))) >= 2
+
+    depth = F.size(F.filter("rings", lambda r, i: (i != F.col("ring_no")) & around(r)))
+    return rings.select("id", "ring_no", "pts", F.when(F.size("rings") == 1, F.lit(1.0)).otherwise(
+        F.when(depth % 2 == 0, 1.0).otherwise(-1.0)).alias("sign"))
 
 
 def spans(polygons: DataFrame, grid: Grid) -> DataFrame:

@@ -154,8 +154,9 @@ def surface_mask(px: DataFrame, *, class_col: str = "nlcd_class", tile: int = TI
     g = with_neighbours(props.withColumn("logz0_", log_z0), "logz0_", reflect=True, tile=tile)
     # all nine cells take part, so any missing one makes the gradient missing
     whole = F.col("logz0_") * 0.0 + F.col("n") * 0.0 + F.col("s") * 0.0 + F.col("w") * 0.0 + F.col("e") * 0.0
-    gx = F.col("ne") + 2 * F.col("e") + F.col("se") - F.col("nw") - 2 * F.col("w") - F.col("sw")
-    gy = F.col("sw") + 2 * F.col("s") + F.col("se") - F.col("nw") - 2 * F.col("n") - F.col("ne")
+    # opposite cells are subtracted first, which keeps flat ground at exactly zero
+    gx = (F.col("ne") - F.col("nw")) + 2 * (F.col("e") - F.col("w")) + (F.col("se") - F.col("sw"))
+    gy = (F.col("sw") - F.col("nw")) + 2 * (F.col("s") - F.col("n")) + (F.col("se") - F.col("ne"))
     return (g.withColumn("roughness_gradient", F.sqrt(gx * gx + gy * gy) + whole)
             .withColumn("roughness_transition",
                         F.coalesce(F.col("roughness_gradient") > ROUGHNESS_THRESHOLD, F.lit(False)))
