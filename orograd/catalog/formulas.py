@@ -277,12 +277,12 @@ event_formula("turbulence", f"CASE WHEN {SPEED} / 3 < 0.5 THEN 'smooth' WHEN {SP
               lambda: [air.turbulence(air.wind_speed("u10", "v10") / 3).alias("flag")], cols="")
 
 
-@query("daily_effective_hdd", """SELECT o_orderkey, greatest(0, greatest(0, 65 - (20 + o_totalprice / 8000)) * (0.9 + o_custkey % 5 / 10.0)
-    + o_custkey % 7 - o_custkey % 11 * 2 - o_custkey % 3) AS value FROM orders""", doubles="value", digits=8)
+@query("daily_effective_hdd", """SELECT o_orderkey, greatest(0, greatest(0, 65 - (20 + sqrt(o_totalprice) / 15)) * (0.9 + o_custkey % 5 / 10.0)
+    + o_custkey % 7 - o_custkey % 11 * 2 - o_custkey % 3) AS value FROM orders""", doubles="value")
 def _(spark, d):
     k = F.col("o_custkey")
     return table(spark, d, "orders").select("o_orderkey", degree_days.daily_effective_hdd(
-        20 + F.col("o_totalprice") / 8000, 0.9 + k % 5 / 10.0, k % 7, k % 11 * 2, k % 3).alias("value"))
+        20 + F.sqrt("o_totalprice") / 15, 0.9 + k % 5 / 10.0, k % 7, k % 11 * 2, k % 3).alias("value"))
 
 
 @query("hdd_bounds", "SELECT zip_code, cell_id, effective_hdd_low, effective_hdd_high FROM bounded", use="bounded",

@@ -20,7 +20,7 @@ cte("day", "SELECT CAST(ts AS DATE) AS date, zip_code, (avg(t2m_k) - 273.15) * 9
 ZIP = ("zip_code",)
 
 
-@query("daily_mean_temp", "SELECT * FROM day", use="day", doubles="temp_f:8")
+@query("daily_mean_temp", "SELECT * FROM day", use="day", doubles="temp_f")
 def _(spark, d):
     return timeseries.daily_mean(v.hours(spark, d), keys=ZIP)
 
@@ -158,7 +158,7 @@ def daily(spark, d):
     return runs.daily_run(h, v.prs(h), v.normals(spark, d), v.terrain(spark, d))
 
 
-@query("daily_combine", f"SELECT date, zip_code, bias_f, {', '.join(DAILY)} FROM daily", use="daily", doubles="bias_f:8 " + " ".join(f"{k}:8" for k in DAILY))
+@query("daily_combine", f"SELECT date, zip_code, bias_f, {', '.join(DAILY)} FROM daily", use="daily", doubles="bias_f " + " ".join(f"{k}" for k in DAILY))
 def _(spark, d):
     return daily(spark, d)[0].select("date", "zip_code", "bias_f", *DAILY)
 
@@ -171,12 +171,12 @@ cte("long", "SELECT date, zip_code, 0 AS altitude_ft, adjusted_temp_f AS temp_ad
 cte("cube", f"SELECT *, {FLAG} FROM (SELECT *, {TKE} AS tke_m2s2, 0.0::DOUBLE AS wind_shear_kt_per_100ft, {DA} AS density_altitude_ft FROM long)", "long")
 
 
-@query("cube_unpivot", "SELECT date, zip_code, altitude_ft, temp_adjusted_f, wind_speed_kt, wind_dir_deg, hdd FROM long", use="long", doubles="temp_adjusted_f:8 wind_speed_kt wind_dir_deg hdd:8")
+@query("cube_unpivot", "SELECT date, zip_code, altitude_ft, temp_adjusted_f, wind_speed_kt, wind_dir_deg, hdd FROM long", use="long", doubles="temp_adjusted_f wind_speed_kt wind_dir_deg hdd")
 def _(spark, d):
     return cubes.cube_unpivot(daily(spark, d)[0]).drop("z0_m", "shear_kt", "region_code")
 
 
-CUBE = "temp_adjusted_f:8 wind_speed_kt wind_dir_deg hdd:8 tke_m2s2 wind_shear_kt_per_100ft density_altitude_ft"
+CUBE = "temp_adjusted_f wind_speed_kt wind_dir_deg hdd tke_m2s2 wind_shear_kt_per_100ft density_altitude_ft"
 
 
 @query("safety_cube", "SELECT * FROM cube", use="cube", doubles=CUBE)
@@ -203,7 +203,7 @@ def hcube(spark, d):
     return runs.hourly_run(v.hours(spark, d), v.terrain(spark, d))
 
 
-HCUBE = "temp_adjusted_f wind_speed_kt wind_dir_deg tke_m2s2 wind_shear_kt_per_100ft hourly_hdd:8 density_altitude_ft:5"
+HCUBE = "temp_adjusted_f wind_speed_kt wind_dir_deg tke_m2s2 wind_shear_kt_per_100ft hourly_hdd density_altitude_ft:5"
 
 
 @query("hourly_cube", "SELECT * EXCLUDE (ts) FROM hcube", use="hcube", doubles=HCUBE)
@@ -219,7 +219,7 @@ def _(spark, d):
     return runs.hourly_run(h, v.terrain(spark, d), prs=v.prs(h))
 
 
-@query("hourly_to_daily_hdd", "SELECT CAST(datetime_utc AS DATE) AS date, zip_code, altitude_ft, sum(hourly_hdd) AS daily_hdd, count(*) AS num_hours FROM hcube GROUP BY 1, 2, 3", use="hcube", doubles="daily_hdd:8")
+@query("hourly_to_daily_hdd", "SELECT CAST(datetime_utc AS DATE) AS date, zip_code, altitude_ft, sum(hourly_hdd) AS daily_hdd, count(*) AS num_hours FROM hcube GROUP BY 1, 2, 3", use="hcube", doubles="daily_hdd")
 def _(spark, d):
     return cubes.hourly_to_daily_hdd(hcube(spark, d))
 
@@ -337,7 +337,7 @@ def _(spark, d):
 
 
 @query("st_daily_hdd", f"""SELECT CAST(ts AS DATE) AS date, zip_code, avg({TF}) AS mean_temp_f, sum(greatest(0, 65 - {TF}) / 24) AS daily_hdd, count(*) AS num_hours FROM raw_hours
-    WHERE CAST(ts AS DATE) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 2 HOUR FROM raw_hours) GROUP BY 1, 2""", use="raw_hours", doubles="mean_temp_f:8 daily_hdd:8")
+    WHERE CAST(ts AS DATE) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 2 HOUR FROM raw_hours) GROUP BY 1, 2""", use="raw_hours", doubles="mean_temp_f daily_hdd")
 def _(spark, d):
     # append mode: a day appears once the watermark has passed its end
     return _drained(cycles.daily_hdd_stream(_stream(spark, d)), "days")[0]

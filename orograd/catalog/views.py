@@ -61,20 +61,20 @@ def temps(spark: SparkSession, d: str) -> DataFrame:
 
 cte("stack", """SELECT CAST(97000 + l_suppkey AS VARCHAR) AS zip_code,
     'cell_' || lpad(CAST(l_linenumber AS VARCHAR), 3, '0') AS cell_id, l_suppkey,
-    CASE WHEN l_orderkey % 53 <> 0 THEN 4000 + l_extendedprice / 50 END AS prism_annual_hdd,
-    0.95 + l_tax AS hdd_terrain_mult, l_quantity * 10 - 100 AS hdd_elev_addition,
-    l_discount * 40 AS uhi_offset_f, l_discount * 5 AS road_temp_offset_f, l_quantity * 30 AS mean_elevation_ft,
-    l_extendedprice / 1000 AS impervious, l_shipdate FROM lineitem""")
+    CASE WHEN l_orderkey % 53 <> 0 THEN 4000 + sqrt(l_extendedprice) * 5 END AS prism_annual_hdd,
+    0.95 + sqrt(l_tax) / 3 AS hdd_terrain_mult, sqrt(l_quantity) * 80 - 100 AS hdd_elev_addition,
+    sqrt(l_discount) * 12 AS uhi_offset_f, sqrt(l_discount) * 1.5::DOUBLE AS road_temp_offset_f, sqrt(l_quantity) * 150 AS mean_elevation_ft,
+    sqrt(l_extendedprice) / 6 AS impervious, l_shipdate FROM lineitem""")
 
 
 def stack(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "lineitem").select(
         (97000 + F.col("l_suppkey")).cast("string").alias("zip_code"),
         F.format_string("cell_%03d", "l_linenumber").alias("cell_id"), "l_suppkey",
-        F.when(F.col("l_orderkey") % 53 != 0, 4000 + F.col("l_extendedprice") / 50).alias("prism_annual_hdd"),
-        (0.95 + F.col("l_tax")).alias("hdd_terrain_mult"), (F.col("l_quantity") * 10 - 100).alias("hdd_elev_addition"),
-        (F.col("l_discount") * 40).alias("uhi_offset_f"), (F.col("l_discount") * 5).alias("road_temp_offset_f"),
-        (F.col("l_quantity") * 30).alias("mean_elevation_ft"), (F.col("l_extendedprice") / 1000).alias("impervious"),
+        F.when(F.col("l_orderkey") % 53 != 0, 4000 + F.sqrt("l_extendedprice") * 5).alias("prism_annual_hdd"),
+        (0.95 + F.sqrt("l_tax") / 3).alias("hdd_terrain_mult"), (F.sqrt("l_quantity") * 80 - 100).alias("hdd_elev_addition"),
+        (F.sqrt("l_discount") * 12).alias("uhi_offset_f"), (F.sqrt("l_discount") * 1.5).alias("road_temp_offset_f"),
+        (F.sqrt("l_quantity") * 150).alias("mean_elevation_ft"), (F.sqrt("l_extendedprice") / 6).alias("impervious"),
         "l_shipdate")
 
 
@@ -85,7 +85,7 @@ cte("zonal", "SELECT zip_code, cell_id, min(l_suppkey) AS l_suppkey, " + ", ".jo
     + ", count(prism_annual_hdd) AS num_valid_pixels FROM stack GROUP BY zip_code, cell_id", "stack")
 cte("cells", f"""SELECT *, {sql_list(IDS)}[l_suppkey % 11 + 1] AS base_station,
     'R' || CAST(l_suppkey % 5 AS VARCHAR) AS region_code,
-    CASE WHEN impervious >= 38.5 THEN 'urban' WHEN impervious <= 37.5 THEN 'rural' ELSE 'suburban' END AS cell_type,
+    CASE WHEN impervious >= 35.5 THEN 'urban' WHEN impervious <= 34.5 THEN 'rural' ELSE 'suburban' END AS cell_type,
     CASE CAST(substr(cell_id, 6) AS INTEGER) % 4 WHEN 0 THEN 'windward' WHEN 1 THEN 'leeward'
          WHEN 2 THEN 'valley' ELSE 'ridge' END AS terrain_position,
     coalesce(uhi_offset_f * 180, 0) AS hdd_uhi_reduction, coalesce(road_temp_offset_f * 180, 0) AS hdd_traffic_reduction,
@@ -97,18 +97,13 @@ cte("bounded", """SELECT *, prism_annual_hdd * hdd_terrain_mult + hdd_elev_addit
       + sqrt(pow(200 * hdd_terrain_mult, 2) + pow(prism_annual_hdd * 0.05, 2) + 18125) AS effective_hdd_high FROM cells""", "cells")
 
 
-def zonal_cells(spark: SparkSession, d: str) -> DataFrame:
-    return zonal.cell_zonal(stack(spark, d).withColumn("l_suppkey", F.col("l_suppkey").cast("double")),
-                            bands=[*BANDS, "l_suppkey"])
-
-
 def cells(spark: SparkSession, d: str, *, with_bounds: bool = True) -> DataFrame:
     # the supplier number is the ZIP's tail, so it need not travel through the aggregation
     z = zonal.cell_zonal(stack(spark, d), bands=BANDS).withColumn("l_suppkey", F.col("zip_code").cast("long") - 97000)
     n = F.substring("cell_id", 6, 10).cast("int") % 4
     z = (z.withColumn("base_station", F.element_at(array_of(IDS), (F.col("l_suppkey") % 11 + 1).cast("int")))
          .withColumn("region_code", F.concat(F.lit("R"), (F.col("l_suppkey") % 5).cast("string")))
-         .withColumn("cell_type", F.when(F.col("impervious") >= 38.5, "urban").when(F.col("impervious") <= 37.5, "rural")
+         .withColumn("cell_type", F.when(F.col("impervious") >= 35.5, "urban").when(F.col("impervious") <= 34.5, "rural")
                      .otherwise("suburban"))
          .withColumn("terrain_position", F.when(n == 0, "windward").when(n == 1, "leeward").when(n == 2, "valley")
                      .otherwise("ridge")))
@@ -183,7 +178,7 @@ def registry(spark: SparkSession, d: str) -> DataFrame:
 
 
 cte("raw_hours", """SELECT event_id, date_trunc('hour', ts) AS ts, CAST(97000 + user_id % 100 AS VARCHAR) AS zip_code,
-    255 + value / 10 AS t2m_k, value / 40 - 6 AS u10, 6 - value / 50 AS v10, 1013.0::DOUBLE - user_id % 20 AS sp_mb
+    255 + sqrt(value) * 2.2::DOUBLE AS t2m_k, sqrt(value) / 2 - 6 AS u10, 6 - sqrt(value) / 3 AS v10, 1013.0::DOUBLE - user_id % 20 AS sp_mb
     FROM events""")
 cte("hours", """SELECT ts, zip_code, avg(t2m_k) AS t2m_k, avg(u10) AS u10, avg(v10) AS v10, avg(sp_mb) AS sp_mb
     FROM raw_hours GROUP BY ts, zip_code""", "raw_hours")
@@ -201,7 +196,7 @@ def hours_from(events: DataFrame) -> DataFrame:
     v, u = F.col("value"), F.col("user_id")
     return events.select(
         "event_id", F.date_trunc("hour", "ts").alias("ts"), (97000 + u % 100).cast("string").alias("zip_code"),
-        (255 + v / 10).alias("t2m_k"), (v / 40 - 6).alias("u10"), (6 - v / 50).alias("v10"),
+        (255 + F.sqrt(v) * 2.2).alias("t2m_k"), (F.sqrt(v) / 2 - 6).alias("u10"), (6 - F.sqrt(v) / 3).alias("v10"),
         (1013.0 - u % 20).alias("sp_mb"))
 
 
