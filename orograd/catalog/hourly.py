@@ -296,7 +296,7 @@ def _(spark, d):
         px.select("grid_id", "row", "col", "elev_m"), grid,
         impervious=tables.impervious_ingest(band(F.col("imperv_raw"))), base_hdd=band(F.col("p_size") * 100.0),
         wind=band(F.col("p_size") / 10.0), roads=tables.road_heat_flux(v.roads(spark, d)),
-        station_wind=stations.station_wind(obs(spark, d)), station_elevation_ft=30.0, base_station="KPDX", tile=64)
+        station_wind=stations.station_wind(obs(spark, d), with_p90=False), station_elevation_ft=30.0, base_station="KPDX", tile=64)
     zips = v.polygons(spark, d).withColumn("id", F.col("id").cast("string"))
     out = runs.normals_run(stack, grid, zips, region_code="R1", base_station="KPDX", cell_size_m=200.0)
     return out.select("zip_code", "cell_id", "cell_area_sqm", "effective_hdd", "num_valid_pixels")

@@ -177,7 +177,7 @@ def _wind_px(spark, d):
 
 @query("wind_merge", "SELECT grid_id, row, col, wind AS wind_ms FROM merged", use="merged", doubles="wind_ms")
 def _(spark, d):
-    return stations.wind_merge(_wind_px(spark, d).drop("wind_shadow"), v.LONLAT, stations.station_wind(obs(spark, d))).drop("value")
+    return stations.wind_merge(_wind_px(spark, d).drop("wind_shadow"), v.LONLAT, stations.station_wind(obs(spark, d), with_p90=False)).drop("value")
 
 
 @query("wind_steering", """SELECT grid_id, row, col, wind AS mean_wind_ms, greatest(1.15, 1 + 0.015 * greatest(0, wind - 3))
@@ -185,5 +185,5 @@ def _(spark, d):
     CASE WHEN wind IS NULL THEN NULL WHEN wind > 5 AND row % 2 = 0 THEN 0.7::DOUBLE WHEN wind < 3 AND row % 2 = 1 THEN 1.3::DOUBLE ELSE 1.0::DOUBLE END AS stagnation_mult
     FROM merged""", use="merged", doubles="mean_wind_ms wind_infiltration_mult stagnation_mult")
 def _(spark, d):
-    return stations.wind_steering(_wind_px(spark, d), v.LONLAT, stations.station_wind(obs(spark, d)), value="value",
+    return stations.wind_steering(_wind_px(spark, d), v.LONLAT, stations.station_wind(obs(spark, d), with_p90=False), value="value",
                                   base_station="KTTD").drop("value", "wind_shadow")

@@ -99,6 +99,15 @@ def spans(polygons: DataFrame, grid: Grid) -> DataFrame:
             .where("_n % 2 = 1 and x_to > xc").select("id", "row", F.col("xc").alias("x_from"), "x_to"))
 
 
+def merged_spans(sp: DataFrame) -> DataFrame:
+    """Union of the spans of all polygons: disjoint pieces per grid row."""
+    w = Window.partitionBy("row").orderBy("x_from", "x_to")
+    reach = F.max("x_to").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    started = sp.withColumn("_new", F.when(F.col("x_from") <= reach, 0).otherwise(1))
+    island = started.withColumn("_island", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    return island.groupBy("row", "_island").agg(F.min("x_from").alias("x_from"), F.max("x_to").alias("x_to")).drop("_island")
+
+
 def _span_blocks(sp: DataFrame, grid: Grid, block: int) -> DataFrame:
     a = (F.col("x_from") - grid.c) / grid.a - 0.5
     b = (F.col("x_to") - grid.c) / grid.a - 0.5
@@ -122,8 +131,8 @@ def pixels_in_polygons(px: DataFrame, grid: Grid, polygons: DataFrame, *, block:
 def clip(px: DataFrame, grid: Grid, polygons: DataFrame, *, value: str = "value",
          block: int = SPAN_BLOCK) -> DataFrame:
     """Crop to the bounding box of the polygons; pixels of the box outside every polygon -> missing."""
-    inside = (pixels_in_polygons(px.select("grid_id", "row", "col"), grid, polygons, block=block)
-              .select("grid_id", "row", "col").distinct().withColumn("_in", F.lit(True)))
+    sp = _span_blocks(merged_spans(spans(polygons, grid)), grid, block).select(
+        F.col("row").alias("_row"), F.col("_block").alias("_at"), "x_from", "x_to")
     box = bounds(polygons).agg(*[f(k).alias(k) for f, k in (
         (F.min, "minx"), (F.min, "miny"), (F.max, "maxx"), (F.max, "maxy"))])
     cols = [(F.col(k) - grid.c) / grid.a for k in ("minx", "maxx")]
@@ -135,9 +144,13 @@ def clip(px: DataFrame, grid: Grid, polygons: DataFrame, *, value: str = "value"
     # literal range bounds reach the scan and skip row groups
     crop = px.where((F.col("row") >= lim["r0"]) & (F.col("row") < lim["r1"])
                     & (F.col("col") >= lim["c0"]) & (F.col("col") < lim["c1"]))
-    return (crop.withColumn("row", F.col("row").cast("long"))
-            .join(inside, ["grid_id", "row", "col"], "left")
-            .withColumn(value, F.when(F.col("_in"), F.col(value))).drop("_in"))
+    crop = (crop.withColumn("row", F.col("row").cast("long")).withColumn("_x", grid.c + grid.a * (F.col("col") + 0.5))
+            .withColumn("_block", F.floor(F.col("col") / F.lit(block))))
+    # merged spans are disjoint: a pixel meets one at most, so one join neither copies nor drops it
+    hit = crop.join(sp, (F.col("row") == F.col("_row")) & (F.col("_block") == F.col("_at"))
+                    & (F.col("_x") >= F.col("x_from")) & (F.col("_x") < F.col("x_to")), "left")
+    return (hit.withColumn(value, F.when(F.col("x_from").isNotNull(), F.col(value)))
+            .drop("_x", "_block", "_row", "_at", "x_from", "x_to"))
 
 
 def bounds(polygons: DataFrame, *, keys: tuple[str, ...] = ("id",)) -> DataFrame:

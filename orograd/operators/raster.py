@@ -23,6 +23,7 @@ from ..session import bounded_join
 from ..types import LAPSE_HDD_PER_1000FT, PREVAILING_WIND_DEG, ROUGHNESS_THRESHOLD, Z0_RURAL, Grid, landcover
 
 TILE = 512
+MAX_QUADS = 1_000_000  # 48 bytes each
 
 
 def with_xy(px: DataFrame, grid: Grid) -> DataFrame:
@@ -210,7 +211,8 @@ def bilinear(src: DataFrame, src_grid: Grid, dst: DataFrame, dst_grid: Grid, *,
     sx, sy = _to_crs(F.col("x"), F.col("y"), dst_grid.crs, src_grid.crs)
     at = (at.withColumn("_fc", (sx - src_grid.c) / src_grid.a).withColumn("_fr", (sy - src_grid.f) / src_grid.e)
           .withColumn("_c0", F.floor(F.col("_fc") - 0.5)).withColumn("_r0", F.floor(F.col("_fr") - 0.5)))
-    joined = at.join(quads, ["_r0", "_c0"], "left")
+    # counted first: a coarse source is broadcast and the target is not shuffled at all
+    joined = bounded_join(at, quads, ["_r0", "_c0"], "left", max_rows=MAX_QUADS)
     dx, dy = F.col("_fc") - 0.5 - F.col("_c0"), F.col("_fr") - 0.5 - F.col("_r0")
     weights = {"_v00": (1 - dx) * (1 - dy), "_v01": dx * (1 - dy), "_v10": (1 - dx) * dy, "_v11": dx * dy}
     total = weighted = F.lit(0.0)

@@ -28,15 +28,18 @@ def nearest_station(points: DataFrame, *, lat: str = "centroid_lat", lon: str =
             .withColumn("distance_km", F.col("_near.km")).drop("_near"))
 
 
-def station_wind(obs: DataFrame) -> DataFrame:
+def station_wind(obs: DataFrame, *, with_p90: bool = True) -> DataFrame:
     """Mean and exact 90th percentile (linear interpolation) of each known station's wind.
 
-    Text that is no number and missing readings are dropped.
+    Text that is no number and missing readings are dropped. Without `with_p90` one aggregation
+    is enough; the merge with gridded wind needs only the mean.
     """
     known = [s for s, *_ in STATIONS]
     clean = (obs.withColumn("wind_ms", F.expr("try_cast(wind_speed_set_1 as double)"))
              .where(F.col("station_id").isin(*known) & F.col("wind_ms").isNotNull() & ~F.isnan("wind_ms")))
     mean = clean.groupBy("station_id").agg(F.avg("wind_ms").alias("mean_wind_ms"), F.count(F.lit(1)).alias("num_obs"))
+    if not with_p90:
+        return mean
     return mean.join(exact_quantiles(clean, "wind_ms", {"p90_wind_ms": 0.9}, keys=("station_id",)), "station_id")
 
 

@@ -21,6 +21,18 @@ def with_default(df: DataFrame, name: str, value) -> DataFrame:
     return df if name in df.columns else df.withColumn(name, F.lit(value))
 
 
+def neutral_default(name: str) -> float:
+    """What an absent band stands for: 1 for multipliers, 0 for everything else."""
+    return 1.0 if "mult" in name or "infiltration" in name else 0.0
+
+
+def with_bands(df: DataFrame, names: list[str]) -> DataFrame:
+    """Add every absent band with its neutral value."""
+    for name in names:
+        df = with_default(df, name, neutral_default(name))
+    return df
+
+
 def cell_zonal(px: DataFrame, *, bands: list[str], keys: tuple[str, ...] = ("zip_code", "cell_id"),
                count_band: str = "prism_annual_hdd") -> DataFrame:
     """Mean of every band per cell and the number of valid base pixels.

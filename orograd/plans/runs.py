@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import surface
 from ..functions.cols import m_to_ft
 from ..operators import cubes, geometry, hydrology, raster, stations, timeseries, zonal
+from ..session import checkpoint
 from ..types import ALTITUDES_FT, CELL_SIZE_M, Grid
 
 
@@ -64,7 +65,9 @@ def normals_run(px: DataFrame, grid: Grid, zips: DataFrame, *, region_code: str,
              .withColumnRenamed("impervious_pct", "mean_impervious_pct")
              .withColumn("num_valid_pixels", F.coalesce("num_valid_pixels", F.lit(0)))
              .withColumn("base_station", F.lit(base_station)))
-    return zonal.with_zip_aggregates(zonal.with_effective_hdd(cells, with_cdd=with_cdd), region_code=region_code)
+    # the cell table is tiny beside the pixels; written once, the aggregates do not read pixels again
+    cells = checkpoint(zonal.with_effective_hdd(cells, with_cdd=with_cdd))
+    return zonal.with_zip_aggregates(cells, region_code=region_code)
 
 
 def daily_run(hourly: DataFrame, prs: DataFrame, normals: DataFrame, terrain: DataFrame, *,

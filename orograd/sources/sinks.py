@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.cols import zfill5
 from ..operators.registry import geojson_features
-from ..types import (LIDAR_VINTAGE, MONTHS, NLCD_VINTAGE, PIPELINE_VERSION, PRISM_PERIOD, TERRAIN_COLUMNS,
+from ..types import (LIDAR_VINTAGE, NLCD_VINTAGE, PIPELINE_VERSION, PRISM_PERIOD, TERRAIN_COLUMNS,
                      require_columns)
 
 NUMERIC = ("effective_hdd effective_cdd cell_area_sqm hdd_terrain_mult hdd_elev_addition hdd_uhi_reduction "
@@ -73,12 +73,12 @@ def write_daily(daily: DataFrame, path: str, *, output_format: str = "parquet")
 def write_by_date(df: DataFrame, path: str, *, ts: str | None = None) -> None:
     """One folder per date; the whole dataset is the combined output.
 
-    Only the dates present are replaced, so repeating a run leaves the same result. Rows are
-    spread by date and a salt, which keeps files few without one writer per date.
+    Only the dates present are replaced, so repeating a run leaves the same result. The rebalance
+    keeps files few per date and still splits a date that holds much of the data.
     """
     if ts is not None:
         df = df.withColumn("date", F.to_date(ts))
-    (df.repartition("date", F.pmod(F.xxhash64("zip_code"), F.lit(8))).write.mode("overwrite")
+    (df.hint("rebalance", "date").write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").option("compression", "snappy").partitionBy("date").parquet(path))
 
 
@@ -142,7 +142,3 @@ def manifest_verify(stored: DataFrame, current: DataFrame) -> DataFrame:
     return stored.join(now, "source", "left").select(
         "source", F.col("_now").isNotNull().alias("present"),
         F.coalesce(F.col("sha256") == F.col("_now"), F.lit(False)).alias("matches"))
-
-
-def monthly_columns() -> list[str]:
-    return [f"effective_hdd_{m}" for m in MONTHS]

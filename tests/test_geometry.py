@@ -80,6 +80,13 @@ def test_clip_crops_and_masks(spark):
     assert out.count() == 36 and 10 < out.where("value is not null").count() < 36
 
 
+def test_overlapping_parts_neither_copy_nor_cancel(spark):
+    px = spark.createDataFrame([("g", r, c, 1.0) for r in range(10) for c in range(10)], "grid_id string, row int, col int, value double")
+    parts = polys(spark, {"a": [box(0, 0, 6, 6)], "b": [box(3, 3, 9, 9)], "c": [box(6, 0, 9, 3)]})
+    out = geometry.clip(px, Grid(1.0, 0.0, -1.0, 10.0), parts, block=4)
+    assert out.count() == 81 and out.where("value is not null").count() == 36 + 36 - 9 + 9
+
+
 def test_centroid_and_area(spark):
     p = polys(spark, {"s": [box(0, 0, 4, 2)], "h": [box(0, 0, 4, 4), list(reversed(box(1, 1, 2, 3)))]})
     got = {r["id"]: (r["centroid_x"], r["centroid_y"]) for r in geometry.polygon_centroid(p).collect()}

@@ -46,6 +46,11 @@ def test_zonal_means_missing_without_base(spark):
     assert got["c2"]["prism_annual_hdd"] == 15 and got["c2"]["b"] == 4 and got["c2"]["num_valid_pixels"] == 2
 
 
+def test_absent_bands_are_neutral(spark):
+    r = zonal.with_bands(cells(spark), ["wind_infiltration_mult", "uhi_offset_f"]).first()
+    assert r["wind_infiltration_mult"] == 1 and r["uhi_offset_f"] == 0
+
+
 def test_bounds_need_their_columns(spark):
     with pytest.raises(ValueError):
         zonal.hdd_bounds(cells(spark))
