@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.surface import road_buffer_m, road_temp_offset
-from ..session import spread
+from ..session import bounded_join, spread
 from ..types import CELL_SIZE_M, Grid
 
 SPAN_BLOCK = 256
@@ -44,17 +44,21 @@ def ring_area(pts: Column) -> Column:
 
 
 def edges(polygons: DataFrame, *, keys: tuple[str, ...] = ("id",)) -> DataFrame:
-    """One row per edge: keys, ring_no, x1, y1, x2, y2."""
+    """One row per edge: keys, ring_no, x1, y1, x2, y2.
+
+    Edges are paired up inside the array, so no row carries a whole ring along.
+    """
     rings = polygons.select(*keys, F.posexplode("rings").alias("ring_no", "pts"))
-    pos = rings.select(*keys, "ring_no", F.size("pts").alias("n"), "pts", F.posexplode("pts").alias("i", "p"))
-    nxt = F.element_at("pts", F.when(F.col("i") + 1 == F.col("n"), F.lit(1)).otherwise(F.col("i") + 2))
-    return (pos.withColumn("q", nxt)
-            .select(*keys, "ring_no", F.col("p.x").alias("x1"), F.col("p.y").alias("y1"),
-                    F.col("q.x").alias("x2"), F.col("q.y").alias("y2"))
-            .where("x1 <> x2 or y1 <> y2"))
+
+    def edge(p: Column, i: Column) -> Column:
+        q = F.get("pts", (i + 1) % F.size("pts"))
+        return F.struct(p["x"].alias("x1"), p["y"].alias("y1"), q["x"].alias("x2"), q["y"].alias("y2"))
+
+    return (rings.select(*keys, "ring_no", F.explode(F.transform("pts", edge)).alias("e"))
+            .select(*keys, "ring_no", "e.*").where("x1 <> x2 or y1 <> y2"))
 
 
-def signed_rings(polygons: DataFrame) -> DataFrame:
+def signed_rings(polygons: DataFrame, *, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per ring with `sign`: +1 for shells, -1 for holes, by nesting depth."""
     def contains(pts: Column, p: Column) -> Column:
         crossings = _ring_fold(pts, lambda a, b: F.when(
@@ -63,7 +67,7 @@ def signed_rings(polygons: DataFrame) -> DataFrame:
             1.0).otherwise(0.0))
         return F.pmod(crossings, F.lit(2.0)) == 1.0
 
-    rings = polygons.select("id", "rings", F.posexplode("rings").alias("ring_no", "pts"))
+    rings = polygons.select("id", *keep, "rings", F.posexplode("rings").alias("ring_no", "pts"))
     n = F.size("pts")
     # two of three spread vertices decide, so a ring that touches another in one point is still placed right
     probes = F.array(F.get("pts", F.lit(0)), F.get("pts", F.floor(n / 3).cast("int")), F.get("pts", F.floor(2 * n / 3).cast("int")))
@@ -72,7 +76,7 @@ def signed_rings(polygons: DataFrame) -> DataFrame:
         return F.size(F.filter(probes, lambda p: contains(r, p))) >= 2
 
     depth = F.size(F.filter("rings", lambda r, i: (i != F.col("ring_no")) & around(r)))
-    return rings.select("id", "ring_no", "pts", F.when(F.size("rings") == 1, F.lit(1.0)).otherwise(
+    return rings.select("id", *keep, "ring_no", "pts", F.when(F.size("rings") == 1, F.lit(1.0)).otherwise(
         F.when(depth % 2 == 0, 1.0).otherwise(-1.0)).alias("sign"))
 
 
@@ -153,11 +157,18 @@ def clip(px: DataFrame, grid: Grid, polygons: DataFrame, *, value: str = "value"
             .drop("_x", "_block", "_row", "_at", "x_from", "x_to"))
 
 
+def with_bounds(polygons: DataFrame) -> DataFrame:
+    """Add minx, miny, maxx, maxy of each row's own rings; nothing is shuffled."""
+    def ends(axis: str) -> Column:
+        return F.transform(F.flatten("rings"), lambda p: p[axis])
+    return polygons.withColumns({"minx": F.array_min(ends("x")), "miny": F.array_min(ends("y")),
+                                 "maxx": F.array_max(ends("x")), "maxy": F.array_max(ends("y"))})
+
+
 def bounds(polygons: DataFrame, *, keys: tuple[str, ...] = ("id",)) -> DataFrame:
     """Bounding box per key."""
-    pts = polygons.select(*keys, F.explode(F.flatten("rings")).alias("p"))
-    return pts.groupBy(*keys).agg(F.min("p.x").alias("minx"), F.min("p.y").alias("miny"),
-                                  F.max("p.x").alias("maxx"), F.max("p.y").alias("maxy"))
+    return with_bounds(polygons).groupBy(*keys).agg(F.min("minx").alias("minx"), F.min("miny").alias("miny"),
+                                                    F.max("maxx").alias("maxx"), F.max("maxy").alias("maxy"))
 
 
 def polygon_area(polygons: DataFrame) -> DataFrame:
@@ -226,15 +237,16 @@ def create_cells(polygons: DataFrame, *, cell_size_m: float = CELL_SIZE_M) -> Da
     size = float(cell_size_m)
     if polygons.where("rings is null or size(rings) = 0 or exists(rings, r -> size(r) = 0)").limit(1).count():
         raise ValueError("empty polygon geometry")
-    box = bounds(polygons)
-    strip = (signed_rings(polygons).join(box, "id")
+    box = ("minx", "maxx", "maxy")
+    strip = (signed_rings(with_bounds(spread(polygons, "id")), keep=box)
              .withColumn("_nx", F.ceil((F.col("maxx") - F.col("minx")) / size).cast("int"))
              .withColumn("ix", F.explode(F.sequence(F.lit(0), F.greatest(F.col("_nx") - 1, F.lit(0))))))
-    strip = spread(strip, "id", "ix")
     left = F.col("minx") + F.col("ix") * size
     strip = (strip.withColumn("pts", _half_plane(F.col("pts"), "x", left, True))
              .withColumn("pts", _half_plane(F.col("pts"), "x", left + size, False))
              .where("size(pts) >= 3"))
+    # only now: the strips are no larger than the ring they came from
+    strip = spread(strip, "id", "ix")
     ys = F.transform("pts", lambda p: p["y"])
     lowest = F.floor((F.col("maxy") - F.array_max(ys)) / size).cast("int")
     highest = F.ceil((F.col("maxy") - F.array_min(ys)) / size).cast("int")
@@ -272,7 +284,8 @@ def cell_dominant(cells: DataFrame, px: DataFrame, grid: Grid, *, value: str = "
         F.floor((F.col("centroid_y") - grid.f) / grid.e).alias("row"))
     hit = px.select(F.col("row").cast("long"), F.col("col").cast("long"),
                     F.col(value).cast("int").cast("string").alias("cell_type"))
-    found = at.join(hit, ["row", "col"], "left").select("id", "cell_id", "cell_type")
+    # the few centroids are looked up in the many pixels, not the other way round
+    found = bounded_join(hit, at, ["row", "col"]).select("id", "cell_id", "cell_type")
     return cells.join(found, ["id", "cell_id"], "left")
 
 

@@ -49,7 +49,7 @@ def normals_run(px: DataFrame, grid: Grid, zips: DataFrame, *, region_code: str,
     polygons, and those go through scan-line spans.
     """
     at = geometry.pixels_in_polygons(px, grid, zips).withColumnRenamed("id", "zip_code")
-    box = geometry.bounds(zips).select(F.col("id").alias("zip_code"), "minx", "maxy")
+    box = geometry.with_bounds(zips).select(F.col("id").alias("zip_code"), "minx", "maxy")
     x = grid.c + grid.a * (F.col("col") + 0.5)
     y = grid.f + grid.e * (F.col("row") + 0.5)
     at = (at.join(box, "zip_code").withColumn("ix", F.floor((x - F.col("minx")) / float(cell_size_m)).cast("int"))

@@ -104,6 +104,15 @@ def test_hourly_scan_takes_whole_days_and_aliases(spark):
         tables.hourly_scan(df, "2025-01-01", "2025-01-02")
 
 
+def test_hourly_scan_prunes(spark, tmp_path):
+    rows = [(dt.datetime(2024, 1, d, h), 280.0, "x" * 10) for d in (1, 2, 3) for h in range(24)]
+    df = spark.createDataFrame(rows, "ts timestamp, t2m_k double, unused string").withColumn("date", F.to_date("ts"))
+    sinks.write_by_date(df, str(tmp_path / "h"))
+    out = tables.hourly_scan(spark.read.parquet(str(tmp_path / "h")), "2024-01-02", "2024-01-02").groupBy().agg(F.avg("t2m_k"))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan and "GreaterThanOrEqual(ts" in plan and "unused" not in plan
+
+
 def test_csv_sources(spark, tmp_path):
     f = tmp_path / "zips.csv"
     f.write_text("state,zip_code,centroid_lon,centroid_lat\nOR,01001,-122.5,x\n")
