@@ -92,7 +92,7 @@ cte("wind", """SELECT ts, zip_code, altitude_ft, sqrt(u * u + v * v) AS wind_spe
 
 def profiles(spark, d):
     h = v.hours(spark, d)
-    return timeseries.wind_profiles(h, v.prs(h))
+    return timeseries.wind_profiles(h, v.prs(h), levels_unique=True)  # hours hold one row per ZIP
 
 
 @query("profile_interp", "SELECT ts, zip_code, altitude_ft, ti AS t_k FROM interp WHERE altitude_ft > 0", use="interp", doubles="t_k")
@@ -155,7 +155,7 @@ DAILY = ["raw_temp_f", "adjusted_temp_f", "daily_effective_hdd", "hdd_sfc", "win
 
 def daily(spark, d):
     h = v.hours(spark, d)
-    return runs.daily_run(h, v.prs(h), v.normals(spark, d), v.terrain(spark, d))
+    return runs.daily_run(h, v.prs(h), v.normals(spark, d), v.terrain(spark, d), levels_unique=True)
 
 
 @query("daily_combine", f"SELECT date, zip_code, bias_f, {', '.join(DAILY)} FROM daily", use="daily", doubles="bias_f " + " ".join(f"{k}" for k in DAILY))
@@ -216,7 +216,7 @@ def _(spark, d):
       wind_direction_deg AS wind_dir_deg FROM wind JOIN zt USING (zip_code)))""", use="wind zt", doubles=HCUBE)
 def _(spark, d):
     h = v.hours(spark, d)
-    return runs.hourly_run(h, v.terrain(spark, d), prs=v.prs(h))
+    return runs.hourly_run(h, v.terrain(spark, d), prs=v.prs(h), levels_unique=True)
 
 
 @query("hourly_to_daily_hdd", "SELECT CAST(datetime_utc AS DATE) AS date, zip_code, altitude_ft, sum(hourly_hdd) AS daily_hdd, count(*) AS num_hours FROM hcube GROUP BY 1, 2, 3", use="hcube", doubles="daily_hdd")

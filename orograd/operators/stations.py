@@ -141,13 +141,13 @@ def station_bias(px: DataFrame, grid: Grid, *, value: str = "value", out: str =
 
 
 def station_bias_monthly(px: DataFrame, grid: Grid, *, value: str = "hdd", out: str = "corrected",
-                         mode: str = "reference") -> DataFrame:
+                         mode: str = "annual") -> DataFrame:
     """Station correction of twelve monthly HDD grids `(grid_id, row, col, month, value)`.
 
-    `reference` takes every month's offset against the annual normal, so the months no longer sum to
+    `annual` takes every month's offset against the annual normal, so the months no longer sum to
     the annual grid. `scaled` shares the annual offset out by each month's part of the year.
     """
-    if mode not in ("reference", "scaled"):
+    if mode not in ("annual", "scaled"):
         raise ValueError(f"unknown mode {mode}")
     at = (_placed(stations(px.sparkSession), grid)
           .withColumn("col", F.rint((F.col("sx") - grid.c) / grid.a).cast("long"))
@@ -165,7 +165,7 @@ def station_bias_monthly(px: DataFrame, grid: Grid, *, value: str = "hdd", out:
     pts = []
     for s in whole.values():
         year = sum(s["v"].values())
-        offset = {m: (s["normal"] - v if mode == "reference" else (s["normal"] - year) * v / year if year else 0.0)
+        offset = {m: (s["normal"] - v if mode == "annual" else (s["normal"] - year) * v / year if year else 0.0)
                   for m, v in s["v"].items()}
         by_month = F.element_at(F.array(*[F.lit(float(offset[m])) for m in range(1, 13)]), F.col("month").cast("int"))
         pts.append((*s["xy"], by_month))

@@ -81,14 +81,14 @@ def bias_validate(df: DataFrame, *, adjusted: str = "adjusted_f", normal: str =
 
 
 def wind_profiles(sfc: DataFrame, prs: DataFrame, *, keys: tuple[str, ...] = ("zip_code", "ts"),
-                  altitudes: list[int] = ALTITUDES_FT) -> DataFrame:
+                  altitudes: list[int] = ALTITUDES_FT, levels_unique: bool = False) -> DataFrame:
     """Wind and temperature at each altitude: the surface row at 0 ft, above it linear in ln(p).
 
     `sfc(keys, t2m_k, u10, v10, sp_mb)`, `prs(keys, level_mb, u, v, t_k)`. A group is one place and
-    hour, so its array holds no more than the pressure levels. Repeated levels are averaged first.
-    The target pressure is clipped to the given levels, so nothing is extrapolated.
+    hour, so its array holds no more than the pressure levels. Repeated levels are averaged first;
+    with `levels_unique` the caller vouches that there are none, which saves a shuffle. The target pressure is clipped to the given levels, so nothing is extrapolated.
     """
-    level = prs.groupBy(*keys, "level_mb").agg(*[F.avg(k).alias(k) for k in ("u", "v", "t_k")])
+    level = prs if levels_unique else prs.groupBy(*keys, "level_mb").agg(*[F.avg(k).alias(k) for k in ("u", "v", "t_k")])
     column = level.groupBy(*keys).agg(
         F.array_sort(F.collect_list(F.struct(F.ln("level_mb").alias("lnp"), "u", "v", "t_k"))).alias("levels"),
         F.min("level_mb").cast("double").alias("_lo"), F.max("level_mb").cast("double").alias("_hi"))

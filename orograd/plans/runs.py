@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import surface
 from ..functions.cols import m_to_ft
 from ..operators import cubes, geometry, hydrology, raster, stations, timeseries, zonal
 from ..session import checkpoint
+from ..streaming import cycles
 from ..types import ALTITUDES_FT, CELL_SIZE_M, Grid
 
 
@@ -72,7 +74,7 @@ def normals_run(px: DataFrame, grid: Grid, zips: DataFrame, *, region_code: str,
 
 def daily_run(hourly: DataFrame, prs: DataFrame, normals: DataFrame, terrain: DataFrame, *,
               clim: DataFrame | None = None, profile_hour: str = "first",
-              apply_bl: bool = False) -> tuple[DataFrame, DataFrame]:
+              apply_bl: bool = False, levels_unique: bool = False) -> tuple[DataFrame, DataFrame]:
     """Hourly rows per ZIP -> daily rows and the safety cube, for all days in one plan.
 
     `hourly(ts, zip_code, t2m_k, u10, v10, sp_mb)`, `prs(ts, zip_code, level_mb, u, v, t_k)`,
@@ -88,7 +90,7 @@ def daily_run(hourly: DataFrame, prs: DataFrame, normals: DataFrame, terrain: Da
         first = h.groupBy("date").agg(F.min("ts").alias("ts"))  # one row per date
         h, p = h.join(first, ["date", "ts"]), p.join(first, ["date", "ts"])
     keys = ("zip_code", "date", "ts")
-    prof = timeseries.wind_profiles(h, p, keys=keys)
+    prof = timeseries.wind_profiles(h, p, keys=keys, levels_unique=levels_unique)
     if profile_hour == "mean":
         prof = prof.groupBy("zip_code", "date", "altitude_ft").agg(*[
             F.avg(k).alias(k) for k in ("wind_speed_ms", "wind_direction_deg", "temperature_k", "temperature_f")])
@@ -97,9 +99,20 @@ def daily_run(hourly: DataFrame, prs: DataFrame, normals: DataFrame, terrain: Da
 
 
 def hourly_run(hourly: DataFrame, terrain: DataFrame, *, prs: DataFrame | None = None,
-               bias: float | str = 0.0) -> DataFrame:
+               bias: float | str = 0.0, levels_unique: bool = False) -> DataFrame:
     """Hourly rows per ZIP -> cube; with `prs` the profile is interpolated from pressure levels."""
     if prs is None:
         return cubes.hourly_cube(hourly, terrain, bias=bias)
-    prof = timeseries.wind_profiles(hourly, prs, altitudes=ALTITUDES_FT)
+    prof = timeseries.wind_profiles(hourly, prs, altitudes=ALTITUDES_FT, levels_unique=levels_unique)
     return cubes.hourly_cube(hourly, terrain, bias=bias, profiles=prof)
+
+
+def realtime_run(spark: SparkSession, landing: str, schema: str, terrain: DataFrame, out: str, checkpoint_folder: str, *,
+                 bias: float = 0.0, once: bool = False) -> StreamingQuery:
+    """Landed hourly files -> cube rows per date and hour, each hour and ZIP once.
+
+    `terrain` is the static feature table; repeats within the look-back are dropped. `once` drains
+    what has landed and stops.
+    """
+    stream = cycles.dedup_cycles(cycles.cycle_source(spark, landing, schema))
+    return cycles.write_cycles(cycles.cycle_cube_stream(stream, terrain, bias=bias), out, checkpoint_folder, once=once)

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import warnings
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -88,13 +90,7 @@ def weather_year(spark: SparkSession, path: str) -> DataFrame:
 
 def billing(spark: SparkSession, path: str) -> DataFrame | None:
     """Billing reference, or None if the file or its columns are absent (the check is skipped)."""
-    try:
-        raw = spark.read.option("header", True).csv(path)
-    except Exception as e:  # path not found is raised by the reader when planning
-        if "PATH_NOT_FOUND" in str(e):
-            return None
-        raise
-    if not {"zip_code", "therms_per_customer"} <= set(raw.columns):
+    if _csv_if_present(spark, path, ["zip_code", "therms_per_customer"]) is None:
         return None
     return csv_table(spark, path, BILLING_SCHEMA)
 
@@ -107,13 +103,32 @@ def terrain_table(spark: SparkSession, path: str) -> DataFrame:
     return raw.select(*[F.col(k) if k in text else F.expr(f"try_cast(`{k}` as double)").alias(k) for k in raw.columns])
 
 
+def _csv_if_present(spark: SparkSession, path: str, need: list[str]) -> DataFrame | None:
+    """The CSV as text columns, or None if the file or a needed column is absent."""
+    try:
+        raw = spark.read.option("header", True).csv(path)
+    except AnalysisException as e:  # raised while planning, before anything is read
+        if "PATH_NOT_FOUND" in str(e):
+            return None
+        raise
+    return raw if set(need) <= set(raw.columns) else None
+
+
 def station_observations(spark: SparkSession, folder: str) -> DataFrame:
-    """One CSV per station, named by the station; unknown stations and rows without time are skipped."""
-    raw = spark.read.option("header", True).csv(folder, schema="date_time string, wind_speed_set_1 string",
-                                                enforceSchema=False)
-    name = F.regexp_extract(F.col("_metadata.file_name"), r"^([A-Za-z0-9]+)", 1)
-    return (raw.select(F.upper(name).alias("station_id"), F.expr("try_cast(date_time as timestamp)").alias("ts"),
-                       "wind_speed_set_1").where(F.col("station_id").isin(*[s for s, *_ in STATIONS])))
+    """Readings of all known stations, one CSV (or folder of CSVs) per station, named by it.
+
+    A missing file or column gives a warning and is skipped. The loop runs over the fixed stations
+    and only plans; Spark reads the files.
+    """
+    out = spark.createDataFrame([], "station_id string, ts timestamp, wind_speed_set_1 string")
+    for s, *_ in STATIONS:
+        raw = _csv_if_present(spark, f"{folder}/{s}.csv", ["date_time", "wind_speed_set_1"])
+        if raw is None:
+            warnings.warn(f"no usable wind readings for {s}", stacklevel=2)
+            continue
+        out = out.unionByName(raw.select(F.lit(s).alias("station_id"), F.expr("try_cast(date_time as timestamp)").alias("ts"),
+                                         "wind_speed_set_1"))
+    return out
 
 
 def road_heat_flux(*sources: DataFrame) -> DataFrame:

@@ -101,6 +101,22 @@ def test_projection_round_trip(spark):
     assert mid[0] == pytest.approx(500000.0) and mid[1] == pytest.approx(4982950.4, abs=0.5)
 
 
+AIR = st.tuples(st.floats(0, 60), st.floats(0.001, 3), st.floats(0, 20000), st.floats(-60, 120), st.floats(-40, 40), st.floats(-40, 40))
+
+
+@settings(max_examples=3, deadline=None)
+@given(st.lists(AIR, min_size=40, max_size=80))
+def test_air_properties(spark, rows):
+    df = spark.createDataFrame(rows, "wind double, z0 double, alt double, t double, u double, v double")
+    d = air.wind_direction("u", "v")
+    high = F.col("alt") > 1000
+    bad = df.where((air.tke("wind", "z0") < 0) | (air.density_altitude("t") < 0) | (d < 0) | (d >= 360)
+                   | (high & (air.wind_shear_kt("wind", "alt", "z0", 0.03) != 0))
+                   | (high & (air.subsidence(5, "alt", F.lit(True)) != 0)) | (high & (air.uhi_decay(5, "alt") != 0))
+                   | (air.forest_wind("wind", "alt", "z0", 2.0) < 0) | (air.infiltration("wind", F.lit("KDLS")) < 1.15)).count()
+    assert bad == 0
+
+
 ROW = st.tuples(st.floats(-50, 120), st.floats(0.5, 2), st.floats(0, 500), st.floats(0, 200), st.floats(0, 100))
 
 

@@ -3,6 +3,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from orograd.operators.cubes import hourly_cube
+from orograd.plans import runs
 from orograd.sources import sinks
 from orograd.streaming import cycles
 
@@ -35,6 +36,15 @@ def test_cycles_equal_batch_and_survive_restart(spark, tmp_path):
     assert cycles.validate_stream(got).count() == 0
 
 
+def test_realtime_run_repeats_nothing(spark, tmp_path):
+    src, out, state = (str(tmp_path / k) for k in ("in", "out", "state"))
+    for data in (rows(range(0, 4)), rows(range(3, 6)), rows([5])):
+        land(spark, src, data)
+        runs.realtime_run(spark, src, SCHEMA, terrain(spark), out, state, once=True).awaitTermination()
+    got = spark.read.parquet(out)
+    assert got.count() == got.select("datetime_utc", "zip_code", "altitude_ft").distinct().count() == 6 * 2 * 8
+
+
 def test_dedup_and_late_rows(spark, tmp_path):
     src, out, state = (str(tmp_path / k) for k in ("in", "out", "state"))
     batches = [rows(range(0, 6)) + rows([5]), rows([4, 6]), rows(range(10, 14)), rows([1])]

@@ -125,7 +125,9 @@ def test_csv_sources(spark, tmp_path):
     d.mkdir()
     (d / "KPDX.csv").write_text("date_time,wind_speed_set_1\n2024-01-01 00:00:00,2.5\n2024-01-01 01:00:00,bad\n")
     (d / "ZZZZ.csv").write_text("date_time,wind_speed_set_1\n2024-01-01 00:00:00,9\n")
-    obs = tables.station_observations(spark, str(d))
+    (d / "KEUG.csv").write_text("date_time,gust\n2024-01-01 00:00:00,9\n")
+    with pytest.warns(UserWarning, match="KEUG"):
+        obs = tables.station_observations(spark, str(d))
     assert {r["station_id"] for r in obs.collect()} == {"KPDX"} and obs.count() == 2
 
 
