@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ..functions import degree_days, surface
 from ..functions.cols import c
 from ..functions.geodesy import lonlat_to_utm, utm_to_lonlat
-from ..session import bounded_join
+from ..session import bounded_join, checkpoint
 from ..types import LAPSE_HDD_PER_1000FT, PREVAILING_WIND_DEG, ROUGHNESS_THRESHOLD, Z0_RURAL, Grid, landcover
 
 TILE = 512
@@ -76,20 +76,24 @@ def with_neighbours(px: DataFrame, value: str, *, reflect: bool = False, tile: i
 _NEIGHBOURS = ["nw", "n", "ne", "w", "e", "sw", "s", "se"]
 
 
-def _with_grid_stats(px: DataFrame, value: str) -> DataFrame:
-    """Add the grid's mean value and its extent to every pixel."""
-    stats = px.groupBy("grid_id").agg(
+def grid_stats(px: DataFrame, value: str) -> DataFrame:
+    """Mean value and extent per grid, one row each."""
+    return px.groupBy("grid_id").agg(
         F.avg(value).alias("_mean"), (F.max("row") + 1).alias("_rows"), (F.max("col") + 1).alias("_cols"))
-    return bounded_join(px, stats, ["grid_id"], "left")
 
 
-def aspect_slope(dem: DataFrame, *, value: str = "elev_m", tile: int = TILE) -> DataFrame:
+def _with_grid_stats(px: DataFrame, value: str, stats: DataFrame | None) -> DataFrame:
+    """Add the grid's mean value and its extent to every pixel."""
+    return bounded_join(px, grid_stats(px, value) if stats is None else stats, ["grid_id"], "left")
+
+
+def aspect_slope(dem: DataFrame, *, value: str = "elev_m", tile: int = TILE, stats: DataFrame | None = None) -> DataFrame:
     """Add aspect_deg and slope_deg from central differences in pixel units.
 
-    Missing cells are filled with the grid mean for the differences and come out missing, as does
+    `stats` takes the result of `grid_stats` where it is already known. Missing cells are filled with the grid mean for the differences and come out missing, as does
     the outermost row and column.
     """
-    filled = _with_grid_stats(dem, value).withColumn("_fill", F.coalesce(value, "_mean"))
+    filled = _with_grid_stats(dem, value, stats).withColumn("_fill", F.coalesce(value, "_mean"))
     filled = filled.withColumnRenamed("_fill", "fill_").drop("_mean", "_rows", "_cols")
     px = with_neighbours(filled, "fill_", tile=tile)
     dy, dx = (F.col("s") - F.col("n")) / 2.0, (F.col("e") - F.col("w")) / 2.0
@@ -114,7 +118,7 @@ def _box_sum(df: DataFrame, value: str, out: str, along: str, across: str, half:
 
 
 def tpi(dem: DataFrame, *, value: str = "elev_m", pixel_size_m: float = 1.0,
-        inner_m: float = 300.0, outer_m: float = 1000.0) -> DataFrame:
+        inner_m: float = 300.0, outer_m: float = 1000.0, stats: DataFrame | None = None) -> DataFrame:
     """Add `tpi`: height above the mean of the surrounding ring.
 
     The ring mean comes from two square box means weighted by circle areas. Cells nearer to the
@@ -122,7 +126,7 @@ def tpi(dem: DataFrame, *, value: str = "elev_m", pixel_size_m: float = 1.0,
     """
     r_in, r_out = inner_m / pixel_size_m, outer_m / pixel_size_m
     h_in, h_out = _half_width(r_in), _half_width(r_out)
-    px = _with_grid_stats(dem, value).withColumn("_z", F.coalesce(value, "_mean"))
+    px = _with_grid_stats(dem, value, stats).withColumn("_z", F.coalesce(value, "_mean"))
     px = _box_sum(px, "_z", "_row_in", "col", "row", h_in)
     px = _box_sum(px, "_z", "_row_out", "col", "row", h_out)
     px = _box_sum(px, "_row_in", "_in", "row", "col", h_in)
@@ -168,8 +172,9 @@ def terrain(dem: DataFrame, *, station_elevation_ft: float, value: str = "elev_m
             wind_deg: float = PREVAILING_WIND_DEG, lapse: float = LAPSE_HDD_PER_1000FT,
             tile: int = TILE) -> DataFrame:
     """Aspect, slope, TPI, wind shadow, terrain class and the lapse-rate addition of each pixel."""
-    px = aspect_slope(dem, value=value, tile=tile)
-    px = tpi(px, value=value, pixel_size_m=pixel_size_m)
+    stats = checkpoint(grid_stats(dem, value))  # one scan for both
+    px = aspect_slope(dem, value=value, tile=tile, stats=stats)
+    px = tpi(px, value=value, pixel_size_m=pixel_size_m, stats=stats)
     return (px.withColumn("wind_shadow", surface.wind_shadow("tpi", "aspect_deg", wind_deg))
             .withColumn("terrain_position", surface.terrain_position("tpi", "slope_deg", "aspect_deg", wind_deg))
             .withColumn("hdd_elev_addition", degree_days.lapse_addition(value, station_elevation_ft, lapse)))

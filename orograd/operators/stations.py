@@ -5,7 +5,7 @@ from __future__ import annotations
 from itertools import combinations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from ..functions import air
@@ -120,6 +120,23 @@ def _origin_xy(grid: Grid) -> tuple[Column, Column]:
     return F.col("col") * grid.a + grid.c, F.col("row") * grid.e + grid.f
 
 
+def _station_pixels(px: DataFrame, grid: Grid, value: str, *more: str) -> list[tuple[Row, Row]]:
+    """(station, pixel) pairs for the grid pixel nearest to each of the eleven stations.
+
+    The positions become a literal filter on row and column, so the scan, or the grouping behind
+    it, reads little more than those pixels.
+    """
+    sites = (_placed(stations(px.sparkSession), grid)
+             .withColumn("col", F.rint((F.col("sx") - grid.c) / grid.a).cast("long"))
+             .withColumn("row", F.rint((F.col("sy") - grid.f) / grid.e).cast("long")).orderBy("station_id").collect())
+    here = F.lit(False)
+    for s in sites:
+        here = here | ((F.col("row") == s["row"]) & (F.col("col") == s["col"]))
+    rows = (px.where(F.col("row").isin(*[s["row"] for s in sites]) & F.col("col").isin(*[s["col"] for s in sites]) & here)
+            .select("row", "col", F.col(value).alias("v"), *more).collect())
+    return [(s, p) for s in sites for p in rows if (p["row"], p["col"]) == (s["row"], s["col"])]
+
+
 def station_bias(px: DataFrame, grid: Grid, *, value: str = "value", out: str = "corrected") -> DataFrame:
     """Shift an HDD grid toward the station normals.
 
@@ -127,15 +144,9 @@ def station_bias(px: DataFrame, grid: Grid, *, value: str = "value", out: str =
     interpolated linearly between stations and are 0 outside their hull; fewer than three stations
     on the grid leave it unchanged. At most eleven station pixels reach the driver.
     """
-    at = (_placed(stations(px.sparkSession), grid)
-          .withColumn("col", F.rint((F.col("sx") - grid.c) / grid.a).cast("long"))
-          .withColumn("row", F.rint((F.col("sy") - grid.f) / grid.e).cast("long")))
-    hits = (px.select(F.col("row").cast("long"), F.col("col").cast("long"), F.col(value).alias("_v"))
-            .join(F.broadcast(at), ["row", "col"])
-            .select("station_id", "sx", "sy", (F.col("hdd_normal") - F.col("_v")).alias("offset"))
-            .where("offset is not null").orderBy("station_id").collect())
+    hits = [(s["sx"], s["sy"], s["hdd_normal"] - p["v"]) for s, p in _station_pixels(px, grid, value) if p["v"] is not None]
     x, y = _origin_xy(grid)
-    surface = _interpolated(x, y, [(r["sx"], r["sy"], r["offset"]) for r in hits]) if len(hits) >= 3 else None
+    surface = _interpolated(x, y, hits) if len(hits) >= 3 else None
     offset = F.lit(0.0) if surface is None else F.coalesce(surface, F.lit(0.0))
     return px.withColumn(out, c(value) + offset)
 
@@ -149,16 +160,10 @@ def station_bias_monthly(px: DataFrame, grid: Grid, *, value: str = "hdd", out:
     """
     if mode not in ("annual", "scaled"):
         raise ValueError(f"unknown mode {mode}")
-    at = (_placed(stations(px.sparkSession), grid)
-          .withColumn("col", F.rint((F.col("sx") - grid.c) / grid.a).cast("long"))
-          .withColumn("row", F.rint((F.col("sy") - grid.f) / grid.e).cast("long")))
-    hits = (px.select(F.col("row").cast("long"), F.col("col").cast("long"), "month", F.col(value).alias("_v"))
-            .join(F.broadcast(at), ["row", "col"]).select("station_id", "sx", "sy", "hdd_normal", "month", "_v")
-            .orderBy("station_id", "month").collect())  # at most 11 stations x 12 months
     series: dict[str, dict] = {}
-    for r in hits:
-        s = series.setdefault(r["station_id"], {"xy": (r["sx"], r["sy"]), "normal": r["hdd_normal"], "v": {}})
-        s["v"][r["month"]] = r["_v"]
+    for site, p in _station_pixels(px, grid, value, "month"):  # at most 11 stations x 12 months
+        s = series.setdefault(site["station_id"], {"xy": (site["sx"], site["sy"]), "normal": site["hdd_normal"], "v": {}})
+        s["v"][p["month"]] = p["v"]
     whole = {k: s for k, s in series.items() if len(s["v"]) == 12 and None not in s["v"].values()}
     if len(whole) < 3:
         return px.withColumn(out, c(value))

@@ -41,6 +41,18 @@ def test_station_bias_meets_normals(spark):
     assert offsets[0] >= 0 and offsets[1] <= 1800
 
 
+def test_scaled_months_sum_to_the_corrected_year(spark):
+    year, grid = lonlat_grid(spark, lambda r, c: 3900.0)
+    months = year.withColumn("month", F.explode(F.sequence(F.lit(1), F.lit(12)))).withColumn("hdd", F.col("month") * 50.0).drop("value")
+    total = stations.station_bias_monthly(months, grid, mode="scaled").groupBy("row", "col").agg(F.sum("corrected").alias("s"))
+    both = total.join(stations.station_bias(year, grid), ["row", "col"])
+    assert both.select(F.max(F.abs(F.col("s") - F.col("corrected")))).first()[0] < 1e-6
+    annual = stations.station_bias_monthly(months, grid)
+    assert annual.where("month = 1 and corrected > 3000").count() > 0  # each month alone is raised to the annual normal
+    with pytest.raises(ValueError):
+        stations.station_bias_monthly(months, grid, mode="x")
+
+
 def test_too_few_stations_leave_grid(spark):
     px, _ = lonlat_grid(spark, lambda r, c: 1.0)
     far = Grid(0.1, 10.0, -0.1, 47.5, 60, 60, "lonlat")
