@@ -17,6 +17,11 @@ def c(x: ColumnLike | None) -> Column:
     return F.lit(None if x is None else float(x))
 
 
+def bind(value: ColumnLike, body) -> Column:
+    """`body(value)` with `value` computed once; plain reuse would compute it per mention."""
+    return F.element_at(F.transform(F.array(c(value)), body), 1)
+
+
 def nan_to_null(x: ColumnLike) -> Column:
     """Missing values are NULL inside the library; NaN is converted once, at ingest."""
     return F.nullif(c(x).cast("double"), F.lit(float("nan")))

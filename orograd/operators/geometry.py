@@ -13,6 +13,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.cols import bind
 from ..functions.surface import road_buffer_m, road_temp_offset
 from ..session import bounded_join, spread
 from ..types import CELL_SIZE_M, Grid
@@ -20,18 +21,13 @@ from ..types import CELL_SIZE_M, Grid
 SPAN_BLOCK = 256
 
 
-def _bind(value: Column, body) -> Column:
-    """`body(value)` with `value` computed once; plain reuse would compute it per mention."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def _ring_fold(pts: Column, term) -> Column:
     """Sum `term(p, next p)` over the edges of a ring."""
     def fold(ring: Column) -> Column:
         n = F.size(ring)
         return F.aggregate(F.sequence(F.lit(1), n), F.lit(0.0), lambda acc, i: acc + term(
             F.element_at(ring, i), F.element_at(ring, F.when(i == n, F.lit(1)).otherwise(i + 1))))
-    return _bind(pts, fold)
+    return bind(pts, fold)
 
 
 def _cross(p: Column, q: Column) -> Column:
@@ -40,7 +36,7 @@ def _cross(p: Column, q: Column) -> Column:
 
 def ring_area(pts: Column) -> Column:
     """Shoelace area, positive for either orientation; fewer than three points give 0."""
-    return _bind(pts, lambda r: F.when(F.size(r) < 3, 0.0).otherwise(F.abs(_ring_fold(r, _cross)) / 2.0))
+    return bind(pts, lambda r: F.when(F.size(r) < 3, 0.0).otherwise(F.abs(_ring_fold(r, _cross)) / 2.0))
 
 
 def edges(polygons: DataFrame, *, keys: tuple[str, ...] = ("id",)) -> DataFrame:
@@ -224,7 +220,7 @@ def _half_plane(pts: Column, axis: str, limit: Column, keep_above: bool) -> Colu
 
         return F.when(n < 1, empty).otherwise(F.flatten(F.transform(F.sequence(F.lit(1), n), step)))
 
-    return _bind(F.coalesce(pts, empty), pass_)
+    return bind(F.coalesce(pts, empty), pass_)
 
 
 def create_cells(polygons: DataFrame, *, cell_size_m: float = CELL_SIZE_M) -> DataFrame:
@@ -296,12 +292,14 @@ def cell_mode(px: DataFrame, *, keys: tuple[str, ...] = ("zip_code", "cell_id"),
     return n.groupBy(*keys).agg(F.max_by(F.col("_v").cast("string"), F.struct("_n", -F.col("_v"))).alias("cell_type"))
 
 
-def polygons_intersect(left: DataFrame, right: DataFrame, *, bucket: float) -> DataFrame:
+def polygons_intersect(left: DataFrame, right: DataFrame, *, bucket: float | None = None) -> DataFrame:
     """Pairs (left_id, right_id) of polygons that share at least one point.
 
     Candidates meet on coarse squares. Two polygons touch when two edges cross, or one holds a
     vertex of the other; both tests run on edge rows that share a square, never on all pairs.
+    `bucket` is the square's side, by default a small part of the common extent.
     """
+    bucket = bucket or region_bucket(left)
     def bucketed(e: DataFrame, side: str) -> DataFrame:
         def seq(a: str, b: str) -> Column:
             lo, hi = F.least(a, b), F.greatest(a, b)
@@ -343,7 +341,7 @@ def polygons_intersect(left: DataFrame, right: DataFrame, *, bucket: float) -> D
             .unionByName(holds(right, left, "right_id", "left_id")).distinct())
 
 
-def zips_in_states(zips: DataFrame, states: DataFrame, *, wanted: list[str], bucket: float) -> DataFrame:
+def zips_in_states(zips: DataFrame, states: DataFrame, *, wanted: list[str], bucket: float | None = None) -> DataFrame:
     """ZIP polygons that touch a wanted state, each with the first such state by name."""
     target = states.where(F.col("state").isin(*wanted)).select(F.col("state").alias("id"), "rings")
     pairs = polygons_intersect(zips.select("id", "rings"), target, bucket=bucket)
@@ -413,7 +411,7 @@ def road_heat(px: DataFrame, grid: Grid, roads: DataFrame) -> DataFrame:
             .withColumn("road_temp_offset_f", road_temp_offset("road_heat_flux_wm2")).drop("_flux"))
 
 
-def region_bucket(polygons: DataFrame, target: int = 64) -> float:
+def region_bucket(polygons: DataFrame, target: int = 256) -> float:
     """A bucket width that cuts the common extent into about `target` columns."""
     box = bounds(polygons).agg(F.min("minx").alias("a"), F.max("maxx").alias("b")).first()
     return max((box["b"] - box["a"]) / target, math.ulp(1.0))

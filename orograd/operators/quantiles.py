@@ -16,14 +16,21 @@ def exact_quantiles(df: DataFrame, value: str, qs: dict[str, float], *, keys: tu
     a sketch proposes cut points, rows are counted per value and per bucket, and only the buckets
     that hold a wanted rank are ordered. The sketch affects speed alone: ranks are counted exactly.
     """
+    if buckets & (buckets - 1):
+        raise ValueError("buckets must be a power of two")
     keys = keys or ("_all",)
     v = df.withColumn("_all", F.lit(0)).where(F.col(value).isNotNull()).select(
         *keys, F.col(value).cast("double").alias("_v"))
     cuts = F.percentile_approx("_v", [i / buckets for i in range(1, buckets)], 2000)
     shape = v.groupBy(*keys).agg(cuts.alias("_cuts"), F.count(F.lit(1)).alias("_total"))
     counts = v.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    placed = bounded_join(counts, shape, list(keys)).withColumn(
-        "_b", F.size(F.filter("_cuts", lambda s: s < F.col("_v")))).drop("_cuts")
+    # the bucket of a value is the number of cuts below it, found by halving
+    placed = bounded_join(counts, shape, list(keys)).withColumn("_b", F.lit(0))
+    half = buckets // 2
+    while half:
+        placed = placed.withColumn("_b", F.col("_b") + F.when(F.get("_cuts", F.col("_b") + (half - 1)) < F.col("_v"), half).otherwise(0))
+        half //= 2
+    placed = placed.drop("_cuts")
 
     def position(q: float) -> Column:
         return q * (F.col("_total") - 1)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import air, degree_days
-from ..functions.cols import c, kelvin_to_f
+from ..functions.cols import bind, c, kelvin_to_f
 from ..types import ALTITUDES_FT, MIN_CLIMATOLOGY_YEARS
 
 CELL = ("gy", "gx")
@@ -99,9 +99,9 @@ def wind_profiles(sfc: DataFrame, prs: DataFrame, *, keys: tuple[str, ...] = ("z
                             F.col("t2m_k").alias("t_k"))
         q = F.ln(air.altitude_pressure_mb(float(alt), "sp_mb", "t2m_k", "_lo", "_hi"))
         # one pass finds the last level at or below the target and the first one at or above it
-        return _bind(F.struct(q.alias("q"), F.col("levels").alias("lv")), lambda s: _bind(F.struct(
+        return bind(F.struct(q.alias("q"), F.col("levels").alias("lv")), lambda s: bind(F.struct(
             s["q"].alias("q"), F.filter(s["lv"], lambda x: x["lnp"] <= s["q"]).alias("below"), s["lv"].alias("lv")),
-            lambda t: _bind(F.struct(
+            lambda t: bind(F.struct(
                 t["q"].alias("q"), F.coalesce(F.get(t["below"], F.size(t["below"]) - 1), F.get(t["lv"], F.lit(0))).alias("lo"),
                 F.coalesce(F.get(t["lv"], F.size(t["below"])), F.get(t["lv"], F.size(t["lv"]) - 1)).alias("hi")),
                 lambda b: _mix(alt, b))))
@@ -114,11 +114,6 @@ def wind_profiles(sfc: DataFrame, prs: DataFrame, *, keys: tuple[str, ...] = ("z
                       kelvin_to_f("temperature_k").alias("temperature_f"))
 
 
-def _bind(value: Column, body) -> Column:
-    """`body(value)` with `value` computed once."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def _mix(alt: int, b: Column) -> Column:
     """Values at `q` between the levels `lo` and `hi` of a bracket."""
     gap = F.nullif(b["hi"]["lnp"] - b["lo"]["lnp"], F.lit(0.0))

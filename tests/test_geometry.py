@@ -133,3 +133,4 @@ def test_intersections(spark):
     right = polys(spark, {"x": [box(1, 1, 9, 9)], "y": [box(20, 20, 30, 30)]})
     got = {(r[0], r[1]) for r in geometry.polygons_intersect(left, right, bucket=3.0).collect()}
     assert got == {("a", "x"), ("c", "x")}
+    assert {(r[0], r[1]) for r in geometry.polygons_intersect(left, right).collect()} == got
