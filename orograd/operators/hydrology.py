@@ -8,8 +8,11 @@ a reliable checkpoint per round, and its totals enter the tiles as extra weight
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +20,9 @@ from ..functions.surface import drainage_multiplier
 from ..session import checkpoint
 from .raster import TILE, grid_max_share, with_neighbours
 
+# the tile functions travel with their code: executors need not have this package installed
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # direction code -> (row step, column step), in tie-breaking order (fixed values)
 D8 = {1: (0, 1), 2: (1, 1), 4: (1, 0), 8: (1, -1), 16: (0, -1), 32: (-1, -1), 64: (-1, 0), 128: (-1, 1)}
 _NAMES = {1: "e", 2: "se", 4: "s", 8: "sw", 16: "w", 32: "nw", 64: "n", 128: "ne"}
