@@ -8,12 +8,22 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .near_vectors import near_vectors
+from .packing import packed_documents
+from .token_files import document_token_counts
 
 
 def op1_near_vectors(spark: SparkSession, d: str) -> DataFrame:
     return near_vectors(table(spark, d, "embeddings"))
 
 
+def op8_packing(spark: SparkSession, d: str) -> DataFrame:
+    return packed_documents(table(spark, d, "documents"))
+
+
+def op10_token_counts(spark: SparkSession, d: str) -> DataFrame:
+    return document_token_counts(table(spark, d, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
