@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from .common import table
+from .common import crc_fold, table
+from . import language, toxicity
 from .near_vectors import near_vectors
 from .packing import packed_documents
 from .token_files import document_token_counts
@@ -16,6 +18,21 @@ def op1_near_vectors(spark: SparkSession, d: str) -> DataFrame:
     return near_vectors(table(spark, d, "embeddings"))
 
 
+def op6_language(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    held = crc_fold("doc_id", 4) == 2
+    found = language.identify(docs, language.profiles(docs.where(~held)))
+    return found.select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
+def op7_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    held = crc_fold("doc_id", 5) == 0
+    learned = toxicity.learn(docs, table(spark, d, "labels").where(~held))
+    found = toxicity.score(docs, learned)
+    return found.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op8_packing(spark: SparkSession, d: str) -> DataFrame:
     return packed_documents(table(spark, d, "documents"))
 
