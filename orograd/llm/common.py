@@ -98,19 +98,20 @@ def forest(pairs_a: np.ndarray, pairs_b: np.ndarray, ids: np.ndarray) -> np.ndar
     return low
 
 
-def compared(pairs: DataFrame, key: str, fn: Callable, id_type: str = "long") -> DataFrame:
+def compared(pairs: DataFrame, key: str, fn: Callable, once: bool = False) -> DataFrame:
     """Run `fn(pdf_a, pdf_b or None)` on every pair of blocks; rows (id, n, root) of ids that have a link.
 
     `fn` returns link positions (i into a, j into b) and, per id, what the links weigh. Only a
-    spanning forest leaves the task, never the pairs.
+    spanning forest leaves the task, never the pairs. `once` drops rows of an id that came twice.
     """
     def run(pdf):
+        pdf = pdf.drop_duplicates(["block", "id"]) if once else pdf
         a = pdf[pdf["block"] == pdf["block_a"].iloc[0]]
         same = pdf["block_a"].iloc[0] == pdf["block_b"].iloc[0]
         b = a if same else pdf[pdf["block"] == pdf["block_b"].iloc[0]]
         return _summed(fn(a, b, same), a, b, same)
 
-    return pairs.groupBy(key, "block_a", "block_b").applyInPandas(run, f"id {id_type}, n long, root {id_type}")
+    return pairs.groupBy(key, "block_a", "block_b").applyInPandas(run, "id long, n long, root long")
 
 
 def _summed(links, a, b, same):

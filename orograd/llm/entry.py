@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .common import crc_fold, table
 from . import language, toxicity
 from .near_vectors import near_vectors
+from .ngram_join import ngram_join
 from .packing import packed_documents
 from .token_files import document_token_counts
 
@@ -18,6 +19,10 @@ def op1_near_vectors(spark: SparkSession, d: str) -> DataFrame:
     return near_vectors(table(spark, d, "embeddings"))
 
 
+def op3_ngram_join(spark: SparkSession, d: str) -> DataFrame:
+    return ngram_join(table(spark, d, "documents"))
+
+
 def op6_language(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
     held = crc_fold("doc_id", 4) == 2
