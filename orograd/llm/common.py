@@ -38,6 +38,14 @@ def spread_scan(df: DataFrame, *cols: str) -> DataFrame:
     return df.repartition(tasks(df.sparkSession), *cols)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that the table doesn't have yet."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def crc_fold(key: str | Column, folds: int) -> Column:
     """crc32 of the id as text, modulo `folds`; NULL ids go to fold 0."""
     c = F.col(key) if isinstance(key, str) else key

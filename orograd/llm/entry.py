@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .common import crc_fold, table
 from . import language, toxicity
+from .lines import line_report
 from .near_vectors import near_vectors
 from .ngram_join import ngram_join
 from .packing import packed_documents
@@ -19,6 +20,10 @@ def op1_near_vectors(spark: SparkSession, d: str) -> DataFrame:
     return near_vectors(table(spark, d, "embeddings"))
 
 
+def op2_line_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return line_report(table(spark, d, "documents"))
+
+
 def op3_ngram_join(spark: SparkSession, d: str) -> DataFrame:
     return ngram_join(table(spark, d, "documents"))
 
