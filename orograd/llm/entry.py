@@ -13,6 +13,7 @@ from .lines import line_report
 from .near_vectors import near_vectors
 from .ngram_join import ngram_join
 from .packing import packed_documents
+from .secrets import report_sql, secret_report
 from .token_files import document_token_counts
 
 
@@ -28,6 +29,10 @@ def op3_ngram_join(spark: SparkSession, d: str) -> DataFrame:
     return ngram_join(table(spark, d, "documents"))
 
 
+def op4_secrets(spark: SparkSession, d: str) -> DataFrame:
+    return secret_report(table(spark, d, "documents"))
+
+
 def op6_language(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
     held = crc_fold("doc_id", 4) == 2
@@ -56,4 +61,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_secrets": report_sql()}
