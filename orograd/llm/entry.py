@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 from .common import crc_fold, table
 from . import language, toxicity
+from .decontaminate import contaminated
 from .lines import line_report
 from .near_vectors import near_vectors
 from .ngram_join import ngram_join
 from .packing import packed_documents
-from .secrets import report_sql, secret_report
+from .pseudonyms import KINDS, pseudonymise
+from .secret_scan import report_sql, secret_report
 from .token_files import document_token_counts
 
 
@@ -33,6 +35,10 @@ def op4_secrets(spark: SparkSession, d: str) -> DataFrame:
     return secret_report(table(spark, d, "documents"))
 
 
+def op5_decontaminate(spark: SparkSession, d: str) -> DataFrame:
+    return contaminated(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
 def op6_language(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
     held = crc_fold("doc_id", 4) == 2
@@ -52,6 +58,11 @@ def op8_packing(spark: SparkSession, d: str) -> DataFrame:
     return packed_documents(table(spark, d, "documents"))
 
 
+def op9_pseudonyms(spark: SparkSession, d: str) -> DataFrame:
+    found = pseudonymise(table(spark, d, "documents").select("doc_id", "text"), b"catalogue key")
+    return found.select("doc_id", "text", *[F.coalesce(F.col("found")[k], F.lit(0)).alias(f"n_{k}") for k in KINDS])
+
+
 def op10_token_counts(spark: SparkSession, d: str) -> DataFrame:
     return document_token_counts(table(spark, d, "documents"))
 

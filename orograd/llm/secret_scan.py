@@ -126,13 +126,13 @@ def report_sql() -> str:
         pattern, group, least = rule
         rx = "'" + pattern.replace("'", "''") + "'"
         long = f"len(h[i]) >= {least}" if not group else f"len(regexp_extract(h[i], {rx}, {group})) >= {least}"
-        return (f"SELECT r, {order} AS o, '{kind}' AS k, at, at + len(h[i]) AS till FROM (SELECT r, h, i, {long} AS fits, "
-                f"coalesce(list_sum(list_transform(g[1:i], x -> len(x))), 0) + coalesce(list_sum(list_transform(h[1:i - 1], x -> len(x))), 0) AS at "
+        return (f"SELECT r, {order} AS o, '{kind}' AS k, p, p + len(h[i]) AS q FROM (SELECT r, h, i, {long} AS fits, "
+                f"coalesce(list_sum(list_transform(g[1:i], lambda x: len(x))), 0) + coalesce(list_sum(list_transform(h[1:i - 1], lambda x: len(x))), 0) AS p "
                 f"FROM (SELECT r, h, g, unnest(range(1, len(h) + 1)) AS i FROM (SELECT r, regexp_extract_all(t, {rx}) AS h, "
                 f"string_split_regex(t, {rx}) AS g FROM d WHERE regexp_matches(t, {rx})))) WHERE fits")
 
     union = " UNION ALL ".join(part(k, *kv) for k, kv in enumerate(RULES.items()))
-    line = "string_agg(k || ':' || at::bigint || ':' || till::bigint, ',' ORDER BY at, o)"
+    line = "string_agg(k || ':' || p::bigint || ':' || q::bigint, ',' ORDER BY p, o)"
     return (f"WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents), s AS ({union}), "
             f"a AS (SELECT r, {', '.join(f"count(*) FILTER (k = '{k}') AS n_{k}" for k in BASE)}, {line} FILTER (o < {len(BASE)}) AS base, {line} AS spans FROM s GROUP BY r) "
             f"SELECT d.doc_id, {', '.join(f'coalesce(n_{k}, 0) AS n_{k}' for k in BASE)}, sha256(coalesce(base, '')) AS base_sha256, "
