@@ -158,7 +158,7 @@ def identify(docs: DataFrame, learned: DataFrame, *, id_col: str = "doc_id", tex
                 best = int(np.argmax(np.round(cos, 12)))
                 out.append(names[best])
                 score.append(float(min(max(cos[best], 0.0), 1.0)))
-            yield pd.DataFrame({"id": pdf["id"], "lang_pred": out, "score": score})
+            yield pd.DataFrame({"id": pdf["id"], "lang_pred": pd.Series(out, dtype=object), "score": score})
 
     kind = docs.schema[id_col].dataType.simpleString()
     made = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInPandas(

@@ -180,7 +180,7 @@ def line_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
                         wanted.discard(k)
                         h.append(k)
                         s.append(line)
-            yield pd.DataFrame({"h": h, "s": s})
+            yield pd.DataFrame({"h": pd.Series(h, dtype="int64"), "s": pd.Series(s, dtype=object)})
 
     spoken = found.mapInPandas(fetch, "h long, s string")
     ready = dealt.join(spoken, "h").select("component_id", "block", "block_a", "block_b", "h", "simhash", "s")

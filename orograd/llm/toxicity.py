@@ -32,8 +32,11 @@ SPACED = re.compile(r"(?<=\s)(?:[^\W_]|[@$!|+(€£])(?:\s(?:[^\W_]|[@$!|+(€£
 MAYBE_SPACED = re.compile(r"\s\S\s\S\s\S\s")
 LONG_TOKEN = 400      # a longer run without white space is decoded in stretches of so many signs
 PREFIXES = (4, 5)
-MIN_ROWS, MIN_Z, MIN_ODDS = 8, 5.0, 2.0
-MAX_FEATURES = 20_000  # most telling words and beginnings, by significance: the bound of what the driver holds
+MIN_ROWS, MIN_G2 = 4, 16.0
+DOUBT = 2.0              # standard errors taken off a log-odds: rare words count for less
+MAX_FEATURES = 4_000   # most telling words and beginnings, by significance: the bound of what the driver holds
+FIT_ROWS = 20_000      # about so many labelled texts at most, by a hash of the id, weigh the features
+PENALTY, STEPS = 0.1, 600
 PRUNE = 600_000
 MEMO_ENTRIES = 300_000
 BOS = "^"
@@ -63,7 +66,7 @@ def letter_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
                 if len(words) > MEMO_ENTRIES:
                     add(words)
         add(words)
-        yield pd.DataFrame({"gram": list(sums), "n": list(sums.values())})
+        yield pd.DataFrame({"gram": pd.Series(list(sums), dtype=object), "n": pd.Series(list(sums.values()), dtype="int64")})
 
     rows = docs.select(F.col(text_col).cast("string").alias("text")).where("text is not null")
     return rows.mapInPandas(count, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
@@ -190,9 +193,9 @@ def _model_rows(counts: DataFrame) -> dict[str, int]:
 def learn(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> dict:
     """Letter model from all texts and the telling words and word beginnings from labelled texts.
 
-    A feature is kept when at least MIN_ROWS texts hold it, its log-odds for the label are MIN_ODDS
-    or more, and the difference of shares is MIN_Z standard errors. Rows without label or text
-    teach nothing; where an id has several labels, the highest counts.
+    A feature is kept when it speaks for the label, MIN_ROWS texts hold it and its log-likelihood ratio
+    is MIN_G2 or more, counted over all labelled texts; logistic regression on about FIT_ROWS of
+    them at most weighs it. Rows without label or text teach nothing; where an id has several labels, the highest counts.
     """
     grams = _model_rows(letter_counts(docs, text_col))
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(
@@ -221,35 +224,68 @@ def learn(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     sums = written(sums.where(f"n1 > 0 and n0 + n1 >= {MIN_ROWS} or f = ''"), "toxic-words")
     rows = sums.where("f = ''").first()
     n0, n1 = (rows["n0"], rows["n1"]) if rows else (0, 0)
-    a, b = (F.col("n1") + 0.5) / (n1 + 1.0), (F.col("n0") + 0.5) / (n0 + 1.0)
-    z = (a - b) / F.sqrt(a * (1 - a) / (n1 + 1.0) + b * (1 - b) / (n0 + 1.0))
-    odds = F.log(a / (1 - a)) - F.log(b / (1 - b))
-    best = sums.where("f <> ''").select("f", odds.alias("w"), z.alias("z")).where((F.col("w") >= MIN_ODDS) & (F.col("z") >= MIN_Z))
-    weights = {r["f"]: r["w"] for r in best.orderBy(F.desc("z"), "f").limit(MAX_FEATURES).collect()}
-    return {"grams": grams, "weights": weights, "prior": math.log((n1 + 0.5) / (n0 + 0.5))}
+    a, b = F.col("n1").cast("double"), F.col("n0").cast("double")
+    c, d, total = n1 - a, n0 - b, float(max(n0 + n1, 1))
+
+    def part(seen, row, column):
+        return F.when(seen > 0, seen * F.log(seen * total / (row * column))).otherwise(0.0)
+
+    g2 = 2 * (part(a, a + b, F.lit(float(n1))) + part(b, a + b, F.lit(float(n0))) + part(c, c + d, F.lit(float(n1))) + part(d, c + d, F.lit(float(n0))))
+    best = sums.where("f <> ''").select("f", g2.alias("g2")).where((F.col("g2") >= MIN_G2) & (a * (n0 + 0.5) > b * (n1 + 0.5)))
+    names = [r["f"] for r in best.orderBy(F.desc("g2"), "f").limit(MAX_FEATURES).collect()]
+    place = {f: k for k, f in enumerate(names)}
+    share = min(1.0, FIT_ROWS / max(n0 + n1, 1))
+
+    def features(batches):
+        chunks = _Chunks(LetterModel(grams))
+        for pdf in batches:
+            own = [sorted(place[f] for f in _with_beginnings(set.union(*_words(t, chunks))) if f in place) for t in pdf["text"]]
+            yield pd.DataFrame({"label": pdf["label"], "own": own})
+
+    chosen = taught.where(F.pmod(F.xxhash64("id", F.lit("fit")), F.lit(1_000_000)) < int(share * 1_000_000)).mapInPandas(features, "label int, own array<int>")
+    weights, bias = fit([(r["label"], r["own"]) for r in chosen.collect()], len(names))
+    weights = {f: float(w) for f, w in zip(names, weights)}
+    return {"grams": grams, "weights": weights, "prior": bias}
+
+
+def fit(rows: list[tuple[int, list[int]]], n: int) -> tuple[np.ndarray, float]:
+    """Logistic regression with a square penalty on few, sparse features, by accelerated gradient steps."""
+    if not rows or len({r[0] for r in rows}) < 2:
+        seen = sum(r[0] for r in rows)
+        return np.zeros(n), math.log((seen + 0.5) / (len(rows) - seen + 0.5))
+    y = np.array([r[0] for r in rows], dtype=np.float64)
+    row = np.repeat(np.arange(len(rows)), [len(r[1]) for r in rows])
+    col = np.array([k for r in rows for k in r[1]], dtype=np.int64)
+    most = np.bincount(row, minlength=len(rows)).max() + 1
+    # each weight has a step of its own, from the curvature that its rows can add at most
+    rate = 1.0 / (PENALTY + 0.25 * np.bincount(col, weights=np.bincount(row, minlength=len(rows))[row] + 1.0, minlength=n))
+    w, b = np.zeros(n), math.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5))
+    v, vb, step = w.copy(), b, 1.0 / (0.25 * len(y) * max(most / 4, 1))
+    for k in range(STEPS):
+        p = 1.0 / (1.0 + np.exp(-np.clip(np.bincount(row, weights=v[col], minlength=len(y)) + vb, -30, 30)))
+        r = p - y
+        new = v - rate * (np.bincount(col, weights=r[row], minlength=n) + PENALTY * v)
+        new_b = vb - step * r.sum()
+        m = k / (k + 3)
+        v, vb = new + m * (new - w), new_b + m * (new_b - b)
+        w, b = new, new_b
+    return w, float(b)
 
 
 def _counted(sums: dict[str, list[int]]) -> pd.DataFrame:
     n = np.array(list(sums.values()), dtype=np.int64).reshape(-1, 2)
-    return pd.DataFrame({"f": list(sums), "n0": n[:, 0], "n1": n[:, 1]})
+    return pd.DataFrame({"f": pd.Series(list(sums), dtype=object), "n0": n[:, 0], "n1": n[:, 1]})
 
 
 def score(docs: DataFrame, learned: dict, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows (id, score): probability that a text is toxic, from the telling words in its restored text.
 
-    The prior's log-odds and each telling word's add up; a word's own weight replaces those of its
-    beginnings. NULL and empty texts have the prior's probability.
+    The weights of the telling words and beginnings that it holds add up, each once. NULL and empty texts have the prior's probability.
     """
     def run(batches):
         chunks, weights = _Chunks(LetterModel(learned["grams"])), learned["weights"]
         squeezed = {_squeezed(w): w for w in sorted(weights) if not w.endswith("*")}
 
-        def telling(w):
-            x = weights.get(w)
-            if x is None and len(w) > PREFIXES[0]:
-                return max(weights.get(w[:n] + "*", 0.0) if len(w) > n else 0.0 for n in PREFIXES)
-            return x or 0.0
-
         for pdf in batches:
             out = []
             for text in pdf["text"]:
@@ -257,7 +293,7 @@ def score(docs: DataFrame, learned: dict, *, id_col: str = "doc_id", text_col: s
                 if isinstance(text, str):
                     plain, restored = _words(text, chunks)
                     restored = {squeezed.get(_squeezed(w), w) for w in restored}  # a repeat may be one letter or two
-                    s += sum(map(telling, plain | restored))
+                    s += sum(weights.get(f, 0.0) for f in _with_beginnings(plain | restored))
                 out.append(1.0 / (1.0 + math.exp(-max(min(s, 30.0), -30.0))))
             yield pd.DataFrame({"id": pdf["id"], "score": out})
 
