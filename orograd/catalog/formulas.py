@@ -180,14 +180,15 @@ def _(spark, d):
 
 
 @query("cell_effective_hdd", """SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 53 <> 0 THEN 4000 + l_extendedprice / 50 END
-    * (0.95 + l_tax) * (1 + l_discount) + (l_quantity * 10 - 100) - l_discount * 40 * 180 - l_discount * 5 * 180 AS value FROM lineitem""",
+    * (0.95 + l_tax) * (1 + l_discount) + CASE WHEN l_linenumber <> 3 THEN l_quantity * 10 - 100 END - coalesce(CASE WHEN l_linenumber <> 2 THEN l_discount END, 0) * 40 * 180 - l_discount * 5 * 180 AS value FROM lineitem""",
        doubles="value", digits=8)
 def _(spark, d):
     li = table(spark, d, "lineitem")
     base = F.when(F.col("l_orderkey") % 53 != 0, 4000 + F.col("l_extendedprice") / 50)
     red = degree_days.offset_to_degree_days
     return li.select("l_orderkey", "l_linenumber", degree_days.cell_effective_hdd(
-        base, 0.95 + F.col("l_tax"), F.col("l_quantity") * 10 - 100, red(F.col("l_discount") * 40),
+        base, 0.95 + F.col("l_tax"), F.when(F.col("l_linenumber") != 3, F.col("l_quantity") * 10 - 100),
+        F.when(F.col("l_linenumber") != 2, red(F.col("l_discount") * 40)),
         red(F.col("l_discount") * 5), 1 + F.col("l_discount")).alias("value"))
 
 

@@ -83,7 +83,7 @@ cte("interp", """SELECT t.ts, t.zip_code, altitude_ft, t2m_k, u10, v10,
     lo.u + CASE WHEN hi.level_mb = lo.level_mb THEN 0 ELSE (q - ln(lo.level_mb)) / (ln(hi.level_mb) - ln(lo.level_mb)) * (hi.u - lo.u) END AS ui,
     lo.v + CASE WHEN hi.level_mb = lo.level_mb THEN 0 ELSE (q - ln(lo.level_mb)) / (ln(hi.level_mb) - ln(lo.level_mb)) * (hi.v - lo.v) END AS vi,
     lo.t_k + CASE WHEN hi.level_mb = lo.level_mb THEN 0 ELSE (q - ln(lo.level_mb)) / (ln(hi.level_mb) - ln(lo.level_mb)) * (hi.t_k - lo.t_k) END AS ti
-    FROM (SELECT *, (SELECT max(level_mb) FROM levels WHERE ln(level_mb) <= q + 1e-13) AS l0, (SELECT min(level_mb) FROM levels WHERE ln(level_mb) >= q - 1e-13) AS l1 FROM target) t
+    FROM (SELECT *, list_max(list_filter(lv, lambda x: ln(x) <= q + 1e-13)) AS l0, list_min(list_filter(lv, lambda x: ln(x) >= q - 1e-13)) AS l1 FROM target, (SELECT list(DISTINCT level_mb) AS lv FROM levels)) t
     JOIN prs lo ON lo.ts = t.ts AND lo.zip_code = t.zip_code AND lo.level_mb = l0 JOIN prs hi ON hi.ts = t.ts AND hi.zip_code = t.zip_code AND hi.level_mb = l1""", "target", "levels", "prs")
 cte("wind", """SELECT ts, zip_code, altitude_ft, sqrt(u * u + v * v) AS wind_speed_ms, (degrees(atan2(u, v)) + 360) % 360 AS wind_direction_deg, t AS temperature_k,
     (t - 273.15) * 9 / 5 + 32 AS temperature_f FROM (SELECT ts, zip_code, altitude_ft, CASE altitude_ft WHEN 0 THEN u10 ELSE ui END AS u, CASE altitude_ft WHEN 0 THEN v10 ELSE vi END AS v,

@@ -28,9 +28,9 @@ def offset_to_degree_days(offset_f: ColumnLike) -> Column:
 
 def cell_effective_hdd(base: ColumnLike, mult: ColumnLike, elev: ColumnLike, uhi: ColumnLike,
                        traffic: ColumnLike, cold_air: ColumnLike = 1.0) -> Column:
-    """Missing only where base or multiplier is missing."""
+    """Missing where base, multiplier or elevation term is missing; a missing reduction counts as none."""
     zero, one = F.lit(0.0), F.lit(1.0)
-    return (c(base) * c(mult) * F.coalesce(c(cold_air), one) + F.coalesce(c(elev), zero)
+    return (c(base) * c(mult) * F.coalesce(c(cold_air), one) + c(elev)
             - F.coalesce(c(uhi), zero) - F.coalesce(c(traffic), zero))
 
 

@@ -279,9 +279,14 @@ def cell_dominant(cells: DataFrame, px: DataFrame, grid: Grid, *, value: str = "
         F.floor((F.col("centroid_x") - grid.c) / grid.a).alias("col"),
         F.floor((F.col("centroid_y") - grid.f) / grid.e).alias("row"))
     hit = px.select(F.col("row").cast("long"), F.col("col").cast("long"),
-                    F.col(value).cast("int").cast("string").alias("cell_type"))
+                    F.col(value).cast("int").cast("string").alias("cell_type"), *[k for k in ("grid_id",) if k in px.columns])
     # the few centroids are looked up in the many pixels, not the other way round
-    found = bounded_join(hit, at, ["row", "col"]).select("id", "cell_id", "cell_type")
+    found = bounded_join(hit, at, ["row", "col"])
+    if "grid_id" in px.columns:  # one row per cell; a placement is that of one grid
+        one = F.min("grid_id").eqNullSafe(F.max("grid_id"))
+        found = found.groupBy("id", "cell_id").agg(F.when(one, F.min("cell_type")).otherwise(
+            F.raise_error(F.lit("the table holds several grids, a placement is that of one"))).alias("cell_type"))
+    found = found.select("id", "cell_id", "cell_type")
     return cells.join(found, ["id", "cell_id"], "left")
 
 
@@ -324,17 +329,28 @@ def polygons_intersect(left: DataFrame, right: DataFrame, *, bucket: float | Non
                 .select(F.col("l_id").alias("left_id"), F.col("r_id").alias("right_id")))
 
     def holds(outer: DataFrame, inner: DataFrame, outer_name: str, inner_name: str) -> DataFrame:
-        """inner's first vertex lies in outer: odd number of outer edges to its right."""
-        first = inner.select(F.col("id").alias("i_id"), F.col("rings")[0][0]["x"].alias("x"),
-                             F.col("rings")[0][0]["y"].alias("y"))
+        """The first vertex of one of inner's rings lies in outer: odd number of outer edges to its right.
+
+        Only outers whose bounding box holds the vertex are asked; they meet on coarse squares.
+        """
+        first = inner.select(F.col("id").alias("i_id"), F.posexplode("rings").alias("ring", "pts")).where(F.size("pts") > 0)
+        first = first.select("i_id", "ring", F.col("pts")[0]["x"].alias("x"), F.col("pts")[0]["y"].alias("y"))
+        wide = 16 * bucket
+
+        def squares(lo: str, hi: str) -> Column:
+            return F.explode(F.sequence(F.floor(F.col(lo) / wide), F.floor(F.col(hi) / wide)))
+
+        boxes_ = bounds(outer).withColumn("sx", squares("minx", "maxx")).withColumn("sy", squares("miny", "maxy"))
+        first = (first.withColumn("sx", F.floor(F.col("x") / wide)).withColumn("sy", F.floor(F.col("y") / wide)).join(boxes_, ["sx", "sy"])
+                 .where("x between minx and maxx and y between miny and maxy").select("id", "i_id", "ring", "x", "y"))
         first = first.withColumn("by", F.floor(F.col("y") / bucket))
         rows = (edges(outer).where("y1 <> y2").withColumn("by", F.explode(F.sequence(
             F.floor(F.least("y1", "y2") / bucket), F.floor(F.greatest("y1", "y2") / bucket)))))
-        hit = (first.join(rows, "by")
+        hit = (first.join(rows.drop("ring_no"), ["id", "by"])
                .where(((F.col("y1") > F.col("y")) != (F.col("y2") > F.col("y")))
                       & (F.col("x") < F.col("x1") + (F.col("y") - F.col("y1")) / (F.col("y2") - F.col("y1"))
                          * (F.col("x2") - F.col("x1")))))
-        odd = hit.groupBy("id", "i_id").agg((F.count(F.lit(1)) % 2).alias("_odd")).where("_odd = 1")
+        odd = hit.groupBy("id", "i_id", "ring").agg((F.count(F.lit(1)) % 2).alias("_odd")).where("_odd = 1")
         return odd.select(F.col("id").alias(outer_name), F.col("i_id").alias(inner_name))
 
     return (crossing.unionByName(holds(left, right, "left_id", "right_id"))

@@ -193,31 +193,39 @@ def project_points(df: DataFrame, *, src: str, dst: str, x: str = "x", y: str =
 
 
 def bilinear(src: DataFrame, src_grid: Grid, dst: DataFrame, dst_grid: Grid, *, value: str = "value",
-             out: str = "value") -> DataFrame:
+             out: str = "value", keys: tuple[str, ...] = ()) -> DataFrame:
     """Sample `src` at the pixel centres of `dst`; outside the source -> missing.
 
+    `keys` (grid_id, band, month) name layers that both tables have: each is sampled on its own. A
+    source with several layers that are not named is refused when the plan runs.
+
     Each source pixel is offered to the four 2x2 quads it belongs to, so the usually far larger
     target table is joined once and never exploded. Missing corners drop out and the remaining
     weights are rescaled. This is the interpolating kernel; to go to a coarser grid use
     `area_average`.
     """
     corners = F.array(*[F.struct(F.lit(dr).alias("dr"), F.lit(dc).alias("dc")) for dr in (0, 1) for dc in (0, 1)])
+    unnamed = [k for k in ("grid_id", "band", "month") if k in src.columns and k not in keys]
     offered = (src.where(F.col(value).isNotNull())
-               .select("row", "col", F.col(value).alias("_v"), F.explode(corners).alias("k")))
+               .select("row", "col", *keys, *unnamed, F.col(value).alias("_v"), F.explode(corners).alias("k")))
 
     def corner(dr: int, dc: int) -> Column:
         return F.max(F.when((F.col("k.dr") == dr) & (F.col("k.dc") == dc), F.col("_v")))
 
+    layers = F.lit(True)
+    for k in unnamed:
+        layers = layers & F.min(k).eqNullSafe(F.max(k))
+
     quads = (offered.groupBy((F.col("row") - F.col("k.dr")).cast("long").alias("_r0"),
-                             (F.col("col") - F.col("k.dc")).cast("long").alias("_c0"))
-             .agg(corner(0, 0).alias("_v00"), corner(0, 1).alias("_v01"),
+                             (F.col("col") - F.col("k.dc")).cast("long").alias("_c0"), *keys)
+             .agg(F.when(layers, corner(0, 0)).otherwise(F.raise_error(F.lit(f"several layers of {unnamed}: name them in keys"))).alias("_v00"), corner(0, 1).alias("_v01"),
                   corner(1, 0).alias("_v10"), corner(1, 1).alias("_v11")))
     at = with_xy(dst, dst_grid)
     sx, sy = _to_crs(F.col("x"), F.col("y"), dst_grid.crs, src_grid.crs)
     at = (at.withColumn("_fc", (sx - src_grid.c) / src_grid.a).withColumn("_fr", (sy - src_grid.f) / src_grid.e)
           .withColumn("_c0", F.floor(F.col("_fc") - 0.5)).withColumn("_r0", F.floor(F.col("_fr") - 0.5)))
     # counted first: a coarse source is broadcast and the target is not shuffled at all
-    joined = bounded_join(at, quads, ["_r0", "_c0"], "left", max_rows=MAX_QUADS)
+    joined = bounded_join(at, quads, ["_r0", "_c0", *keys], "left", max_rows=MAX_QUADS)
     dx, dy = F.col("_fc") - 0.5 - F.col("_c0"), F.col("_fr") - 0.5 - F.col("_r0")
     weights = {"_v00": (1 - dx) * (1 - dy), "_v01": dx * (1 - dy), "_v10": (1 - dx) * dy, "_v11": dx * dy}
     total = weighted = F.lit(0.0)

@@ -19,11 +19,14 @@ def nearest_station(points: DataFrame, *, lat: str = "centroid_lat", lon: str =
                     out: str = "base_station") -> DataFrame:
     """Add the nearest station by great circle and `distance_km`; the first listed wins a tie.
 
+    A missing coordinate gives a missing station.
+
     The stations are a fixed list of eleven, so the choice is a plain expression: no join, no shuffle.
     """
     ranked = F.array_min(F.array(*[
         F.struct(haversine_km(lat, lon, la, lo).alias("km"), F.lit(i).alias("ord"), F.lit(s).alias("id"))
         for i, (s, _, _, la, lo) in enumerate(STATIONS)]))
+    ranked = F.when(F.col(lat).isNotNull() & F.col(lon).isNotNull(), ranked)
     return (points.withColumn("_near", ranked).withColumn(out, F.col("_near.id"))
             .withColumn("distance_km", F.col("_near.km")).drop("_near"))
 
@@ -44,9 +47,9 @@ def station_wind(obs: DataFrame, *, with_p90: bool = True) -> DataFrame:
 
 
 def nearest_on_axis(points: DataFrame, axis: DataFrame, *, at: str, index: str, coord: str) -> DataFrame:
-    """Add `index` of the axis value nearest to `at`; the lower index wins a tie.
+    """Add `index` of the axis value nearest to `at`; the lower index wins a tie, a missing coordinate has none.
 
-    The axis is one coordinate of a grid. Buckets as wide as its largest step make the nearest
+    Points stay rows of their own: each looks its bucket's few axis values up in one array. The axis is one coordinate of a grid. Buckets as wide as its largest step make the nearest
     value always lie in the point's bucket or a neighbour; points beyond the ends use the end.
     """
     from pyspark.sql import Window
@@ -59,9 +62,9 @@ def nearest_on_axis(points: DataFrame, axis: DataFrame, *, at: str, index: str,
     spread = (axis.select(F.col(index).alias("_i"), F.col(coord).alias("_v"))
               .withColumn("_home", F.floor((F.col("_v") - rng["lo"]) / width))
               .withColumn("_b", F.explode(F.array(F.col("_home") - 1, F.col("_home"), F.col("_home") + 1))))
-    found = (probe.join(spread, "_b").groupBy(*points.columns)
-             .agg(F.min_by("_i", F.struct(F.abs(F.col("_v") - F.col(at)), F.col("_i"))).alias(index)))
-    return found
+    near = spread.groupBy("_b").agg(F.collect_list(F.struct("_v", "_i")).alias("_near"))
+    ranked = F.array_min(F.transform("_near", lambda k: F.struct(F.abs(k["_v"] - F.col(at)).alias("d"), k["_i"].alias("i"))))
+    return probe.join(near, "_b", "left").select(*points.columns, F.when(F.col(at).isNotNull(), ranked["i"]).alias(index))
 
 
 def nearest_grid(points: DataFrame, grid_axes: DataFrame, *, lat: str = "lat", lon: str = "lon") -> DataFrame:
@@ -133,7 +136,9 @@ def _station_pixels(px: DataFrame, grid: Grid, value: str, *more: str) -> list[t
     for s in sites:
         here = here | ((F.col("row") == s["row"]) & (F.col("col") == s["col"]))
     rows = (px.where(F.col("row").isin(*[s["row"] for s in sites]) & F.col("col").isin(*[s["col"] for s in sites]) & here)
-            .select("row", "col", F.col(value).alias("v"), *more).collect())
+            .select("row", "col", F.col(value).alias("v"), *more, *[k for k in ("grid_id",) if k in px.columns]).collect())
+    if "grid_id" in px.columns and len({p["grid_id"] for p in rows}) > 1:
+        raise ValueError("the table holds several grids, a placement is that of one")
     return [(s, p) for s in sites for p in rows if (p["row"], p["col"]) == (s["row"], s["col"])]
 
 

@@ -187,7 +187,8 @@ def adjust_effective_hdd(cells: DataFrame, actual: DataFrame | None = None) -> D
         factors, F.col("base_station") == F.col("station_code"), "left_anti")
     names = sorted(str(r[0]) for r in unknown.limit(20).collect())
     if names:
-        raise ValueError(f"no adjustment factor for stations {names}")
+        more = unknown.count() - len(names)
+        raise ValueError(f"no adjustment factor for stations {names}" + (f" and {more} more" if more else ""))
     # one row per fixed station
     return (cells.join(F.broadcast(factors), F.col("base_station") == F.col("station_code"))
             .drop("station_code").withColumnRenamed("factor", "weather_adjustment_factor")

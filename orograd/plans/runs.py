@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions import surface
+from ..functions import air, surface
 from ..functions.cols import m_to_ft
 from ..operators import cubes, geometry, hydrology, raster, stations, timeseries, zonal
 from ..session import checkpoint
@@ -92,8 +92,11 @@ def daily_run(hourly: DataFrame, prs: DataFrame, normals: DataFrame, terrain: Da
     keys = ("zip_code", "date", "ts")
     prof = timeseries.wind_profiles(h, p, keys=keys, levels_unique=levels_unique)
     if profile_hour == "mean":
-        prof = prof.groupBy("zip_code", "date", "altitude_ft").agg(*[
-            F.avg(k).alias(k) for k in ("wind_speed_ms", "wind_direction_deg", "temperature_k", "temperature_f")])
+        # bearings have no mean: the components are averaged, speed and bearing follow from them
+        toward = F.radians("wind_direction_deg")
+        u, v = F.avg(F.col("wind_speed_ms") * F.sin(toward)), F.avg(F.col("wind_speed_ms") * F.cos(toward))
+        prof = prof.groupBy("zip_code", "date", "altitude_ft").agg(u.alias("u"), v.alias("v"), *[F.avg(k).alias(k) for k in ("temperature_k", "temperature_f")])
+        prof = prof.withColumn("wind_speed_ms", air.wind_speed("u", "v")).withColumn("wind_direction_deg", air.wind_direction("u", "v")).drop("u", "v")
     daily = cubes.daily_combine(adj, prof.drop("ts"), terrain, apply_bl=apply_bl)
     return daily, cubes.safety_cube(daily)
 

@@ -72,6 +72,6 @@ def bounded_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "in
     split by adaptive execution.
     """
     small = checkpoint(small)
-    if small.limit(max_rows + 1).count() <= max_rows:
+    if small.count() <= max_rows:
         return big.join(F.broadcast(small), on, how)
     return big.join(small, on, how)

@@ -43,7 +43,7 @@ def month_days(month: Column | str) -> Column:
 
 
 def require_months(months: DataFrame, month: str = "month") -> None:
-    present = {r[0] for r in months.select(F.col(month).cast("int")).distinct().limit(32).collect()}
+    present = {r[0] for r in months.select(F.col(month).cast("int").alias("m")).where("m between 1 and 12").distinct().collect()}
     absent = sorted(set(range(1, 13)) - present)
     if absent:
         raise ValueError(f"missing months: {absent}")

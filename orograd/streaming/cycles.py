@@ -11,6 +11,7 @@ from ..functions.cols import kelvin_to_f
 from ..functions.degree_days import hourly_hdd
 from ..operators.cubes import hourly_cube
 from ..operators.quality import findings
+from ..session import checkpoint
 from ..functions.cols import c
 
 POLL_SECONDS = 300
@@ -67,16 +68,26 @@ def write_cycles(cube: DataFrame, path: str, checkpoint: str, *, once: bool = Fa
 
 
 def retention_split(cube: DataFrame, *, ts: str = "datetime_utc", hours: int = RETENTION_HOURS) -> DataFrame:
-    """Add `archive`: rows older than the newest hour by more than the retention."""
-    newest = cube.agg(F.max(ts)).scalar()
-    return cube.withColumn("archive", F.col(ts) < newest - F.expr(f"interval {hours} hours"))
+    """Add `archive`: rows whose hour is older than the newest by more than the retention; hours expire whole."""
+    newest = F.date_trunc("hour", cube.agg(F.max(ts)).scalar())
+    return cube.withColumn("archive", F.date_trunc("hour", F.col(ts)) < newest - F.expr(f"interval {hours} hours"))
 
 
 def rotate(cube: DataFrame, archive_path: str, *, ts: str = "datetime_utc", hours: int = RETENTION_HOURS) -> DataFrame:
-    """Append expired rows to the archive by date and return those to keep."""
+    """Append expired rows to the archive by date and return those to keep.
+
+    Rows that the archive has already are not written again, so a repeated pass and late rows of an
+    archived hour both leave it whole. Only the dates that expire are read back.
+    """
+    spark = cube.sparkSession
     split = retention_split(cube, ts=ts, hours=hours)
-    (split.where("archive").drop("archive").withColumn("date", F.to_date(ts)).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(archive_path))
+    gone = split.where("archive").drop("archive").withColumn("date", F.to_date(ts))
+    path = spark._jvm.org.apache.hadoop.fs.Path(archive_path)
+    if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        ends = gone.agg(F.min("date"), F.max("date")).first()
+        old = spark.read.schema(gone.schema).parquet(archive_path).where(F.col("date").between(ends[0], ends[1]))
+        gone = checkpoint(gone.exceptAll(old))
+    gone.write.mode("append").partitionBy("date").parquet(archive_path)
     return split.where("not archive").drop("archive")
 
 
