@@ -334,12 +334,28 @@ def _(spark, d):
     return sinks.run_manifest(files, region="region_1", mode="hourly", start="2024-01-01", end="2024-01-30", timings={"total": 1.5})
 
 
-@query("geojson_features", """SELECT id, '{"type":"Feature","geometry":{"type":"Polygon","coordinates":[' || string_agg(r, ',' ORDER BY ring_no)
-      || ']},"properties":{"id":' || id || '}}' AS feature
-    FROM (SELECT id, ring_no, '[' || string_agg('[' || CAST(x AS VARCHAR) || ',' || CAST(y AS VARCHAR) || ']', ',' ORDER BY i) || ']' AS r
-          FROM points GROUP BY id, ring_no) GROUP BY id""", use="points")
+# every third shape has a second shell far from the first
+cte("map_points", """SELECT * FROM points UNION ALL SELECT id, 2, unnest(range(3)), unnest([cx + 9000, cx + 9000 + s, cx + 9000]), unnest([cy, cy, cy + s]), 3 FROM shapes WHERE id % 3 = 0""", "points", "shapes")
+cte("map_rings", """SELECT id, ring_no, '[' || string_agg('[' || CAST(x AS VARCHAR) || ',' || CAST(y AS VARCHAR) || ']', ',' ORDER BY i) || ']' AS r
+    FROM (SELECT * FROM map_points UNION ALL SELECT id, ring_no, n, x, y, n FROM map_points WHERE i = 0) GROUP BY id, ring_no""", "map_points")
+
+
+@query("geojson_features", """SELECT id, '{"type":"Feature","geometry":{"type":"' || CASE WHEN count(*) = 1 THEN 'Polygon","coordinates":' || min(p)
+      ELSE 'MultiPolygon","coordinates":[' || string_agg(p, ',' ORDER BY k) || ']' END || '},"properties":{"id":' || id || ',"color":"#' || CASE WHEN id % 2 = 0 THEN '00ff00' ELSE 'ff0000' END || '"}}' AS feature
+    FROM (SELECT id, ring_no // 2 AS k, '[' || string_agg(r, ',' ORDER BY ring_no) || ']' AS p FROM map_rings GROUP BY 1, 2) GROUP BY id""", use="map_rings")
+def _(spark, d):
+    k = F.col("id")
+    cx, cy, s = 100 + (k * 37 % 480) * 10.0, 3950 - (k * 53 % 390) * 10.0, 150 + (k % 17) * 20.0
+    more = F.array(F.array(*[F.struct(x.alias("x"), y.alias("y")) for x, y in ((cx + 9000, cy), (cx + 9000 + s, cy), (cx + 9000, cy + s))]))
+    shapes = v.polygons(spark, d).withColumn("rings", F.when(k % 3 == 0, F.concat("rings", more)).otherwise(F.col("rings")))
+    shapes = shapes.withColumn("color", F.when(k % 2 == 0, "#00ff00").otherwise("#ff0000"))
+    return registry.geojson_features(shapes, properties=["id", "color"])
+
+
+@query("title_label", "SELECT o_orderkey, array_to_string(list_transform(string_split(lower(o_orderpriority), '-'), lambda w: upper(w[1]) || w[2:]), '-') AS label FROM (SELECT o_orderkey, replace(o_orderpriority, ' ', '') AS o_orderpriority FROM orders)")
 def _(spark, d):
-    return registry.geojson_features(v.polygons(spark, d), properties=["id"])
+    return table(spark, d, "orders").select("o_orderkey", registry.title_label(F.replace(F.replace("o_orderpriority", F.lit(" "), F.lit("")), F.lit("-"), F.lit("_"))).alias("label")).withColumn(
+        "label", F.replace("label", F.lit(" "), F.lit("-")))
 
 
 @query("polygon_centroid", """SELECT id, sum(sgn * (x1 + x2) * cr) / (3 * sum(sgn * cr)) AS centroid_x, sum(sgn * (y1 + y2) * cr) / (3 * sum(sgn * cr)) AS centroid_y

@@ -302,6 +302,77 @@ def _(spark, d):
     return out.select("zip_code", "cell_id", "cell_area_sqm", "effective_hdd", "num_valid_pixels")
 
 
+# --- grids sampled at ZIPs ---------------------------------------------------------------------
+cte("gpoints", "SELECT zip_code, CAST(zip_code AS INTEGER) - 97000 AS n FROM (SELECT DISTINCT zip_code FROM hours)", "hours")
+cte("gcell", "SELECT zip_code, n // 10 AS gy, n % 10 AS gx FROM gpoints", "gpoints")
+
+
+def grid_inputs(spark, d):
+    """The hourly table as fields on a 10 x 10 grid under other names and in Pa, and points near the cells' middles."""
+    h = v.hours(spark, d)
+    n = F.col("zip_code").cast("int") - 97000
+    cell = [F.expr("(cast(zip_code as int) - 97000) div 10").alias("gy"), (n % 10).alias("gx")]
+    fields = h.select("ts", *cell, F.col("t2m_k").alias("t2m"), F.col("u10").alias("u10m"), F.col("v10").alias("v10m"), (F.col("sp_mb") * 100).alias("sp"))
+    p = v.prs(h)
+    levels = p.select("ts", *cell, F.col("level_mb").alias("isobaricInhPa"), F.col("t_k").alias("t"), "u", "v")
+    k = F.col("id")
+    cells = spark.range(100).select(F.expr("id div 10").alias("gy"), (k % 10).alias("gx"), (42 + F.expr("id div 10") * 0.17).alias("lat"), (-124.5 + (k % 10) * 0.15).alias("lon"))
+    points = h.select("zip_code").distinct().select("zip_code", (42.02 + F.expr("(cast(zip_code as int) - 97000) div 10") * 0.17).alias("lat"), (-124.48 + (n % 10) * 0.15).alias("lon"))
+    return fields, levels, points, cells
+
+
+def from_grid(spark, d, **kw):
+    fields, levels, points, cells = grid_inputs(spark, d)
+    return runs.grid_to_zips(fields, levels, points, cells=cells, **kw)
+
+
+@query("sample_grid", "SELECT ts, zip_code, t2m_k, u10, v10, sp_mb FROM hours", use="hours", doubles="t2m_k u10 v10 sp_mb")
+def _(spark, d):
+    return from_grid(spark, d)[0].select("ts", "zip_code", "t2m_k", "u10", "v10", "sp_mb")
+
+
+@query("nearest_curvilinear", "SELECT zip_code, gy, gx FROM gcell", use="gcell")
+def _(spark, d):
+    from ..operators.stations import nearest_curvilinear
+    _, _, points, cells = grid_inputs(spark, d)
+    return nearest_curvilinear(points, cells).select("zip_code", "gy", "gx")
+
+
+@query("hourly_from_grid", "SELECT ts, zip_code, altitude_ft, temp_adjusted_f, wind_speed_kt FROM hcube", use="hcube", doubles="temp_adjusted_f wind_speed_kt")
+def _(spark, d):
+    return runs.hourly_run(from_grid(spark, d)[0], v.terrain(spark, d)).select(F.col("datetime_utc").alias("ts"), "zip_code", "altitude_ft", "temp_adjusted_f", "wind_speed_kt")
+
+
+@query("daily_from_grid", f"SELECT date, zip_code, bias_f, {', '.join(DAILY)} FROM daily", use="daily", doubles="bias_f " + " ".join(DAILY))
+def _(spark, d):
+    h, p = from_grid(spark, d, curvilinear=True)
+    return runs.daily_run(h, p, v.normals(spark, d), v.terrain(spark, d), levels_unique=True)[0].select("date", "zip_code", "bias_f", *DAILY)
+
+
+# profiles of all hours of a day: components averaged before speed and bearing
+cte("mwind", """SELECT date, zip_code, altitude_ft, sqrt(u * u + v * v) * 1.94384 AS wind_speed_kt, (degrees(atan2(u, v)) + 360) % 360 AS wind_dir_deg, t AS raw_f FROM (SELECT CAST(ts AS DATE) AS date, zip_code, altitude_ft,
+    avg(wind_speed_ms * sin(radians(wind_direction_deg))) AS u, avg(wind_speed_ms * cos(radians(wind_direction_deg))) AS v, avg(temperature_f) AS t FROM wind GROUP BY 1, 2, 3)""", "wind")
+
+
+@query("daily_combine_mean", """SELECT a.date, a.zip_code, adjusted_f AS adjusted_temp_f, max(wind_speed_kt) FILTER (altitude_ft = 0) AS wind_speed_sfc_kt, max(wind_dir_deg) FILTER (altitude_ft = 0) AS wind_dir_sfc_deg,
+    max(raw_f) FILTER (altitude_ft = 3000) AS temp_3000ft_raw_f, max(wind_speed_kt) FILTER (altitude_ft = 3000) AS wind_speed_3000ft_kt FROM adj a JOIN zt USING (zip_code) JOIN mwind m ON m.date = a.date AND m.zip_code = a.zip_code GROUP BY ALL""",
+       use="adj zt mwind", doubles="adjusted_temp_f wind_speed_sfc_kt wind_dir_sfc_deg temp_3000ft_raw_f wind_speed_3000ft_kt")
+def _(spark, d):
+    h = v.hours(spark, d)
+    out = runs.daily_run(h, v.prs(h), v.normals(spark, d), v.terrain(spark, d), levels_unique=True, profile_hour="mean")[0]
+    return out.select("date", "zip_code", "adjusted_temp_f", "wind_speed_sfc_kt", "wind_dir_sfc_deg", "temp_3000ft_raw_f", "wind_speed_3000ft_kt")
+
+
+@query("rotate_twice", "SELECT event_id, ts FROM raw_hours WHERE ts < (SELECT max(ts) FROM raw_hours) - INTERVAL 48 HOUR", use="raw_hours")
+def _(spark, d):
+    # the archive after two passes and a repeated one, over rows that arrive in two parts
+    cube, out = v.raw_hours(spark, d).select("event_id", "ts"), scratch_folder(spark, "archive")
+    early = cube.where(F.col("ts") < cube.agg(F.expr("percentile(cast(ts as double), 0.6)")).scalar().cast("timestamp"))
+    for rows in (early, cube, cube):
+        cycles.rotate(rows, out, ts="ts")
+    return spark.read.schema("event_id long, ts timestamp").parquet(out).select("event_id", "ts")
+
+
 # --- streaming ----------------------------------------------------------------------------
 EVENTS = "event_id long, ts timestamp, user_id long, event_type string, value double, props string"
 

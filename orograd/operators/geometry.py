@@ -54,22 +54,50 @@ def edges(polygons: DataFrame, *, keys: tuple[str, ...] = ("id",)) -> DataFrame:
             .select(*keys, "ring_no", "e.*").where("x1 <> x2 or y1 <> y2"))
 
 
+def ring_contains(pts: Column, p: Column) -> Column:
+    """Whether a point lies inside a ring, by counting edges to its right."""
+    crossings = _ring_fold(pts, lambda a, b: F.when(
+        ((a["y"] > p["y"]) != (b["y"] > p["y"]))
+        & (p["x"] < a["x"] + (p["y"] - a["y"]) / F.nullif(b["y"] - a["y"], F.lit(0.0)) * (b["x"] - a["x"])),
+        1.0).otherwise(0.0))
+    return F.pmod(crossings, F.lit(2.0)) == 1.0
+
+
+def shells_with_holes(rings: str) -> Column:
+    """Array of polygons of a row's rings: each a closed shell followed by its closed holes.
+
+    Rings at even nesting depth are shells; a hole belongs to the shell around it one level up.
+    """
+    def within(inner: Column, outer: Column) -> Column:
+        """Two of three spread vertices decide, so a ring that touches another in one point is still placed right."""
+        n = F.size(inner)
+        votes = [F.when(ring_contains(outer, F.get(inner, F.floor(n * k / 3).cast("int"))), 1).otherwise(0) for k in range(3)]
+        return votes[0] + votes[1] + votes[2] >= 2
+
+    def closed(r: Column) -> Column:
+        ends = (r[0]["x"] == F.get(r, F.size(r) - 1)["x"]) & (r[0]["y"] == F.get(r, F.size(r) - 1)["y"])
+        return F.when(ends, r).otherwise(F.concat(r, F.array(r[0])))
+
+    col = F.filter(rings, lambda r: F.size(r) > 0)
+    placed = F.transform(col, lambda r, i: F.struct(r.alias("pts"), F.size(F.filter(col, lambda o, j: (i != j) & within(r, o))).alias("depth")))
+
+    def polygons_of(all_: Column) -> Column:
+        shells = F.filter(all_, lambda s: s["depth"] % 2 == 0)
+        return F.transform(shells, lambda s: F.concat(F.array(closed(s["pts"])), F.transform(
+            F.filter(all_, lambda h: (h["depth"] == s["depth"] + 1) & within(h["pts"], s["pts"])), lambda h: closed(h["pts"]))))
+
+    return bind(placed, polygons_of)
+
+
 def signed_rings(polygons: DataFrame, *, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per ring with `sign`: +1 for shells, -1 for holes, by nesting depth."""
-    def contains(pts: Column, p: Column) -> Column:
-        crossings = _ring_fold(pts, lambda a, b: F.when(
-            ((a["y"] > p["y"]) != (b["y"] > p["y"]))
-            & (p["x"] < a["x"] + (p["y"] - a["y"]) / F.nullif(b["y"] - a["y"], F.lit(0.0)) * (b["x"] - a["x"])),
-            1.0).otherwise(0.0))
-        return F.pmod(crossings, F.lit(2.0)) == 1.0
-
     rings = polygons.select("id", *keep, "rings", F.posexplode("rings").alias("ring_no", "pts"))
     n = F.size("pts")
     # two of three spread vertices decide, so a ring that touches another in one point is still placed right
     probes = F.array(F.get("pts", F.lit(0)), F.get("pts", F.floor(n / 3).cast("int")), F.get("pts", F.floor(2 * n / 3).cast("int")))
 
     def around(r: Column) -> Column:
-        return F.size(F.filter(probes, lambda p: contains(r, p))) >= 2
+        return F.size(F.filter(probes, lambda p: ring_contains(r, p))) >= 2
 
     depth = F.size(F.filter("rings", lambda r, i: (i != F.col("ring_no")) & around(r)))
     return rings.select("id", *keep, "ring_no", "pts", F.when(F.size("rings") == 1, F.lit(1.0)).otherwise(

@@ -139,10 +139,20 @@ def with_colours(df: DataFrame, value: str, *, keys: tuple[str, ...] = ("region_
 
 
 def geojson_features(cells: DataFrame, *, properties: list[str], rings: str = "rings") -> DataFrame:
-    """`feature`: one GeoJSON Feature per row; rows without geometry are dropped."""
-    coords = F.transform(rings, lambda r: F.transform(r, lambda p: F.array(p["x"], p["y"])))
-    geometry_ = F.struct(F.lit("Polygon").alias("type"), coords.alias("coordinates"))
-    feature = F.struct(F.lit("Feature").alias("type"), geometry_.alias("geometry"),
-                       F.struct(*properties).alias("properties"))
-    return cells.where(f"{rings} is not null and size({rings}) > 0").select(
-        *[k for k in ("id", "zip_code", "cell_id") if k in cells.columns], F.to_json(feature).alias("feature"))
+    """`feature`: one GeoJSON Feature per row; rows without geometry are dropped.
+
+    Rings are closed. One shell with its holes is a Polygon, several are a MultiPolygon.
+    """
+    parts = F.transform(geometry.shells_with_holes(rings), lambda poly: F.transform(poly, lambda r: F.transform(r, lambda p: F.array(p["x"], p["y"]))))
+    keep = [k for k in ("id", "zip_code", "cell_id") if k in cells.columns]
+    rows = cells.where(f"exists({rings}, r -> size(r) > 0)").withColumn("_parts", parts)
+    one = F.to_json(F.struct(F.lit("Polygon").alias("type"), F.get("_parts", F.lit(0)).alias("coordinates")))
+    many = F.to_json(F.struct(F.lit("MultiPolygon").alias("type"), F.col("_parts").alias("coordinates")))
+    shape = F.when(F.size("_parts") == 1, one).otherwise(many)
+    feature = F.concat(F.lit('{"type":"Feature","geometry":'), shape, F.lit(',"properties":'), F.to_json(F.struct(*properties)), F.lit("}"))
+    return rows.select(*keep, feature.alias("feature"))
+
+
+def title_label(name: Column | str) -> Column:
+    """A column or check name as a label: underscores become spaces, words are capitalised."""
+    return F.initcap(F.replace(c(name), F.lit("_"), F.lit(" ")))

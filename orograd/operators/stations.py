@@ -78,6 +78,43 @@ def nearest_grid(points: DataFrame, grid_axes: DataFrame, *, lat: str = "lat", l
     return nearest_on_axis(out, gx, at=lon, index="gx", coord="glon")
 
 
+def nearest_curvilinear(points: DataFrame, cells: DataFrame, *, lat: str = "lat", lon: str = "lon", reach_deg: float = 0.25) -> DataFrame:
+    """Add gy, gx of the nearest grid cell by great circle, for grids whose rows and columns are no parallels.
+
+    `cells(gy, gx, lat, lon)` are offered to the squares of `reach_deg` around their own, so a point meets
+    those of its neighbourhood alone. Points farther than `reach_deg` from every cell, or without
+    coordinates, get none. The lowest (gy, gx) wins a tie. Points stay rows of their own.
+    """
+    def square(name: str) -> Column:
+        return F.floor(F.col(name) / reach_deg)
+
+    near = F.array(*[F.lit(k) for k in (-1, 0, 1)])
+    # degrees of longitude shrink toward the poles: rows of squares reach as far as they must at their latitude
+    wide = F.ceil(1.0 / F.greatest(F.cos(F.radians("_lat")), F.lit(0.05))).cast("int")
+    offered = (cells.select(F.col("gy").alias("_gy"), F.col("gx").alias("_gx"), F.col("lat").alias("_lat"), F.col("lon").alias("_lon"))
+               .where("_lat is not null and _lon is not null").withColumn("_dy", F.explode(near))
+               .withColumn("_dx", F.explode(F.sequence(-wide, wide)))
+               .withColumn("_sy", square("_lat") + F.col("_dy")).withColumn("_sx", square("_lon") + F.col("_dx")))
+    by_square = offered.groupBy("_sy", "_sx").agg(F.collect_list(F.struct("_lat", "_lon", "_gy", "_gx")).alias("_cells"))
+    probe = points.withColumn("_sy", square(lat)).withColumn("_sx", square(lon)).join(by_square, ["_sy", "_sx"], "left")
+    best = F.array_min(F.transform("_cells", lambda k: F.struct(
+        haversine_km(F.col(lat), F.col(lon), k["_lat"], k["_lon"]).alias("km"), k["_gy"].alias("gy"), k["_gx"].alias("gx"))))
+    reach_km = 111.19 * reach_deg
+    found = probe.withColumn("_best", best)
+    hit = F.col("_best.km") <= reach_km
+    return found.select(*points.columns, F.when(hit, F.col("_best.gy")).alias("gy"), F.when(hit, F.col("_best.gx")).alias("gx"))
+
+
+def sample_grid(fields: DataFrame, points: DataFrame, *, key: str = "zip_code") -> DataFrame:
+    """Field rows (ts, gy, gx, ...) of each point's cell: one row per time and `key`, other columns kept.
+
+    `points(key, gy, gx)` come from `nearest_grid`. The few wanted cells prune the fields, whichever
+    side Spark moves for it; points without a cell give no rows.
+    """
+    wanted = points.where("gy is not null and gx is not null").select(key, "gy", "gx").distinct()
+    return fields.join(wanted, ["gy", "gx"]).drop("gy", "gx")
+
+
 def _triangles(xy: np.ndarray) -> list[tuple[int, int, int]]:
     """Delaunay triangles of a handful of points: no other point inside the circumcircle."""
     out = []

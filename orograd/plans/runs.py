@@ -10,6 +10,7 @@ from ..functions import air, surface
 from ..functions.cols import m_to_ft
 from ..operators import cubes, geometry, hydrology, raster, stations, timeseries, zonal
 from ..session import checkpoint
+from ..sources import tables
 from ..streaming import cycles
 from ..types import ALTITUDES_FT, CELL_SIZE_M, Grid
 
@@ -101,6 +102,19 @@ def daily_run(hourly: DataFrame, prs: DataFrame, normals: DataFrame, terrain: Da
     return daily, cubes.safety_cube(daily)
 
 
+def grid_to_zips(hourly: DataFrame, prs: DataFrame | None, points: DataFrame, *, curvilinear: bool = False,
+                 cells: DataFrame | None = None) -> tuple[DataFrame, DataFrame | None]:
+    """Hourly grid fields and pressure levels `(ts, gy, gx, ...)` -> rows per ZIP, for `daily_run` and `hourly_run`.
+
+    `points(zip_code, lat, lon)`; `cells(gy, gx, lat, lon)` places the grid. Field names may be any
+    that the sources use; surface pressure may be in Pa.
+    """
+    place = stations.nearest_curvilinear if curvilinear else stations.nearest_grid
+    at = checkpoint(place(points, cells).select("zip_code", "gy", "gx"))  # one narrow row per ZIP, used twice
+    sfc = stations.sample_grid(tables.canonical_hour(hourly), at)
+    return sfc, None if prs is None else stations.sample_grid(tables.canonical_levels(prs), at)
+
+
 def hourly_run(hourly: DataFrame, terrain: DataFrame, *, prs: DataFrame | None = None,
                bias: float | str = 0.0, levels_unique: bool = False) -> DataFrame:
     """Hourly rows per ZIP -> cube; with `prs` the profile is interpolated from pressure levels."""

@@ -143,8 +143,8 @@ def road_heat_flux(*sources: DataFrame) -> DataFrame:
 
 
 HOUR_ALIASES = {  # accepted names of each hourly field (fixed values)
-    "t2m_k": ["t2m_k", "TMP_2maboveground", "t2m"], "u10": ["u10", "UGRD_10maboveground"],
-    "v10": ["v10", "VGRD_10maboveground"], "sp_pa": ["sp_pa", "PRES_surface", "sp"]}
+    "t2m_k": ["t2m_k", "TMP_2maboveground", "t2m"], "u10": ["u10", "u10m", "UGRD_10maboveground"],
+    "v10": ["v10", "v10m", "VGRD_10maboveground"], "sp_pa": ["sp_pa", "PRES_surface", "sp"]}
 
 
 def check_date_range(start: str, end: str) -> tuple[dt.date, dt.date]:
@@ -173,9 +173,26 @@ def canonical_hour(df: DataFrame) -> DataFrame:
         have = [k for k in options if k in df.columns]
         if have:
             df = df.withColumn(name, F.coalesce(*have).cast("double")).drop(*[k for k in have if k != name])
+    if "sp_pa" in df.columns and "sp_mb" not in df.columns:  # the plans take surface pressure in millibars
+        df = df.withColumn("sp_mb", F.col("sp_pa") / 100.0)
     return df
 
 
+LEVEL_ALIASES = {  # accepted names of each pressure-level field (fixed values)
+    "level_mb": ["level_mb", "level", "isobaricInhPa", "pressure_level"], "t_k": ["t_k", "t", "TMP"],
+    "u": ["u", "UGRD", "u_ms"], "v": ["v", "VGRD", "v_ms"]}
+
+
+def canonical_levels(df: DataFrame) -> DataFrame:
+    """Pressure-level rows (ts, place, level_mb, t_k, u, v) whatever their source calls the fields."""
+    for name, options in LEVEL_ALIASES.items():
+        have = [k for k in options if k in df.columns]
+        if not have:
+            raise ValueError(f"no {name} among {options}")
+        df = df.withColumn(name, F.coalesce(*[F.col(k).cast("double") for k in have])).drop(*[k for k in have if k != name])
+    return df.withColumn("level_mb", F.col("level_mb").cast("int"))
+
+
 def hourly_scan(hourly: DataFrame, start: str, end: str, *, require: bool = True) -> DataFrame:
     """Hours from the first hour of `start` to the last hour of `end`, both days whole.
 
@@ -200,7 +217,7 @@ def expected_hours(spark: SparkSession, start: str, end: str) -> DataFrame:
 
 def missing_hours(expected: DataFrame, manifest: DataFrame) -> DataFrame:
     """Expected hours that the manifest does not list as cached, with their estimated volume."""
-    cached = manifest.where(F.col("status") == "cached").select(F.to_timestamp("datetime_utc").alias("ts"))
+    cached = manifest.where(F.col("status") == "cached").select(F.try_to_timestamp("datetime_utc").alias("ts"))
     return expected.join(cached, "ts", "left_anti").withColumn("estimated_gb", F.lit(GB_PER_HOUR))
 
 
