@@ -35,7 +35,7 @@ PREFIXES = (4, 5)
 MIN_ROWS, MIN_G2 = 4, 16.0
 DOUBT = 2.0              # standard errors taken off a log-odds: rare words count for less
 MAX_FEATURES = 4_000   # most telling words and beginnings, by significance: the bound of what the driver holds
-FIT_ROWS = 20_000      # about so many labelled texts at most, by a hash of the id, weigh the features
+FIT_ROWS = 20_000      # about so many labelled texts at most, by a hash of the id, teach words and weights
 PENALTY, STEPS = 0.1, 600
 PRUNE = 600_000
 MEMO_ENTRIES = 300_000
@@ -186,6 +186,7 @@ def _with_beginnings(words: set[str]) -> set[str]:
 
 def _model_rows(counts: DataFrame) -> dict[str, int]:
     """Letter trigrams are bounded by the alphabet; a gram seen once in 2e8 changes no decision and is left to backing off."""
+    counts = written(counts, "letters")
     total = counts.agg(F.sum("n")).first()[0] or 0
     return {r["gram"]: r["n"] for r in counts.where(F.col("n") >= max(1, total // 200_000_000)).orderBy(F.desc("n"), "gram").limit(300_000).collect()}
 
@@ -194,13 +195,17 @@ def learn(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     """Letter model from all texts and the telling words and word beginnings from labelled texts.
 
     A feature is kept when it speaks for the label, MIN_ROWS texts hold it and its log-likelihood ratio
-    is MIN_G2 or more, counted over all labelled texts; logistic regression on about FIT_ROWS of
-    them at most weighs it. Rows without label or text teach nothing; where an id has several labels, the highest counts.
+    is MIN_G2 or more; logistic regression weighs it. Both learn from all labelled texts, or from
+    about FIT_ROWS of them chosen by a hash of the id where there are more. Rows without label or text teach nothing; where an id has several labels, the highest counts.
     """
     grams = _model_rows(letter_counts(docs, text_col))
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(
         F.max(F.col(label_col).cast("int")).alias("label"))
-    taught = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(known, "id")
+    known = written(known, "labels")
+    share = int(1_000_000 * min(1.0, FIT_ROWS / max(known.count(), 1)))
+    known = known.where(F.pmod(F.xxhash64("id", F.lit("fit")), F.lit(1_000_000)) < share)
+    # about FIT_ROWS narrow rows at most whatever the corpus, so every task may have them and no text moves
+    taught = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(known), "id")
 
     def count(batches):
         chunks = _Chunks(LetterModel(grams))
@@ -234,7 +239,6 @@ def learn(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     best = sums.where("f <> ''").select("f", g2.alias("g2")).where((F.col("g2") >= MIN_G2) & (a * (n0 + 0.5) > b * (n1 + 0.5)))
     names = [r["f"] for r in best.orderBy(F.desc("g2"), "f").limit(MAX_FEATURES).collect()]
     place = {f: k for k, f in enumerate(names)}
-    share = min(1.0, FIT_ROWS / max(n0 + n1, 1))
 
     def features(batches):
         chunks = _Chunks(LetterModel(grams))
@@ -242,7 +246,7 @@ def learn(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
             own = [sorted(place[f] for f in _with_beginnings(set.union(*_words(t, chunks))) if f in place) for t in pdf["text"]]
             yield pd.DataFrame({"label": pdf["label"], "own": own})
 
-    chosen = taught.where(F.pmod(F.xxhash64("id", F.lit("fit")), F.lit(1_000_000)) < int(share * 1_000_000)).mapInPandas(features, "label int, own array<int>")
+    chosen = taught.mapInPandas(features, "label int, own array<int>")
     weights, bias = fit([(r["label"], r["own"]) for r in chosen.collect()], len(names))
     weights = {f: float(w) for f, w in zip(names, weights)}
     return {"grams": grams, "weights": weights, "prior": bias}
