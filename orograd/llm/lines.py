@@ -9,18 +9,19 @@ import numpy as np
 import pandas as pd
 import xxhash
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import block_pairs, components, fresh, written
+from .common import block_pairs, components, forest, fresh, written
 from .shingles import WordHashes
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SIMILARITY = 0.9
 PARTS, SHARED = 5, 2     # a fingerprint has five parts; lines are compared that share two, so all within three bits
+BITS_APART = 8           # candidates further apart are no near-equal lines
 BLOCK_ROWS = 512
-STEP_WORDS = 200_000
+LANES = 255              # words counted in one byte lane before it is full
 
 
 def normal(line: str) -> str:
@@ -28,25 +29,31 @@ def normal(line: str) -> str:
     return " ".join(line.lower().split())
 
 
+# a byte's eight bits, each in a byte lane of its own
+_SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).view(np.uint64)[:, 0]
+
+
 def simhashes(words: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """64-bit SimHash of each line from its word hashes; a line without words has 0."""
+    """64-bit SimHash of each line from its word hashes; a line without words has 0.
+
+    Eight bits are counted at once in the byte lanes of one number, over stretches of at most 255 words.
+    """
     out = np.zeros(len(lengths), dtype=np.uint64)
-    starts = np.cumsum(lengths) - lengths
     full = np.flatnonzero(lengths)
-    lo = 0
-    while lo < len(full):  # some lines at a time: a word takes 64 bytes here
-        hi = lo + 1
-        while hi < len(full) and starts[full[hi]] + lengths[full[hi]] - starts[full[lo]] <= STEP_WORDS:
-            hi += 1
-        part = full[lo:hi]
-        a = starts[part[0]]
-        own = words[a:starts[part[-1]] + lengths[part[-1]]]
-        ones = np.zeros((len(part), 64), dtype=np.int32)
-        for k in range(0, len(own), STEP_WORDS):  # a very long line is alone in its part
-            bits = np.unpackbits(own[k:k + STEP_WORDS].view(np.uint8).reshape(-1, 8), axis=1)
-            ones += np.add.reduceat(bits, starts[part] - a, axis=0, dtype=np.int32) if hi - lo > 1 else bits.sum(axis=0, dtype=np.int32)
-        out[part] = np.packbits(2 * ones > lengths[part][:, None], axis=1).view(np.uint64)[:, 0]
-        lo = hi
+    if not len(full):
+        return out
+    n = lengths[full]
+    stretches = -(-n // LANES)
+    first = np.cumsum(n) - n
+    at = np.arange(stretches.sum()) - np.repeat(np.cumsum(stretches) - stretches, stretches)
+    starts = np.repeat(first, stretches) + at * LANES
+    owner = np.cumsum(stretches) - stretches
+    octets = np.ascontiguousarray(words).view(np.uint8).reshape(-1, 8)
+    ones = np.empty((len(full), 64), dtype=np.int64)
+    for k in range(8):
+        lanes = np.add.reduceat(_SPREAD[octets[:, k]], starts).view(np.uint8).reshape(-1, 8)
+        ones[:, 8 * k:8 * k + 8] = lanes if len(starts) == len(full) else np.add.reduceat(lanes, owner, axis=0, dtype=np.int64)
+    out[full] = np.packbits(2 * ones > n[:, None], axis=1).view(np.uint64)[:, 0]
     return out
 
 
@@ -63,6 +70,19 @@ def keys_of(simhash: np.ndarray) -> np.ndarray:
     return np.stack(keys, axis=1).view(np.int64)
 
 
+def key_columns(simhash: str) -> Column:
+    """The same choices as `keys_of`, as an array for Spark; only equality matters."""
+    edges = [int(x) for x in np.linspace(0, 64, PARTS + 1)]
+    parts = [F.shiftrightunsigned(simhash, a).bitwiseAND(F.lit((1 << (b - a)) - 1)) for a, b in itertools.pairwise(edges)]
+    keys = []
+    for k, chosen in enumerate(itertools.combinations(range(PARTS), SHARED)):
+        key = F.lit(k).cast("long")
+        for c in chosen:
+            key = F.shiftleft(key, 64 // PARTS + 1).bitwiseOR(parts[c])
+        keys.append(key)
+    return F.array(*keys)
+
+
 def distance_within(a: str, b: str, most: int) -> bool:
     """Whether the edit distance is at most `most`: bit-parallel columns over what differs between common ends."""
     if abs(len(a) - len(b)) > most:
@@ -140,27 +160,36 @@ def line_table(docs: DataFrame, *, id_col: str, text_col: str) -> DataFrame:
     return rows.mapInPandas(scan, f"id {kind}, line int, h long, simhash long, times int")
 
 
-def line_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = SIMILARITY) -> DataFrame:
-    """(id, line, times, group_id, kept): each document's distinct lines, their group, whether the line is its group's one.
+def line_groups(lines: DataFrame, docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = SIMILARITY) -> DataFrame:
+    """(id, line, times, h, group_id, kept) of the lines that occur again or resemble another; `lines` from `line_table`.
 
     Lines equal after normalising are one node. Nodes whose SimHash shares two of five parts, which
-    all within three bits do, are compared; those of edit similarity `threshold` or more are
-    linked. The kept line of a connected group is the first line, by id and then by place, of the group.
+    all within three bits do, and differs in eight bits at most are candidates; candidates of edit
+    similarity `threshold` or more are linked. The kept line of a connected group is the first, by id and then by place.
+    Buckets and groups of any size are compared block by block.
     """
-    lines = written(line_table(docs, id_col=id_col, text_col=text_col), "lines")
-    nodes = written(lines.groupBy("h", "simhash").agg(F.min("id").alias("witness")), "line-nodes")
-
-    def keyed(batches):
-        for pdf in batches:
-            keys = keys_of(pdf["simhash"].to_numpy().view(np.uint64))
-            yield pd.DataFrame({"id": np.repeat(pdf["h"].to_numpy(), keys.shape[1]), "key": keys.ravel()})
-
-    keys = nodes.where("simhash <> 0").select("h", "simhash").mapInPandas(keyed, "id long, key long")
-    met = written(keys.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count("*").alias("k")).where("k > 1"), "line-keys")
-    pairs = met.select(F.col("high").alias("a"), F.col("low").alias("b"))
-    if met.where("k > 2").limit(1).count():
-        more = keys.join(met.where("k > 2").select("key", "low"), "key").where("id <> low")
-        pairs = pairs.unionByName(more.select(F.col("id").alias("a"), F.col("low").alias("b")))
+    nodes = written(lines.groupBy("h", "simhash").agg(F.min("id").alias("witness"), F.min_by("line", "id").alias("place"), F.count("*").alias("k")), "line-nodes")
+    keys = nodes.where("simhash <> 0").select(F.col("h").alias("id"), "simhash", F.explode(key_columns("simhash")).alias("key"))
+    met = keys.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.min("simhash").alias("s"), F.max("simhash").alias("t"), F.count("*").alias("k"))
+    met = written(met.where("k > 1"), "line-keys")
+    near_two = F.bit_count(F.col("s").bitwiseXOR(F.col("t"))) <= BITS_APART  # of two lines it does not matter which is which
+    pairs = met.where((F.col("k") == 2) & near_two).select(F.col("high").alias("a"), F.col("low").alias("b"))
+
+    def close(pdf):
+        same = pdf["block_a"].iloc[0] == pdf["block_b"].iloc[0]
+        a = pdf[pdf["block"] == pdf["block_a"].iloc[0]]
+        b = a if same else pdf[pdf["block"] == pdf["block_b"].iloc[0]]
+        apart = np.bitwise_count(a["simhash"].to_numpy().view(np.uint64)[:, None] ^ b["simhash"].to_numpy().view(np.uint64)[None, :])
+        near = apart <= BITS_APART
+        i, j = np.nonzero(np.triu(near, 1) if same else near)
+        ids = a["id"].to_numpy() if same else np.concatenate([a["id"].to_numpy(), b["id"].to_numpy()])
+        low = forest(i, j if same else j + len(a), ids)
+        own = low != ids
+        return pd.DataFrame({"a": ids[own], "b": low[own]})
+
+    crowded = keys.join(met.where("k > 2").select("key"), "key")
+    forests = block_pairs(crowded, "key", F.col("id"), BLOCK_ROWS).select("key", "block", "block_a", "block_b", "id", "simhash")
+    pairs = pairs.unionByName(forests.groupBy("key", "block_a", "block_b").applyInPandas(close, "a long, b long"))
     near = components(pairs, "line-candidates")
     members = near.join(nodes, near["id"] == nodes["h"]).select(F.col("id").alias("h"), "component_id", "witness", "simhash")
     dealt = written(block_pairs(members, "component_id", F.col("h"), BLOCK_ROWS), "line-blocks")
@@ -214,27 +243,28 @@ def line_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
 
     linked = ready.groupBy("component_id", "block_a", "block_b").applyInPandas(verify, "a long, b long")
     groups = components(written(linked, "line-links"), "line-classes")
-    grouped = lines.join(groups.withColumnRenamed("id", "h"), "h", "left").withColumn("group_id", F.coalesce("component_id", "h"))
-    # the first line of a group by id, then by place; two narrow aggregates, both combined before the shuffle
-    first = grouped.groupBy("group_id").agg(F.min("id").alias("first_id"), F.sum("times").alias("k"))
-    alone = grouped.join(first.where("k > 1"), "group_id", "left")
-    tied = alone.where(F.col("id").eqNullSafe(F.col("first_id")) & F.col("k").isNotNull()).groupBy("group_id").agg(F.min("line").alias("first_line"))
-    out = alone.join(tied, "group_id", "left")
-    kept = F.col("k").isNull() | (F.col("id").eqNullSafe(F.col("first_id")) & (F.col("line") == F.col("first_line")))
-    return out.select("id", "line", "times", "h", "group_id", F.coalesce(kept, F.lit(False)).alias("kept"))
+    some = nodes.select("h", "witness", "place", "k").join(groups.withColumnRenamed("id", "h"), "h", "left").where("k > 1 or component_id is not null")
+    some = written(some.select("h", "component_id", "witness", "place"), "line-repeats")
+    first = some.where("component_id is not null").groupBy("component_id").agg(F.min(F.struct("witness", "place")).alias("first"))
+    fuzzy = some.join(first, "component_id").select("h", F.col("component_id").alias("group_id"), F.col("first.witness").alias("first_id"), F.col("first.place").alias("first_line"))
+    equal = some.where("component_id is null").select("h", F.col("h").alias("group_id"), F.col("witness").alias("first_id"), F.col("place").alias("first_line"))
+    kept = F.col("id").eqNullSafe(F.col("first_id")) & (F.col("line") == F.col("first_line"))
+    return lines.drop("simhash").join(fuzzy.unionByName(equal), "h").select("id", "line", "times", "h", "group_id", kept.alias("kept"))
 
 
 def line_report(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = SIMILARITY) -> DataFrame:
     """One row per document that has a line: (id, n_lines, n_kept, dropped): numbers of its lines that are dropped.
 
-    `dropped` has the place, from 0, of each line's first occurrence; a line repeated within a document stands
-    for its repeats, of which at most the first is kept. Rows of one id count as one document. NULL
+    `dropped` has the place, from 0, of each dropped line's first occurrence; a line repeated within a document
+    stands for its repeats, of which at most the first is kept. Rows of one id count as one document. NULL
     and blank texts have no lines.
     """
-    g = line_groups(docs, id_col=id_col, text_col=text_col, threshold=threshold)
-    out = g.groupBy("id").agg(F.sum("times").alias("n_lines"), F.sum(F.col("kept").cast("long")).alias("n_kept"),
-                              F.sort_array(F.collect_list(F.when(~F.col("kept"), F.col("line")))).alias("dropped"))
-    return out.withColumnRenamed("id", id_col)
+    lines = written(line_table(docs, id_col=id_col, text_col=text_col), "lines")
+    g = line_groups(lines, docs, id_col=id_col, text_col=text_col, threshold=threshold)
+    gone = g.where(~F.col("kept")).groupBy(F.col("id").alias("of")).agg(F.sort_array(F.collect_list("line")).alias("dropped"))
+    per = lines.groupBy("id").agg(F.sum("times").alias("n_lines"), F.count("*").alias("distinct_lines"))
+    out = per.join(gone, F.col("id").eqNullSafe(F.col("of")), "left").withColumn("dropped", F.coalesce("dropped", F.array().cast("array<int>")))
+    return out.select(F.col("id").alias(id_col), "n_lines", (F.col("distinct_lines") - F.size("dropped")).alias("n_kept"), "dropped")
 
 
 def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = SIMILARITY) -> DataFrame:
@@ -242,7 +272,8 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
 
     Of a repeated line only the first is kept. A NULL text stays NULL, a text may become empty.
     """
-    g = line_groups(docs, id_col=id_col, text_col=text_col, threshold=threshold)
+    lines = written(line_table(docs, id_col=id_col, text_col=text_col), "lines")
+    g = line_groups(lines, docs, id_col=id_col, text_col=text_col, threshold=threshold)
     key, gone = fresh(docs, "gone_id"), fresh(docs, "gone_lines")
     lost = g.where(~F.col("kept")).select("id", "h").distinct().groupBy(F.col("id").alias(key)).agg(F.collect_list("h").alias(gone))
 
