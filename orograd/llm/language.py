@@ -49,21 +49,17 @@ def _shared(name: str, make):
 def trigrams(text: str, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct trigram numbers of the whole text and their counts; other characters are one gap between words."""
     found: dict[int, int] = {}
-    tail = ""
+    before = np.zeros(1, dtype=np.int64)  # codes that the next part goes on from; a text begins with a gap
     parts = []
-    for lo in range(0, max(len(text), 1), PART):
-        piece = (tail + text[lo:lo + PART]).lower()
-        codes = table[np.frombuffer(piece.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)].astype(np.int64)
-        if not len(codes):
-            continue
-        codes = codes[(codes > 0) | np.concatenate([[True], codes[:-1] > 0])]
-        if lo == 0 and codes[0]:
-            codes = np.concatenate([[0], codes])
-        if lo + PART >= len(text) and codes[-1]:
+    for lo in range(0, len(text), PART):
+        codes = table[np.frombuffer(text[lo:lo + PART].lower().encode("utf-32-le", "surrogatepass"), dtype=np.uint32)].astype(np.int64)
+        if lo + PART >= len(text):
             codes = np.concatenate([codes, [0]])
-        tail = text[lo + PART - 2:lo + PART] if lo + PART < len(text) else ""
-        grams = (codes[:-2] << 20) | (codes[1:-1] << 10) | codes[2:]
-        parts.append(np.unique(grams, return_counts=True))
+        codes = np.concatenate([before, codes])
+        codes = codes[np.concatenate([[True], (codes[1:] > 0) | (codes[:-1] > 0)])]
+        before = codes[-2:]
+        if len(codes) > 2:
+            parts.append(np.unique((codes[:-2] << 20) | (codes[1:-1] << 10) | codes[2:], return_counts=True))
     if len(parts) == 1:
         return parts[0]
     for g, n in parts:

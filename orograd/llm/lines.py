@@ -21,6 +21,9 @@ SIMILARITY = 0.9
 PARTS, SHARED = 5, 2     # a fingerprint has five parts; lines are compared that share two, so all within three bits
 BITS_APART = 8           # candidates further apart are no near-equal lines
 BLOCK_ROWS = 512
+CROWD = 64               # lines of a bucket that Spark joins; larger buckets are compared block by block
+BATCH_ROWS = 2048        # lines that small groups bring together in one call
+GRAMS = 128              # buckets of letter pairs, whose counts bound the edit distance from below
 LANES = 255              # words counted in one byte lane before it is full
 
 
@@ -34,7 +37,7 @@ _SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).view(np
 
 
 def simhashes(words: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """64-bit SimHash of each line from its word hashes; a line without words has 0.
+    """64-bit SimHash of each line from the hashes of its distinct words; a line without words has 0.
 
     Eight bits are counted at once in the byte lanes of one number, over stretches of at most 255 words.
     """
@@ -127,6 +130,43 @@ def similar(a: str, b: str, threshold: float) -> bool:
     return distance_within(a, b, int((1 - threshold) * longest + 1e-9))
 
 
+def _gram_counts(texts) -> np.ndarray:
+    """Counts of letter pairs in buckets; an edit changes two at most, so differences bound the distance from below."""
+    out = np.zeros((len(texts), GRAMS), dtype=np.int16)
+    for k, t in enumerate(texts):
+        c = np.frombuffer(t.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        if len(c) > 1:
+            out[k] = np.minimum(np.bincount((c[:-1] * 31 + c[1:]) & (GRAMS - 1), minlength=GRAMS), 32_000)
+    return out
+
+
+def _linked(h, sims, texts, a, b, threshold: float) -> dict[int, int]:
+    """h -> smallest h of its tree, over similar candidates among rows `a` and `b`; lines already connected are not compared."""
+    apart = np.bitwise_count(sims[a][:, None] ^ sims[b][None, :]) <= BITS_APART
+    i, j = np.nonzero(np.triu(apart, 1) if a is b else apart)
+    x, y = keys_of(sims[a]), keys_of(sims[b])
+    counts_a, counts_b = _gram_counts(texts[a]), _gram_counts(texts[b])
+    length_a, length_b = np.array([len(t) for t in texts[a]]), np.array([len(t) for t in texts[b]])
+    root: dict[int, int] = {}
+
+    def top(v):
+        while v in root:
+            v = root[v]
+        return v
+
+    for lo in range(0, len(i), 20_000):
+        p, q = i[lo:lo + 20_000], j[lo:lo + 20_000]
+        most = ((1 - threshold) * np.maximum(length_a[p], length_b[q]) + 1e-9).astype(np.int64)
+        d = counts_a[p].astype(np.int32) - counts_b[q]
+        least = np.maximum(np.maximum(d, 0).sum(axis=1), np.maximum(-d, 0).sum(axis=1))
+        ok = (x[p] == y[q]).any(axis=1) & (least <= 2 * most) & (abs(length_a[p] - length_b[q]) <= most)
+        for r, s in zip(p[ok].tolist(), q[ok].tolist()):
+            u, v = top(int(h[a[r]])), top(int(h[b[s]]))
+            if u != v and similar(texts[a[r]], texts[b[s]], threshold):
+                root[max(u, v)] = min(u, v)
+    return {v: top(v) for v in root}
+
+
 def line_table(docs: DataFrame, *, id_col: str, text_col: str) -> DataFrame:
     """(id, line, h, simhash) of the first occurrence in its document of every line that is not blank, and how often it is there."""
     kind = docs.schema[id_col].dataType.simpleString()
@@ -138,14 +178,15 @@ def line_table(docs: DataFrame, *, id_col: str, text_col: str) -> DataFrame:
             for key, text in zip(pdf["id"].array, pdf["text"].array):
                 seen: dict[str, int] = {}
                 for k, line in enumerate(text.split("\n")):
-                    line = normal(line)
-                    if not line:
+                    parts = line.lower().split()
+                    if not parts:
                         continue
+                    line = " ".join(parts)
                     if line in seen:
                         times[seen[line]] += 1
                         continue
                     seen[line] = len(ids)
-                    w = b"".join(map(chunks.__getitem__, line.split()))
+                    w = b"".join(map(chunks.__getitem__, set(parts)))  # distinct: else a few common words decide
                     ids.append(key)
                     at.append(k)
                     times.append(1)
@@ -164,7 +205,8 @@ def line_groups(lines: DataFrame, docs: DataFrame, *, id_col: str = "doc_id", te
     """(id, line, times, h, group_id, kept) of the lines that occur again or resemble another; `lines` from `line_table`.
 
     Lines equal after normalising are one node. Nodes whose SimHash shares two of five parts, which
-    all within three bits do, and differs in eight bits at most are candidates; candidates of edit
+    all within three bits surely do, and differs in eight bits at most are candidates (two lines of fifty words of
+    which one was exchanged are found in about two of three cases, one whole group of such lines nearly always); candidates of edit
     similarity `threshold` or more are linked. The kept line of a connected group is the first, by id and then by place.
     Buckets and groups of any size are compared block by block.
     """
@@ -179,16 +221,20 @@ def line_groups(lines: DataFrame, docs: DataFrame, *, id_col: str = "doc_id", te
         same = pdf["block_a"].iloc[0] == pdf["block_b"].iloc[0]
         a = pdf[pdf["block"] == pdf["block_a"].iloc[0]]
         b = a if same else pdf[pdf["block"] == pdf["block_b"].iloc[0]]
-        apart = np.bitwise_count(a["simhash"].to_numpy().view(np.uint64)[:, None] ^ b["simhash"].to_numpy().view(np.uint64)[None, :])
-        near = apart <= BITS_APART
+        x, y = (np.ascontiguousarray(p["simhash"].to_numpy()).view(np.uint64) for p in (a, b))
+        near = np.bitwise_count(x[:, None] ^ y[None, :]) <= BITS_APART
         i, j = np.nonzero(np.triu(near, 1) if same else near)
         ids = a["id"].to_numpy() if same else np.concatenate([a["id"].to_numpy(), b["id"].to_numpy()])
         low = forest(i, j if same else j + len(a), ids)
         own = low != ids
         return pd.DataFrame({"a": ids[own], "b": low[own]})
 
-    crowded = keys.join(met.where("k > 2").select("key"), "key")
-    forests = block_pairs(crowded, "key", F.col("id"), BLOCK_ROWS).select("key", "block", "block_a", "block_b", "id", "simhash")
+    more = written(keys.join(met.where("k > 2").select("key", "k"), "key").select("key", "k", "id", "simhash"), "line-buckets")
+    few = more.where(F.col("k") <= CROWD).select("key", "id", "simhash")
+    other = few.select(F.col("key").alias("key2"), F.col("id").alias("id2"), F.col("simhash").alias("simhash2"))
+    joined = few.join(other, (F.col("key") == F.col("key2")) & (F.col("id") < F.col("id2")) & (F.bit_count(F.col("simhash").bitwiseXOR(F.col("simhash2"))) <= BITS_APART))
+    pairs = pairs.unionByName(joined.select(F.col("id2").alias("a"), F.col("id").alias("b")))
+    forests = block_pairs(more.where(F.col("k") > CROWD).drop("k"), "key", F.col("id"), BLOCK_ROWS).select("key", "block", "block_a", "block_b", "id", "simhash")
     pairs = pairs.unionByName(forests.groupBy("key", "block_a", "block_b").applyInPandas(close, "a long, b long"))
     near = components(pairs, "line-candidates")
     members = near.join(nodes, near["id"] == nodes["h"]).select(F.col("id").alias("h"), "component_id", "witness", "simhash")
@@ -214,34 +260,28 @@ def line_groups(lines: DataFrame, docs: DataFrame, *, id_col: str = "doc_id", te
     spoken = found.mapInPandas(fetch, "h long, s string")
     ready = dealt.join(spoken, "h").select("component_id", "block", "block_a", "block_b", "h", "simhash", "s")
 
-    def verify(pdf):
-        pdf = pdf.drop_duplicates(["block", "h"])
-        same = pdf["block_a"].iloc[0] == pdf["block_b"].iloc[0]
-        a = pdf[pdf["block"] == pdf["block_a"].iloc[0]]
-        b = a if same else pdf[pdf["block"] == pdf["block_b"].iloc[0]]
-        if not len(a) or not len(b):
-            return pd.DataFrame({"a": [], "b": []})
-        x, y = (keys_of(p["simhash"].to_numpy().view(np.uint64)) for p in (a, b))
-        share = np.zeros((len(a), len(b)), dtype=bool)
-        for k in range(x.shape[1]):
-            share |= x[:, k][:, None] == y[:, k][None, :]
-        i, j = np.nonzero(np.triu(share, 1) if same else share)
-        sa, sb = a["s"].to_list(), b["s"].to_list()
-        ha, hb = a["h"].to_list(), b["h"].to_list()
-        root: dict[int, int] = {}
-
-        def top(v):
-            while v in root:
-                v = root[v]
-            return v
-
-        for p, q in zip(i.tolist(), j.tolist()):  # lines already connected need no comparing
-            u, v = top(ha[p]), top(hb[q])
-            if u != v and similar(sa[p], sb[q], threshold):
-                root[max(u, v)] = min(u, v)
-        return pd.DataFrame({"a": list(root), "b": [top(v) for v in root]})
-
-    linked = ready.groupBy("component_id", "block_a", "block_b").applyInPandas(verify, "a long, b long")
+    def verify_all(pdf):
+        """Many small groups, or one pair of blocks, at a time."""
+        pdf = pdf.sort_values(["component_id", "block_a", "block_b"], kind="stable").drop_duplicates(["component_id", "block_a", "block_b", "block", "h"])
+        marks = pdf[["component_id", "block_a", "block_b"]].to_numpy()
+        ends = np.flatnonzero((marks[1:] != marks[:-1]).any(axis=1)) + 1 if len(pdf) else np.zeros(0, dtype=np.int64)
+        block, block_a, h, sims = (np.ascontiguousarray(pdf[k].to_numpy()) for k in ("block", "block_a", "h", "simhash"))
+        block_b, texts = pdf["block_b"].to_numpy(), pdf["s"].to_numpy()
+        out: dict[int, list[int]] = {"a": [], "b": []}
+        for lo, hi in zip([0, *ends], [*ends, len(pdf)]):
+            rows = np.arange(lo, hi)
+            same = block_a[lo:lo + 1] == block_b[lo:lo + 1]
+            a = rows[block[lo:hi] == block_a[lo]] if len(rows) else rows
+            b = a if same.all() else rows[block[lo:hi] == block_b[lo]]
+            if len(a) and len(b):
+                roots = _linked(h, sims.view(np.uint64), texts, a, b, threshold)
+                out["a"] += roots.keys()
+                out["b"] += roots.values()
+        return pd.DataFrame({k: pd.Series(v, dtype="int64") for k, v in out.items()})
+
+    # small groups share calls; a pair of blocks is a group of its own whatever its size
+    batches = max(1, -(-dealt.count() // BATCH_ROWS))
+    linked = ready.withColumn("batch", F.pmod(F.xxhash64("component_id", "block_a", "block_b"), F.lit(batches))).groupBy("batch").applyInPandas(verify_all, "a long, b long")
     groups = components(written(linked, "line-links"), "line-classes")
     some = nodes.select("h", "witness", "place", "k").join(groups.withColumnRenamed("id", "h"), "h", "left").where("k > 1 or component_id is not null")
     some = written(some.select("h", "component_id", "witness", "place"), "line-repeats")

@@ -14,6 +14,8 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import fresh
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 ROUNDS = 8
@@ -219,7 +221,7 @@ def pseudonymise(docs: DataFrame, key: bytes, *, id_col: str = "doc_id", text_co
     """Add `found` to the documents, all columns kept, and exchange personal data in the text.
 
     `found` is a map from kind (email, card, iban, ssn, ip, date, phone) to the number of values exchanged.
-    Numbers that fail their check stay as they are. The key decides all pseudonyms, so a value has
+    An older column `found` gives way. Numbers that fail their check stay as they are. The key decides all pseudonyms, so a value has
     the same one in every document and every run. A NULL text stays NULL with nothing found.
     """
     def run(texts: pd.Series) -> pd.DataFrame:
@@ -245,6 +247,7 @@ def pseudonymise(docs: DataFrame, key: bytes, *, id_col: str = "doc_id", text_co
         return pd.DataFrame({"text": pd.Series(out, dtype=object), "found": pd.Series(found, dtype=object)})
 
     swapped = F.pandas_udf(run, "text string, found map<string,int>")(F.col(text_col).cast("string"))
-    rest = [c for c in docs.columns if c != text_col]
-    made = docs.select(*rest, swapped.alias("swapped"))
-    return made.select(*[F.col("swapped.text").alias(text_col) if c == text_col else F.col(c) for c in docs.columns], F.col("swapped.found").alias("found"))
+    name = fresh(docs, "swapped")
+    made = docs.withColumn(name, swapped)
+    return made.select(*[F.col(name)["text"].alias(text_col) if c == text_col else F.col(c) for c in docs.columns if c != "found"],
+                       F.col(name)["found"].alias("found"))

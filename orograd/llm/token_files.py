@@ -87,7 +87,7 @@ def token_counts(blocks: DataFrame, *, end_id: int = END_OF_TEXT, dtype: str = "
 
     found = written(blocks.where("ids is not null").select("file", "block", "ids").mapInPandas(
         search, "file long, block long, length long, ends array<long>"), "ends")
-    sums = found.select("file", "block", "length", F.size("ends").cast("long").alias("n"), F.expr("ends[size(ends) - 1]").alias("last"),
+    sums = found.select("file", "block", "length", F.size("ends").cast("long").alias("n"), F.get("ends", F.size("ends") - 1).alias("last"),
                         F.expr(f"block div {SPAN}").alias("span"))
     inside = Window.partitionBy("file", "span").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.withColumn("at", F.coalesce(F.sum("length").over(inside), F.lit(0)))
