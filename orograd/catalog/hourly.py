@@ -408,10 +408,19 @@ def _(spark, d):
 
 
 @query("st_daily_hdd", f"""SELECT CAST(ts AS DATE) AS date, zip_code, avg({TF}) AS mean_temp_f, sum(greatest(0, 65 - {TF}) / 24) AS daily_hdd, count(*) AS num_hours FROM raw_hours
-    WHERE CAST(ts AS DATE) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 2 HOUR FROM raw_hours) GROUP BY 1, 2""", use="raw_hours", doubles="mean_temp_f daily_hdd")
+    GROUP BY 1, 2""", use="raw_hours", doubles="mean_temp_f daily_hdd")
 def _(spark, d):
-    # append mode: a day appears once the watermark has passed its end
-    return _drained(cycles.daily_hdd_stream(_stream(spark, d)), "days")[0]
+    # running totals: the open day is there too
+    out = scratch_folder(spark, "days")
+    cycles.write_days(cycles.daily_hdd_stream(_stream(spark, d)), f"{out}/data", f"{out}/state", once=True).awaitTermination()
+    return cycles.latest_days(spark, f"{out}/data")
+
+
+@query("static_features", "SELECT * FROM zt", use="zt", doubles="hdd_terrain_mult hdd_elev_addition hdd_uhi_reduction hdd_traffic_reduction")
+def _(spark, d):
+    out = scratch_folder(spark, "static")
+    cycles.build_static(v.terrain(spark, d), out)
+    return cycles.load_static(spark, out).select("zip_code", "hdd_terrain_mult", "hdd_elev_addition", "hdd_uhi_reduction", "hdd_traffic_reduction")
 
 
 @query("st_validate", _findings(("warning", "unusual temperature", "rcube", "temp_adjusted_f < -80 OR temp_adjusted_f > 120")), use="rcube")
@@ -419,9 +428,10 @@ def _(spark, d):
     return cycles.validate_stream(_drained(cycles.cycle_cube_stream(_stream(spark, d), v.terrain(spark, d)), "checked")[0])
 
 
-@query("st_status")
+@query("st_status", """SELECT ts AS hour, count(*) AS num_rows, count(DISTINCT zip_code) AS num_places, CAST(date_diff('hour', ts, (SELECT max(ts) FROM raw_hours)) AS INTEGER) AS hours_behind
+    FROM (SELECT DISTINCT ts, zip_code FROM raw_hours) GROUP BY ts""", use="raw_hours")
 def _(spark, d):
-    return cycles.stream_status(_drained(cycles.dedup_cycles(_stream(spark, d)), "status")[1])
+    return cycles.cycle_status(_drained(cycles.dedup_cycles(_stream(spark, d)), "status")[0].select("ts", "zip_code"))
 
 
 @query("retention_split", "SELECT event_id, ts, ts < (SELECT max(ts) FROM raw_hours) - INTERVAL 48 HOUR AS archive FROM raw_hours", use="raw_hours")

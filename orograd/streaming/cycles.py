@@ -9,7 +9,7 @@ from pyspark.sql.types import StructType
 
 from ..functions.cols import kelvin_to_f
 from ..functions.degree_days import hourly_hdd
-from ..operators.cubes import hourly_cube
+from ..operators.cubes import hourly_cube, zip_terrain
 from ..operators.quality import findings
 from ..session import checkpoint
 from ..functions.cols import c
@@ -44,6 +44,43 @@ def daily_hdd_stream(stream: DataFrame, *, lookback: str = LOOKBACK) -> DataFram
                     "num_hours"))
 
 
+def write_days(days: DataFrame, path: str, checkpoint: str, *, once: bool = False) -> StreamingQuery:
+    """Write the running totals of `daily_hdd_stream`, the open day's too, one folder per batch.
+
+    A repeated batch replaces its own folder; `latest_days` reads the newest total of each day and ZIP.
+    """
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        (batch.withColumn("batch", F.lit(batch_id)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path))
+
+    w = days.writeStream.outputMode("update").foreachBatch(sink).option("checkpointLocation", checkpoint)
+    return (w.trigger(availableNow=True) if once else w.trigger(processingTime=f"{POLL_SECONDS} seconds")).start()
+
+
+def latest_days(spark: SparkSession, path: str) -> DataFrame:
+    """Newest total of each day and ZIP among the batches written."""
+    rows = spark.read.schema("date date, zip_code string, mean_temp_f double, daily_hdd double, num_hours long, batch long").parquet(path)
+    return rows.groupBy("date", "zip_code").agg(*[F.max_by(k, "batch").alias(k) for k in ("mean_temp_f", "daily_hdd", "num_hours")])
+
+
+def build_static(terrain: DataFrame, path: str) -> None:
+    """Write the static feature table: one row per ZIP with what every cycle needs of the normals."""
+    zip_terrain(terrain).write.mode("overwrite").parquet(path)
+
+
+def load_static(spark: SparkSession, path: str) -> DataFrame:
+    """The written feature table. A micro-batch joins this file and does not derive the normals again."""
+    return spark.read.parquet(path)
+
+
+def cycle_status(cycles: DataFrame, *, ts: str = "ts", keys: tuple[str, ...] = ("zip_code",)) -> DataFrame:
+    """What a cycle table holds: per hour its rows and places, and how many hours it lies behind the newest."""
+    hour = F.date_trunc("hour", F.col(ts))
+    newest = F.date_trunc("hour", cycles.agg(F.max(ts)).scalar())
+    out = cycles.groupBy(hour.alias("hour")).agg(F.count(F.lit(1)).alias("num_rows"), F.count_distinct(*keys).alias("num_places"))
+    return out.withColumn("hours_behind", ((F.unix_timestamp(newest) - F.unix_timestamp("hour")) / 3600).cast("int"))
+
+
 def validate_stream(cube: DataFrame) -> DataFrame:
     """Rules of one written cycle."""
     need = ["datetime_utc", "zip_code", "altitude_ft", "temp_adjusted_f", "wind_speed_kt", "turbulence_flag"]
@@ -92,7 +129,7 @@ def rotate(cube: DataFrame, archive_path: str, *, ts: str = "datetime_utc", hour
 
 
 def stream_status(query: StreamingQuery) -> DataFrame:
-    """Progress of the recent batches of a query, one row per batch."""
+    """Progress of the batches that the engine still remembers; `cycle_status` reads the written table instead."""
     rows = [(int(p.batchId), str(p.timestamp), int(p.numInputRows), float(p.durationMs.get("triggerExecution", 0)))
             for p in query.recentProgress]
     return SparkSession.active().createDataFrame(
