@@ -27,7 +27,7 @@ def test_obfuscated_words_are_restored(spark):
     rows, labels = corpus()
     plain = rows[1][1]
     odd = {9001: "1d10t", 9002: "m0r0n", 9003: "stuuupid", 9004: "w0rthle$$", 9005: "s c u m", 9006: "i.d.i.o.t", 9007: "$tup!d", 9008: "M-O-R-O-N"}
-    rows += [(k, f"{plain} {w} {plain} scum") for k, w in odd.items()]  # beside one plain word, as toxic texts here hold two
+    rows += [(k, f"{plain} {w} {plain} {'stupid' if k == 9005 else 'scum'}") for k, w in odd.items()]  # beside one plain word, as toxic texts here hold two
     rows += [(9099, f"{plain} scum"), (9100, f"{plain} 100% a b 3rd v1.2 c3po x-ray {plain}"), (9101, None), (9102, ""), (9103, plain * 2000 + " moron scum"), (9104, "!!! 123"), (None, plain), (1, plain)]
     df = spark.createDataFrame([(k, t, 0, "x") for k, t in rows], SCHEMA)
     lab = spark.createDataFrame([*labels, (3, None), (None, 1), (77777, 1)], "doc_id long, toxic int")
