@@ -276,13 +276,19 @@ cte("nstack", """SELECT i.id, CAST(floor((100.0 * (i.col + 0.5) - minx) / 200) A
     FROM inside i JOIN nbox b USING (id) JOIN nsteer s ON s.row = i.row AND s.col = i.col JOIN nterrain t ON t.row = i.row AND t.col = i.col""", "inside", "nbox", "nsteer", "nterrain")
 cte("nzonal", "SELECT id, ix, iy, avg(base) AS base, avg(mult) AS mult, avg(elev_add) AS elev_add, avg(uhi) AS uhi, avg(road_f) AS road_f, count(base) AS n FROM nstack GROUP BY id, ix, iy", "nstack")
 cte("ncells", """SELECT CAST(a.id AS VARCHAR) AS zip_code, 'cell_' || lpad(CAST(row_number() OVER (PARTITION BY a.id ORDER BY a.iy, a.ix) AS VARCHAR), 3, '0') AS cell_id, cell_area_sqm,
-    base * mult + coalesce(elev_add, 0) - coalesce(uhi * 180, 0) - coalesce(road_f * 180, 0) AS effective_hdd, coalesce(n, 0) AS num_valid_pixels
+    base * mult + elev_add - coalesce(uhi * 180, 0) - coalesce(road_f * 180, 0) AS effective_hdd, coalesce(n, 0) AS num_valid_pixels
     FROM cell_area a LEFT JOIN nzonal z ON z.id = a.id AND z.ix = a.ix AND z.iy = a.iy""", "cell_area", "nzonal")
 
 
 @query("normals_run", """SELECT zip_code, cell_id, cell_area_sqm, effective_hdd, num_valid_pixels FROM ncells UNION ALL
     SELECT zip_code, 'aggregate', NULL, avg(effective_hdd), sum(num_valid_pixels)::BIGINT FROM ncells GROUP BY zip_code""", use="ncells", doubles="cell_area_sqm effective_hdd", digits=3)
 def _(spark, d):
+    stack, grid, zips = normals_inputs(spark, d)
+    out = runs.normals_run(stack, grid, zips, region_code="R1", base_station="KPDX", cell_size_m=200.0)
+    return out.select("zip_code", "cell_id", "cell_area_sqm", "effective_hdd", "num_valid_pixels")
+
+
+def normals_inputs(spark, d):
     from .rasters import obs
     from ..operators import stations
     px = v.pixels(spark, d)
@@ -297,9 +303,24 @@ def _(spark, d):
         impervious=tables.impervious_ingest(band(F.col("imperv_raw"))), base_hdd=band(F.col("p_size") * 100.0),
         wind=band(F.col("p_size") / 10.0), roads=tables.road_heat_flux(v.roads(spark, d)),
         station_wind=stations.station_wind(obs(spark, d), with_p90=False), station_elevation_ft=30.0, base_station="KPDX", tile=64)
-    zips = v.polygons(spark, d).withColumn("id", F.col("id").cast("string"))
-    out = runs.normals_run(stack, grid, zips, region_code="R1", base_station="KPDX", cell_size_m=200.0)
-    return out.select("zip_code", "cell_id", "cell_area_sqm", "effective_hdd", "num_valid_pixels")
+    return stack, grid, v.polygons(spark, d).withColumn("id", F.col("id").cast("string"))
+
+
+# polygons named after ZIPs of the hourly table; the normals' aggregate rows carry the terrain of the later runs
+cte("cnorm", """SELECT CAST(97000 + CAST(zip_code AS BIGINT) AS VARCHAR) AS zip_code, avg(mult) AS mult, avg(elev_add) AS elev_add, avg(coalesce(uhi * 180, 0)) AS uhi, avg(coalesce(road_f * 180, 0)) AS road
+    FROM (SELECT CAST(a.id AS VARCHAR) AS zip_code, mult, elev_add, uhi, road_f FROM cell_area a LEFT JOIN nzonal z ON z.id = a.id AND z.ix = a.ix AND z.iy = a.iy) GROUP BY 1""", "cell_area", "nzonal")
+
+
+@query("combined_run", """SELECT a.date, a.zip_code, greatest(0, greatest(0, 65 - adjusted_f) * coalesce(mult, 1) + coalesce(elev_add, 0) - uhi - road) AS daily_effective_hdd, n_hours
+    FROM adj a JOIN cnorm USING (zip_code) JOIN (SELECT CAST(ts AS DATE) AS date, zip_code, count(*) AS n_hours FROM hours GROUP BY 1, 2) h ON h.date = a.date AND h.zip_code = a.zip_code""",
+       use="adj cnorm hours", doubles="daily_effective_hdd", digits=3)
+def _(spark, d):
+    stack, grid, zips = normals_inputs(spark, d)
+    zips = zips.withColumn("id", (F.col("id").cast("long") + 97000).cast("string"))
+    h = v.hours(spark, d)
+    _, day, _, hourly = runs.combined_run(stack, grid, zips, h, v.prs(h), v.normals(spark, d), region_code="R1", base_station="KPDX", cell_size_m=200.0, levels_unique=True)
+    counts = hourly.where("altitude_ft = 0").groupBy(F.to_date("datetime_utc").alias("date"), "zip_code").agg(F.count(F.lit(1)).alias("n_hours"))
+    return day.select("date", "zip_code", "daily_effective_hdd").join(counts, ["date", "zip_code"])
 
 
 # --- grids sampled at ZIPs ---------------------------------------------------------------------

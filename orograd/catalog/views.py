@@ -89,7 +89,7 @@ cte("cells", f"""SELECT *, {sql_list(IDS)}[l_suppkey % 11 + 1] AS base_station,
     CASE CAST(substr(cell_id, 6) AS INTEGER) % 4 WHEN 0 THEN 'windward' WHEN 1 THEN 'leeward'
          WHEN 2 THEN 'valley' ELSE 'ridge' END AS terrain_position,
     coalesce(uhi_offset_f * 180, 0) AS hdd_uhi_reduction, coalesce(road_temp_offset_f * 180, 0) AS hdd_traffic_reduction,
-    prism_annual_hdd * hdd_terrain_mult + coalesce(hdd_elev_addition, 0) - coalesce(uhi_offset_f * 180, 0)
+    prism_annual_hdd * hdd_terrain_mult + hdd_elev_addition - coalesce(uhi_offset_f * 180, 0)
         - coalesce(road_temp_offset_f * 180, 0) AS effective_hdd FROM zonal""", "zonal")
 cte("bounded", """SELECT *, prism_annual_hdd * hdd_terrain_mult + hdd_elev_addition - hdd_uhi_reduction - hdd_traffic_reduction
       - sqrt(pow(200 * hdd_terrain_mult, 2) + pow(prism_annual_hdd * 0.05, 2) + 18125) AS effective_hdd_low,

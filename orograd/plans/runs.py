@@ -124,6 +124,18 @@ def hourly_run(hourly: DataFrame, terrain: DataFrame, *, prs: DataFrame | None =
     return cubes.hourly_cube(hourly, terrain, bias=bias, profiles=prof)
 
 
+def combined_run(px: DataFrame, grid: Grid, zips: DataFrame, hourly: DataFrame, prs: DataFrame, normals: DataFrame, *, region_code: str,
+                 base_station: str, cell_size_m: float = CELL_SIZE_M, clim: DataFrame | None = None, bias: float | str = 0.0,
+                 levels_unique: bool = False) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """The normals once, then daily and hourly rows from their table: (cells, daily, daily cube, hourly cube).
+
+    The cell table is written before it is used three times, so the pixels are read once.
+    """
+    cells = checkpoint(normals_run(px, grid, zips, region_code=region_code, base_station=base_station, cell_size_m=cell_size_m))
+    daily, cube = daily_run(hourly, prs, normals, cells, clim=clim, levels_unique=levels_unique)
+    return cells, daily, cube, hourly_run(hourly, cells, bias=bias)
+
+
 def realtime_run(spark: SparkSession, landing: str, schema: str, terrain: DataFrame, out: str, checkpoint_folder: str, *,
                  bias: float = 0.0, once: bool = False) -> StreamingQuery:
     """Landed hourly files -> cube rows per date and hour, each hour and ZIP once.
