@@ -24,6 +24,7 @@ BLOCK_ROWS = 512
 CROWD = 64               # lines of a bucket that Spark joins; larger buckets are compared block by block
 BATCH_ROWS = 2048        # lines that small groups bring together in one call
 GRAMS = 128              # buckets of letter pairs, whose counts bound the edit distance from below
+SCAN_CHARS = 4_000_000   # text worked on at once in a task, or one longer text
 LANES = 255              # words counted in one byte lane before it is full
 
 
@@ -167,6 +168,31 @@ def _linked(h, sims, texts, a, b, threshold: float) -> dict[int, int]:
     return {v: top(v) for v in root}
 
 
+def _scanned(keys: pd.Series, texts, chunks: WordHashes) -> pd.DataFrame:
+    ids, at, hashes, words, lengths, times = [], [], [], [], [], []
+    for key, text in zip(keys.array, texts):
+        seen: dict[str, int] = {}
+        for k, line in enumerate(text.split("\n")):
+            parts = line.lower().split()
+            if not parts:
+                continue
+            line = " ".join(parts)
+            if line in seen:
+                times[seen[line]] += 1
+                continue
+            seen[line] = len(ids)
+            w = b"".join(map(chunks.__getitem__, set(parts)))  # distinct: else a few common words decide
+            ids.append(key)
+            at.append(k)
+            times.append(1)
+            hashes.append(xxhash.xxh64_intdigest(line))
+            words.append(w)
+            lengths.append(len(w) // 8)
+    sim = simhashes(np.frombuffer(b"".join(words), dtype=np.uint64), np.array(lengths, dtype=np.int64))
+    return pd.DataFrame({"id": pd.Series(ids, dtype=keys.dtype), "line": np.array(at, dtype=np.int32), "h": np.array(hashes, dtype=np.uint64).view(np.int64),
+                         "simhash": sim.view(np.int64), "times": np.array(times, dtype=np.int32)})
+
+
 def line_table(docs: DataFrame, *, id_col: str, text_col: str) -> DataFrame:
     """(id, line, h, simhash) of the first occurrence in its document of every line that is not blank, and how often it is there."""
     kind = docs.schema[id_col].dataType.simpleString()
@@ -174,28 +200,10 @@ def line_table(docs: DataFrame, *, id_col: str, text_col: str) -> DataFrame:
     def scan(batches):
         chunks = WordHashes()
         for pdf in batches:
-            ids, at, hashes, words, lengths, times = [], [], [], [], [], []
-            for key, text in zip(pdf["id"].array, pdf["text"].array):
-                seen: dict[str, int] = {}
-                for k, line in enumerate(text.split("\n")):
-                    parts = line.lower().split()
-                    if not parts:
-                        continue
-                    line = " ".join(parts)
-                    if line in seen:
-                        times[seen[line]] += 1
-                        continue
-                    seen[line] = len(ids)
-                    w = b"".join(map(chunks.__getitem__, set(parts)))  # distinct: else a few common words decide
-                    ids.append(key)
-                    at.append(k)
-                    times.append(1)
-                    hashes.append(xxhash.xxh64_intdigest(line))
-                    words.append(w)
-                    lengths.append(len(w) // 8)
-            sim = simhashes(np.frombuffer(b"".join(words), dtype=np.uint64), np.array(lengths, dtype=np.int64))
-            yield pd.DataFrame({"id": pd.Series(ids, dtype=pdf["id"].dtype), "line": at, "h": np.array(hashes, dtype=np.uint64).view(np.int64),
-                                "simhash": sim.view(np.int64), "times": times})
+            texts = pdf["text"].to_numpy()
+            ends = np.cumsum([len(t) for t in texts]) // SCAN_CHARS  # some texts at a time: words take memory here
+            for part in np.split(np.arange(len(pdf)), np.flatnonzero(np.diff(ends)) + 1):
+                yield _scanned(pdf["id"].iloc[part], texts[part], chunks)
 
     rows = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInPandas(scan, f"id {kind}, line int, h long, simhash long, times int")

@@ -12,7 +12,7 @@ from pyspark import cloudpickle
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 WORD = re.compile(r"\w+")
-CHUNKS_KEPT = 400_000
+CHUNKS_KEPT = 200_000
 LONG_CHUNK = 80
 STEP = 512                       # shingles hashed at once
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)

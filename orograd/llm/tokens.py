@@ -11,7 +11,7 @@ from pyspark import cloudpickle
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-WORDS_KEPT = 400_000   # entries of a worker's dictionary before it starts anew; only speed depends on it
+WORDS_KEPT = 300_000   # entries of a worker's dictionary before it starts anew; only speed depends on it
 LONG_CHUNK = 80
 
 # What the tokenizer does to a chunk between white space, for plain letters; other chunks go to it whole.

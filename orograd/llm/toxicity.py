@@ -37,8 +37,8 @@ DOUBT = 2.0              # standard errors taken off a log-odds: rare words coun
 MAX_FEATURES = 4_000   # most telling words and beginnings, by significance: the bound of what the driver holds
 FIT_ROWS = 20_000      # about so many labelled texts at most, by a hash of the id, teach words and weights
 PENALTY, STEPS = 0.1, 600
-PRUNE = 600_000
-MEMO_ENTRIES = 300_000
+PRUNE = 300_000
+MEMO_ENTRIES = 150_000
 BOS = "^"
 
 
