@@ -37,6 +37,7 @@ DOUBT = 2.0              # standard errors taken off a log-odds: rare words coun
 MAX_FEATURES = 4_000   # most telling words and beginnings, by significance: the bound of what the driver holds
 FIT_ROWS = 20_000      # about so many labelled texts at most, by a hash of the id, teach words and weights
 PENALTY, STEPS = 0.1, 600
+UNTAUGHT = 0.25        # score of every text where labels of one kind at most are known
 PRUNE = 300_000
 MEMO_ENTRIES = 150_000
 BOS = "^"
@@ -255,8 +256,7 @@ def learn(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
 def fit(rows: list[tuple[int, list[int]]], n: int) -> tuple[np.ndarray, float]:
     """Logistic regression with a square penalty on few, sparse features, by accelerated gradient steps."""
     if not rows or len({r[0] for r in rows}) < 2:
-        seen = sum(r[0] for r in rows)
-        return np.zeros(n), math.log((seen + 0.5) / (len(rows) - seen + 0.5))
+        return np.zeros(n), math.log(UNTAUGHT / (1 - UNTAUGHT))
     y = np.array([r[0] for r in rows], dtype=np.float64)
     row = np.repeat(np.arange(len(rows)), [len(r[1]) for r in rows])
     col = np.array([k for r in rows for k in r[1]], dtype=np.int64)
@@ -284,7 +284,8 @@ def _counted(sums: dict[str, list[int]]) -> pd.DataFrame:
 def score(docs: DataFrame, learned: dict, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows (id, score): probability that a text is toxic, from the telling words in its restored text.
 
-    The weights of the telling words and beginnings that it holds add up, each once. NULL and empty texts have the prior's probability.
+    The weights of the telling words and beginnings that it holds add up, each once. NULL and empty texts have the
+    prior's probability; without labels of both kinds every text has UNTAUGHT, so nothing is rejected.
     """
     def run(batches):
         chunks, weights = _Chunks(LetterModel(learned["grams"])), learned["weights"]
