@@ -37,7 +37,7 @@ def test_obfuscated_words_are_restored(spark):
     assert all((got[k] >= 0.5) == bool(t) for k, t in labels)
     assert T.score(df.where("false"), T.learn(df, lab)).count() == 0
     flat = T.learn(df, lab.where("false"))
-    assert {r["score"] for r in T.score(df, flat).collect()} == {0.5}
+    assert {r["score"] for r in T.score(df, flat).collect()} == {0.25}
 
 
 def test_given_tables(spark):
