@@ -12,7 +12,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import block_pairs, components, forest, fresh, written
+from .common import block_pairs, components, forest, fresh, tasks, written
 from .shingles import WordHashes
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -151,9 +151,12 @@ def _linked(h, sims, texts, a, b, threshold: float) -> dict[int, int]:
     root: dict[int, int] = {}
 
     def top(v):
-        while v in root:
-            v = root[v]
-        return v
+        end = v
+        while end in root:
+            end = root[end]
+        while v != end:  # shorter ways for the next search
+            root[v], v = end, root[v]
+        return end
 
     for lo in range(0, len(i), 20_000):
         p, q = i[lo:lo + 20_000], j[lo:lo + 20_000]
@@ -220,10 +223,12 @@ def line_groups(lines: DataFrame, docs: DataFrame, *, id_col: str = "doc_id", te
     """
     nodes = written(lines.groupBy("h", "simhash").agg(F.min("id").alias("witness"), F.min_by("line", "id").alias("place"), F.count("*").alias("k")), "line-nodes")
     keys = nodes.where("simhash <> 0").select(F.col("h").alias("id"), "simhash", F.explode(key_columns("simhash")).alias("key"))
-    met = keys.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.min("simhash").alias("s"), F.max("simhash").alias("t"), F.count("*").alias("k"))
-    met = written(met.where("k > 1"), "line-keys")
+    # dealt by key once: counting and joining the counts back both use that shuffle, and a large bucket only streams by
+    keys = keys.repartition(tasks(keys.sparkSession), "key")
+    more = written(keys.join(keys.groupBy("key").agg(F.count("*").alias("k")).where("k > 1"), "key").select("key", "k", "id", "simhash"), "line-buckets")
+    met = more.where("k = 2").groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.min("simhash").alias("s"), F.max("simhash").alias("t"))
     near_two = F.bit_count(F.col("s").bitwiseXOR(F.col("t"))) <= BITS_APART  # of two lines it does not matter which is which
-    pairs = met.where((F.col("k") == 2) & near_two).select(F.col("high").alias("a"), F.col("low").alias("b"))
+    pairs = met.where(near_two).select(F.col("high").alias("a"), F.col("low").alias("b"))
 
     def close(pdf):
         same = pdf["block_a"].iloc[0] == pdf["block_b"].iloc[0]
@@ -237,8 +242,7 @@ def line_groups(lines: DataFrame, docs: DataFrame, *, id_col: str = "doc_id", te
         own = low != ids
         return pd.DataFrame({"a": ids[own], "b": low[own]})
 
-    more = written(keys.join(met.where("k > 2").select("key", "k"), "key").select("key", "k", "id", "simhash"), "line-buckets")
-    few = more.where(F.col("k") <= CROWD).select("key", "id", "simhash")
+    few = more.where((F.col("k") > 2) & (F.col("k") <= CROWD)).select("key", "id", "simhash")
     other = few.select(F.col("key").alias("key2"), F.col("id").alias("id2"), F.col("simhash").alias("simhash2"))
     joined = few.join(other, (F.col("key") == F.col("key2")) & (F.col("id") < F.col("id2")) & (F.bit_count(F.col("simhash").bitwiseXOR(F.col("simhash2"))) <= BITS_APART))
     pairs = pairs.unionByName(joined.select(F.col("id2").alias("a"), F.col("id").alias("b")))
