@@ -34,6 +34,14 @@ PATTERNS = {
     "card": r"(?<![\w-])\d(?:[ -]?\d){12,18}(?![\w]|-\d)",
 }
 ANY = re.compile("|".join(f"(?P<{k}>{PATTERNS[k]})" for k in ("email", "iban", "ip", "date", "ssn", "phone", "card")))
+ONE = {k: re.compile(p) for k, p in PATTERNS.items()}
+CARD = re.compile(r"(?<!\w)\d(?:[ -]?\d){12,18}")          # within a row of digit groups a card may follow or precede a hyphen
+ROW = re.compile(r"\d(?:[ -]?\d)*")
+CARD_SHAPES = {*((n,) for n in range(13, 20)), (4, 4, 4, 4), (4, 4, 4, 4, 3), (4, 6, 5), (4, 6, 4)}
+IBAN_LENGTHS = {k: int(n) for n, ks in (w.split(":") for w in (
+    "15:NO 16:BE 18:DK,FI,FK,FO,GL,NL,SD 19:MK,SI 20:AT,BA,EE,KZ,LT,LU,XK 21:CH,HR,LI,LV 22:BG,BH,CR,DE,GB,GE,IE,ME,RS,VA 23:AE,GI,IL,IQ,OM,SO,TL "
+    "24:AD,CZ,ES,MD,PK,RO,SA,SE,SK,TN,VG 25:LY,PT,ST 26:IS,TR 27:BI,DJ,FR,GR,IT,MC,MR,SM 28:AL,AZ,BY,CY,DO,GT,HU,LB,NI,PL,SV 29:BR,EG,PS,QA,UA "
+    "30:JO,KW,MU,YE 31:MT,SC 32:LC 33:RU").split()) for k in ks.split(",")}
 RUN = re.compile(r"[0-9@]\S*")
 BEFORE = 12            # a month's name and its space may stand before the first digit
 
@@ -62,6 +70,62 @@ def matches(text: str):
         yield from ANY.finditer(text, first, min(last + 1, len(text)))
 
 
+def _rank(kind: str, text: str) -> int:
+    """0 for a value whose layout speaks for it too; 2 for one that only its check sum tells."""
+    if kind == "card":
+        return 0 if tuple(map(len, re.split("[ -]", text))) in CARD_SHAPES and text[0] in "23456" else 2
+    if kind == "iban":
+        return 0 if len(text.replace(" ", "")) == IBAN_LENGTHS.get(text[:2]) else 2
+    return 1
+
+
+def _readings(text: str, first: int, last: int) -> list[tuple[int, int, str]]:
+    """All valid values that begin in a stretch: of cards, IBANs and phones every length that ends with a word."""
+    out = []
+    for a in range(first, last):
+        if a and (text[a - 1].isalnum() or text[a - 1] == "_") or not (text[a].isalnum() or text[a] in "+("):
+            continue
+        for kind, pattern in ONE.items():
+            m = (CARD if kind == "card" else pattern).match(text, a)
+            if not m:
+                continue
+            ends = [m.end()]
+            if kind in ("card", "iban", "phone"):
+                ends = [e for e in range(m.end(), a, -1) if text[e - 1].isalnum() and not (e < len(text) and (text[e].isalnum() or text[e] == "_"))]
+            for e in ends:
+                if e != m.end() and not (CARD if kind == "card" else pattern).fullmatch(text, a, e):
+                    continue
+                if valid(kind, text[a:e]):
+                    out.append((a, e, kind))
+    return out
+
+
+def values(text: str):
+    """(start, end, kind) of the valid values in order.
+
+    A match that fails its check, or a card or IBAN of an unusual layout, is read anew: every start within it and
+    within its row of digits, every length, every kind. Of readings that overlap the better layout stays, then the longer one.
+    """
+    for first, last in places(text):
+        at, end = first, min(last + 1, len(text))
+        while m := ANY.search(text, at, end):
+            kind, stop = m.lastgroup, m.end()
+            if kind == "card":
+                stop = ROW.match(text, m.start()).end()
+            if valid(kind, m[0]) and (kind not in ("card", "iban") or _rank(kind, m[0]) == 0 and stop == m.end()):
+                yield *m.span(), kind
+                at = m.end()
+                continue
+            chosen: list[tuple[int, int, str]] = []
+            taken: set[int] = set()
+            for a, b, k in sorted(_readings(text, m.start(), stop), key=lambda r: (_rank(r[2], text[r[0]:r[1]]), r[0] - r[1], r[0])):
+                if taken.isdisjoint(range(a, b)):
+                    taken.update(range(a, b))
+                    chosen.append((a, b, k))
+            yield from sorted(chosen)
+            at = max([stop, *(b for _, b, _ in chosen)])
+
+
 def _round(key: bytes, tweak: bytes, k: int, value: int, modulus: int) -> int:
     size = (value.bit_length() + 7) // 8
     d = hashlib.blake2b(bytes([k]) + len(tweak).to_bytes(2, "big") + tweak + value.to_bytes(size, "big"), key=key, digest_size=32)
@@ -221,7 +285,7 @@ def pseudonymise(docs: DataFrame, key: bytes, *, id_col: str = "doc_id", text_co
     """Add `found` to the documents, all columns kept, and exchange personal data in the text.
 
     `found` is a map from kind (email, card, iban, ssn, ip, date, phone) to the number of values exchanged.
-    An older column `found` gives way. Numbers that fail their check stay as they are. The key decides all pseudonyms, so a value has
+    An older column `found` gives way. Numbers of which no reading passes its check stay as they are. The key decides all pseudonyms, so a value has
     the same one in every document and every run. A NULL text stays NULL with nothing found.
     """
     def run(texts: pd.Series) -> pd.DataFrame:
@@ -231,17 +295,16 @@ def pseudonymise(docs: DataFrame, key: bytes, *, id_col: str = "doc_id", text_co
             counts: dict[str, int] = {}
 
             parts, at = [], 0
-            for m in matches(text) if isinstance(text, str) else ():
-                kind, value = m.lastgroup, m[0]
+            for start, end, kind in values(text) if isinstance(text, str) else ():
+                value = text[start:end]
                 new = memo.get((kind, value))
                 if new is None:
                     if len(memo) > MEMO_ENTRIES:
                         memo.clear()
-                    new = memo[kind, value] = pseudonym(key, kind, value) if valid(kind, value) else ""
-                if new:
-                    counts[kind] = counts.get(kind, 0) + 1
-                    parts += text[at:m.start()], new
-                    at = m.end()
+                    new = memo[kind, value] = pseudonym(key, kind, value)
+                counts[kind] = counts.get(kind, 0) + 1
+                parts += text[at:start], new
+                at = end
             out.append("".join([*parts, text[at:]]) if parts else text)
             found.append(counts)
         return pd.DataFrame({"text": pd.Series(out, dtype=object), "found": pd.Series(found, dtype=object)})

@@ -44,3 +44,24 @@ def test_table(spark):
     assert "4041894974608795" not in new and "@mail8.example.com" not in new and "1234567890123456" in new and "999.1.1.1" in new
     assert out[0]["found"]["card"] == 2 and {r["text"] for r in out if r["doc_id"] in (3, 4, None)} == {None, "", "plain"}
     assert P.pseudonymise(df.where("false"), KEY).count() == 0
+
+
+def test_values_beside_other_words_and_digits(spark):
+    card, spaced, iban, be = "4111111111111111", "4111 1111 1111 1111", "ES9121000418450200051332", "BE68 5390 0754 7034"
+    cases = {f"{spaced} 12/27": (spaced, "card"), f"12 {spaced}": (spaced, "card"), f"{card} 3": (card, "card"), f"1234 {spaced} 1234": (spaced, "card"),
+             "4111-1111-1111-1111-12": ("4111-1111-1111-1111", "card"), f"{iban} EUR": (iban, "iban"), f"{be} BIC": (be, "iban"), f"AB12 {be} BIC CODE": (be, "iban"),
+             f"+1 {spaced}": (spaced, "card"), f"000-12-3456 {spaced}": (spaced, "card"), "PL61109010140000071219812874 PLN": ("PL61109010140000071219812874", "iban")}
+    for text, (value, kind) in cases.items():
+        assert (value, kind) in [(text[a:b], k) for a, b, k in P.values(text)], text
+    both = f"{spaced} 12 bob@example.com 123-45-6789 {iban} EUR 2020-02-29"
+    assert [k for _, _, k in P.values(both)] == ["card", "email", "ssn", "iban", "date"]
+    assert list(P.values("1234567890123456 and 2020-13-45 and 999.1.1.1 ES9121000418450200051333 EUR")) == []
+    out = P.pseudonymise(spark.createDataFrame([(both,)], "text string"), KEY, id_col="text").first()
+    assert out["found"] == {"card": 1, "email": 1, "ssn": 1, "iban": 1, "date": 1} and not any(x in out["text"] for x in (spaced, iban, "bob@", "123-45-6789"))
+    long = "1 2 3 " * 20_000
+    assert all(P.valid(k, long[a:b]) for a, b, k in P.values(long))
+
+
+def test_values_take_all_valid_matches():
+    for text in (TEXT, TEXT * 3, "x" * 5000 + TEXT):
+        assert [(*m.span(), m.lastgroup) for m in P.matches(text) if P.valid(m.lastgroup, m[0])] == list(P.values(text))
