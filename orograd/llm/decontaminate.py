@@ -9,7 +9,8 @@ from .common import fresh, written
 
 WINDOW = 8            # tokens of a joined window
 PASSAGE = 13          # every common run of so many tokens is found
-COVERAGE = 0.5        # share of the item that the run must cover
+PIECE = 4             # tokens of a piece that adds to a run beside it
+NEAR = 8              # tokens that pieces of one copy may be put out of place by what was put in or left out
 LEAST_TOKENS = 3      # shorter items cannot be told from common phrases
 MARK = ""       # begins a placeholder; taken out of texts first
 UNITS = ("km|cm|mm|m|kg|mg|g|ml|l|mi|lbs?|oz|ft|in|khz|mhz|ghz|hz|kb|mb|gb|tb|kwh?|mph|kph|usd|eur|gbp|percent|meters?|metres?|miles?|"
@@ -50,15 +51,14 @@ def _windows(tokens: str, width: int, stride: int) -> Column:
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
                  item_text_col: str = "text") -> DataFrame:
-    """Pairs (doc, item, run, item_tokens, verbatim): documents that hold a benchmark item or its template.
+    """Pairs (doc, item, run, item_tokens, verbatim): documents that hold a passage of a benchmark item or its template.
 
     Texts become canonical tokens, so a question whose numbers, names or units were exchanged keeps
-    its template. The benchmark gives every window of WINDOW tokens, at least half of them literal,
-    a document every sixth: together they meet in each common run of PASSAGE tokens. Items of fewer tokens are
-    joined as one window of their own length. Windows that meet place the item in the document;
-    there the longest common run must have PASSAGE tokens (or be the whole item) and cover COVERAGE
-    of the item, and each slot value of the item must stand for one value in the document.
-    `verbatim` tells whether all slot values are equal.
+    its template. Every window of WINDOW tokens of an item, at least half of them literal, is joined with every window of the
+    documents. Items of fewer tokens are joined as one window of their own length. Windows that meet place the item in the document;
+    there a common run, or a run with the pieces of PIECE tokens or more within NEAR places of it, must have PASSAGE tokens
+    (or be the whole item), and each slot value of the item within them must stand for one value in the document.
+    `run` counts the item's tokens found: divided by `item_tokens`, it is the coverage. `verbatim` tells whether all slot values found are equal.
 
     NULL and empty texts match nothing; neither do items of fewer than LEAST_TOKENS tokens or of placeholders mostly.
     Repeated rows of a document or item give one pair.
@@ -76,7 +76,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id
 
     plans = [(n, 1) for n in sorted(lengths) if n < WINDOW]
     if any(n >= WINDOW for n in lengths):
-        plans.append((WINDOW, min(n for n in lengths if n >= WINDOW) - WINDOW + 1))
+        plans.append((WINDOW, 1))
     if not plans:
         return items.select(F.lit(None).cast(docs.schema[id_col].dataType).alias(id_col), F.col("item").alias(item_col), F.lit(0).alias("run"),
                             F.lit(0).alias("item_tokens"), F.lit(True).alias("verbatim")).limit(0)
@@ -96,29 +96,45 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id
         "doc", canonical_tokens(F.col("t")).alias("ct"), raw_tokens(F.col("t")).alias("rt"))
     both = full.join(hits.withColumnRenamed("doc", key), F.col("doc").eqNullSafe(F.col(key))).join(
         items.withColumnRenamed("item", "of_item"), F.col("item").eqNullSafe(F.col("of_item")))
-    skip = F.greatest(F.lit(0), -F.col("shift"))
-    count = F.size("ict") - skip
-
-    def cut(column: str, start: Column) -> Column:
-        return F.slice(F.col(column), start + 1, count)
-
-    aligned = F.size("ct") == F.size("rt")
-    at = F.col("shift") + skip
-    zipped = F.arrays_zip(cut("ict", skip).alias("i"), cut("ct", at).alias("d"), cut("irt", skip).alias("iv"), cut("rt", at).alias("dv"))
-    zipped = F.transform(zipped, lambda x: F.struct(F.coalesce(x["i"] == x["d"], F.lit(False)).alias("same"), x["i"].alias("i"),
-                                                    F.lower(x["iv"]).alias("iv"), F.lower(x["dv"]).alias("dv")))
-    longest = F.aggregate("z", F.struct(F.lit(0).alias("now"), F.lit(0).alias("best")), lambda acc, x: F.when(x["same"], F.struct(
-        (acc["now"] + 1).alias("now"), F.greatest(acc["best"], acc["now"] + 1).alias("best"))).otherwise(F.struct(F.lit(0).alias("now"), acc["best"].alias("best"))),
-        lambda acc: acc["best"])
-    slots = F.filter("z", lambda x: x["same"] & F.startswith(x["i"], F.lit(MARK)))
-    known = F.array_distinct(F.transform("slots", lambda x: F.struct(x["i"], x["iv"])))
-    pairs = F.array_distinct(F.transform("slots", lambda x: F.struct(x["i"], x["iv"], x["dv"])))
-    judged = both.select("doc", "item", aligned.alias("aligned"), F.size("ict").alias("item_tokens"), zipped.alias("z"))
-    judged = judged.select("doc", "item", "aligned", "item_tokens", longest.alias("run"), slots.alias("slots"))
-    judged = judged.select("doc", "item", "item_tokens", "run", (~F.col("aligned") | (F.size(known) == F.size(pairs))).alias("consistent"),
-                           F.forall("slots", lambda x: x["iv"] == x["dv"]).alias("verbatim"))
-    least = F.greatest(F.least(F.lit(PASSAGE), F.col("item_tokens")), F.ceil(F.col("item_tokens") * F.lit(COVERAGE)))
-    good = judged.where("consistent").where(F.col("run") >= least)
+    start, n = F.greatest(F.lit(0), F.col("shift") - NEAR), F.size("ict")
+    around = [F.slice(c, start + 1, n + 2 * NEAR) for c in ("ct", "rt")]
+    placed = both.select("doc", "item", "ict", "irt", around[0].alias("dt"), around[1].alias("dv"), (F.col("shift") - start).alias("off"),
+                         n.alias("item_tokens"), (F.size("ct") == F.size("rt")).alias("aligned"), F.sequence(F.lit(0), n - 1).alias("places"))
+
+    def common(move: Column) -> Column:
+        """A sign for each token of the item: 1 where the document has the same."""
+        same = F.transform("places", lambda i: F.when(F.get("ict", i) == F.get("dt", i + move + F.col("off")), "1").otherwise("0"))
+        return F.array_join(same, "")
+
+    def pieces(signs: Column) -> Column:
+        for k in range(1, PIECE):
+            signs = F.regexp_replace(signs, f"(?<!1){'1' * k}(?!1)", "0" * k)
+        return signs
+
+    def slots(found: Column) -> Column:
+        """(type, item's value, document's value) at (place, move) pairs that hold a placeholder."""
+        own = F.filter(found, lambda x: F.startswith(F.get("ict", x["i"]), F.lit(MARK)))
+        return F.array_distinct(F.transform(own, lambda x: F.struct(
+            F.get("ict", x["i"]).alias("kind"), F.lower(F.get("irt", x["i"])).alias("iv"), F.lower(F.get("dv", x["i"] + x["d"] + F.col("off"))).alias("dv"))))
+
+    least = F.least(F.lit(PASSAGE), F.col("item_tokens"))
+    straight = placed.withColumn("signs", common(F.lit(0)))
+    begins = F.filter("places", lambda i: (F.substr("signs", i + 1, F.lit(1)) == "1") & ((i == 0) | (F.substr("signs", i, F.lit(1)) == "0")))
+    runs = F.transform(begins, lambda i: F.struct(i.alias("i"), F.length(F.regexp_extract(F.substr("signs", i + 1), "^1+", 0)).alias("k")))
+    straight = straight.withColumn("runs", F.filter(runs, lambda x: x["k"] >= least))
+    moves = F.array(*[F.lit(d) for k in range(NEAR + 1) for d in ((k, -k) if k else (0,))])
+    # pieces beside the run are looked for only where the run is not all of the item
+    whole = F.exists("runs", lambda x: x["k"] == F.col("item_tokens"))
+    straight = straight.withColumn("masks", F.when(~whole, F.transform(moves, lambda d: F.struct(d.alias("d"), pieces(common(d)).alias("signs")))))
+    straight = straight.withColumn("joint", F.filter(F.transform("places", lambda i: F.struct(i.alias("i"), F.get(
+        F.filter("masks", lambda m: F.substr(m["signs"], i + 1, F.lit(1)) == "1"), F.lit(0))["d"].alias("d"))), lambda x: x["d"].isNotNull()))
+    straight = straight.withColumn("runs", F.transform("runs", lambda x: F.struct(x["k"].alias("k"), slots(F.transform(
+        F.sequence(x["i"], x["i"] + x["k"] - 1), lambda i: F.struct(i.alias("i"), F.lit(0).alias("d")))).alias("slots"))))
+    joint = F.when(F.size("joint") >= least, F.array(F.struct(F.size("joint").alias("k"), slots(F.col("joint")).alias("slots"))))
+    found = straight.select("doc", "item", "item_tokens", "aligned", F.explode(F.concat("runs", F.coalesce(joint, F.slice("runs", 1, 0)))).alias("x"))
+    found = found.select("doc", "item", "item_tokens", "aligned", F.col("x.k").alias("run"), F.col("x.slots").alias("slots"))
+    values = F.array_distinct(F.transform("slots", lambda x: F.struct(x["kind"], x["iv"])))
+    good = found.where(~F.col("aligned") | (F.size(values) == F.size("slots"))).withColumn("verbatim", F.forall("slots", lambda x: x["iv"] == x["dv"]))
     return good.groupBy("doc", "item").agg(F.max("run").alias("run"), F.max("item_tokens").alias("item_tokens"), F.max("verbatim").alias("verbatim")).select(
         F.col("doc").alias(id_col), F.col("item").alias(item_col), "run", "item_tokens", "verbatim")
 

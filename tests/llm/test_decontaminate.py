@@ -54,3 +54,14 @@ def test_query_finds_whole_items(spark):
     texts = [(k, norm(t)) for k, t in zip(texts.doc_id, texts.text)]
     want = {(k, i) for i, t in zip(items.item_id, items.text) for k, text in texts if norm(t) in text}
     assert {(r["doc_id"], r["item_id"]) for r in df.collect()} == want
+
+
+def test_passages_and_pieces_of_items(spark):
+    words = [f"{a}{b}" for a in ("ba", "ke", "li", "mo", "nu", "pra", "sto", "tri") for b in ("dar", "fen", "gil", "hom", "jus", "kal", "mer", "nol")]
+    long, short = " ".join(words[:59]), " ".join(words[40:57])
+    slot = " ".join(words[:20]) + " 5 " + " ".join(words[20:40]) + " then 5 more"
+    rows = [(1, f"{FILL} {' '.join(words[10:38])} {FILL}"), (2, f"{FILL} {' '.join(words[40:48])} inserted {' '.join(words[48:57])} {FILL}"),
+            (3, f"{FILL} {' '.join(words[:20])} 5 {' '.join(words[20:40])} or 7 more"), (4, f"{FILL} {' '.join(words[10:18])} {FILL}")]
+    got = {(r["doc_id"], r["item_id"]): (r["run"], r["item_tokens"], r["verbatim"]) for r in D.contaminated(docs(spark, rows), bench(spark, [(1, long), (2, short), (3, slot)])).collect()}
+    assert got[1, 1] == (28, 59, True) and got[2, 2] == (17, 17, True) and got[3, 3][2] and got[3, 3][0] >= 41
+    assert not any(k[0] == 4 for k in got)
