@@ -17,27 +17,40 @@ UNITS = ("km|cm|mm|m|kg|mg|g|ml|l|mi|lbs?|oz|ft|in|khz|mhz|ghz|hz|kb|mb|gb|tb|kw
          "kilometers?|kilometres?|grams?|kilograms?|pounds?|ounces?|liters?|litres?|hours?|hrs?|minutes?|mins?|seconds?|days?|weeks?|"
          "months?|years?|degrees?|dollars?|euros?|cents?|feet|foot|inch(?:es)?|yards?")
 NUMBER = r"[0-9]+(?:[.,:/-][0-9]+)*"
+NAMES = rf"(?<![\p{{L}}{MARK}])\p{{Lu}}\p{{Ll}}+(?:\s+\p{{Lu}}\p{{Ll}}+)*(?!\p{{L}})"
 
 
 def _plain(text: Column) -> Column:
     return F.translate(text, MARK, " ")
 
 
-def raw_tokens(text: Column) -> Column:
-    return F.regexp_extract_all(_plain(text), F.lit(rf"{NUMBER}|\p{{L}}+"), F.lit(0))
+def raw_tokens(text: Column, every_name: bool = False) -> Column:
+    """The words and numbers that `canonical_tokens` of the same form stands for."""
+    s = _plain(text)
+    if every_name:
+        s = F.regexp_replace(s, rf"(?i)(?<=[0-9])(\s?)({UNITS})(?!\p{{L}})", f"$1{MARK}$2{MARK}")
+        s = F.regexp_replace(s, NAMES, f"{MARK}$0{MARK}")
+    return F.regexp_extract_all(s, F.lit(rf"{MARK}[^{MARK}]+{MARK}|{NUMBER}|\p{{L}}+"), F.lit(0))
 
 
-def canonical_tokens(text: Column) -> Column:
-    """Tokens in lower case with numbers, units after numbers and names within sentences as typed placeholders.
+def canonical_tokens(text: Column, every_name: bool = False) -> Column:
+    """Tokens in lower case with numbers, units after numbers and names as typed placeholders.
 
-    They are as many as `raw_tokens` and stand in the same places.
+    Names are capitalised words within sentences, each a token; with `every_name` all capitalised words, also where a
+    sentence begins, and those in a row are one token. Tokens are as many as `raw_tokens` and stand in the same places.
     """
     s = F.regexp_replace(_plain(text), rf"(?i)(?<=[0-9])(\s?)(?:{UNITS})(?!\p{{L}})", f"$1{MARK}u")
-    s = F.regexp_replace(s, r"(?<=[\p{Ll}0-9,;:]\s)\p{Lu}\p{Ll}+(?!\p{L})", f"{MARK}p")
+    s = F.regexp_replace(s, NAMES if every_name else r"(?<=[\p{Ll}0-9,;:]\s)\p{Lu}\p{Ll}+(?!\p{L})", f"{MARK}p")
     s = F.regexp_replace(s, NUMBER, f"{MARK}n")
     return F.regexp_extract_all(F.lower(s), F.lit(rf"{MARK}[nup]|\p{{L}}+"), F.lit(0))
 
 
+def _forms(text: Column, canonical: str, raw: str | None = None) -> Column:
+    """Array of both forms of a text: (form, canonical tokens, raw tokens if asked for)."""
+    return F.array(*[F.struct(F.lit(k).alias("form"), canonical_tokens(text, bool(k)).alias(canonical), *([raw_tokens(text, bool(k)).alias(raw)] if raw else []))
+                     for k in (0, 1)])
+
+
 def _literals(tokens: Column) -> Column:
     return F.size(F.filter(tokens, lambda t: ~F.startswith(t, F.lit(MARK))))
 
@@ -46,15 +59,15 @@ def _windows(tokens: str, width: int, stride: int) -> Column:
     """Array of (at, hash) of every `stride`-th window of `width` tokens."""
     last = F.size(tokens) - width
     starts = F.when(last >= 0, F.sequence(F.lit(0), last, F.lit(stride))).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda p: F.struct(p.alias("at"), F.xxhash64(F.slice(F.col(tokens), p + 1, F.lit(width)), F.lit(width)).alias("h")))
+    return F.transform(starts, lambda p: F.struct(p.alias("at"), F.xxhash64(F.slice(F.col(tokens), p + 1, F.lit(width)), F.lit(width), F.col("form")).alias("h")))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
                  item_text_col: str = "text") -> DataFrame:
     """Pairs (doc, item, run, item_tokens, verbatim): documents that hold a passage of a benchmark item or its template.
 
-    Texts become canonical tokens, so a question whose numbers, names or units were exchanged keeps
-    its template. Every window of WINDOW tokens of an item, at least half of them literal, is joined with every window of the
+    Texts become canonical tokens in two forms, so a question whose numbers, names or units were exchanged keeps
+    its template; items of fewer than WINDOW tokens have the first form only, as "Paris is the capital" is no copy of "What is the capital". Every window of WINDOW tokens of an item, at least half of them literal, is joined with every window of the
     documents. Items of fewer tokens are joined as one window of their own length. Windows that meet place the item in the document;
     there a common run, or a run with the pieces of PIECE tokens or more within NEAR places of it, must have PASSAGE tokens
     (or be the whole item), and each slot value of the item within them must stand for one value in the document.
@@ -64,11 +77,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id
     Repeated rows of a document or item give one pair.
     """
     items = benchmark.select(F.col(item_col).alias("item"), F.col(item_text_col).cast("string").alias("t")).where("t is not null")
-    items = written(items.select("item", canonical_tokens(F.col("t")).alias("ict"), raw_tokens(F.col("t")).alias("irt")).where(
-        F.size("ict") >= LEAST_TOKENS).distinct(), "items")
+    items = items.select("item", F.inline(_forms(F.col("t"), "ict", "irt")))
+    items = written(items.where(F.size("ict") >= F.when(F.col("form") == 0, LEAST_TOKENS).otherwise(WINDOW)).distinct(), "items")
     lengths = [r[0] for r in items.select(F.least(F.size("ict"), F.lit(PASSAGE))).distinct().collect()]  # at most PASSAGE values
     texts = docs.select(F.col(id_col).alias("doc"), F.col(text_col).cast("string").alias("t")).where("t is not null")
-    tokens = texts.select("doc", canonical_tokens(F.col("t")).alias("ct"))
+    tokens = texts.select("doc", F.inline(_forms(F.col("t"), "ct")))
 
     def side(width: int) -> Column:
         whole = F.size("ict") == width if width < WINDOW else F.size("ict") >= WINDOW
@@ -80,22 +93,22 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id
     if not plans:
         return items.select(F.lit(None).cast(docs.schema[id_col].dataType).alias(id_col), F.col("item").alias(item_col), F.lit(0).alias("run"),
                             F.lit(0).alias("item_tokens"), F.lit(True).alias("verbatim")).limit(0)
-    asked = [items.select("item", F.explode(side(w)).alias("w"), "ict").where(
-        _literals(F.slice("ict", F.col("w.at") + 1, F.lit(w))) * 2 >= w).select("item", F.col("w.at").alias("item_at"), F.col("w.h").alias("h")) for w, _ in plans]
+    asked = [items.select("item", "form", F.explode(side(w)).alias("w"), "ict").where(
+        _literals(F.slice("ict", F.col("w.at") + 1, F.lit(w))) * 2 >= w).select("item", "form", F.col("w.at").alias("item_at"), F.col("w.h").alias("h")) for w, _ in plans]
     all_asked = asked[0]
     for a in asked[1:]:
         all_asked = all_asked.unionByName(a)
     wanted = written(all_asked, "item-windows")  # written, so that Spark knows its true size before it joins
     windows = tokens.select("doc", F.explode(F.concat(*[_windows("ct", w, s) for w, s in plans])).alias("w"))
     met = windows.select("doc", F.col("w.at").alias("at"), F.col("w.h").alias("h")).join(wanted, "h")
-    hits = written(met.select("doc", "item", (F.col("at") - F.col("item_at")).alias("shift")).distinct(), "item-hits")
+    hits = written(met.select("doc", "item", "form", (F.col("at") - F.col("item_at")).alias("shift")).distinct(), "item-hits")
 
     key = "hit_doc"
     named = hits.select(F.col("doc").alias(key)).distinct()
     full = texts.join(named, F.col("doc").eqNullSafe(F.col(key)), "left_semi").select(
-        "doc", canonical_tokens(F.col("t")).alias("ct"), raw_tokens(F.col("t")).alias("rt"))
-    both = full.join(hits.withColumnRenamed("doc", key), F.col("doc").eqNullSafe(F.col(key))).join(
-        items.withColumnRenamed("item", "of_item"), F.col("item").eqNullSafe(F.col("of_item")))
+        "doc", F.inline(_forms(F.col("t"), "ct", "rt")))
+    both = full.join(hits.withColumnRenamed("doc", key).withColumnRenamed("form", "hit_form"), F.col("doc").eqNullSafe(F.col(key)) & (F.col("form") == F.col("hit_form"))).join(
+        items.withColumnRenamed("item", "of_item").withColumnRenamed("form", "of_form"), F.col("item").eqNullSafe(F.col("of_item")) & (F.col("form") == F.col("of_form")))
     start, n = F.greatest(F.lit(0), F.col("shift") - NEAR), F.size("ict")
     around = [F.slice(c, start + 1, n + 2 * NEAR) for c in ("ct", "rt")]
     placed = both.select("doc", "item", "ict", "irt", around[0].alias("dt"), around[1].alias("dv"), (F.col("shift") - start).alias("off"),
@@ -135,8 +148,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id
     found = found.select("doc", "item", "item_tokens", "aligned", F.col("x.k").alias("run"), F.col("x.slots").alias("slots"))
     values = F.array_distinct(F.transform("slots", lambda x: F.struct(x["kind"], x["iv"])))
     good = found.where(~F.col("aligned") | (F.size(values) == F.size("slots"))).withColumn("verbatim", F.forall("slots", lambda x: x["iv"] == x["dv"]))
-    return good.groupBy("doc", "item").agg(F.max("run").alias("run"), F.max("item_tokens").alias("item_tokens"), F.max("verbatim").alias("verbatim")).select(
-        F.col("doc").alias(id_col), F.col("item").alias(item_col), "run", "item_tokens", "verbatim")
+    return good.groupBy("doc", "item").agg(F.max(F.struct(F.col("run") / F.col("item_tokens"), "run", "item_tokens")).alias("best"), F.max("verbatim").alias("verbatim")).select(
+        F.col("doc").alias(id_col), F.col("item").alias(item_col), "best.run", "best.item_tokens", "verbatim")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

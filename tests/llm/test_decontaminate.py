@@ -65,3 +65,16 @@ def test_passages_and_pieces_of_items(spark):
     got = {(r["doc_id"], r["item_id"]): (r["run"], r["item_tokens"], r["verbatim"]) for r in D.contaminated(docs(spark, rows), bench(spark, [(1, long), (2, short), (3, slot)])).collect()}
     assert got[1, 1] == (28, 59, True) and got[2, 2] == (17, 17, True) and got[3, 3][2] and got[3, 3][0] >= 41
     assert not any(k[0] == 4 for k in got)
+
+
+def test_names_at_sentence_starts_and_of_several_words(spark):
+    from pyspark.sql import functions as F
+    item = "Alice has 5 apples. Bob has 7 pears. Carol has 9 plums. How many fruits do they have?"
+    tom = '"Tom paid for the red boat with 40 dollars," said the old man, and Tom rowed home to the quiet island before dark.'
+    rows = [(1, "Dan has 3 apples. Eve has 8 pears. Frank has 6 plums. How many fruits do they have?"), (2, tom.replace("Tom", "Mary Ann").replace("40", "55")),
+            (3, tom.replace("Tom", "Mary Ann", 1)), (4, "Paris is the capital of France")]
+    got = {(r["doc_id"], r["item_id"]): r["verbatim"] for r in D.contaminated(docs(spark, rows), bench(spark, [(1, item), (2, tom), (3, "What is the capital")])).collect()}
+    assert got[1, 1] is False and got[2, 2] is False and not any(k[0] == 4 for k in got)
+    text = "In 2020, Mary Ann Smith paid 3.50 dollars for 5 Miles Tom; McDonald said OK. Anna  Lee"
+    r = spark.createDataFrame([(text,)], "t string").select(D.canonical_tokens(F.col("t"), True).alias("c"), D.raw_tokens(F.col("t"), True).alias("r")).first()
+    assert len(r["c"]) == len(r["r"]) and r["c"][:3] == [D.MARK + "p", D.MARK + "n", D.MARK + "p"] and r["r"][2].strip(D.MARK) == "Mary Ann Smith"
