@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import ball_search, fill_middle, language, toxicity
 from .common import crc_fold, table
-from . import language, toxicity
 from .decontaminate import contaminated
 from .lines import line_report
 from .near_vectors import near_vectors
@@ -16,6 +16,7 @@ from .ngram_join import ngram_join
 from .packing import packed_documents
 from .pseudonyms import KINDS, pseudonymise
 from .secret_scan import report_sql, secret_report
+from .suffix_dedup import passage_report
 from .token_files import document_token_counts
 
 
@@ -67,9 +68,21 @@ def op10_token_counts(spark: SparkSession, d: str) -> DataFrame:
     return document_token_counts(table(spark, d, "documents"))
 
 
+def op11_fill_middle(spark: SparkSession, d: str) -> DataFrame:
+    return fill_middle.fill_middle_report(table(spark, d, "documents"))
+
+
+def op12_ball_search(spark: SparkSession, d: str) -> DataFrame:
+    return ball_search.search(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
+def op13_suffix_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return passage_report(table(spark, d, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_secrets": report_sql()}
+    return {"op4_secrets": report_sql(), "op11_fill_middle": fill_middle.report_sql(), "op12_ball_search": ball_search.report_sql()}
