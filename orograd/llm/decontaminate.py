@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,21 +18,26 @@ MARK = ""       # begins a placeholder; taken out of texts first
 UNITS = ("km|cm|mm|m|kg|mg|g|ml|l|mi|lbs?|oz|ft|in|khz|mhz|ghz|hz|kb|mb|gb|tb|kwh?|mph|kph|usd|eur|gbp|percent|meters?|metres?|miles?|"
          "kilometers?|kilometres?|grams?|kilograms?|pounds?|ounces?|liters?|litres?|hours?|hrs?|minutes?|mins?|seconds?|days?|weeks?|"
          "months?|years?|degrees?|dollars?|euros?|cents?|feet|foot|inch(?:es)?|yards?")
-NUMBER = r"[0-9]+(?:[.,:/-][0-9]+)*"
-NAMES = rf"(?<![\p{{L}}{MARK}])\p{{Lu}}\p{{Ll}}+(?:\s+\p{{Lu}}\p{{Ll}}+)*(?!\p{{L}})"
+# repeated groups are possessive: Java's matcher goes one call deeper per repeat of any other
+NUMBER = r"[0-9]++(?:[.,:/-][0-9]++)*+"
+NAMES = rf"(?<![\p{{L}}{MARK}])\p{{Lu}}\p{{Ll}}++(?!\p{{L}})(?:\s++\p{{Lu}}\p{{Ll}}++(?!\p{{L}}))*+"
+INNER_NAMES = rf"[A-Z\p{{Lu}}](?<=[\p{{Ll}}0-9,;:{MARK}]\s.)[a-z\p{{Ll}}]++(?!\p{{L}})"   # what stands before is looked at for capitals alone
+STRETCH = 4096        # tokens of a text whose windows are made at once
 
 
-def _plain(text: Column) -> Column:
-    return F.translate(text, MARK, " ")
+def _marked(text: Column, every_name: bool, values: bool) -> Column:
+    """The text in lower case with a placeholder for each number, unit after a number and name; with `values`, the value in it."""
+    with_digits = F.rlike(text, F.lit("[0-9]"))    # most texts have none, so nothing to look for
+    s = F.when(F.contains(text, F.lit(MARK)), F.replace(text, F.lit(MARK), F.lit(" "))).otherwise(text)
+    units = F.regexp_replace(s, rf"(?i)(?<=[0-9])(\s?)({UNITS})(?!\p{{L}})", f"$1{MARK}u$2{MARK}" if values else f"$1{MARK}u{MARK}")
+    s = F.when(with_digits, units).otherwise(s)
+    s = F.regexp_replace(s, NAMES if every_name else INNER_NAMES, f"{MARK}p$0{MARK}" if values else f"{MARK}p{MARK}")
+    return F.lower(F.when(with_digits, F.regexp_replace(s, NUMBER, f"{MARK}n$0{MARK}" if values else f"{MARK}n{MARK}")).otherwise(s))
 
 
 def raw_tokens(text: Column, every_name: bool = False) -> Column:
-    """The words and numbers that `canonical_tokens` of the same form stands for."""
-    s = _plain(text)
-    if every_name:
-        s = F.regexp_replace(s, rf"(?i)(?<=[0-9])(\s?)({UNITS})(?!\p{{L}})", f"$1{MARK}$2{MARK}")
-        s = F.regexp_replace(s, NAMES, f"{MARK}$0{MARK}")
-    return F.regexp_extract_all(s, F.lit(rf"{MARK}[^{MARK}]+{MARK}|{NUMBER}|\p{{L}}+"), F.lit(0))
+    """The tokens of `canonical_tokens`, placeholders with the value that they stand for."""
+    return F.regexp_extract_all(_marked(text, every_name, True), F.lit(rf"{MARK}[^{MARK}]+{MARK}|\p{{L}}+"), F.lit(0))
 
 
 def canonical_tokens(text: Column, every_name: bool = False) -> Column:
@@ -39,10 +46,7 @@ def canonical_tokens(text: Column, every_name: bool = False) -> Column:
     Names are capitalised words within sentences, each a token; with `every_name` all capitalised words, also where a
     sentence begins, and those in a row are one token. Tokens are as many as `raw_tokens` and stand in the same places.
     """
-    s = F.regexp_replace(_plain(text), rf"(?i)(?<=[0-9])(\s?)(?:{UNITS})(?!\p{{L}})", f"$1{MARK}u")
-    s = F.regexp_replace(s, NAMES if every_name else r"(?<=[\p{Ll}0-9,;:]\s)\p{Lu}\p{Ll}+(?!\p{L})", f"{MARK}p")
-    s = F.regexp_replace(s, NUMBER, f"{MARK}n")
-    return F.regexp_extract_all(F.lower(s), F.lit(rf"{MARK}[nup]|\p{{L}}+"), F.lit(0))
+    return F.regexp_extract_all(_marked(text, every_name, False), F.lit(rf"{MARK}[nup]|\p{{L}}+"), F.lit(0))
 
 
 def _forms(text: Column, canonical: str, raw: str | None = None) -> Column:
@@ -55,11 +59,20 @@ def _literals(tokens: Column) -> Column:
     return F.size(F.filter(tokens, lambda t: ~F.startswith(t, F.lit(MARK))))
 
 
-def _windows(tokens: str, width: int, stride: int) -> Column:
-    """Array of (at, hash) of every `stride`-th window of `width` tokens."""
-    last = F.size(tokens) - width
-    starts = F.when(last >= 0, F.sequence(F.lit(0), last, F.lit(stride))).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda p: F.struct(p.alias("at"), F.xxhash64(F.slice(F.col(tokens), p + 1, F.lit(width)), F.lit(width), F.col("form")).alias("h")))
+def _windows(tokens: DataFrame, name: str, width: int, *keep: str) -> DataFrame:
+    """Rows (keep, at, h) of every window of `width` tokens of an array: their hashes side by side, hashed in turn.
+
+    Long arrays are cut into overlapping stretches first, so that a long text's windows are never all in memory.
+    """
+    hashed = tokens.select(*keep, F.transform(name, lambda t: F.xxhash64(t)).alias("hashes"))
+    size = F.size("hashes")
+    begins = F.when(size >= width, F.sequence(F.lit(0), size - width, F.lit(STRETCH))).otherwise(F.array().cast("array<int>"))
+    cut = F.transform(begins, lambda s: F.struct(s.alias("s"), F.slice("hashes", s + 1, F.lit(STRETCH + width - 1)).alias("part")))
+    parts = hashed.select(*keep, F.explode(cut).alias("x")).select(*keep, F.col("x.s").alias("s"), F.col("x.part").alias("part"))
+    n = F.size("part") - (width - 1)
+    beside = F.arrays_zip(*[F.slice("part", F.lit(k + 1), n).alias(f"t{k}") for k in range(width)])
+    rows = parts.select(*keep, "s", F.posexplode(beside).alias("k", "w"))
+    return rows.select(*keep, (F.col("s") + F.col("k")).alias("at"), F.xxhash64(*[F.col(f"w.t{k}") for k in range(width)], F.lit(width), F.col("form")).alias("h"))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
@@ -70,7 +83,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id
     its template; items of fewer than WINDOW tokens have the first form only, as "Paris is the capital" is no copy of "What is the capital". Every window of WINDOW tokens of an item, at least half of them literal, is joined with every window of the
     documents. Items of fewer tokens are joined as one window of their own length. Windows that meet place the item in the document;
     there a common run, or a run with the pieces of PIECE tokens or more within NEAR places of it, must have PASSAGE tokens
-    (or be the whole item), and each slot value of the item within them must stand for one value in the document.
+    (or be the whole item), and each slot value of the item within them must stand for one value in the document;
+    two values of the item may become the same one there.
     `run` counts the item's tokens found: divided by `item_tokens`, it is the coverage. `verbatim` tells whether all slot values found are equal.
 
     NULL and empty texts match nothing; neither do items of fewer than LEAST_TOKENS tokens or of placeholders mostly.
@@ -83,24 +97,21 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id
     texts = docs.select(F.col(id_col).alias("doc"), F.col(text_col).cast("string").alias("t")).where("t is not null")
     tokens = texts.select("doc", F.inline(_forms(F.col("t"), "ct")))
 
-    def side(width: int) -> Column:
-        whole = F.size("ict") == width if width < WINDOW else F.size("ict") >= WINDOW
-        return F.when(whole, _windows("ict", width, 1)).otherwise(_windows("ict", 1 << 30, 1))
-
-    plans = [(n, 1) for n in sorted(lengths) if n < WINDOW]
+    plans = [n for n in sorted(lengths) if n < WINDOW]
     if any(n >= WINDOW for n in lengths):
-        plans.append((WINDOW, 1))
+        plans.append(WINDOW)
     if not plans:
         return items.select(F.lit(None).cast(docs.schema[id_col].dataType).alias(id_col), F.col("item").alias(item_col), F.lit(0).alias("run"),
                             F.lit(0).alias("item_tokens"), F.lit(True).alias("verbatim")).limit(0)
-    asked = [items.select("item", "form", F.explode(side(w)).alias("w"), "ict").where(
-        _literals(F.slice("ict", F.col("w.at") + 1, F.lit(w))) * 2 >= w).select("item", "form", F.col("w.at").alias("item_at"), F.col("w.h").alias("h")) for w, _ in plans]
-    all_asked = asked[0]
-    for a in asked[1:]:
-        all_asked = all_asked.unionByName(a)
-    wanted = written(all_asked, "item-windows")  # written, so that Spark knows its true size before it joins
-    windows = tokens.select("doc", F.explode(F.concat(*[_windows("ct", w, s) for w, s in plans])).alias("w"))
-    met = windows.select("doc", F.col("w.at").alias("at"), F.col("w.h").alias("h")).join(wanted, "h")
+
+    def asked(width: int) -> DataFrame:
+        own = items.where(F.size("ict") == width if width < WINDOW else F.size("ict") >= WINDOW)
+        found = _windows(own, "ict", width, "item", "form", "ict")
+        return found.where(_literals(F.slice("ict", F.col("at") + 1, F.lit(width))) * 2 >= width).select("item", "form", F.col("at").alias("item_at"), "h")
+
+    wanted = written(reduce(DataFrame.unionByName, map(asked, plans)), "item-windows")  # written, so that Spark knows its true size before it joins
+    windows = reduce(DataFrame.unionByName, [_windows(tokens, "ct", w, "doc", "form") for w in plans]).drop("form")
+    met = windows.join(wanted, "h")
     hits = written(met.select("doc", "item", "form", (F.col("at") - F.col("item_at")).alias("shift")).distinct(), "item-hits")
 
     key = "hit_doc"
@@ -112,7 +123,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id
     start, n = F.greatest(F.lit(0), F.col("shift") - NEAR), F.size("ict")
     around = [F.slice(c, start + 1, n + 2 * NEAR) for c in ("ct", "rt")]
     placed = both.select("doc", "item", "ict", "irt", around[0].alias("dt"), around[1].alias("dv"), (F.col("shift") - start).alias("off"),
-                         n.alias("item_tokens"), (F.size("ct") == F.size("rt")).alias("aligned"), F.sequence(F.lit(0), n - 1).alias("places"))
+                         n.alias("item_tokens"), F.sequence(F.lit(0), n - 1).alias("places"))
 
     def common(move: Column) -> Column:
         """A sign for each token of the item: 1 where the document has the same."""
@@ -144,10 +155,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id
     straight = straight.withColumn("runs", F.transform("runs", lambda x: F.struct(x["k"].alias("k"), slots(F.transform(
         F.sequence(x["i"], x["i"] + x["k"] - 1), lambda i: F.struct(i.alias("i"), F.lit(0).alias("d")))).alias("slots"))))
     joint = F.when(F.size("joint") >= least, F.array(F.struct(F.size("joint").alias("k"), slots(F.col("joint")).alias("slots"))))
-    found = straight.select("doc", "item", "item_tokens", "aligned", F.explode(F.concat("runs", F.coalesce(joint, F.slice("runs", 1, 0)))).alias("x"))
-    found = found.select("doc", "item", "item_tokens", "aligned", F.col("x.k").alias("run"), F.col("x.slots").alias("slots"))
+    found = straight.select("doc", "item", "item_tokens", F.explode(F.concat("runs", F.coalesce(joint, F.slice("runs", 1, 0)))).alias("x"))
+    found = found.select("doc", "item", "item_tokens", F.col("x.k").alias("run"), F.col("x.slots").alias("slots"))
     values = F.array_distinct(F.transform("slots", lambda x: F.struct(x["kind"], x["iv"])))
-    good = found.where(~F.col("aligned") | (F.size(values) == F.size("slots"))).withColumn("verbatim", F.forall("slots", lambda x: x["iv"] == x["dv"]))
+    good = found.where(F.size(values) == F.size("slots")).withColumn("verbatim", F.forall("slots", lambda x: x["iv"] == x["dv"]))
     return good.groupBy("doc", "item").agg(F.max(F.struct(F.col("run") / F.col("item_tokens"), "run", "item_tokens")).alias("best"), F.max("verbatim").alias("verbatim")).select(
         F.col("doc").alias(id_col), F.col("item").alias(item_col), "best.run", "best.item_tokens", "verbatim")
 

@@ -77,4 +77,56 @@ def test_names_at_sentence_starts_and_of_several_words(spark):
     assert got[1, 1] is False and got[2, 2] is False and not any(k[0] == 4 for k in got)
     text = "In 2020, Mary Ann Smith paid 3.50 dollars for 5 Miles Tom; McDonald said OK. Anna  Lee"
     r = spark.createDataFrame([(text,)], "t string").select(D.canonical_tokens(F.col("t"), True).alias("c"), D.raw_tokens(F.col("t"), True).alias("r")).first()
-    assert len(r["c"]) == len(r["r"]) and r["c"][:3] == [D.MARK + "p", D.MARK + "n", D.MARK + "p"] and r["r"][2].strip(D.MARK) == "Mary Ann Smith"
+    assert len(r["c"]) == len(r["r"]) and r["c"][:3] == [D.MARK + "p", D.MARK + "n", D.MARK + "p"] and r["r"][2].strip(D.MARK)[1:] == "mary ann smith"
+
+
+def test_long_runs_do_not_overflow(spark):
+    rows = [(1, "Foo Bar " * 50_000), (2, "1." * 100_000), (3, "x" * 1_000_000), (4, "Xy" * 500_000), (5, "5 km " * 100_000), (6, f"{'Foo ' * 100_000}. {Q}.")]
+    got = {(r["doc_id"], r["item_id"]) for r in D.contaminated(docs(spark, rows), bench(spark, [(1, Q), (2, "Foo Bar and 1.1.1 of them")])).collect()}
+    assert (6, 1) in got and not got & {(3, 1), (4, 1), (5, 1)}
+
+
+def test_both_tokenisings_stand_in_the_same_places_for_any_text(spark):
+    import random
+
+    from pyspark.sql import functions as F
+    rng = random.Random(6)
+    bits = ["12km", "5 Miles", " ", "\n", "Foo", "BarX", "İstanbul", "Éa", "x", "of ", "1.", ",2", ";", "Mary Ann", "7", D.MARK, "ǅa", "km ", ". ", "\U00010400\U00010428a ", "ß"]
+    rows = [("".join(rng.choice(bits) for _ in range(rng.randint(0, 25))),) for _ in range(800)]
+    cols = [f(F.col("t"), e).alias(f"{n}{int(e)}") for n, f in (("c", D.canonical_tokens), ("r", D.raw_tokens)) for e in (False, True)]
+    for r in spark.createDataFrame(rows, "t string").select("t", *cols).collect():
+        for e in "01":
+            assert [x[:2] if x.startswith(D.MARK) else x for x in r["r" + e]] == r["c" + e], r["t"]
+
+
+def brute(texts, items):
+    """Documents that hold an item's tokens whole, with every slot exchanged by one rule."""
+    def cut(t):
+        return [(("n", m[0]) if m[0][0].isdigit() else ("w", m[0].lower())) for m in re.finditer(r"[0-9]+|[a-zA-Z]+", t)]
+    out = set()
+    for d, t in texts:
+        own = cut(t)
+        for i, q in items:
+            want = cut(q)
+            for k in range(len(own) - len(want) + 1):
+                slots = {}
+                if all(a[0] == b[0] and (a[0] == "n" and slots.setdefault(b[1], a[1]) == a[1] or a == b) for a, b in zip(own[k:], want)):
+                    out.add((d, i))
+    return out
+
+
+def test_templates_equal_brute_force(spark):
+    import random
+    rng = random.Random(8)
+    words = "red boat sails over deep green water while old men count nets near stone walls beside quiet hills under grey skies".split()
+    items = [(k, " ".join(rng.choice(words) if rng.random() < 0.8 else str(rng.randint(2, 4)) for _ in range(rng.randint(8, 24)))) for k in range(25)]
+    # windows of slots mostly are left out by design, so each item has a window of four words at least
+    items = [(k, q) for k, q in items if max(sum(w.isalpha() for w in q.split()[j:j + 8]) for j in range(len(q.split()) - 7)) >= 4]
+    texts = []
+    for k in range(150):
+        q = rng.choice(items)[1]
+        swap = {n: str(rng.randint(5, 9)) for n in "234"}
+        changed = " ".join((swap[w] if rng.random() < 0.9 else "1") if w in swap else w for w in q.split())
+        texts.append((k, f"{' '.join(rng.choice(words) for _ in range(9))} {rng.choice([q, changed])} {' '.join(rng.choice(words) for _ in range(9))}"))
+    got = {(r["doc_id"], r["item_id"]) for r in D.contaminated(docs(spark, texts), bench(spark, items)).where("run = item_tokens").collect()}
+    assert got == brute(texts, items) and 60 < len(got)
