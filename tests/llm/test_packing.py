@@ -54,7 +54,10 @@ def test_rounds_odd_texts_and_ids(spark):
     r = random.Random(3)
     pieces = spark.createDataFrame([(k, r.randint(1, 50)) for k in range(4000)], "k long, length long")
     total = pieces.groupBy().sum("length").first()[0]
-    assert checked(P.pack(pieces, capacity=100, group_pieces=300).collect(), 100) <= -(-total // 100) + 2
+    out = P.pack(pieces, capacity=100, group_pieces=300)
+    assert checked(out.collect(), 100) <= -(-total // 100) + 1 and out.columns == ["k", "length", "sequence_id", "offset"]
+    named = pieces.selectExpr("k AS old_group", "length", "'x' AS meets", "k AS bin")
+    assert sorted(r["old_group"] for r in P.pack(named, capacity=100, group_pieces=300).collect()) == list(range(4000))
 
 
 def test_local_search_empties_bins():
@@ -66,3 +69,23 @@ def test_local_search_empties_bins():
         fill = np.bincount(end, weights=lengths)
         assert fill.max() <= 100 and (fill > 0).sum() < 45 and (fill ** 2).sum() > (lengths ** 2).sum()
     assert len(P.best_fit(np.zeros(0, dtype=int), 10)) == 0
+
+
+def test_search_of_a_large_group_is_quick_and_sound():
+    import time
+    rng = np.random.default_rng(5)
+    began = time.perf_counter()
+    for lengths in (rng.integers(1, 4097, 16_384), rng.integers(300, 1700, 16_384), np.full(5000, 1366), rng.integers(1, 3, 16_384)):
+        start = P.best_fit(lengths, 4096)
+        end = P.local_search(lengths, start, 4096)
+        a, b = np.bincount(start, weights=lengths), np.bincount(end, weights=lengths)
+        assert b.max() <= 4096 and (b > 0).sum() <= (a > 0).sum() and (b ** 2).sum() >= (a ** 2).sum() and b.sum() == lengths.sum()
+    assert time.perf_counter() - began < 30
+
+
+def test_two_for_one_and_one_for_one():
+    # 100 a bin: the second can only be emptied by exchanges
+    lengths = np.array([60, 30, 45, 45, 50, 46, 4])
+    start = np.array([0, 0, 1, 1, 2, 2, 3])
+    fill = np.bincount(P.local_search(lengths, start, 100), weights=lengths)
+    assert (fill > 0).sum() == 3 and fill.max() <= 100
