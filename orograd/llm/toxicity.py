@@ -5,7 +5,6 @@ from __future__ import annotations
 import math
 import re
 import sys
-from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -27,10 +26,12 @@ WORD = re.compile(r"[^\W\d_]+")
 EDGES = "\"',;:?.()[]{}<>"
 # chunks between white space worth decoding: a sign beside a letter, or three equal letters
 SIGN = re.compile(r"[\d@$!|+(€£*_\-.~·#^`'][^\W\d_]|^[^\W\d_][\d@$!|+(€£*_\-.~·#^`']|[^\W\d_][\d@$|(€£]|([^\W\d_])\1\1")
-# single letters or signs in a row with white space between, for three or more
-SPACED = re.compile(r"(?<=\s)(?:[^\W_]|[@$!|+(€£])(?:\s(?:[^\W_]|[@$!|+(€£])){2,}(?=\s)")
-MAYBE_SPACED = re.compile(r"\s\S\s\S\s\S\s")
+DOUBLED = re.compile(r"([^\W\d_])\1")
+# single letters or signs in a row with white space between, for three or more; punctuation may follow the last
+SPACED = re.compile(r"(?<=\s)(?:[^\W_]|[@$!|+(€£])(?:\s(?:[^\W_]|[@$!|+(€£])){2,}(?=[\s.,;:!?\"')\]}])")
+MAYBE_SPACED = re.compile(r"\s\S\s\S\s\S[\s.,;:!?\"')\]}]")
 LONG_TOKEN = 400      # a longer run without white space is decoded in stretches of so many signs
+LONGEST_WORD = 40     # signs that stretches share, so that a word on a border is whole in one
 PREFIXES = (4, 5)
 MIN_ROWS, MIN_G2 = 4, 16.0
 DOUBT = 2.0              # standard errors taken off a log-odds: rare words count for less
@@ -38,127 +39,154 @@ MAX_FEATURES = 4_000   # most telling words and beginnings, by significance: the
 FIT_ROWS = 20_000      # about so many labelled texts at most, by a hash of the id, teach words and weights
 PENALTY, STEPS = 0.1, 600
 UNTAUGHT = 0.25        # score of every text where labels of one kind at most are known
-PRUNE = 300_000
-MEMO_ENTRIES = 150_000
-BOS = "^"
+PRUNE = 100_000
+MEMO_ENTRIES, LONG_CHUNK = 40_000, 80    # what a worker's dictionary holds: some MB
+TEXT_CHARS = 1_000_000
 
+# The letter model's alphabet has 128 symbols whatever the corpus: begin, a to z, end, and 100 that other letters share.
+SYMBOLS, LATIN, END = 128, 26, 27
+PLANE = 0x10000
 
-def _alphabet_key(word: str) -> str:
-    return BOS + BOS + word + "$"
 
+def symbol(letter: str) -> int:
+    k = ord(letter)
+    return k - 96 if 97 <= k <= 122 else END + 1 + (k * 40503 >> 3) % (SYMBOLS - END - 1)
 
-def letter_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """Character trigrams inside the plain words of all texts: (gram, n). They grow with the corpus until all are seen."""
-    def count(batches):
-        sums: dict[str, int] = {}
-        words: Counter = Counter()
 
-        def add(words):
-            for w, n in words.items():
-                k = _alphabet_key(w)
-                for i in range(len(k) - 2):
-                    g = k[i:i + 3]
-                    sums[g] = sums.get(g, 0) + n
-            words.clear()
+def symbol_table() -> np.ndarray:
+    """Symbols of the code points of the basic plane; 0 where no letter is."""
+    return np.array([symbol(c) if c.isalpha() else 0 for c in map(chr, range(PLANE))], dtype=np.int32)
+
+
+def gram_numbers(text: str, table: np.ndarray) -> np.ndarray:
+    """Numbers of the letter trigrams of all words of a lower-case text, their begins and ends included."""
+    points = np.frombuffer(f" {text} ".encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    s = table[np.minimum(points, PLANE - 1)]
+    for k in np.flatnonzero(points >= PLANE).tolist():
+        c = chr(points[k])
+        s[k] = symbol(c) if c.isalpha() else 0
+    a, b, c = np.concatenate([[0], s[:-2]]), s[:-1], s[1:]
+    a = np.where(b > 0, a, 0)
+    c = np.where((c == 0) & (b > 0), END, c)
+    return ((a * SYMBOLS + b) * SYMBOLS + c)[c > 0]
+
 
+def letter_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """Letter trigrams inside the words of all texts: (gram, n), at most SYMBOLS ** 3 of them whatever the corpus."""
+    def count(batches):
+        table, sums = symbol_table(), np.zeros(SYMBOLS ** 3, dtype=np.int64)
+        held, size = [], 0
         for pdf in batches:
             for text in pdf["text"]:
-                words.update(WORD.findall(text.lower()))
-                if len(words) > MEMO_ENTRIES:
-                    add(words)
-        add(words)
-        yield pd.DataFrame({"gram": pd.Series(list(sums), dtype=object), "n": pd.Series(list(sums.values()), dtype="int64")})
+                for lo in range(0, len(text), TEXT_CHARS):  # at a cut within a very long text one word counts as two
+                    held.append(text[lo:lo + TEXT_CHARS].lower())
+                    size += len(held[-1])
+                    if size >= TEXT_CHARS:
+                        sums += np.bincount(gram_numbers(" ".join(held), table), minlength=len(sums))
+                        held, size = [], 0
+        sums += np.bincount(gram_numbers(" ".join(held), table), minlength=len(sums))
+        own = np.flatnonzero(sums)
+        yield pd.DataFrame({"gram": own.astype(np.int32), "n": sums[own]})
 
     rows = docs.select(F.col(text_col).cast("string").alias("text")).where("text is not null")
-    return rows.mapInPandas(count, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-
-
-class LetterModel:
-    """Trigram letter model with backing off, as log-probabilities per next letter."""
-
-    def __init__(self, grams: dict[str, int]) -> None:
-        self.three: dict[str, float] = {}
-        two: dict[str, int] = {}
-        one: dict[str, int] = {}
-        total = 0
-        pair: dict[str, int] = {}
-        for g, n in grams.items():
-            two[g[:2]] = two.get(g[:2], 0) + n
-            pair[g[1:]] = pair.get(g[1:], 0) + n
-            one[g[2]] = one.get(g[2], 0) + n
-            total += n
-        before: dict[str, int] = {}
-        for p, n in pair.items():
-            before[p[0]] = before.get(p[0], 0) + n
-        size = len(one) + 1
-        self.one = {c: math.log((n + 0.5) / (total + 0.5 * size)) for c, n in one.items()}
-        self.floor = math.log(0.5 / (total + 0.5 * size)) if total else -10.0
-        self.two = {p: math.log((n + 2.0 * math.exp(self.one.get(p[1], self.floor))) / (before[p[0]] + 2.0)) for p, n in pair.items()}
-        for g, n in grams.items():
-            self.three[g] = math.log((n + 2.0 * math.exp(self.two[g[1:]])) / (two[g[:2]] + 2.0))
-
-    def __call__(self, a: str, b: str, c: str) -> float:
-        x = self.three.get(a + b + c)
-        if x is None:
-            x = self.two.get(b + c)
-            x = self.one.get(c, self.floor) - 2.5 if x is None else x - 1.0
-        return x
-
-
-def restore(token: str, model: LetterModel, lexicon: dict[str, float] | None = None) -> str:
-    """Most likely plain word behind a token: Viterbi over a lattice of signs, fillers and repeated letters.
-
-    A state is (last two letters, last written sign). A letter costs its log-probability after the
-    two before; reading a sign as a letter, dropping a filler and dropping a repeat have fixed costs.
+    return rows.mapInPandas(count, "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+
+
+def letter_model(grams: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Log-probabilities of a symbol after two others, backing off to one and to none, as a flat array."""
+    counts = np.zeros(SYMBOLS ** 3)
+    counts[grams] = n
+    three = counts.reshape(SYMBOLS, SYMBOLS, SYMBOLS)
+    pair = three.sum(axis=0)
+    one = (pair.sum(axis=0) + 0.5) / (pair.sum() + 0.5 * SYMBOLS)
+    two = (pair + 2.0 * one) / (pair.sum(axis=1, keepdims=True) + 2.0)
+    return np.log((three + 2.0 * two) / (three.sum(axis=2, keepdims=True) + 2.0)).astype(np.float32).reshape(-1)
+
+
+class Letters:
+    """The letter model of a task: `at[(a * SYMBOLS + b) * SYMBOLS + c]`."""
+
+    def __init__(self, flat: np.ndarray) -> None:
+        self.at = memoryview(flat)
+        self.symbols: dict[str, int] = {}
+
+    def __call__(self, a: int, b: int, c: int) -> float:
+        return self.at[(a * SYMBOLS + b) * SYMBOLS + c]
+
+    def symbol(self, letter: str) -> int:
+        k = self.symbols.get(letter)
+        if k is None:
+            k = self.symbols[letter] = symbol(letter)
+        return k
+
+
+def restore(token: str, model: Letters) -> str:
+    """Most likely plain words behind a token: Viterbi over a lattice of signs, fillers and repeated letters.
+
+    A state is the last two letters' symbols, so there are no more states than pairs of letters that the token's
+    signs can stand for, and none is left out. A letter costs its log-probability after the two before; reading a sign as a
+    letter, dropping a filler and dropping a repeat have fixed costs. At a filler or white space a word may also end,
+    at the cost of an end there and of the next word's begin.
     """
-    states: dict[tuple[str, str, str], tuple[float, str]] = {(BOS, BOS, ""): (0.0, "")}
+    states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
     for ch in token.lower():
-        new: dict[tuple[str, str, str], tuple[float, str]] = {}
+        new: dict[tuple[int, int], tuple[float, str]] = {}
 
         def put(key, score, word):
             if key not in new or score > new[key][0]:
                 new[key] = (score, word)
 
         letters = [(ch, 0.0)] if ch.isalpha() else [(c, -SIGN_COST) for c in LEET.get(ch, "")]
-        for (a, b, last), (score, word) in states.items():
-            for c, cost in letters:
-                put((b, c, c), score + cost + model(a, b, c), word + c)
-                if c == last:
-                    put((a, b, last), score + cost - REPEAT_COST, word)
-            if not letters or ch in FILLERS or ch.isspace():
-                put((a, b, last), score - FILLER_COST, word)
+        letters = [(c, model.symbol(c), cost) for c, cost in letters]
+        filler = not letters or ch in FILLERS or ch.isspace()
+        for (a, b), (score, word) in states.items():
+            for c, s, cost in letters:
+                put((b, s), score + cost + model(a, b, s), word + c)
+                if s == b and word.endswith(c):
+                    put((a, b), score + cost - REPEAT_COST, word)
+            if filler:
+                put((a, b), score - FILLER_COST, word)
+                if b:
+                    put((0, 0), score + model(a, b, END), word + " ")
             elif not ch.isalpha():
-                put((a, b, last), score - KEEP_COST, word)
-        states = dict(sorted(new.items(), key=lambda kv: (-kv[1][0], kv[0]))[:48])
-    best = max(((s + model(a, b, "$"), w) for (a, b, _), (s, w) in states.items()), default=(0.0, ""))
+                put((a, b), score - KEEP_COST, word)
+        states = new
+    best = max(((s + (model(a, b, END) if b else 0.0), w) for (a, b), (s, w) in states.items()), default=(0.0, ""))
     return best[1]
 
 
-def readings(token: str, model: LetterModel) -> list[str]:
+def readings(token: str, model: Letters) -> list[str]:
     """Plain words that an odd token most likely stands for."""
     out = []
-    for lo in range(0, len(token), LONG_TOKEN):
-        part = token[lo:lo + LONG_TOKEN]
-        out += WORD.findall(restore(part.strip(EDGES), model))
+    for lo in range(0, max(len(token) - LONGEST_WORD, 1), LONG_TOKEN - LONGEST_WORD):
+        out += WORD.findall(restore(token[lo:lo + LONG_TOKEN].strip(EDGES), model))
     return out
 
 
 class _Chunks(dict):
     """Chunk between white space -> (plain words, restored words)."""
 
-    def __init__(self, model: LetterModel) -> None:
+    def __init__(self, model: Letters) -> None:
         self.model = model
 
     def __missing__(self, chunk: str) -> tuple[tuple[str, ...], tuple[str, ...]]:
-        core = chunk.strip(EDGES)
-        odd = SIGN.search(core) if len(core) > 2 else None
-        out = (tuple(WORD.findall(chunk)), tuple(readings(core, self.model)) if odd else ())
-        if len(self) > MEMO_ENTRIES:
+        out = self.read(chunk)
+        if len(self) >= MEMO_ENTRIES:
             self.clear()
-        if len(chunk) <= LONG_TOKEN:
+        if len(chunk) <= LONG_CHUNK:
             self[chunk] = out
         return out
 
+    def read(self, chunk: str) -> tuple:
+        core = chunk.strip(EDGES)
+        odd = SIGN.search(core) if len(core) > 2 else None
+        return tuple(WORD.findall(chunk)), tuple(readings(core, self.model)) if odd else ()
+
+
+def spaced_runs(low: str) -> list[str]:
+    padded = f" {low} "
+    return [m[0] for m in SPACED.finditer(padded)] if MAYBE_SPACED.search(padded) else []
+
 
 def _words(text: str, chunks: _Chunks) -> tuple[set[str], set[str]]:
     """Distinct plain words of the whole text, and words restored from its odd chunks and spaced-out letters."""
@@ -170,10 +198,8 @@ def _words(text: str, chunks: _Chunks) -> tuple[set[str], set[str]]:
         plain.update(a)
         if b:
             restored.update(b)
-    padded = f" {low} "
-    if MAYBE_SPACED.search(padded):
-        for m in SPACED.finditer(padded):
-            restored.update(readings(m[0], chunks.model))
+    for run in spaced_runs(low):
+        restored.update(readings(run, chunks.model))
     return plain, restored
 
 
@@ -181,15 +207,49 @@ def _squeezed(word: str) -> str:
     return re.sub(r"(.)\1+", r"\1", word)
 
 
+def _beginnings(word: str) -> list[str]:
+    return [word, *[word[:n] + "*" for n in PREFIXES if len(word) > n]]
+
+
 def _with_beginnings(words: set[str]) -> set[str]:
-    return words | {w[:n] + "*" for n in PREFIXES for w in words if len(w) > n}
+    return {f for w in words for f in _beginnings(w)}
+
+
+class _Features(_Chunks):
+    """Chunk between white space -> numbers of the features that its plain and restored words have; mostly none."""
+
+    def __init__(self, model: Letters, names: list[str]) -> None:
+        super().__init__(model)
+        self.place = {f: k for k, f in enumerate(names)}
+        self.words = [w for w in names if not w.endswith("*")]
+        self.squeezed = {_squeezed(w): w for w in sorted(self.words)}
 
+    def numbers(self, words, restored: bool = False) -> set[int]:
+        if restored:  # a repeat may be one letter or two
+            words = [self.squeezed.get(_squeezed(w), w) for w in words]
+        return {self.place[f] for w in words for f in _beginnings(w) if f in self.place}
 
-def _model_rows(counts: DataFrame) -> dict[str, int]:
-    """Letter trigrams are bounded by the alphabet; a gram seen once in 2e8 changes no decision and is left to backing off."""
-    counts = written(counts, "letters")
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    return {r["gram"]: r["n"] for r in counts.where(F.col("n") >= max(1, total // 200_000_000)).orderBy(F.desc("n"), "gram").limit(300_000).collect()}
+    def read(self, chunk: str) -> tuple:
+        plain, restored = super().read(chunk)
+        if not restored:  # doubled letters are opened where a telling word may be behind them
+            restored = [w for w in plain if DOUBLED.search(w) and _squeezed(w) in self.squeezed]
+        return tuple(self.numbers(plain) | self.numbers(restored, True))
+
+    def of(self, text: str) -> set[int]:
+        low = text.lower()
+        own: set[int] = set()
+        for chunk in set(low.split()):
+            found = self[chunk]
+            if found:
+                own.update(found)
+        for run in spaced_runs(low):
+            own |= self.numbers(readings(run, self.model), True)
+        return own
+
+
+def _model(counts: DataFrame) -> np.ndarray:
+    rows = counts.collect()  # bounded by the alphabet
+    return letter_model(np.array([r["gram"] for r in rows], dtype=np.int64), np.array([r["n"] for r in rows], dtype=np.float64))
 
 
 def learn(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> dict:
@@ -199,7 +259,7 @@ def learn(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     is MIN_G2 or more; logistic regression weighs it. Both learn from all labelled texts, or from
     about FIT_ROWS of them chosen by a hash of the id where there are more. Rows without label or text teach nothing; where an id has several labels, the highest counts.
     """
-    grams = _model_rows(letter_counts(docs, text_col))
+    model = docs.sparkSession.sparkContext.broadcast(_model(letter_counts(docs, text_col)))  # of fixed size
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(
         F.max(F.col(label_col).cast("int")).alias("label"))
     known = written(known, "labels")
@@ -209,7 +269,7 @@ def learn(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     taught = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(known), "id")
 
     def count(batches):
-        chunks = _Chunks(LetterModel(grams))
+        chunks = _Chunks(Letters(model.value))
         sums: dict[str, list[int]] = {}
         rows = [0, 0]
         for pdf in batches:
@@ -239,18 +299,16 @@ def learn(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     g2 = 2 * (part(a, a + b, F.lit(float(n1))) + part(b, a + b, F.lit(float(n0))) + part(c, c + d, F.lit(float(n1))) + part(d, c + d, F.lit(float(n0))))
     best = sums.where("f <> ''").select("f", g2.alias("g2")).where((F.col("g2") >= MIN_G2) & (a * (n0 + 0.5) > b * (n1 + 0.5)))
     names = [r["f"] for r in best.orderBy(F.desc("g2"), "f").limit(MAX_FEATURES).collect()]
-    place = {f: k for k, f in enumerate(names)}
 
     def features(batches):
-        chunks = _Chunks(LetterModel(grams))
+        chunks = _Features(Letters(model.value), names)
         for pdf in batches:
-            own = [sorted(place[f] for f in _with_beginnings(set.union(*_words(t, chunks))) if f in place) for t in pdf["text"]]
-            yield pd.DataFrame({"label": pdf["label"], "own": own})
+            yield pd.DataFrame({"label": pdf["label"], "own": [sorted(chunks.of(t)) for t in pdf["text"]]})
 
     chosen = taught.mapInPandas(features, "label int, own array<int>")
     weights, bias = fit([(r["label"], r["own"]) for r in chosen.collect()], len(names))
     weights = {f: float(w) for f, w in zip(names, weights)}
-    return {"grams": grams, "weights": weights, "prior": bias}
+    return {"model": model, "weights": weights, "prior": bias}
 
 
 def fit(rows: list[tuple[int, list[int]]], n: int) -> tuple[np.ndarray, float]:
@@ -288,17 +346,14 @@ def score(docs: DataFrame, learned: dict, *, id_col: str = "doc_id", text_col: s
     prior's probability; without labels of both kinds every text has UNTAUGHT, so nothing is rejected.
     """
     def run(batches):
-        chunks, weights = _Chunks(LetterModel(learned["grams"])), learned["weights"]
-        squeezed = {_squeezed(w): w for w in sorted(weights) if not w.endswith("*")}
-
+        weights = list(learned["weights"].values())
+        chunks = _Features(Letters(learned["model"].value), list(learned["weights"]))
         for pdf in batches:
             out = []
             for text in pdf["text"]:
                 s = learned["prior"]
                 if isinstance(text, str):
-                    plain, restored = _words(text, chunks)
-                    restored = {squeezed.get(_squeezed(w), w) for w in restored}  # a repeat may be one letter or two
-                    s += sum(weights.get(f, 0.0) for f in _with_beginnings(plain | restored))
+                    s += sum(weights[k] for k in sorted(chunks.of(text)))
                 out.append(1.0 / (1.0 + math.exp(-max(min(s, 30.0), -30.0))))
             yield pd.DataFrame({"id": pdf["id"], "score": out})
 

@@ -37,5 +37,5 @@ def test_odd_documents_pass(spark, tmp_path):
 
 def test_registered_queries():
     names = [k for k in e.queries() if k.startswith("op")]
-    assert [k.split("_")[0] for k in sorted(names, key=lambda k: int(k[2:].split("_")[0]))] == [f"op{n}" for n in range(1, 11)]
+    assert [k.split("_")[0] for k in sorted(names, key=lambda k: int(k[2:].split("_")[0]))] == [f"op{n}" for n in range(1, 14)]
     assert "pipeline" in e.queries() and set(entry.oracle_sql()) <= set(e.queries()) and P.ORACLE_SQL is None

@@ -28,6 +28,10 @@ def test_obfuscated_words_are_restored(spark):
     plain = rows[1][1]
     odd = {9001: "1d10t", 9002: "m0r0n", 9003: "stuuupid", 9004: "w0rthle$$", 9005: "s c u m", 9006: "i.d.i.o.t", 9007: "$tup!d", 9008: "M-O-R-O-N"}
     rows += [(k, f"{plain} {w} {plain} {'stupid' if k == 9005 else 'scum'}") for k, w in odd.items()]  # beside one plain word, as toxic texts here hold two
+    joined = {9010: "such a s c u m, here", 9011: "oh y o u m o r o n. yes", 9012: "you-m0r0n", 9013: "iddiioott", 9014: "idiiot", 9015: "m o r o n", 9016: "no_1d1ot_here",
+              9017: "x" * 395 + "-m0r0n-" + "x" * 300}
+    rows += [(k, f"{plain} {w} {plain} stupid") for k, w in joined.items()]
+    odd |= joined
     rows += [(9099, f"{plain} scum"), (9100, f"{plain} 100% a b 3rd v1.2 c3po x-ray {plain}"), (9101, None), (9102, ""), (9103, plain * 2000 + " moron scum"), (9104, "!!! 123"), (None, plain), (1, plain)]
     df = spark.createDataFrame([(k, t, 0, "x") for k, t in rows], SCHEMA)
     lab = spark.createDataFrame([*labels, (3, None), (None, 1), (77777, 1)], "doc_id long, toxic int")
@@ -45,4 +49,22 @@ def test_given_tables(spark):
     p = entry.op7_toxicity(spark, d).toPandas().merge(pd.read_parquet(f"{d}/labels.parquet"), on="doc_id")
     clean = p[p.toxic == 0]
     assert clean.predicted.mean() < 0.03 and p[p.toxic == 1].predicted.mean() > 0.5
-    assert ((p.score >= 0.5).astype(int) == p.predicted).all()
+
+
+def test_held_out_documents(spark):
+    d = "/root/testdata/sf0.1"
+    p = entry.op7_toxicity(spark, d).toPandas().merge(pd.read_parquet(f"{d}/labels.parquet"), on="doc_id")
+    held = p[p.held_out]
+    toxic, rest = held[held.toxic == 1], held[held.toxic == 0]
+    assert ((p.score >= 0.5).astype(int) == p.predicted).all() and p.score.between(0, 1).all()
+    assert len(toxic) > 50 and toxic.predicted.mean() >= 0.85 and rest.predicted.mean() < 0.01
+
+
+def test_grams_are_those_of_words():
+    table = T.symbol_table()
+    text = "the cat's 2 ñus é x \U00010428\U00010429 ﬁ"
+    want = []
+    for w in T.WORD.findall(text):
+        k = [0, 0, *map(T.symbol, w), T.END]
+        want += [(k[i] * T.SYMBOLS + k[i + 1]) * T.SYMBOLS + k[i + 2] for i in range(len(k) - 2)]
+    assert sorted(T.gram_numbers(text, table).tolist()) == sorted(want)
