@@ -11,7 +11,7 @@ from ..plans import runs
 from ..session import scratch_folder
 from ..sources import sinks, tables
 from ..streaming import cycles
-from ..types import ALTITUDES_FT
+from ..types import ALTITUDES_FT, PRESSURE_LEVELS_MB
 from . import views as v
 from .base import cte, query, table
 
@@ -95,7 +95,13 @@ def profiles(spark, d):
     return timeseries.wind_profiles(h, v.prs(h), levels_unique=True)  # hours hold one row per ZIP
 
 
-@query("profile_interp", "SELECT ts, zip_code, altitude_ft, ti AS t_k FROM interp WHERE altitude_ft > 0", use="interp", doubles="t_k")
+# a level's values are arithmetic on the hour's, so the brackets need no join here
+cte("bracket", f"""SELECT *, list_max(list_filter({v.sql_list(PRESSURE_LEVELS_MB)}, lambda x: ln(x) <= q + 1e-13)) AS l0,
+    list_min(list_filter({v.sql_list(PRESSURE_LEVELS_MB)}, lambda x: ln(x) >= q - 1e-13)) AS l1 FROM target""", "target")
+
+
+@query("profile_interp", """SELECT ts, zip_code, altitude_ft, t0 + CASE WHEN l1 = l0 THEN 0 ELSE (q - ln(l0)) / (ln(l1) - ln(l0)) * (t1 - t0) END AS t_k
+    FROM (SELECT *, t2m_k - (1000 - l0) / 15.0::DOUBLE AS t0, t2m_k - (1000 - l1) / 15.0::DOUBLE AS t1 FROM bracket) WHERE altitude_ft > 0""", use="bracket", doubles="t_k")
 def _(spark, d):
     return profiles(spark, d).where("altitude_ft > 0").select("ts", "zip_code", "altitude_ft", F.col("temperature_k").alias("t_k"))
 

@@ -17,6 +17,7 @@ from ..functions.cols import bind
 from ..functions.surface import road_buffer_m, road_temp_offset
 from ..session import bounded_join, spread
 from ..types import CELL_SIZE_M, Grid
+from .placing import Placed, carried, fixed, on_grids, with_placement
 
 SPAN_BLOCK = 256
 
@@ -104,81 +105,93 @@ def signed_rings(polygons: DataFrame, *, keep: tuple[str, ...] = ()) -> DataFram
         F.when(depth % 2 == 0, 1.0).otherwise(-1.0)).alias("sign"))
 
 
-def spans(polygons: DataFrame, grid: Grid) -> DataFrame:
+def spans(polygons: DataFrame, grid: Grid | DataFrame) -> DataFrame:
     """`(id, row, x_from, x_to)`: the pieces of each grid row inside each polygon.
 
-    A pixel centre lies inside when `x_from <= x < x_to`.
+    A pixel centre lies inside when `x_from <= x < x_to`. With a placement table the pieces have `grid_id` and
+    the placement's columns too.
     """
     e = edges(polygons).where("y1 <> y2")
-    lo, hi = F.least("y1", "y2"), F.greatest("y1", "y2")
-    # rows whose centre y = f + e*(row + 0.5) falls in [lo, hi), plus one spare row on either side
-    ra, rb = (lo - grid.f) / grid.e - 0.5, (hi - grid.f) / grid.e - 0.5
-    first, last = F.floor(F.least(ra, rb)), F.ceil(F.greatest(ra, rb))
-    if grid.n_rows is not None:
-        first, last = F.greatest(first, F.lit(0)), F.least(last, F.lit(grid.n_rows - 1))
+    # an edge reaches over the rows between its ends, whatever its columns: the crossings beside a grid count as well
+    far = F.lit(float("inf"))
+    e, p = on_grids(e, grid, (-far, F.least("y1", "y2"), far, F.greatest("y1", "y2")))
+    first, last = p.rows_between(F.least("y1", "y2"), F.greatest("y1", "y2"))
     cut = (e.withColumn("_first", first).withColumn("_last", last).where("_first <= _last")
            .withColumn("row", F.explode(F.sequence("_first", "_last")))
-           .withColumn("_y", grid.f + grid.e * (F.col("row") + 0.5))
+           .withColumn("_y", p.y(F.col("row")))
            .where((F.col("y1") > F.col("_y")) != (F.col("y2") > F.col("_y")))
            .withColumn("xc", F.col("x1") + (F.col("_y") - F.col("y1")) / (F.col("y2") - F.col("y1"))
                        * (F.col("x2") - F.col("x1"))))
-    w = Window.partitionBy("id", "row").orderBy("xc")
+    w = Window.partitionBy(*p.keys, "id", "row").orderBy("xc")
     return (cut.withColumn("_n", F.row_number().over(w)).withColumn("x_to", F.lead("xc").over(w))
-            .where("_n % 2 = 1 and x_to > xc").select("id", "row", F.col("xc").alias("x_from"), "x_to"))
+            .where("_n % 2 = 1 and x_to > xc").select(*p.keys, *p.carried, "id", "row", F.col("xc").alias("x_from"), "x_to"))
 
 
 def merged_spans(sp: DataFrame) -> DataFrame:
     """Union of the spans of all polygons: disjoint pieces per grid row."""
-    w = Window.partitionBy("row").orderBy("x_from", "x_to")
+    keys = [k for k in sp.columns if k not in ("id", "row", "x_from", "x_to")]
+    by = ["grid_id", "row"] if "grid_id" in keys else ["row"]
+    w = Window.partitionBy(*by).orderBy("x_from", "x_to")
     reach = F.max("x_to").over(w.rowsBetween(Window.unboundedPreceding, -1))
     started = sp.withColumn("_new", F.when(F.col("x_from") <= reach, 0).otherwise(1))
     island = started.withColumn("_island", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    return island.groupBy("row", "_island").agg(F.min("x_from").alias("x_from"), F.max("x_to").alias("x_to")).drop("_island")
+    rest = [F.first(k).alias(k) for k in keys if k != "grid_id"]
+    return island.groupBy(*by, "_island").agg(F.min("x_from").alias("x_from"), F.max("x_to").alias("x_to"), *rest).drop("_island")
 
 
-def _span_blocks(sp: DataFrame, grid: Grid, block: int) -> DataFrame:
-    a = (F.col("x_from") - grid.c) / grid.a - 0.5
-    b = (F.col("x_to") - grid.c) / grid.a - 0.5
-    lo, hi = F.floor(F.least(a, b)), F.ceil(F.greatest(a, b))
-    if grid.n_cols is not None:
-        lo, hi = F.greatest(lo, F.lit(0)), F.least(hi, F.lit(grid.n_cols - 1))
+def _span_blocks(sp: DataFrame, p: Placed, block: int) -> DataFrame:
+    lo, hi = p.cols_between(F.col("x_from"), F.col("x_to"))
     return (sp.withColumn("_lo", lo).withColumn("_hi", hi).where("_lo <= _hi")
             .withColumn("_block", F.explode(F.sequence(F.floor(F.col("_lo") / F.lit(block)),
                                                        F.floor(F.col("_hi") / F.lit(block))))))
 
 
-def pixels_in_polygons(px: DataFrame, grid: Grid, polygons: DataFrame, *, block: int = SPAN_BLOCK) -> DataFrame:
-    """Pixels with the `id` of each polygon whose interior holds their centre."""
-    sp = _span_blocks(spans(polygons, grid), grid, block).select("id", "row", "_block", "x_from", "x_to")
-    at = (px.withColumn("_x", grid.c + grid.a * (F.col("col") + 0.5)).withColumn("row", F.col("row").cast("long"))
-          .withColumn("_block", F.floor(F.col("col") / F.lit(block))))
-    return (at.join(sp, ["row", "_block"]).where("_x >= x_from and _x < x_to")
-            .drop("_block", "_x", "x_from", "x_to"))
+def _placed(grid: Grid | DataFrame) -> Placed:
+    return fixed(grid) if isinstance(grid, Grid) else carried()
 
 
-def clip(px: DataFrame, grid: Grid, polygons: DataFrame, *, value: str = "value",
+def pixels_in_polygons(px: DataFrame, grid: Grid | DataFrame, polygons: DataFrame, *, block: int = SPAN_BLOCK) -> DataFrame:
+    """Pixels with the `id` of each polygon whose interior holds their centre.
+
+    `grid` is one grid's placement or a placement table for pixels of several, told apart by `grid_id`.
+    """
+    p = _placed(grid)
+    sp = _span_blocks(spans(polygons, grid), p, block).select(*p.keys, *p.carried, "id", "row", "_block", "x_from", "x_to")
+    at = (px.withColumn("row", F.col("row").cast("long")).withColumn("_block", F.floor(F.col("col") / F.lit(block))))
+    return (at.join(sp, [*p.keys, "row", "_block"]).withColumn("_x", p.x(F.col("col"))).where("_x >= x_from and _x < x_to")
+            .select(*px.columns, "id"))
+
+
+def clip(px: DataFrame, grid: Grid | DataFrame, polygons: DataFrame, *, value: str = "value",
          block: int = SPAN_BLOCK) -> DataFrame:
-    """Crop to the bounding box of the polygons; pixels of the box outside every polygon -> missing."""
-    sp = _span_blocks(merged_spans(spans(polygons, grid)), grid, block).select(
-        F.col("row").alias("_row"), F.col("_block").alias("_at"), "x_from", "x_to")
+    """Crop to the bounding box of the polygons; pixels of the box outside every polygon -> missing.
+
+    With a placement table every grid is cropped to the box on its own rows and columns; grids that no polygon
+    reaches give no rows.
+    """
     box = bounds(polygons).agg(*[f(k).alias(k) for f, k in (
-        (F.min, "minx"), (F.min, "miny"), (F.max, "maxx"), (F.max, "maxy"))])
-    cols = [(F.col(k) - grid.c) / grid.a for k in ("minx", "maxx")]
-    rows = [(F.col(k) - grid.f) / grid.e for k in ("miny", "maxy")]
-    lim = box.select(F.floor(F.least(*rows)).alias("r0"), F.ceil(F.greatest(*rows)).alias("r1"),
-                     F.floor(F.least(*cols)).alias("c0"), F.ceil(F.greatest(*cols)).alias("c1")).first()
-    if lim is None or lim["r0"] is None:
+        (F.min, "minx"), (F.min, "miny"), (F.max, "maxx"), (F.max, "maxy"))]).first()
+    if box is None or box["minx"] is None:
         raise ValueError("no polygon to clip to")
-    # literal range bounds reach the scan and skip row groups
-    crop = px.where((F.col("row") >= lim["r0"]) & (F.col("row") < lim["r1"])
-                    & (F.col("col") >= lim["c0"]) & (F.col("col") < lim["c1"]))
-    crop = (crop.withColumn("row", F.col("row").cast("long")).withColumn("_x", grid.c + grid.a * (F.col("col") + 0.5))
-            .withColumn("_block", F.floor(F.col("col") / F.lit(block))))
+    at = px.withColumn("row", F.col("row").cast("long"))
+    if isinstance(grid, Grid):
+        cols, rows = [(box[k] - grid.c) / grid.a for k in ("minx", "maxx")], [(box[k] - grid.f) / grid.e for k in ("miny", "maxy")]
+        lim = [F.lit(math.floor(min(rows))), F.lit(math.ceil(max(rows))), F.lit(math.floor(min(cols))), F.lit(math.ceil(max(cols)))]
+        p = fixed(grid)   # literal range bounds reach the scan and skip row groups
+    else:
+        at, p = with_placement(at, grid)
+        cols, rows = [(F.lit(box[k]) - p.c) / p.a for k in ("minx", "maxx")], [(F.lit(box[k]) - p.f) / p.e for k in ("miny", "maxy")]
+        lim = [F.floor(F.least(*rows)), F.ceil(F.greatest(*rows)), F.floor(F.least(*cols)), F.ceil(F.greatest(*cols))]
+    crop = at.where((F.col("row") >= lim[0]) & (F.col("row") < lim[1]) & (F.col("col") >= lim[2]) & (F.col("col") < lim[3]))
+    crop = crop.withColumn("_x", p.x(F.col("col"))).withColumn("_block", F.floor(F.col("col") / F.lit(block))).drop(*p.carried)
+    sp = _span_blocks(merged_spans(spans(polygons, grid)), p, block).select(
+        *[F.col(k).alias(f"_of_{k}") for k in p.keys], F.col("row").alias("_row"), F.col("_block").alias("_at"), "x_from", "x_to")
+    same = (F.col("row") == F.col("_row")) & (F.col("_block") == F.col("_at"))
+    for k in p.keys:
+        same = same & (F.col(k) == F.col(f"_of_{k}"))
     # merged spans are disjoint: a pixel meets one at most, so one join neither copies nor drops it
-    hit = crop.join(sp, (F.col("row") == F.col("_row")) & (F.col("_block") == F.col("_at"))
-                    & (F.col("_x") >= F.col("x_from")) & (F.col("_x") < F.col("x_to")), "left")
-    return (hit.withColumn(value, F.when(F.col("x_from").isNotNull(), F.col(value)))
-            .drop("_x", "_block", "_row", "_at", "x_from", "x_to"))
+    hit = crop.join(sp, same & (F.col("_x") >= F.col("x_from")) & (F.col("_x") < F.col("x_to")), "left")
+    return hit.withColumn(value, F.when(F.col("x_from").isNotNull(), F.col(value))).select(*px.columns)
 
 
 def with_bounds(polygons: DataFrame) -> DataFrame:
@@ -405,52 +418,50 @@ def line_length(pts: Column) -> Column:
         + F.pow(F.element_at(pts, i + 1)["y"] - F.element_at(pts, i)["y"], 2)))
 
 
-def road_heat(px: DataFrame, grid: Grid, roads: DataFrame) -> DataFrame:
+def road_heat(px: DataFrame, grid: Grid | DataFrame, roads: DataFrame) -> DataFrame:
     """Add road_heat_flux_wm2 and road_temp_offset_f: the summed flux of all buffers over a pixel.
 
     A buffer is the set of points within the tier distance of the line (round caps, exact circle).
     Pixels come from each segment's own rows and columns, so a segment costs what it covers; a
-    pixel met by several segments of one road counts that road once.
+    pixel met by several segments of one road counts that road once. `grid` is the placement of the
+    one grid in `px`, or the placement table of several.
     """
     seg = _segments(roads.where("size(pts) >= 2 and heat_flux_wm2 is not null")
                     .withColumn("_d", road_buffer_m("aadt")), ["road_id", "heat_flux_wm2", "_d"])
     seg = spread(seg, "road_id", "x1", "y1")
     d = F.col("_d")
 
-    def each_index(df: DataFrame, out: str, lo: str, hi: str, origin: float, step: float, n: int | None) -> DataFrame:
-        a, b = (F.col(lo) - origin) / step - 0.5, (F.col(hi) - origin) / step - 0.5
-        if step < 0:
-            a, b = b, a
-        first, last = F.floor(a), F.ceil(b)
-        if n is not None:
-            first, last = F.greatest(first, F.lit(0)), F.least(last, F.lit(n - 1))
-        return (df.withColumn("_first", first).withColumn("_last", last).where("_first <= _last")
+    seg = (seg.withColumn("_lo", F.least("y1", "y2") - d).withColumn("_hi", F.greatest("y1", "y2") + d)
+           .withColumn("_dx", F.col("x2") - F.col("x1")).withColumn("_dy", F.col("y2") - F.col("y1")))
+    seg, p = on_grids(seg, grid, (F.least("x1", "x2") - d, F.col("_lo"), F.greatest("x1", "x2") + d, F.col("_hi")))
+
+    def each_index(df: DataFrame, out: str, ends: tuple[Column, Column]) -> DataFrame:
+        return (df.withColumn("_first", ends[0]).withColumn("_last", ends[1]).where("_first <= _last")
                 .withColumn(out, F.explode(F.sequence("_first", "_last"))))
 
     # every step is a column of its own: inlined into one expression they would multiply
-    seg = (seg.withColumn("_lo", F.least("y1", "y2") - d).withColumn("_hi", F.greatest("y1", "y2") + d)
-           .withColumn("_dx", F.col("x2") - F.col("x1")).withColumn("_dy", F.col("y2") - F.col("y1")))
-    seg = each_index(seg, "row", "_lo", "_hi", grid.f, grid.e, grid.n_rows)
+    seg = each_index(seg, "row", p.rows_between(F.col("_lo"), F.col("_hi")))
     # only the part of the segment within reach of this row can touch its pixels
-    y = grid.f + grid.e * (F.col("row") + 0.5)
     flat = F.nullif(F.col("_dy"), F.lit(0.0))
-    near = (seg.withColumn("_y", y).withColumn("_t1", (F.col("_y") - d - F.col("y1")) / flat)
+    near = (seg.withColumn("_y", p.y(F.col("row"))).withColumn("_t1", (F.col("_y") - d - F.col("y1")) / flat)
             .withColumn("_t2", (F.col("_y") + d - F.col("y1")) / flat)
             .withColumn("_from", F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(F.least("_t1", "_t2"), F.lit(0.0)))))
             .withColumn("_to", F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(F.greatest("_t1", "_t2"), F.lit(1.0)))))
             .withColumn("_xa", F.col("x1") + F.col("_from") * F.col("_dx"))
             .withColumn("_xb", F.col("x1") + F.col("_to") * F.col("_dx"))
             .withColumn("_lo", F.least("_xa", "_xb") - d).withColumn("_hi", F.greatest("_xa", "_xb") + d))
-    near = each_index(near, "col", "_lo", "_hi", grid.c, grid.a, grid.n_cols)
+    near = each_index(near, "col", p.cols_between(F.col("_lo"), F.col("_hi")))
     dx, dy = F.col("_dx"), F.col("_dy")
-    x = grid.c + grid.a * (F.col("col") + 0.5)
-    along = ((x - F.col("x1")) * dx + (F.col("_y") - F.col("y1")) * dy) / F.nullif(dx * dx + dy * dy, F.lit(0.0))
-    near = near.withColumn("_x", x).withColumn("_t", F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(along, F.lit(0.0)))))
+    near = near.withColumn("_x", p.x(F.col("col")))
+    along = ((F.col("_x") - F.col("x1")) * dx + (F.col("_y") - F.col("y1")) * dy) / F.nullif(dx * dx + dy * dy, F.lit(0.0))
+    near = near.withColumn("_t", F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(along, F.lit(0.0)))))
     gap2 = (F.pow(F.col("_x") - F.col("x1") - F.col("_t") * dx, 2) + F.pow(F.col("_y") - F.col("y1") - F.col("_t") * dy, 2))
-    touched = near.where(gap2 <= d * d).select("road_id", "row", "col", "heat_flux_wm2").distinct()
-    flux = touched.groupBy("row", "col").agg(F.sum("heat_flux_wm2").alias("_flux"))
+    on = [*p.keys, "row", "col"]
+    # dealt by pixel once: distinct roads, their sum and the join with the pixels all fit that
+    touched = near.where(gap2 <= d * d).select(*p.keys, "road_id", "row", "col", "heat_flux_wm2").repartition(*on).distinct()
+    flux = touched.groupBy(*on).agg(F.sum("heat_flux_wm2").alias("_flux"))
     return (px.withColumn("row", F.col("row").cast("long")).withColumn("col", F.col("col").cast("long"))
-            .join(flux, ["row", "col"], "left")
+            .join(flux, on, "left")
             .withColumn("road_heat_flux_wm2", F.coalesce("_flux", F.lit(0.0)))
             .withColumn("road_temp_offset_f", road_temp_offset("road_heat_flux_wm2")).drop("_flux"))
 

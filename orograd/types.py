@@ -116,6 +116,14 @@ class Grid:
     crs: str = "utm10"
 
 
+PLACEMENT_SCHEMA = "grid_id string, a double, c double, e double, f double, n_rows long, n_cols long, crs string"
+
+
+def placements(spark: SparkSession, grids: dict[str, Grid]) -> DataFrame:
+    """The placement table of several grids; operators take it wherever they take one `Grid`."""
+    return spark.createDataFrame([(k, float(g.a), float(g.c), float(g.e), float(g.f), g.n_rows, g.n_cols, g.crs) for k, g in grids.items()], PLACEMENT_SCHEMA)
+
+
 def stations(spark: SparkSession) -> DataFrame:
     """The 11-row station dimension."""
     return spark.createDataFrame(
