@@ -1,3 +1,4 @@
+import pandas as pd
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -152,3 +153,26 @@ def test_area_average(spark):
 def test_tiles_are_one_exchange(spark, rough):
     plan = hydrology.flow_direction(table(spark, rough))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+@pytest.mark.parametrize("sizes", [{"tile": 8}, {"tile": 4, "factor": 2, "top_rows": 20}, {"tile": 4, "factor": 3, "top_rows": 200}])
+def test_levels_of_tiles_equal_one_pass(spark, sizes):
+    """Accumulation over several levels of blocks, on two grids, against a walk from every cell."""
+    rng = np.random.default_rng(7)
+    n, parts = 37, []
+    for g in ("a", "b"):
+        z = np.cumsum(np.cumsum(rng.normal(size=(n, n)), 0), 1) + 2.0 * np.arange(n)[:, None]
+        parts.append(pd.DataFrame({"grid_id": g, "row": np.repeat(np.arange(n), n), "col": np.tile(np.arange(n), n), "elev_m": z.ravel()}))
+    flow = hydrology.flow_direction(spark.createDataFrame(pd.concat(parts)), tile=8)
+    rows = flow.collect()
+    code = {(r["grid_id"], r["row"], r["col"]): r["flow_dir"] for r in rows}
+    want = dict.fromkeys(code, 0)
+    for at in code:
+        while True:
+            want[at] += 1
+            if not code[at]:
+                break
+            dr, dc = hydrology.D8[code[at]]
+            at = (at[0], at[1] + dr, at[2] + dc)
+    got = {(r["grid_id"], r["row"], r["col"]): r["flow_accumulation"] for r in hydrology.flow_accumulation(flow, **sizes).collect()}
+    assert got == want and max(got.values()) > 100
