@@ -6,13 +6,13 @@ from dataclasses import replace
 
 from pyspark.sql import functions as F
 
-from ..operators import geometry, stations
+from ..operators import geometry, overlay, stations
 from ..plans import runs
 from ..sources import tables
 from ..types import Grid, placements
 from . import views as v
 from .base import cte, query
-from .formulas import _boxes
+from .formulas import _boxes, _regions
 from .rasters import obs
 from .zips import actual
 
@@ -60,6 +60,13 @@ def _(spark, d):
     return geometry.road_heat(px.select("grid_id", "row", "col"), grids, tables.road_heat_flux(v.roads(spark, d)))
 
 
+# the union of a region's overlapping shapes holds the pixels that any of them holds
+@query("region_boundary", "SELECT DISTINCT 'g' AS grid_id, row, col, 'R' || CAST(id % 5 AS VARCHAR) AS id FROM inside", use="inside")
+def _(spark, d):
+    whole = overlay.dissolve_rings(_regions(spark, d).select("id", "region_code", "rings"))
+    return geometry.pixels_in_polygons(v.pixels(spark, d).select("grid_id", "row", "col"), v.GRID, whole.withColumnRenamed("region_code", "id"))
+
+
 cte("rcells", """SELECT a.id, CASE WHEN a.id % 2 = 0 THEN 'R1' ELSE 'R2' END AS region_code, CASE WHEN a.id % 2 = 0 THEN 'KPDX' ELSE 'KEUG' END AS base_station, n,
     'cell_' || lpad(CAST(row_number() OVER (PARTITION BY a.id ORDER BY a.iy, a.ix) AS VARCHAR), 3, '0') AS cell_id, base + elev - coalesce(uhi * 180, 0) AS effective_hdd
     FROM cell_area a LEFT JOIN (SELECT i.id, CAST(floor((x - minx) / 200) AS INTEGER) AS ix, CAST(floor((maxy - y) / 200) AS INTEGER) AS iy,
