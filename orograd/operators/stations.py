@@ -12,17 +12,20 @@ from ..functions import air
 from ..functions.cols import c
 from ..functions.geodesy import haversine_km, lonlat_to_utm
 from ..types import STATIONS, Grid, stations
+from .nearest import nearest
 from .quantiles import exact_quantiles
 
 
 def nearest_station(points: DataFrame, *, lat: str = "centroid_lat", lon: str = "centroid_lon",
-                    out: str = "base_station") -> DataFrame:
+                    out: str = "base_station", sites: DataFrame | None = None) -> DataFrame:
     """Add the nearest station by great circle and `distance_km`; the first listed wins a tie.
 
-    A missing coordinate gives a missing station.
-
-    The stations are a fixed list of eleven, so the choice is a plain expression: no join, no shuffle.
+    A missing coordinate gives a missing station. The fixed eleven are a plain expression: no join, no shuffle. Another station
+    table `sites(station_id, lat, lon)` may have any size; of its stations at equal distance the first by name wins.
     """
+    if sites is not None:
+        named = sites.select(F.col("station_id").alias(out), "lat", "lon")
+        return nearest(points, named, lat=lat, lon=lon, take=(out,), out_km="distance_km")
     ranked = F.array_min(F.array(*[
         F.struct(haversine_km(lat, lon, la, lo).alias("km"), F.lit(i).alias("ord"), F.lit(s).alias("id"))
         for i, (s, _, _, la, lo) in enumerate(STATIONS)]))
@@ -78,31 +81,13 @@ def nearest_grid(points: DataFrame, grid_axes: DataFrame, *, lat: str = "lat", l
     return nearest_on_axis(out, gx, at=lon, index="gx", coord="glon")
 
 
-def nearest_curvilinear(points: DataFrame, cells: DataFrame, *, lat: str = "lat", lon: str = "lon", reach_deg: float = 0.25) -> DataFrame:
+def nearest_curvilinear(points: DataFrame, cells: DataFrame, *, lat: str = "lat", lon: str = "lon") -> DataFrame:
     """Add gy, gx of the nearest grid cell by great circle, for grids whose rows and columns are no parallels.
 
-    `cells(gy, gx, lat, lon)` are offered to the squares of `reach_deg` around their own, so a point meets
-    those of its neighbourhood alone. Points farther than `reach_deg` from every cell, or without
-    coordinates, get none. The lowest (gy, gx) wins a tie. Points stay rows of their own.
+    `cells(gy, gx, lat, lon)` of any number; the lowest (gy, gx) wins a tie. However far a point lies, it has a cell; without
+    coordinates it has none. Points stay rows of their own.
     """
-    def square(name: str) -> Column:
-        return F.floor(F.col(name) / reach_deg)
-
-    near = F.array(*[F.lit(k) for k in (-1, 0, 1)])
-    # degrees of longitude shrink toward the poles: rows of squares reach as far as they must at their latitude
-    wide = F.ceil(1.0 / F.greatest(F.cos(F.radians("_lat")), F.lit(0.05))).cast("int")
-    offered = (cells.select(F.col("gy").alias("_gy"), F.col("gx").alias("_gx"), F.col("lat").alias("_lat"), F.col("lon").alias("_lon"))
-               .where("_lat is not null and _lon is not null").withColumn("_dy", F.explode(near))
-               .withColumn("_dx", F.explode(F.sequence(-wide, wide)))
-               .withColumn("_sy", square("_lat") + F.col("_dy")).withColumn("_sx", square("_lon") + F.col("_dx")))
-    by_square = offered.groupBy("_sy", "_sx").agg(F.collect_list(F.struct("_lat", "_lon", "_gy", "_gx")).alias("_cells"))
-    probe = points.withColumn("_sy", square(lat)).withColumn("_sx", square(lon)).join(by_square, ["_sy", "_sx"], "left")
-    best = F.array_min(F.transform("_cells", lambda k: F.struct(
-        haversine_km(F.col(lat), F.col(lon), k["_lat"], k["_lon"]).alias("km"), k["_gy"].alias("gy"), k["_gx"].alias("gx"))))
-    reach_km = 111.19 * reach_deg
-    found = probe.withColumn("_best", best)
-    hit = F.col("_best.km") <= reach_km
-    return found.select(*points.columns, F.when(hit, F.col("_best.gy")).alias("gy"), F.when(hit, F.col("_best.gx")).alias("gx"))
+    return nearest(points, cells, lat=lat, lon=lon, take=("gy", "gx"))
 
 
 def sample_grid(fields: DataFrame, points: DataFrame, *, key: str = "zip_code") -> DataFrame:
