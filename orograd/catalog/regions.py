@@ -10,6 +10,7 @@ from ..operators import geometry, overlay, stations
 from ..plans import runs
 from ..sources import tables
 from ..types import Grid, placements
+from ..types import stations as station_table
 from . import views as v
 from .base import cte, query
 from .formulas import _boxes, _regions
@@ -67,6 +68,22 @@ def _(spark, d):
     return geometry.pixels_in_polygons(v.pixels(spark, d).select("grid_id", "row", "col"), v.GRID, whole.withColumnRenamed("region_code", "id"))
 
 
+# the same surfaces through the triangle index, with the stations as a table
+@query("station_bias_table", """SELECT h.grid_id, h.row, h.col, h.hdd,
+    h.hdd + coalesce(wa * a.offset_ + wb * b.offset_ + (1 - wa - wb) * c.offset_, 0) AS corrected
+    FROM annual_hdd h LEFT JOIN weights w USING (row, col) LEFT JOIN on_grid a ON a.station_id = ia
+    LEFT JOIN on_grid b ON b.station_id = ib LEFT JOIN on_grid c ON c.station_id = ic""",
+       use="weights annual_hdd on_grid", doubles="hdd corrected")
+def _(spark, d):
+    return stations.station_bias(tables.hdd_annual(v.temps(spark, d)), v.LONLAT, value="hdd", sites=station_table(spark))
+
+
+@query("wind_merge_table", "SELECT grid_id, row, col, wind AS wind_ms FROM merged", use="merged", doubles="wind_ms")
+def _(spark, d):
+    px = v.pixels(spark, d).select("grid_id", "row", "col", (F.col("elev_m") / 200).alias("value"))
+    return stations.wind_merge(px, v.LONLAT, stations.station_wind(obs(spark, d), with_p90=False), sites=station_table(spark)).drop("value")
+
+
 cte("rcells", """SELECT a.id, CASE WHEN a.id % 2 = 0 THEN 'R1' ELSE 'R2' END AS region_code, CASE WHEN a.id % 2 = 0 THEN 'KPDX' ELSE 'KEUG' END AS base_station, n,
     'cell_' || lpad(CAST(row_number() OVER (PARTITION BY a.id ORDER BY a.iy, a.ix) AS VARCHAR), 3, '0') AS cell_id, base + elev - coalesce(uhi * 180, 0) AS effective_hdd
     FROM cell_area a LEFT JOIN (SELECT i.id, CAST(floor((x - minx) / 200) AS INTEGER) AS ix, CAST(floor((maxy - y) / 200) AS INTEGER) AS iy,

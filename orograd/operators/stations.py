@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 from ..functions import air
 from ..functions.cols import c
 from ..functions.geodesy import haversine_km, lonlat_to_utm
+from ..session import checkpoint
 from ..types import STATIONS, Grid, stations
 from .nearest import nearest
+from .placing import fixed, on_grids
 from .quantiles import exact_quantiles
 
 
@@ -164,13 +166,39 @@ def _station_pixels(px: DataFrame, grid: Grid, value: str, *more: str) -> list[t
     return [(s, p) for s in sites for p in rows if (p["row"], p["col"]) == (s["row"], s["col"])]
 
 
-def station_bias(px: DataFrame, grid: Grid, *, value: str = "value", out: str = "corrected") -> DataFrame:
+def _sites_on(grid: Grid | DataFrame, sites: DataFrame) -> DataFrame:
+    """Stations `(station_id, lat, lon, ...)` in the reference system of each grid, with the nearest pixel's row and column."""
+    if isinstance(grid, Grid):
+        at, p = _placed(sites, grid), fixed(grid)
+    else:
+        # few grids, few stations: every station is placed on the grids whose extent it lies in
+        utm = lonlat_to_utm("lon", "lat")
+        both = sites.withColumns({"_ux": utm[0], "_uy": utm[1]}).withColumn("crs", F.explode(F.array(F.lit("lonlat"), F.lit("utm10"))))
+        both = both.withColumn("sx", F.when(F.col("crs") == "lonlat", F.col("lon")).otherwise(F.col("_ux"))).withColumn(
+            "sy", F.when(F.col("crs") == "lonlat", F.col("lat")).otherwise(F.col("_uy"))).drop("_ux", "_uy")
+        at, p = on_grids(both, grid, (F.col("sx"), F.col("sy"), F.col("sx"), F.col("sy")))
+        at = at.join(grid.select("grid_id", F.col("crs").alias("_crs")), "grid_id").where("crs = _crs").drop("crs", "_crs")
+    return (at.withColumn("col", F.rint((F.col("sx") - p.c) / p.a).cast("long"))
+            .withColumn("row", F.rint((F.col("sy") - p.f) / p.e).cast("long")).drop(*p.carried))
+
+
+def station_bias(px: DataFrame, grid: Grid | DataFrame, *, value: str = "value", out: str = "corrected", sites: DataFrame | None = None) -> DataFrame:
     """Shift an HDD grid toward the station normals.
 
     Each station gives the offset between its normal and the grid pixel nearest to it. Offsets are
     interpolated linearly between stations and are 0 outside their hull; fewer than three stations
-    on the grid leave it unchanged. At most eleven station pixels reach the driver.
+    on the grid leave it unchanged. The fixed eleven on one grid are a plain expression, of which at most eleven
+    station pixels reach the driver. A station table `sites(station_id, hdd_normal, lat, lon)` of any
+    size, or a placement table of several grids, goes through the triangle index.
     """
+    if sites is not None or not isinstance(grid, Grid):
+        from .triangles import interpolate
+        on = ["row", "col"] if isinstance(grid, Grid) else ["grid_id", "row", "col"]
+        at = _sites_on(grid, stations(px.sparkSession) if sites is None else sites)
+        own = px.select(*[F.col(k).cast("long") if k != "grid_id" else F.col(k) for k in on], F.col(value).alias("_own"))
+        offsets = at.join(own, on).select(*[k for k in on if k == "grid_id"], "station_id", "sx", "sy", (F.col("hdd_normal") - F.col("_own")).alias("_offset"))
+        made = interpolate(px, grid, checkpoint(offsets), ["_offset"], ["_shift"])
+        return made.withColumn(out, c(value) + F.coalesce("_shift", F.lit(0.0))).drop("_shift")
     hits = [(s["sx"], s["sy"], s["hdd_normal"] - p["v"]) for s, p in _station_pixels(px, grid, value) if p["v"] is not None]
     x, y = _origin_xy(grid)
     surface = _interpolated(x, y, hits) if len(hits) >= 3 else None
@@ -205,8 +233,17 @@ def station_bias_monthly(px: DataFrame, grid: Grid, *, value: str = "hdd", out:
     return px.withColumn(out, c(value) + F.coalesce(_interpolated(x, y, pts), F.lit(0.0)))
 
 
-def wind_merge(px: DataFrame, grid: Grid, wind: DataFrame, *, value: str = "value", out: str = "wind_ms") -> DataFrame:
-    """Station wind where it can be interpolated, gridded wind elsewhere."""
+def wind_merge(px: DataFrame, grid: Grid | DataFrame, wind: DataFrame, *, value: str = "value", out: str = "wind_ms",
+               sites: DataFrame | None = None) -> DataFrame:
+    """Station wind where it can be interpolated, gridded wind elsewhere.
+
+    `sites(station_id, lat, lon)` of any size, or a placement table of several grids, go through the triangle index.
+    """
+    if sites is not None or not isinstance(grid, Grid):
+        from .triangles import interpolate
+        at = _sites_on(grid, stations(px.sparkSession) if sites is None else sites).join(wind.select("station_id", "mean_wind_ms"), "station_id")
+        made = interpolate(px, grid, checkpoint(at.drop("row", "col")), ["mean_wind_ms"], ["_blown"])
+        return made.withColumn(out, F.coalesce("_blown", c(value))).drop("_blown")
     rows = (_placed(stations(px.sparkSession), grid).join(wind, "station_id")
             .where("mean_wind_ms is not null").select("station_id", "sx", "sy", "mean_wind_ms")
             .orderBy("station_id").collect())
