@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_folder
+from ..sources.flat import fixed_records
 from .common import written
 from .tokens import default_path, encoder
 
@@ -37,6 +38,8 @@ def write_flat(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
         from pyspark import TaskContext
 
         encode, file = encoder(path, plain_specials=True), TaskContext.get().partitionId()
+        if not 0 <= end_id < 1 << 16:
+            raise ValueError("flat files here hold ids of 16 bits")
         end, held, block, first, limit = np.array([end_id], dtype="<u2").tobytes(), bytearray(), 0, 0, 2 * block_tokens
 
         def row(block=None, ids=None, first=None, docs=None):
@@ -46,7 +49,10 @@ def write_flat(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
             yield row(first=first, docs=[None if pd.isna(k) else k for k in pdf["id"].astype(object)])
             first += len(pdf)
             for text in pdf["text"].array:
-                held += np.frombuffer(encode(text if isinstance(text, str) else None), dtype="<u4").astype("<u2").tobytes() + end
+                ids = np.frombuffer(encode(text if isinstance(text, str) else None), dtype="<u4")
+                if len(ids) and ids.max() >= 1 << 16:
+                    raise ValueError("the vocabulary has ids of more than 16 bits")
+                held += ids.astype("<u2").tobytes() + end
                 while len(held) >= limit:
                     yield row(block, bytes(held[:limit]))
                     del held[:limit]
@@ -62,11 +68,9 @@ def write_flat(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
 
 
 def read_flat(spark: SparkSession, path: str, *, width: int = 2, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
-    """Blocks (file, block, ids) of flat files that other programs wrote; Spark reads files of up to 2 GB this way."""
-    files = spark.read.format("binaryFile").load(path).select(F.xxhash64("path").alias("file"), "content", "length")
-    step = width * block_tokens
-    cut = files.where("length > 0").withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(length - 1) div {step}"))))
-    return cut.select("file", "block", F.expr(f"substring(content, cast(block * {step} + 1 as int), {step})").alias("ids"))
+    """Blocks (file, block, ids) of flat files of any size that other programs wrote, read by byte ranges."""
+    raw = fixed_records(spark, path, record_bytes=width, records=block_tokens)
+    return raw.select(F.xxhash64("file").alias("file"), "block", F.col("data").alias("ids"))
 
 
 def token_counts(blocks: DataFrame, *, end_id: int = END_OF_TEXT, dtype: str = "<u2") -> DataFrame:
