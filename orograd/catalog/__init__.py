@@ -6,7 +6,7 @@ from importlib import import_module
 
 from .base import ORACLES, QUERIES
 
-MODULES = ["formulas", "rasters", "zips", "hourly", "regions"]
+MODULES = ["formulas", "rasters", "zips", "hourly", "regions", "written"]
 
 
 def _load() -> None:

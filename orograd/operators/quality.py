@@ -223,10 +223,11 @@ def top_issues(issues: DataFrame, n: int = 10) -> DataFrame:
 
 def qa_stats(t: DataFrame, *, hdd: str = "effective_hdd") -> DataFrame:
     """Statistics of cell rows and of ZIP rows: count, mean, min, max, std, quartiles, cells per ZIP."""
-    t = t.withColumn("level", F.when(F.col("cell_id") == "aggregate", "zip").otherwise("cell"))
-    quartiles = exact_quantiles(t, hdd, {"hdd_p25": 0.25, "hdd_median": 0.5, "hdd_p75": 0.75}, keys=("level",))
     cells = F.col("num_cells") if "num_cells" in t.columns else F.lit(None).cast("double")
-    per_zip = F.when(F.col("cell_id") == "aggregate", cells)
+    # written once and narrow: the sketch, the counts and the statistics each read it
+    t = checkpoint(t.select("cell_id", hdd, cells.alias("num_cells"), F.when(F.col("cell_id") == "aggregate", "zip").otherwise("cell").alias("level")))
+    quartiles = exact_quantiles(t, hdd, {"hdd_p25": 0.25, "hdd_median": 0.5, "hdd_p75": 0.75}, keys=("level",))
+    per_zip = F.when(F.col("cell_id") == "aggregate", F.col("num_cells"))
     stats = t.groupBy("level").agg(
         F.count(F.lit(1)).alias("num_rows"), F.avg(hdd).alias("hdd_mean"), F.min(hdd).alias("hdd_min"),
         F.max(hdd).alias("hdd_max"), F.stddev_samp(hdd).alias("hdd_std"),

@@ -90,6 +90,22 @@ def write_cube(cube: DataFrame, path: str) -> None:
     write_by_date(cube, path)
 
 
+def _csv_by_date(df: DataFrame, path: str, ts: str, form: str) -> None:
+    """CSV with header, one folder per date; only the dates present are replaced. Times are text in `form`."""
+    out = df.withColumn("day", F.to_date(ts)).withColumn(ts, F.date_format(ts, form))
+    (out.hint("rebalance", "day").write.mode("overwrite").option("header", True).option("partitionOverwriteMode", "dynamic").partitionBy("day").csv(path))
+
+
+def write_hourly_csv(cube: DataFrame, path: str) -> None:
+    """The hourly cube as CSV by date, hours as ISO text."""
+    _csv_by_date(cube, path, "datetime_utc", "yyyy-MM-dd'T'HH:mm:ss")
+
+
+def write_cube_csv(cube: DataFrame, path: str) -> None:
+    """The daily safety cube as CSV by date."""
+    _csv_by_date(cube, path, "date", "yyyy-MM-dd")
+
+
 def write_features(cells: DataFrame, path: str, *, properties: list[str], rings: str = "rings") -> None:
     geojson_features(cells, properties=properties, rings=rings).select("feature").write.mode("overwrite").text(path)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -29,6 +29,16 @@ def dedup_cycles(stream: DataFrame, *, lookback: str = LOOKBACK) -> DataFrame:
     return stream.withWatermark("ts", lookback).dropDuplicatesWithinWatermark(["ts", "zip_code"])
 
 
+def newest_cycles(stream: DataFrame, *, sequence: str, lookback: str = LOOKBACK) -> DataFrame:
+    """One row per hour and ZIP: of repeats within the look-back the one with the highest `sequence`.
+
+    An hour's rows come out when the look-back has passed, so totals behind this count each hour once and with its last value.
+    """
+    rest = [k for k in stream.columns if k not in ("ts", "zip_code")]
+    last = stream.withWatermark("ts", lookback).groupBy("ts", "zip_code").agg(F.max_by(F.struct(*rest), sequence).alias("_row"))
+    return last.select("ts", "zip_code", "_row.*").select(*stream.columns)
+
+
 def cycle_cube_stream(stream: DataFrame, static: DataFrame, *, bias: float = 0.0) -> DataFrame:
     """Cube rows of each cycle: a stateless stream-static join."""
     return hourly_cube(stream, static, bias=bias)
@@ -37,7 +47,16 @@ def cycle_cube_stream(stream: DataFrame, static: DataFrame, *, bias: float = 0.0
 def daily_hdd_stream(stream: DataFrame, *, lookback: str = LOOKBACK) -> DataFrame:
     """Daily mean temperature and HDD per ZIP in event time."""
     temp = kelvin_to_f(F.col("t2m_k"))
-    return (stream.withWatermark("ts", lookback).groupBy(F.window("ts", "1 day"), "zip_code")
+    return _daily(stream.withWatermark("ts", lookback), temp)
+
+
+def newest_daily_hdd_stream(stream: DataFrame, *, sequence: str, lookback: str = LOOKBACK) -> DataFrame:
+    """Daily totals of the newest value of each hour; for append mode, as a day closes when all its hours have."""
+    return _daily(newest_cycles(stream, sequence=sequence, lookback=lookback), kelvin_to_f(F.col("t2m_k")))
+
+
+def _daily(stream: DataFrame, temp: Column) -> DataFrame:
+    return (stream.groupBy(F.window("ts", "1 day"), "zip_code")
             .agg(F.avg(temp).alias("mean_temp_f"), F.sum(hourly_hdd(temp)).alias("daily_hdd"),
                  F.count(F.lit(1)).alias("num_hours"))
             .select(F.col("window.start").cast("date").alias("date"), "zip_code", "mean_temp_f", "daily_hdd",
