@@ -1,4 +1,9 @@
-"""Fuzzy line dedup: SimHash, pigeonhole blocks, edit similarity, one line kept per connected group."""
+"""Fuzzy line dedup: SimHash of blocks of words, pigeonhole join, edit similarity, one line kept per connected group.
+
+A line's distinct words are dealt to blocks by their hash, and each block has a SimHash. A changed word touches two blocks at
+most, so lines that differ in few words share a block whole. Parts of one SimHash over the whole line would not do: one word of
+twenty exchanged turns bits all over it.
+"""
 
 from __future__ import annotations
 
@@ -9,19 +14,21 @@ import numpy as np
 import pandas as pd
 import xxhash
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import block_pairs, components, forest, fresh, tasks, written
-from .shingles import WordHashes
+from .common import block_pairs, components, fresh, tasks, written
+from .shingles import LONG_CHUNK, MULTIPLIER, WORD, _mixed
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SIMILARITY = 0.9
-PARTS, SHARED = 5, 2     # a fingerprint has five parts; lines are compared that share two, so all within three bits
-BITS_APART = 8           # candidates further apart are no near-equal lines
+FEW_WORDS = 14           # up to so many words a line is known by itself and by all its words but one
+BLOCKS = ((24, 5), (50, 7), (100, 12), (200, 20))   # words of a line at most, and blocks; a twelfth of the words beyond
+SHORT, NO_WORDS = 20, 40  # letters below which a line is known by all its letters but one; up to the second, lines of two words too
+NEVER = 10               # letters below which lines within the similarity are equal
+CHUNKS_KEPT = 100_000    # of a worker's dictionary
 BLOCK_ROWS = 512
-CROWD = 64               # lines of a bucket that Spark joins; larger buckets are compared block by block
 BATCH_ROWS = 2048        # lines that small groups bring together in one call
 GRAMS = 128              # buckets of letter pairs, whose counts bound the edit distance from below
 SCAN_CHARS = 4_000_000   # text worked on at once in a task, or one longer text
@@ -61,30 +68,74 @@ def simhashes(words: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return out
 
 
-def keys_of(simhash: np.ndarray) -> np.ndarray:
-    """Rows of keys: every choice of SHARED of the PARTS parts, with its number."""
-    edges = np.linspace(0, 64, PARTS + 1).astype(int)
-    parts = [(simhash >> np.uint64(a)) & np.uint64((1 << (b - a)) - 1) for a, b in itertools.pairwise(edges)]
-    keys = []
-    for k, chosen in enumerate(itertools.combinations(range(PARTS), SHARED)):
-        key = np.full(len(simhash), k, dtype=np.uint64)
-        for c in chosen:
-            key = (key << np.uint64(64 // PARTS + 1)) | parts[c]
-        keys.append(key)
-    return np.stack(keys, axis=1).view(np.int64)
-
-
-def key_columns(simhash: str) -> Column:
-    """The same choices as `keys_of`, as an array for Spark; only equality matters."""
-    edges = [int(x) for x in np.linspace(0, 64, PARTS + 1)]
-    parts = [F.shiftrightunsigned(simhash, a).bitwiseAND(F.lit((1 << (b - a)) - 1)) for a, b in itertools.pairwise(edges)]
-    keys = []
-    for k, chosen in enumerate(itertools.combinations(range(PARTS), SHARED)):
-        key = F.lit(k).cast("long")
-        for c in chosen:
-            key = F.shiftleft(key, 64 // PARTS + 1).bitwiseOR(parts[c])
-        keys.append(key)
-    return F.array(*keys)
+def blocks_of(n: np.ndarray) -> np.ndarray:
+    """Blocks of a line of n distinct words; 0 for those known by all their words but one."""
+    out = np.where(n > BLOCKS[-1][0], 1 << (np.ceil(np.log2(np.maximum(n, 1) / BLOCKS[-1][0])).astype(np.int64) + 4), 0)
+    for most, blocks in reversed(BLOCKS):
+        out = np.where(n <= most, blocks, out)
+    return np.where(n <= FEW_WORDS, 0, out)
+
+
+def block_keys(words: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(line, key) of lines given as their distinct words' hashes in a row, n of each.
+
+    Lines of up to FEW_WORDS have a key for all words and one for all but each. Longer ones have the SimHash of every block. Where a line
+    of a tenth more words would have other blocks, it has those keys too, so lines on both sides of a limit meet.
+    """
+    line = np.repeat(np.arange(len(n)), n)
+    mixed = _mixed(words)
+    out: list[tuple[np.ndarray, np.ndarray]] = []
+    few = (n >= 3) & (n <= FEW_WORDS)
+    if few.any():
+        with np.errstate(over="ignore"):
+            sums = np.zeros(len(n), dtype=np.uint64)
+            full = np.flatnonzero(n)
+            sums[full] = np.add.reduceat(mixed, (np.cumsum(n) - n)[full])
+            own = np.flatnonzero(few[line])
+            out.append((line[own], _mixed(sums[line[own]] - mixed[own])))
+            out.append((np.flatnonzero(few), _mixed(sums[few])))
+    here, above = blocks_of(n), blocks_of(np.ceil(1.1 * n).astype(np.int64) + 1)
+    for blocks in (here, np.where((above != here) & (n >= 3), above, 0)):
+        own = np.flatnonzero(blocks[line])
+        if not len(own):
+            continue
+        b = blocks[line[own]]
+        at = line[own] * (int(b.max()) + 1) + (mixed[own] % b.astype(np.uint64)).astype(np.int64)
+        order = np.argsort(at, kind="stable")
+        at, own, b = at[order], own[order], b[order]
+        first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+        sims = simhashes(words[own], np.diff(np.append(first, len(at))))
+        with np.errstate(over="ignore"):
+            place = at[first].astype(np.uint64) % np.uint64(int(b.max()) + 1) + (b[first].astype(np.uint64) << np.uint64(32))
+            out.append((line[own[first]], _mixed(sims + _mixed(place * MULTIPLIER))))
+    if not out:
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
+    return tuple(np.concatenate(x) for x in zip(*out))
+
+
+class Tokens(dict):
+    """Chunk between white space -> 64-bit hash of its letters and digits as bytes; none for punctuation alone."""
+
+    def __missing__(self, chunk: str) -> bytes:
+        own = "".join(WORD.findall(chunk))
+        out = xxhash.xxh64_intdigest(own).to_bytes(8, "little") if own else b""
+        if len(self) >= CHUNKS_KEPT:
+            self.clear()
+        if len(chunk) <= LONG_CHUNK:
+            self[chunk] = out
+        return out
+
+
+def letter_keys(line: str) -> list[int]:
+    """Keys of a short line: itself and all its letters but one, exact for one letter changed, put in or left out."""
+    return [xxhash.xxh64_intdigest(x) for x in {line, *(line[:k] + line[k + 1:] for k in range(len(line)))}]
+
+
+def _pieces(line: str) -> list[str]:
+    """Parts of a long run without white space, cut at letters that its text chooses."""
+    c = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    cuts = [0, *(np.flatnonzero((c * np.uint32(40503) >> np.uint32(3)) % np.uint32(8) == 0) + 1).tolist(), len(line)]
+    return [line[a:b] for a, b in itertools.pairwise(cuts) if a < b]
 
 
 def distance_within(a: str, b: str, most: int) -> bool:
@@ -141,12 +192,11 @@ def _gram_counts(texts) -> np.ndarray:
     return out
 
 
-def _linked(h, sims, texts, a, b, threshold: float) -> dict[int, int]:
-    """h -> smallest h of its tree, over similar candidates among rows `a` and `b`; lines already connected are not compared."""
-    apart = np.bitwise_count(sims[a][:, None] ^ sims[b][None, :]) <= BITS_APART
-    i, j = np.nonzero(np.triu(apart, 1) if a is b else apart)
-    x, y = keys_of(sims[a]), keys_of(sims[b])
-    counts_a, counts_b = _gram_counts(texts[a]), _gram_counts(texts[b])
+def _linked(h, texts, a, b, threshold: float) -> dict[int, int]:
+    """h -> smallest h of its tree, over similar lines among rows `a` and `b`; lines already connected are not compared."""
+    i, j = np.triu_indices(len(a), 1) if a is b else (x.ravel() for x in np.indices((len(a), len(b))))
+    counts_a = _gram_counts(texts[a])
+    counts_b = counts_a if a is b else _gram_counts(texts[b])
     length_a, length_b = np.array([len(t) for t in texts[a]]), np.array([len(t) for t in texts[b]])
     root: dict[int, int] = {}
 
@@ -158,12 +208,13 @@ def _linked(h, sims, texts, a, b, threshold: float) -> dict[int, int]:
             root[v], v = end, root[v]
         return end
 
+    near = (1 - threshold) * np.maximum(length_a[i], length_b[j]) + 1e-9 >= abs(length_a[i] - length_b[j])
+    i, j = i[near], j[near]
     for lo in range(0, len(i), 20_000):
         p, q = i[lo:lo + 20_000], j[lo:lo + 20_000]
         most = ((1 - threshold) * np.maximum(length_a[p], length_b[q]) + 1e-9).astype(np.int64)
         d = counts_a[p].astype(np.int32) - counts_b[q]
-        least = np.maximum(np.maximum(d, 0).sum(axis=1), np.maximum(-d, 0).sum(axis=1))
-        ok = (x[p] == y[q]).any(axis=1) & (least <= 2 * most) & (abs(length_a[p] - length_b[q]) <= most)
+        ok = np.maximum(np.maximum(d, 0).sum(axis=1), np.maximum(-d, 0).sum(axis=1)) <= 2 * most
         for r, s in zip(p[ok].tolist(), q[ok].tolist()):
             u, v = top(int(h[a[r]])), top(int(h[b[s]]))
             if u != v and similar(texts[a[r]], texts[b[s]], threshold):
@@ -171,9 +222,10 @@ def _linked(h, sims, texts, a, b, threshold: float) -> dict[int, int]:
     return {v: top(v) for v in root}
 
 
-def _scanned(keys: pd.Series, texts, chunks: WordHashes) -> pd.DataFrame:
-    ids, at, hashes, words, lengths, times = [], [], [], [], [], []
-    for key, text in zip(keys.array, texts):
+def _scanned(ids: pd.Series, texts, chunks: Tokens) -> pd.DataFrame:
+    of, at, hashes, times, words, lengths, short = [], [], [], [], [], [], {}
+    met: set[int] = set()
+    for key, text in zip(ids.array, texts):
         seen: dict[str, int] = {}
         for k, line in enumerate(text.split("\n")):
             parts = line.lower().split()
@@ -183,25 +235,42 @@ def _scanned(keys: pd.Series, texts, chunks: WordHashes) -> pd.DataFrame:
             if line in seen:
                 times[seen[line]] += 1
                 continue
-            seen[line] = len(ids)
-            w = b"".join(map(chunks.__getitem__, set(parts)))  # distinct: else a few common words decide
-            ids.append(key)
+            seen[line] = len(of)
+            h = xxhash.xxh64_intdigest(line)
+            w = b""
+            if h not in met and len(line) >= NEVER:  # an equal line's keys are the same
+                w = b"".join(map(chunks.__getitem__, set(parts)))  # distinct: else a few common words decide
+                if len(line) < SHORT or (len(w) <= 16 and len(line) <= NO_WORDS):
+                    short[len(of)], w = letter_keys(line), b""
+                elif len(w) <= 16:
+                    w = b"".join([xxhash.xxh64_intdigest(x).to_bytes(8, "little") for x in set(_pieces(line))])
+            met.add(h)
+            of.append(key)
             at.append(k)
             times.append(1)
-            hashes.append(xxhash.xxh64_intdigest(line))
+            hashes.append(h)
             words.append(w)
             lengths.append(len(w) // 8)
-    sim = simhashes(np.frombuffer(b"".join(words), dtype=np.uint64), np.array(lengths, dtype=np.int64))
-    return pd.DataFrame({"id": pd.Series(ids, dtype=keys.dtype), "line": np.array(at, dtype=np.int32), "h": np.array(hashes, dtype=np.uint64).view(np.int64),
-                         "simhash": sim.view(np.int64), "times": np.array(times, dtype=np.int32)})
+    line, key = block_keys(np.frombuffer(b"".join(words), dtype=np.uint64), np.array(lengths, dtype=np.int64))
+    order = np.argsort(line, kind="stable")
+    ends = np.searchsorted(line[order], np.arange(len(of) + 1))
+    key = key[order].view(np.int64)
+    keys = [key[a:b] for a, b in itertools.pairwise(ends.tolist())]
+    for k, own in short.items():
+        keys[k] = np.array(own, dtype=np.uint64).view(np.int64)
+    return pd.DataFrame({"id": pd.Series(of, dtype=ids.dtype), "line": np.array(at, dtype=np.int32), "h": np.array(hashes, dtype=np.uint64).view(np.int64),
+                         "times": np.array(times, dtype=np.int32), "keys": pd.Series(keys, dtype=object)})
 
 
 def line_table(docs: DataFrame, *, id_col: str, text_col: str) -> DataFrame:
-    """(id, line, h, simhash) of the first occurrence in its document of every line that is not blank, and how often it is there."""
+    """(id, line, h, times, keys) of the first occurrence in its document of every line that is not blank, and how often it is there.
+
+    The keys of a line that a task met just before are left out, so a line of very many documents sends few.
+    """
     kind = docs.schema[id_col].dataType.simpleString()
 
     def scan(batches):
-        chunks = WordHashes()
+        chunks = Tokens()
         for pdf in batches:
             texts = pdf["text"].to_numpy()
             ends = np.cumsum([len(t) for t in texts]) // SCAN_CHARS  # some texts at a time: words take memory here
@@ -209,47 +278,25 @@ def line_table(docs: DataFrame, *, id_col: str, text_col: str) -> DataFrame:
                 yield _scanned(pdf["id"].iloc[part], texts[part], chunks)
 
     rows = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInPandas(scan, f"id {kind}, line int, h long, simhash long, times int")
+    return rows.mapInPandas(scan, f"id {kind}, line int, h long, times int, keys array<long>")
 
 
 def line_groups(lines: DataFrame, docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = SIMILARITY) -> DataFrame:
     """(id, line, times, h, group_id, kept) of the lines that occur again or resemble another; `lines` from `line_table`.
 
-    Lines equal after normalising are one node. Nodes whose SimHash shares two of five parts, which
-    all within three bits surely do, and differs in eight bits at most are candidates (two lines of fifty words of
-    which one was exchanged are found in about two of three cases, one whole group of such lines nearly always); candidates of edit
+    Lines equal after normalising are one node. Nodes that share a key (`block_keys`, `letter_keys`) are candidates: surely those that differ in one
+    word, or in a letter if short, and nearly all that differ in up to a twelfth of their words; candidates of edit
     similarity `threshold` or more are linked. The kept line of a connected group is the first, by id and then by place.
-    Buckets and groups of any size are compared block by block.
+    A key of any number of lines is a star, and groups of any size are compared block by block.
     """
-    nodes = written(lines.groupBy("h", "simhash").agg(F.min("id").alias("witness"), F.min_by("line", "id").alias("place"), F.count("*").alias("k")), "line-nodes")
-    keys = nodes.where("simhash <> 0").select(F.col("h").alias("id"), "simhash", F.explode(key_columns("simhash")).alias("key"))
-    # dealt by key once: counting and joining the counts back both use that shuffle, and a large bucket only streams by
-    keys = keys.repartition(tasks(keys.sparkSession), "key")
-    more = written(keys.join(keys.groupBy("key").agg(F.count("*").alias("k")).where("k > 1"), "key").select("key", "k", "id", "simhash"), "line-buckets")
-    met = more.where("k = 2").groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.min("simhash").alias("s"), F.max("simhash").alias("t"))
-    near_two = F.bit_count(F.col("s").bitwiseXOR(F.col("t"))) <= BITS_APART  # of two lines it does not matter which is which
-    pairs = met.where(near_two).select(F.col("high").alias("a"), F.col("low").alias("b"))
-
-    def close(pdf):
-        same = pdf["block_a"].iloc[0] == pdf["block_b"].iloc[0]
-        a = pdf[pdf["block"] == pdf["block_a"].iloc[0]]
-        b = a if same else pdf[pdf["block"] == pdf["block_b"].iloc[0]]
-        x, y = (np.ascontiguousarray(p["simhash"].to_numpy()).view(np.uint64) for p in (a, b))
-        near = np.bitwise_count(x[:, None] ^ y[None, :]) <= BITS_APART
-        i, j = np.nonzero(np.triu(near, 1) if same else near)
-        ids = a["id"].to_numpy() if same else np.concatenate([a["id"].to_numpy(), b["id"].to_numpy()])
-        low = forest(i, j if same else j + len(a), ids)
-        own = low != ids
-        return pd.DataFrame({"a": ids[own], "b": low[own]})
-
-    few = more.where((F.col("k") > 2) & (F.col("k") <= CROWD)).select("key", "id", "simhash")
-    other = few.select(F.col("key").alias("key2"), F.col("id").alias("id2"), F.col("simhash").alias("simhash2"))
-    joined = few.join(other, (F.col("key") == F.col("key2")) & (F.col("id") < F.col("id2")) & (F.bit_count(F.col("simhash").bitwiseXOR(F.col("simhash2"))) <= BITS_APART))
-    pairs = pairs.unionByName(joined.select(F.col("id2").alias("a"), F.col("id").alias("b")))
-    forests = block_pairs(more.where(F.col("k") > CROWD).drop("k"), "key", F.col("id"), BLOCK_ROWS).select("key", "block", "block_a", "block_b", "id", "simhash")
-    pairs = pairs.unionByName(forests.groupBy("key", "block_a", "block_b").applyInPandas(close, "a long, b long"))
-    near = components(pairs, "line-candidates")
-    members = near.join(nodes, near["id"] == nodes["h"]).select(F.col("id").alias("h"), "component_id", "witness", "simhash")
+    nodes = written(lines.groupBy("h").agg(F.min("id").alias("witness"), F.min_by("line", "id").alias("place"), F.count("*").alias("k")), "line-nodes")
+    keys = lines.where(F.size("keys") > 0).select(F.col("h").alias("id"), F.explode("keys").alias("key"))
+    # dealt by key once: telling lines apart, the least of a key and joining it back all use that shuffle
+    keys = keys.repartition(tasks(keys.sparkSession), "key").dropDuplicates(["key", "id"])
+    least = keys.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("key", "low")
+    edges = keys.join(least, "key").where("id <> low").select(F.col("id").alias("a"), F.col("low").alias("b"))
+    near = components(edges, "line-candidates")
+    members = near.join(nodes, near["id"] == nodes["h"]).select(F.col("id").alias("h"), "component_id", "witness")
     dealt = written(block_pairs(members, "component_id", F.col("h"), BLOCK_ROWS), "line-blocks")
     asked = dealt.select("witness", "h").distinct().groupBy("witness").agg(F.collect_list("h").alias("asked"))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
@@ -270,14 +317,14 @@ def line_groups(lines: DataFrame, docs: DataFrame, *, id_col: str = "doc_id", te
             yield pd.DataFrame({"h": pd.Series(h, dtype="int64"), "s": pd.Series(s, dtype=object)})
 
     spoken = found.mapInPandas(fetch, "h long, s string")
-    ready = dealt.join(spoken, "h").select("component_id", "block", "block_a", "block_b", "h", "simhash", "s")
+    ready = dealt.join(spoken, "h").select("component_id", "block", "block_a", "block_b", "h", "s")
 
     def verify_all(pdf):
         """Many small groups, or one pair of blocks, at a time."""
         pdf = pdf.sort_values(["component_id", "block_a", "block_b"], kind="stable").drop_duplicates(["component_id", "block_a", "block_b", "block", "h"])
         marks = pdf[["component_id", "block_a", "block_b"]].to_numpy()
         ends = np.flatnonzero((marks[1:] != marks[:-1]).any(axis=1)) + 1 if len(pdf) else np.zeros(0, dtype=np.int64)
-        block, block_a, h, sims = (np.ascontiguousarray(pdf[k].to_numpy()) for k in ("block", "block_a", "h", "simhash"))
+        block, block_a, h = (np.ascontiguousarray(pdf[k].to_numpy()) for k in ("block", "block_a", "h"))
         block_b, texts = pdf["block_b"].to_numpy(), pdf["s"].to_numpy()
         out: dict[int, list[int]] = {"a": [], "b": []}
         for lo, hi in zip([0, *ends], [*ends, len(pdf)]):
@@ -286,7 +333,7 @@ def line_groups(lines: DataFrame, docs: DataFrame, *, id_col: str = "doc_id", te
             a = rows[block[lo:hi] == block_a[lo]] if len(rows) else rows
             b = a if same.all() else rows[block[lo:hi] == block_b[lo]]
             if len(a) and len(b):
-                roots = _linked(h, sims.view(np.uint64), texts, a, b, threshold)
+                roots = _linked(h, texts, a, b, threshold)
                 out["a"] += roots.keys()
                 out["b"] += roots.values()
         return pd.DataFrame({k: pd.Series(v, dtype="int64") for k, v in out.items()})
@@ -301,7 +348,7 @@ def line_groups(lines: DataFrame, docs: DataFrame, *, id_col: str = "doc_id", te
     fuzzy = some.join(first, "component_id").select("h", F.col("component_id").alias("group_id"), F.col("first.witness").alias("first_id"), F.col("first.place").alias("first_line"))
     equal = some.where("component_id is null").select("h", F.col("h").alias("group_id"), F.col("witness").alias("first_id"), F.col("place").alias("first_line"))
     kept = F.col("id").eqNullSafe(F.col("first_id")) & (F.col("line") == F.col("first_line"))
-    return lines.drop("simhash").join(fuzzy.unionByName(equal), "h").select("id", "line", "times", "h", "group_id", kept.alias("kept"))
+    return lines.drop("keys").join(fuzzy.unionByName(equal), "h").select("id", "line", "times", "h", "group_id", kept.alias("kept"))
 
 
 def line_report(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = SIMILARITY) -> DataFrame:

@@ -74,3 +74,52 @@ def test_large_buckets_and_copies(spark):
 
 def test_empty_table(spark):
     assert L.line_report(table(spark, [])).count() == 0 and L.dedup_lines(table(spark, [])).count() == 0
+
+
+def changed(r, words, letters):
+    """The words with one letter of one word changed, or with some words exchanged."""
+    w = list(words)
+    if letters:
+        k = r.choice([i for i, x in enumerate(w) if len(x) > 1])
+        c = r.randrange(len(w[k]))
+        w[k] = w[k][:c] + "#" + w[k][c + 1:] if r.random() < 0.3 else w[k][:c] + r.choice("xyz") + w[k][c + 1:]
+    else:
+        for k in r.sample(range(len(w)), max(1, len(w) // 16)):
+            w[k] = "".join(r.choice("bcdfg") for _ in range(len(w[k])))
+    return " ".join(w)
+
+
+def test_recall_against_brute_force(spark):
+    r = random.Random(11)
+    vocabulary = ["".join(r.choice("abcdefghijklmnopqrst") for _ in range(r.randint(2, 9))) for _ in range(900)]
+    found = {}
+    for letters in (True, False):
+        rows, pairs = [], []
+        for n in (3, 4, 5, 7, 10, 14, 15, 20, 24, 25, 30, 50, 51, 70, 100, 101, 150, 260):
+            for k in range(30):
+                line = [r.choice(vocabulary) for _ in range(n)]
+                other = changed(r, line, letters)
+                line = " ".join(line)
+                if other != line and 1 - edit(line, other) / max(len(line), len(other)) >= 0.9 if n <= 30 else L.similar(line, other, 0.9):
+                    pairs.append((n, len(rows)))
+                    rows += [(len(rows), line), (len(rows) + 1, other)]
+        groups = L.line_groups(L.line_table(table(spark, rows), id_col="doc_id", text_col="text"), table(spark, rows))
+        group = {x["id"]: x["group_id"] for x in groups.collect()}
+        for n, k in pairs:
+            found.setdefault((letters, n), []).append(k in group and group[k] == group.get(k + 1))
+        sizes = {}
+        for g in group.values():
+            sizes[g] = sizes.get(g, 0) + 1
+        assert max(sizes.values()) == 2     # nothing is glued together
+    low = {k: sum(v) / len(v) for k, v in found.items() if sum(v) / len(v) < (0.95 if k[0] else 0.85)}
+    assert not low, low
+    assert sum(map(sum, found.values())) / sum(map(len, found.values())) >= 0.97
+
+
+def test_odd_lines(spark):
+    url = "https://example.org/" + "abcdefghij" * 8 + "/page"
+    rows = [(None, "a line of a row that has no id, long enough to be compared"), (1, "a line of a row that has no id, long enough to be compored"), (2, url), (3, url.replace("page", "pages")),
+            (4, "short line a"), (5, "short line b"), (6, "tiny"), (7, "tiny2"), (8, "x " * 300_000 + "end of it"), (9, "w" * 300_000), (10, "!!! ??? ... --- !!! ###"), (1, "another row of id 1")]
+    report = {(r["doc_id"], r["n_lines"]): r["dropped"] for r in L.line_report(table(spark, rows)).collect()}
+    assert report[3, 1] == [0] and report[5, 1] == [0] and report[7, 1] == [] and report[10, 1] == []
+    assert (report[None, 1] == [0]) != (report[1, 2] != [])
