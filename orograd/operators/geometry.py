@@ -264,24 +264,50 @@ def _half_plane(pts: Column, axis: str, limit: Column, keep_above: bool) -> Colu
     return bind(F.coalesce(pts, empty), pass_)
 
 
+def _strips(polygons: DataFrame, size: float) -> DataFrame:
+    """`(id, minx, maxy, sign, ix, pts)`: every ring cut to column strips of `size` from its polygon's left.
+
+    Edges are rows that go to the strips they touch. What an edge leaves in a strip follows from the edge alone, so no strip
+    gets the whole ring and a polygon of very many edges spreads over all tasks; a strip's pieces in ring order are its ring.
+    """
+    rings = signed_rings(with_bounds(polygons), keep=("minx", "maxx", "maxy"))
+    n = F.size("pts")
+    edge = F.transform("pts", lambda p, i: F.struct(i.alias("at"), p["x"].alias("px"), p["y"].alias("py"), F.get("pts", (i + 1) % n)["x"].alias("qx"), F.get("pts", (i + 1) % n)["y"].alias("qy")))
+    e = rings.where(n > 0).select("id", "minx", "maxx", "maxy", "ring_no", "sign", F.explode(edge).alias("e")).select("id", "minx", "maxx", "maxy", "ring_no", "sign", "e.*")
+    most = F.greatest(F.ceil((F.col("maxx") - F.col("minx")) / size) - 1, F.lit(0))
+    # an edge on the line between two strips counts for both, as cutting a ring at either side does
+    lo = F.ceil((F.least("px", "qx") - F.col("minx")) / size) - 1
+    hi = F.floor((F.greatest("px", "qx") - F.col("minx")) / size)
+    e = e.withColumn("_lo", F.greatest(lo, F.lit(0))).withColumn("_hi", F.least(hi, most)).where("_lo <= _hi")
+    e = e.withColumn("ix", F.explode(F.sequence(F.col("_lo").cast("int"), F.col("_hi").cast("int")))).withColumn("_l", F.col("minx") + F.col("ix") * size).withColumn("_r", F.col("_l") + size)
+    p_in, q_in = F.expr("px >= _l and px <= _r"), F.expr("qx >= _l and qx <= _r")
+
+    def cut(limit: str) -> Column:
+        t = (F.col(limit) - F.col("px")) / F.nullif(F.col("qx") - F.col("px"), F.lit(0.0))
+        return F.struct(F.col(limit).cast("double").alias("x"), (F.col("py") + t * (F.col("qy") - F.col("py"))).cast("double").alias("y"))
+
+    end, left, right = F.struct(F.col("qx").alias("x"), F.col("qy").alias("y")), cut("_l"), cut("_r")
+    kept = (F.when(p_in & q_in, F.array(end)).when(p_in, F.array(F.when(F.expr("qx < _l"), left).otherwise(right)))
+            .when(q_in, F.array(F.when(F.expr("px < _l"), left).otherwise(right), end))
+            .when(F.expr("px < _l and qx > _r"), F.array(left, right)).when(F.expr("px > _r and qx < _l"), F.array(right, left)))
+    pieces = e.select("id", "minx", "maxy", "ring_no", "sign", "ix", "at", kept.alias("kept")).where("kept is not null")
+    # what a ring goes around outside a strip leaves no piece there; its ends join along the strip's side
+    whole = pieces.groupBy("id", "ring_no", "ix").agg(F.first("minx").alias("minx"), F.first("maxy").alias("maxy"), F.first("sign").alias("sign"),
+                                                      F.sort_array(F.collect_list(F.struct("at", "kept"))).alias("k"))
+    return whole.withColumn("pts", F.flatten(F.transform("k", lambda x: x["kept"]))).drop("k").where("size(pts) >= 3")
+
+
 def create_cells(polygons: DataFrame, *, cell_size_m: float = CELL_SIZE_M) -> DataFrame:
     """Square cells clipped to each polygon: id, ix, iy, cell_id, cell_area_sqm, cell_rings.
 
     Cells start at the top-left corner of the polygon's own bounding box and are numbered row by
-    row. A polygon is cut into column strips first and each strip into cells, so a cell only
+    row. A polygon is cut into column strips first, edge by edge, and each strip into cells, so a cell only
     handles the few edges of its strip, and the strips of one huge polygon spread over all tasks.
     """
     size = float(cell_size_m)
     if polygons.where("rings is null or size(rings) = 0 or exists(rings, r -> size(r) = 0)").limit(1).count():
         raise ValueError("empty polygon geometry")
-    box = ("minx", "maxx", "maxy")
-    strip = (signed_rings(with_bounds(spread(polygons, "id")), keep=box)
-             .withColumn("_nx", F.ceil((F.col("maxx") - F.col("minx")) / size).cast("int"))
-             .withColumn("ix", F.explode(F.sequence(F.lit(0), F.greatest(F.col("_nx") - 1, F.lit(0))))))
-    left = F.col("minx") + F.col("ix") * size
-    strip = (strip.withColumn("pts", _half_plane(F.col("pts"), "x", left, True))
-             .withColumn("pts", _half_plane(F.col("pts"), "x", left + size, False))
-             .where("size(pts) >= 3"))
+    strip = _strips(spread(polygons, "id"), size)
     # only now: the strips are no larger than the ring they came from
     strip = spread(strip, "id", "ix")
     ys = F.transform("pts", lambda p: p["y"])

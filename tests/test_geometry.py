@@ -134,3 +134,17 @@ def test_intersections(spark):
     got = {(r[0], r[1]) for r in geometry.polygons_intersect(left, right, bucket=3.0).collect()}
     assert got == {("a", "x"), ("c", "x")}
     assert {(r[0], r[1]) for r in geometry.polygons_intersect(left, right).collect()} == got
+
+
+def test_strips_of_a_ring_of_many_edges(spark):
+    """A star of 20,000 edges in 60 strips: the cells add up to its area, and no row holds a whole ring per strip."""
+    import math
+    n = 20_000
+    pts = [{"x": (500 + 30 * (k % 2)) * math.cos(2 * math.pi * k / n), "y": (500 + 30 * (k % 2)) * math.sin(2 * math.pi * k / n)} for k in range(n)]
+    p = spark.createDataFrame([("a", [pts])], "id string, rings array<array<struct<x: double, y: double>>>")
+    strips = geometry._strips(p, 1060 / 60)
+    held = strips.selectExpr("size(pts) AS n").agg({"n": "sum", "*": "count"}).first()
+    assert held[0] < 4 * n or held[1] < 4 * n
+    cells = geometry.create_cells(p, cell_size_m=1060 / 60)
+    area = geometry.polygon_area(p).first()["area"]
+    assert abs(cells.agg({"cell_area_sqm": "sum"}).first()[0] - area) < 1e-6 * area

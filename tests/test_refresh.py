@@ -43,5 +43,5 @@ def test_only_stale_zips_are_made_anew(spark, tmp_path):
     assert {k for k in boxes if before[k] != after[k]} == {"97001"}
     # one polygon moves, one goes, one comes
     z = zips(spark, {"97001": (1.2, 1.2), "97002": (13.2, 2.2), "97003": (20.2, 25.2), "01005": (5.2, 20.2)})
-    assert sorted(r["zip_code"] for r in refresh.refresh(now, GRID, z, path, build, tile=10).collect()) == ["97002", "01005"]
+    assert sorted(r["zip_code"] for r in refresh.refresh(now, GRID, z, path, build, tile=10).collect()) == ["01005", "97002"]
     assert held() == full(now, z)
