@@ -25,6 +25,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 SIMILARITY = 0.9
 FEW_WORDS = 14           # up to so many words a line is known by itself and by all its words but one
 BLOCKS = ((24, 5), (50, 7), (100, 12), (200, 20))   # words of a line at most, and blocks; a twelfth of the words beyond
+LEAST_WORDS = 4          # a block of fewer words takes in those after it: few common words alone would bring unlike lines together
+LENGTH_STEP = 1.5        # lines meet within a class of lengths of this ratio
 SHORT, NO_WORDS = 20, 40  # letters below which a line is known by all its letters but one; up to the second, lines of two words too
 NEVER = 10               # letters below which lines within the similarity are equal
 CHUNKS_KEPT = 100_000    # of a worker's dictionary
@@ -76,41 +78,69 @@ def blocks_of(n: np.ndarray) -> np.ndarray:
     return np.where(n <= FEW_WORDS, 0, out)
 
 
-def block_keys(words: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(line, key) of lines given as their distinct words' hashes in a row, n of each.
-
-    Lines of up to FEW_WORDS have a key for all words and one for all but each. Longer ones have the SimHash of every block. Where a line
-    of a tenth more words would have other blocks, it has those keys too, so lines on both sides of a limit meet.
+def _length_class(letters: np.ndarray) -> np.ndarray:
+    return np.floor(np.log(np.maximum(letters, 1)) / np.log(LENGTH_STEP)).astype(np.int64)
+
+
+def _block_sims(line: np.ndarray, words: np.ndarray, mixed: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(line, block, SimHash) of each block; one of fewer than LEAST_WORDS words with the line's next blocks."""
+    width = int(blocks.max()) + 1
+    at = line * width + (mixed % blocks.astype(np.uint64)).astype(np.int64)
+    order = np.argsort(at, kind="stable")
+    at, words = at[order], words[order]
+    first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+    size = np.diff(np.append(first, len(at)))
+    of = at[first] // width
+    begin = np.searchsorted(of, of)                       # first block of the line, and how many it has
+    many = np.searchsorted(of, of, side="right") - begin
+    me = np.arange(len(first))
+    owner, source, total = [me], [me], size.copy()
+    for k in range(1, int(many.max())):
+        more = np.flatnonzero((total < LEAST_WORDS) & (k < many))
+        if not len(more):
+            break
+        after = begin[more] + (more - begin[more] + k) % many[more]
+        owner.append(more)
+        source.append(after)
+        total[more] += size[after]
+    owner, source = np.concatenate(owner), np.concatenate(source)
+    order = np.argsort(owner, kind="stable")
+    source = source[order]
+    n = size[source]
+    places = np.arange(n.sum()) + np.repeat(first[source] - (np.cumsum(n) - n), n)
+    return of, at[first] % width, simhashes(words[places], total)
+
+
+def block_keys(words: np.ndarray, n: np.ndarray, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(line, key) of lines given as their distinct words' hashes in a row, n of each, and their lengths.
+
+    Lines of up to FEW_WORDS have a key for all words and one for all but each. Longer ones have the SimHash of every block. A key counts
+    within a class of lengths. Where a line a tenth longer would have other blocks or another class, it has those keys too,
+    so lines on both sides of a limit meet.
     """
-    line = np.repeat(np.arange(len(n)), n)
-    mixed = _mixed(words)
+    line, mixed = np.repeat(np.arange(len(n)), n), _mixed(words)
     out: list[tuple[np.ndarray, np.ndarray]] = []
     few = (n >= 3) & (n <= FEW_WORDS)
-    if few.any():
-        with np.errstate(over="ignore"):
+    with np.errstate(over="ignore"):
+        if few.any():
             sums = np.zeros(len(n), dtype=np.uint64)
             full = np.flatnonzero(n)
             sums[full] = np.add.reduceat(mixed, (np.cumsum(n) - n)[full])
             own = np.flatnonzero(few[line])
-            out.append((line[own], _mixed(sums[line[own]] - mixed[own])))
-            out.append((np.flatnonzero(few), _mixed(sums[few])))
-    here, above = blocks_of(n), blocks_of(np.ceil(1.1 * n).astype(np.int64) + 1)
-    for blocks in (here, np.where((above != here) & (n >= 3), above, 0)):
-        own = np.flatnonzero(blocks[line])
-        if not len(own):
-            continue
-        b = blocks[line[own]]
-        at = line[own] * (int(b.max()) + 1) + (mixed[own] % b.astype(np.uint64)).astype(np.int64)
-        order = np.argsort(at, kind="stable")
-        at, own, b = at[order], own[order], b[order]
-        first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-        sims = simhashes(words[own], np.diff(np.append(first, len(at))))
-        with np.errstate(over="ignore"):
-            place = at[first].astype(np.uint64) % np.uint64(int(b.max()) + 1) + (b[first].astype(np.uint64) << np.uint64(32))
-            out.append((line[own[first]], _mixed(sims + _mixed(place * MULTIPLIER))))
-    if not out:
-        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
-    return tuple(np.concatenate(x) for x in zip(*out))
+            out += [(line[own], _mixed(sums[line[own]] - mixed[own])), (np.flatnonzero(few), _mixed(sums[few]))]
+        here, above = blocks_of(n), blocks_of(np.ceil(1.1 * n).astype(np.int64) + 1)
+        for blocks in (here, np.where((above != here) & (n >= 3), above, 0)):
+            own = np.flatnonzero(blocks[line])
+            if len(own):
+                of, block, sims = _block_sims(line[own], words[own], mixed[own], blocks[line[own]])
+                out.append((of, _mixed(sims + _mixed((block + (blocks[of] << 32)).astype(np.uint64) * MULTIPLIER))))
+        if not out:
+            return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
+        of, key = (np.concatenate(x) for x in zip(*out))
+        low, high = _length_class(letters), _length_class(np.ceil(letters / SIMILARITY).astype(np.int64) + 1)
+        both = np.flatnonzero(low[of] != high[of])
+        klass = np.concatenate([low[of], high[of[both]]]).astype(np.uint64)
+        return np.concatenate([of, of[both]]), _mixed(np.concatenate([key, key[both]]) + _mixed(klass * MULTIPLIER))
 
 
 class Tokens(dict):
@@ -223,7 +253,7 @@ def _linked(h, texts, a, b, threshold: float) -> dict[int, int]:
 
 
 def _scanned(ids: pd.Series, texts, chunks: Tokens) -> pd.DataFrame:
-    of, at, hashes, times, words, lengths, short = [], [], [], [], [], [], {}
+    of, at, hashes, times, words, lengths, letters, short = [], [], [], [], [], [], [], {}
     met: set[int] = set()
     for key, text in zip(ids.array, texts):
         seen: dict[str, int] = {}
@@ -251,7 +281,8 @@ def _scanned(ids: pd.Series, texts, chunks: Tokens) -> pd.DataFrame:
             hashes.append(h)
             words.append(w)
             lengths.append(len(w) // 8)
-    line, key = block_keys(np.frombuffer(b"".join(words), dtype=np.uint64), np.array(lengths, dtype=np.int64))
+            letters.append(len(line))
+    line, key = block_keys(np.frombuffer(b"".join(words), dtype=np.uint64), np.array(lengths, dtype=np.int64), np.array(letters, dtype=np.int64))
     order = np.argsort(line, kind="stable")
     ends = np.searchsorted(line[order], np.arange(len(of) + 1))
     key = key[order].view(np.int64)
