@@ -16,7 +16,8 @@ from orograd.session import local_session
 
 HEADLINE = ("zip_aggregate_union cell_zonal cell_monthly terrain tpi aspect_slope surface_mask cold_air_drainage clip_boundary "
             "road_rasterize create_cells bilinear station_bias station_wind nearest_station wind_profiles daily_combine "
-            "safety_cube hourly_cube bias_correct qa_all qa_stats billing_cell terrain_attributes normals_run st_cycle_cube").split()
+            "safety_cube hourly_cube bias_correct qa_all qa_stats billing_cell terrain_attributes normals_run st_cycle_cube "
+            "normals_full regions_run region_boundary station_bias_table roads_two_grids").split()
 
 
 def main() -> None:
