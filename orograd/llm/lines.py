@@ -24,13 +24,13 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SIMILARITY = 0.9
 FEW_WORDS = 14           # up to so many words a line is known by itself and by all its words but one
-BLOCKS = ((24, 5), (50, 7), (100, 12), (200, 20))   # words of a line at most, and blocks; a twelfth of the words beyond
+BLOCKS = ((24, 5), (50, 6), (100, 10), (200, 18))   # words of a line at most, and blocks; a twelfth of the words beyond
 LEAST_WORDS = 4          # a block of fewer words takes in those after it: few common words alone would bring unlike lines together
 LENGTH_STEP = 1.5        # lines meet within a class of lengths of this ratio
 SHORT, NO_WORDS = 20, 40  # letters below which a line is known by all its letters but one; up to the second, lines of two words too
 NEVER = 10               # letters below which lines within the similarity are equal
 CHUNKS_KEPT = 100_000    # of a worker's dictionary
-BLOCK_ROWS = 512
+BLOCK_ROWS = 2048        # texts are copied once per block of their group, so blocks are large
 BATCH_ROWS = 2048        # lines that small groups bring together in one call
 GRAMS = 128              # buckets of letter pairs, whose counts bound the edit distance from below
 SCAN_CHARS = 4_000_000   # text worked on at once in a task, or one longer text
