@@ -14,7 +14,7 @@ import numpy as np
 import pandas as pd
 import xxhash
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import block_pairs, components, fresh, tasks, written
@@ -30,6 +30,7 @@ LENGTH_STEP = 1.5        # lines meet within a class of lengths of this ratio
 SHORT, NO_WORDS = 20, 40  # letters below which a line is known by all its letters but one; up to the second, lines of two words too
 NEVER = 10               # letters below which lines within the similarity are equal
 CHUNKS_KEPT = 100_000    # of a worker's dictionary
+LINES_MET = 200_000      # whose hashes a worker keeps
 BLOCK_ROWS = 2048        # texts are copied once per block of their group, so blocks are large
 BATCH_ROWS = 2048        # lines that small groups bring together in one call
 GRAMS = 128              # buckets of letter pairs, whose counts bound the edit distance from below
@@ -252,9 +253,29 @@ def _linked(h, texts, a, b, threshold: float) -> dict[int, int]:
     return {v: top(v) for v in root}
 
 
-def _scanned(ids: pd.Series, texts, chunks: Tokens) -> pd.DataFrame:
-    of, at, hashes, times, words, lengths, letters, short = [], [], [], [], [], [], [], {}
-    met: set[int] = set()
+def _rows_of(line: np.ndarray, values: np.ndarray, n: int) -> list[np.ndarray]:
+    """The values of each of n lines, `line` in any order."""
+    order = np.argsort(line, kind="stable")
+    ends = np.searchsorted(line[order], np.arange(n + 1))
+    values = values[order].view(np.int64)
+    return [values[a:b] for a, b in itertools.pairwise(ends.tolist())]
+
+
+def _led(line: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(line, key) of the first line of every key, and (line, first line) of the others, each once."""
+    order = np.lexsort((line, key))
+    line, key = line[order], key[order]
+    first = np.ones(len(key), dtype=bool)
+    first[1:] = key[1:] != key[:-1]
+    leader = line[np.flatnonzero(first)[np.cumsum(first) - 1]] if len(key) else line
+    led = np.unique(np.stack([line, leader])[:, line != leader], axis=1)
+    return line[first], key[first], led[0], led[1]
+
+
+def _scanned(ids: pd.Series, texts, chunks: Tokens, met: set[int]) -> pd.DataFrame:
+    of, at, hashes, times, words, lengths, letters = [], [], [], [], [], [], []
+    short_line: list[int] = []
+    short_key: list[int] = []
     for key, text in zip(ids.array, texts):
         seen: dict[str, int] = {}
         for k, line in enumerate(text.split("\n")):
@@ -271,9 +292,13 @@ def _scanned(ids: pd.Series, texts, chunks: Tokens) -> pd.DataFrame:
             if h not in met and len(line) >= NEVER:  # an equal line's keys are the same
                 w = b"".join(map(chunks.__getitem__, set(parts)))  # distinct: else a few common words decide
                 if len(line) < SHORT or (len(w) <= 16 and len(line) <= NO_WORDS):
-                    short[len(of)], w = letter_keys(line), b""
+                    own, w = letter_keys(line), b""
+                    short_line += [len(of)] * len(own)
+                    short_key += own
                 elif len(w) <= 16:
                     w = b"".join([xxhash.xxh64_intdigest(x).to_bytes(8, "little") for x in set(_pieces(line))])
+            if len(met) >= LINES_MET:
+                met.clear()
             met.add(h)
             of.append(key)
             at.append(k)
@@ -283,33 +308,31 @@ def _scanned(ids: pd.Series, texts, chunks: Tokens) -> pd.DataFrame:
             lengths.append(len(w) // 8)
             letters.append(len(line))
     line, key = block_keys(np.frombuffer(b"".join(words), dtype=np.uint64), np.array(lengths, dtype=np.int64), np.array(letters, dtype=np.int64))
-    order = np.argsort(line, kind="stable")
-    ends = np.searchsorted(line[order], np.arange(len(of) + 1))
-    key = key[order].view(np.int64)
-    keys = [key[a:b] for a, b in itertools.pairwise(ends.tolist())]
-    for k, own in short.items():
-        keys[k] = np.array(own, dtype=np.uint64).view(np.int64)
-    return pd.DataFrame({"id": pd.Series(of, dtype=ids.dtype), "line": np.array(at, dtype=np.int32), "h": np.array(hashes, dtype=np.uint64).view(np.int64),
-                         "times": np.array(times, dtype=np.int32), "keys": pd.Series(keys, dtype=object)})
+    h = np.array(hashes, dtype=np.uint64)
+    line, key, led, leader = _led(np.concatenate([line, np.array(short_line, dtype=np.int64)]), np.concatenate([key, np.array(short_key, dtype=np.uint64)]))
+    return pd.DataFrame({"id": pd.Series(of, dtype=ids.dtype), "line": np.array(at, dtype=np.int32), "h": h.view(np.int64), "times": np.array(times, dtype=np.int32),
+                         "keys": pd.Series(_rows_of(line, key, len(of)), dtype=object), "near": pd.Series(_rows_of(led, h[leader], len(of)), dtype=object)})
 
 
 def line_table(docs: DataFrame, *, id_col: str, text_col: str) -> DataFrame:
-    """(id, line, h, times, keys) of the first occurrence in its document of every line that is not blank, and how often it is there.
+    """(id, line, h, times, keys, near) of the first occurrence in its document of every line that is not blank, and how often it is there.
 
-    The keys of a line that a task met just before are left out, so a line of very many documents sends few.
+    The keys of a line that a task met just before are left out, so a line of very many documents sends few. Of the lines
+    of a stretch of text that share a key only the first has it; the others have that line's hash in `near`, so a key
+    of very many lines is one row a stretch.
     """
     kind = docs.schema[id_col].dataType.simpleString()
 
     def scan(batches):
-        chunks = Tokens()
+        chunks, met = Tokens(), set()
         for pdf in batches:
             texts = pdf["text"].to_numpy()
             ends = np.cumsum([len(t) for t in texts]) // SCAN_CHARS  # some texts at a time: words take memory here
             for part in np.split(np.arange(len(pdf)), np.flatnonzero(np.diff(ends)) + 1):
-                yield _scanned(pdf["id"].iloc[part], texts[part], chunks)
+                yield _scanned(pdf["id"].iloc[part], texts[part], chunks, met)
 
     rows = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInPandas(scan, f"id {kind}, line int, h long, times int, keys array<long>")
+    return rows.mapInPandas(scan, f"id {kind}, line int, h long, times int, keys array<long>, near array<long>")
 
 
 def line_groups(lines: DataFrame, docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = SIMILARITY) -> DataFrame:
@@ -318,18 +341,18 @@ def line_groups(lines: DataFrame, docs: DataFrame, *, id_col: str = "doc_id", te
     Lines equal after normalising are one node. Nodes that share a key (`block_keys`, `letter_keys`) are candidates: surely those that differ in one
     word, or in a letter if short, and nearly all that differ in up to a twelfth of their words; candidates of edit
     similarity `threshold` or more are linked. The kept line of a connected group is the first, by id and then by place.
-    A key of any number of lines is a star, and groups of any size are compared block by block.
+    A key of any number of lines is a star about its least, and groups of any size are compared block by block.
     """
     nodes = written(lines.groupBy("h").agg(F.min("id").alias("witness"), F.min_by("line", "id").alias("place"), F.count("*").alias("k")), "line-nodes")
-    keys = lines.where(F.size("keys") > 0).select(F.col("h").alias("id"), F.explode("keys").alias("key"))
-    # dealt by key once: telling lines apart, the least of a key and joining it back all use that shuffle
-    keys = keys.repartition(tasks(keys.sparkSession), "key").dropDuplicates(["key", "id"])
-    least = keys.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("key", "low")
-    edges = keys.join(least, "key").where("id <> low").select(F.col("id").alias("a"), F.col("low").alias("b"))
+    keys = lines.where(F.size("keys") > 0).select(F.col("h").alias("a"), F.explode("keys").alias("key"))
+    # a key has one row a stretch of text at most; the window sends each once, where joining its least back would send all again
+    stars = keys.select("a", F.min("a").over(Window.partitionBy("key")).alias("b")).where("a <> b")
+    edges = stars.unionByName(lines.where(F.size("near") > 0).select(F.col("h").alias("a"), F.explode("near").alias("b")))
     near = components(edges, "line-candidates")
     members = near.join(nodes, near["id"] == nodes["h"]).select(F.col("id").alias("h"), "component_id", "witness")
     dealt = written(block_pairs(members, "component_id", F.col("h"), BLOCK_ROWS), "line-blocks")
-    asked = dealt.select("witness", "h").distinct().groupBy("witness").agg(F.collect_list("h").alias("asked"))
+    # written, so that Spark knows how little it is before it plans to send all texts to meet it
+    asked = written(dealt.select("witness", "h").distinct().groupBy("witness").agg(F.collect_list("h").alias("asked")), "line-asked")
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     found = texts.join(asked, F.col("id").eqNullSafe(F.col("witness"))).select("text", "asked")
 
@@ -379,7 +402,7 @@ def line_groups(lines: DataFrame, docs: DataFrame, *, id_col: str = "doc_id", te
     fuzzy = some.join(first, "component_id").select("h", F.col("component_id").alias("group_id"), F.col("first.witness").alias("first_id"), F.col("first.place").alias("first_line"))
     equal = some.where("component_id is null").select("h", F.col("h").alias("group_id"), F.col("witness").alias("first_id"), F.col("place").alias("first_line"))
     kept = F.col("id").eqNullSafe(F.col("first_id")) & (F.col("line") == F.col("first_line"))
-    return lines.drop("keys").join(fuzzy.unionByName(equal), "h").select("id", "line", "times", "h", "group_id", kept.alias("kept"))
+    return lines.drop("keys", "near").join(fuzzy.unionByName(equal), "h").select("id", "line", "times", "h", "group_id", kept.alias("kept"))
 
 
 def line_report(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = SIMILARITY) -> DataFrame:
