@@ -223,34 +223,63 @@ def _gram_counts(texts) -> np.ndarray:
     return out
 
 
-def _linked(h, texts, a, b, threshold: float) -> dict[int, int]:
-    """h -> smallest h of its tree, over similar lines among rows `a` and `b`; lines already connected are not compared."""
-    i, j = np.triu_indices(len(a), 1) if a is b else (x.ravel() for x in np.indices((len(a), len(b))))
-    counts_a = _gram_counts(texts[a])
-    counts_b = counts_a if a is b else _gram_counts(texts[b])
-    length_a, length_b = np.array([len(t) for t in texts[a]]), np.array([len(t) for t in texts[b]])
-    root: dict[int, int] = {}
-
-    def top(v):
-        end = v
-        while end in root:
-            end = root[end]
-        while v != end:  # shorter ways for the next search
-            root[v], v = end, root[v]
-        return end
-
-    near = (1 - threshold) * np.maximum(length_a[i], length_b[j]) + 1e-9 >= abs(length_a[i] - length_b[j])
-    i, j = i[near], j[near]
-    for lo in range(0, len(i), 20_000):
-        p, q = i[lo:lo + 20_000], j[lo:lo + 20_000]
-        most = ((1 - threshold) * np.maximum(length_a[p], length_b[q]) + 1e-9).astype(np.int64)
-        d = counts_a[p].astype(np.int32) - counts_b[q]
-        ok = np.maximum(np.maximum(d, 0).sum(axis=1), np.maximum(-d, 0).sum(axis=1)) <= 2 * most
-        for r, s in zip(p[ok].tolist(), q[ok].tolist()):
-            u, v = top(int(h[a[r]])), top(int(h[b[s]]))
-            if u != v and similar(texts[a[r]], texts[b[s]], threshold):
-                root[max(u, v)] = min(u, v)
-    return {v: top(v) for v in root}
+def _traits(line: str, parts: list[str], chunks: Tokens) -> tuple[bytes, list[int]]:
+    """Hashes of the line's distinct words, or of its pieces, and its letter keys; one of the two is empty."""
+    if len(line) < NEVER:
+        return b"", []
+    w = b"".join(map(chunks.__getitem__, set(parts)))  # distinct: else a few common words decide
+    if len(line) < SHORT or (len(w) <= 16 and len(line) <= NO_WORDS):
+        return b"", letter_keys(line)
+    return w if len(w) > 16 else b"".join([xxhash.xxh64_intdigest(x).to_bytes(8, "little") for x in set(_pieces(line))]), []
+
+
+def _keyed(traits: list[tuple[bytes, list[int]]], letters: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """(line, key) of lines of those traits and lengths."""
+    line, key = block_keys(np.frombuffer(b"".join([w for w, _ in traits]), dtype=np.uint64), np.array([len(w) // 8 for w, _ in traits], dtype=np.int64),
+                           np.array(letters, dtype=np.int64))
+    short = np.repeat(np.arange(len(traits)), [len(own) for _, own in traits])
+    return np.concatenate([line, short]), np.concatenate([key, np.array([x for _, own in traits for x in own], dtype=np.uint64)])
+
+
+def _linked(texts, group, second, crossed, chunks: Tokens, threshold: float) -> np.ndarray:
+    """For each line the first line of its tree, over similar lines that share a key within their group.
+
+    Of a group that is `crossed`, lines of its second block meet those of its first alone. Lines already connected are not compared.
+    """
+    line, key = _keyed([_traits(t, t.split(), chunks) for t in texts], [len(t) for t in texts])
+    order = np.lexsort((line, key, group[line]))
+    line, key = line[order], key[order]
+    change = np.ones(len(line), dtype=bool)
+    change[1:] = (key[1:] != key[:-1]) | (group[line[1:]] != group[line[:-1]])
+    starts = np.flatnonzero(change)
+    ends = np.append(starts[1:], len(line))
+    counts, size = _gram_counts(texts), np.array([len(t) for t in texts])
+    label, failed = np.arange(len(texts)), set()
+    for lo, hi in zip(starts[ends - starts > 1].tolist(), ends[ends - starts > 1].tolist()):
+        rows = np.unique(line[lo:hi])
+        if (label[rows] == label[rows[0]]).all():
+            continue
+        cross = crossed[group[rows[0]]]
+        pivots, others = (rows[~second[rows]], rows[second[rows]]) if cross else (rows, rows)
+        for k, p in enumerate(pivots.tolist()):
+            q = others if cross else others[k + 1:]
+            q = q[label[q] != label[p]]
+            most = ((1 - threshold) * np.maximum(size[p], size[q]) + 1e-9).astype(np.int64)
+            fits = abs(size[q] - size[p]) <= most
+            q, most = q[fits], most[fits]
+            if not len(q):
+                continue
+            d = counts[q] - counts[p]
+            q = q[np.maximum(np.maximum(d, 0).sum(axis=1), np.maximum(-d, 0).sum(axis=1)) <= 2 * most]
+            for r in q.tolist():
+                if label[r] == label[p] or (p, r) in failed:
+                    continue
+                if similar(texts[p], texts[r], threshold):
+                    low, high = sorted((label[p], label[r]))
+                    label[label == high] = low
+                else:
+                    failed.add((p, r))
+    return label
 
 
 def _rows_of(line: np.ndarray, values: np.ndarray, n: int) -> list[np.ndarray]:
@@ -273,9 +302,7 @@ def _led(line: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
 
 
 def _scanned(ids: pd.Series, texts, chunks: Tokens, met: set[int]) -> pd.DataFrame:
-    of, at, hashes, times, words, lengths, letters = [], [], [], [], [], [], []
-    short_line: list[int] = []
-    short_key: list[int] = []
+    of, at, hashes, times, traits, letters = [], [], [], [], [], []
     for key, text in zip(ids.array, texts):
         seen: dict[str, int] = {}
         for k, line in enumerate(text.split("\n")):
@@ -288,15 +315,7 @@ def _scanned(ids: pd.Series, texts, chunks: Tokens, met: set[int]) -> pd.DataFra
                 continue
             seen[line] = len(of)
             h = xxhash.xxh64_intdigest(line)
-            w = b""
-            if h not in met and len(line) >= NEVER:  # an equal line's keys are the same
-                w = b"".join(map(chunks.__getitem__, set(parts)))  # distinct: else a few common words decide
-                if len(line) < SHORT or (len(w) <= 16 and len(line) <= NO_WORDS):
-                    own, w = letter_keys(line), b""
-                    short_line += [len(of)] * len(own)
-                    short_key += own
-                elif len(w) <= 16:
-                    w = b"".join([xxhash.xxh64_intdigest(x).to_bytes(8, "little") for x in set(_pieces(line))])
+            traits.append((b"", []) if h in met else _traits(line, parts, chunks))  # an equal line's keys are the same
             if len(met) >= LINES_MET:
                 met.clear()
             met.add(h)
@@ -304,12 +323,10 @@ def _scanned(ids: pd.Series, texts, chunks: Tokens, met: set[int]) -> pd.DataFra
             at.append(k)
             times.append(1)
             hashes.append(h)
-            words.append(w)
-            lengths.append(len(w) // 8)
             letters.append(len(line))
-    line, key = block_keys(np.frombuffer(b"".join(words), dtype=np.uint64), np.array(lengths, dtype=np.int64), np.array(letters, dtype=np.int64))
+    line, key = _keyed(traits, letters)
     h = np.array(hashes, dtype=np.uint64)
-    line, key, led, leader = _led(np.concatenate([line, np.array(short_line, dtype=np.int64)]), np.concatenate([key, np.array(short_key, dtype=np.uint64)]))
+    line, key, led, leader = _led(line, key)
     return pd.DataFrame({"id": pd.Series(of, dtype=ids.dtype), "line": np.array(at, dtype=np.int32), "h": h.view(np.int64), "times": np.array(times, dtype=np.int32),
                          "keys": pd.Series(_rows_of(line, key, len(of)), dtype=object), "near": pd.Series(_rows_of(led, h[leader], len(of)), dtype=object)})
 
@@ -341,7 +358,8 @@ def line_groups(lines: DataFrame, docs: DataFrame, *, id_col: str = "doc_id", te
     Lines equal after normalising are one node. Nodes that share a key (`block_keys`, `letter_keys`) are candidates: surely those that differ in one
     word, or in a letter if short, and nearly all that differ in up to a twelfth of their words; candidates of edit
     similarity `threshold` or more are linked. The kept line of a connected group is the first, by id and then by place.
-    A key of any number of lines is a star about its least, and groups of any size are compared block by block.
+    Only lines that share a key are compared: chance meetings make groups of candidates large. A key of any number of lines is a star about
+    its least, and groups of any size are compared block by block.
     """
     nodes = written(lines.groupBy("h").agg(F.min("id").alias("witness"), F.min_by("line", "id").alias("place"), F.count("*").alias("k")), "line-nodes")
     keys = lines.where(F.size("keys") > 0).select(F.col("h").alias("a"), F.explode("keys").alias("key"))
@@ -377,20 +395,13 @@ def line_groups(lines: DataFrame, docs: DataFrame, *, id_col: str = "doc_id", te
         """Many small groups, or one pair of blocks, at a time."""
         pdf = pdf.sort_values(["component_id", "block_a", "block_b"], kind="stable").drop_duplicates(["component_id", "block_a", "block_b", "block", "h"])
         marks = pdf[["component_id", "block_a", "block_b"]].to_numpy()
-        ends = np.flatnonzero((marks[1:] != marks[:-1]).any(axis=1)) + 1 if len(pdf) else np.zeros(0, dtype=np.int64)
-        block, block_a, h = (np.ascontiguousarray(pdf[k].to_numpy()) for k in ("block", "block_a", "h"))
-        block_b, texts = pdf["block_b"].to_numpy(), pdf["s"].to_numpy()
-        out: dict[int, list[int]] = {"a": [], "b": []}
-        for lo, hi in zip([0, *ends], [*ends, len(pdf)]):
-            rows = np.arange(lo, hi)
-            same = block_a[lo:lo + 1] == block_b[lo:lo + 1]
-            a = rows[block[lo:hi] == block_a[lo]] if len(rows) else rows
-            b = a if same.all() else rows[block[lo:hi] == block_b[lo]]
-            if len(a) and len(b):
-                roots = _linked(h, texts, a, b, threshold)
-                out["a"] += roots.keys()
-                out["b"] += roots.values()
-        return pd.DataFrame({k: pd.Series(v, dtype="int64") for k, v in out.items()})
+        new = (marks[1:] != marks[:-1]).any(axis=1)
+        group = np.concatenate([[0], np.cumsum(new)]) if len(pdf) else np.zeros(0, dtype=np.int64)
+        crossed = (marks[:, 1] != marks[:, 2])[np.flatnonzero(np.concatenate([[True], new]))] if len(pdf) else np.zeros(0, dtype=bool)
+        h, texts = pdf["h"].to_numpy(), pdf["s"].to_numpy()
+        label = _linked(texts, group, pdf["block"].to_numpy() != pdf["block_a"].to_numpy(), crossed, Tokens(), threshold)
+        led = label != np.arange(len(h))
+        return pd.DataFrame({"a": h[led], "b": h[label[led]]})
 
     # small groups share calls; a pair of blocks is a group of its own whatever its size
     batches = max(1, -(-dealt.count() // BATCH_ROWS))
