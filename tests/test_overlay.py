@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from orograd.operators import geometry, overlay
+from orograd.session import checkpoint
 from orograd.types import Grid
 
 GRID = Grid(a=1.0, c=0.0, e=-1.0, f=60.0, n_rows=60, n_cols=60)
@@ -61,3 +62,32 @@ def test_random_parts_of_two_regions(spark):
     for region, own in (("A", one), ("B", two)):
         assert held(spark, whole.where(F.col("region_code") == region), "region_code") == held(spark, own, "id")
     assert overlay.dissolve_rings(one.limit(0), bucket=1.0).count() == 0
+
+
+def pairs_met(spark, monkeypatch, n):
+    """Checks the union of `n` shapes in one place; returns how many pairs of edges shared a square on the way."""
+    met = []
+    cut = overlay.cut_edges
+
+    def counted(e, *, keys, bucket):
+        a = e.withColumn("q", F.explode(overlay._squares(bucket))).groupBy(*keys, "q").count()
+        met.append(a.agg(F.sum(F.col("count") * F.col("count"))).first()[0] or 0)
+        return cut(e, keys=keys, bucket=bucket)
+
+    monkeypatch.setattr(overlay, "cut_edges", counted)
+    rng = random.Random(7)
+    parts = []
+    for k in range(n):
+        x, y, w, h = rng.randint(1, 40) + 0.2, rng.randint(1, 40) + 0.2, rng.randint(4, 15), rng.randint(4, 15)
+        parts.append((f"p{k}", [rect(x, y, x + w, y + h) if k % 3 else [(x, y), (x + w + 0.3, y + 0.7), (x + w / 2, y + h + 0.1)]]))
+    parts = table(spark, parts)
+    whole = checkpoint(overlay.dissolve_rings(parts))
+    assert whole.count() == 1
+    assert held(spark, whole, "region_code") == held(spark, parts, "id")
+    return sum(met)
+
+
+def test_crowded_shapes_compare_no_more_edges_each(spark, monkeypatch):
+    few = pairs_met(spark, monkeypatch, 60)
+    monkeypatch.undo()
+    assert pairs_met(spark, monkeypatch, 600) < 20 * few
