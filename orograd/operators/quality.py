@@ -88,6 +88,8 @@ def directional(t: DataFrame, *, keys: tuple[str, ...] = (), hdd: str = "effecti
     """
     has_elev = "mean_elevation_ft" in t.columns
     if has_elev:
+        # a mean that is computed again may end in other digits, and the row that is the median would leave its side
+        t = checkpoint(t.select(*keys, *[k for k in (hdd, "mean_elevation_ft", "cell_type", "terrain_position") if k in t.columns]))
         med = exact_quantiles(t, "mean_elevation_ft", {"_med": 0.5}, keys=keys)
         if keys:
             t = bounded_join(t, med, list(keys), "left")

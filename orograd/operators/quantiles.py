@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import bounded_join
+from ..session import bounded_join, checkpoint
 
 
 def exact_quantiles(df: DataFrame, value: str, qs: dict[str, float], *, keys: tuple[str, ...] = (),
@@ -30,7 +30,7 @@ def exact_quantiles(df: DataFrame, value: str, qs: dict[str, float], *, keys: tu
     while half:
         placed = placed.withColumn("_b", F.col("_b") + F.when(F.get("_cuts", F.col("_b") + (half - 1)) < F.col("_v"), half).otherwise(0))
         half //= 2
-    placed = placed.drop("_cuts")
+    placed = checkpoint(placed.drop("_cuts"))  # used twice; computed again, a value may end in other digits and in another bucket
 
     def position(q: float) -> Column:
         return q * (F.col("_total") - 1)

@@ -4,6 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from orograd.operators import quality, raster, zonal
+from orograd.operators.quantiles import exact_quantiles
 from orograd.session import bounded_join
 
 
@@ -47,3 +48,19 @@ def test_median_split_with_one_dominant_value(spark):
     r = quality.directional(t).first()
     assert r["low_hdd"] == np.arange(600).mean() and r["high_hdd"] == np.arange(600, 999).mean()
     assert not r["elevation_issue"]
+
+
+def test_median_row_stays_low_when_a_mean_is_computed_again(spark):
+    """Means whose last digits differ from one computation to the next, as after another order of adding up."""
+    def again(frames):
+        rng = np.random.default_rng()
+        for f in frames:
+            f["mean_elevation_ft"] = f["mean_elevation_ft"] * (1 + rng.integers(-3, 4, len(f)) * 2.0 ** -51)
+            yield f
+
+    rows = spark.range(1500).select(F.expr("cast(id div 5 as string)").alias("zip_code"), (100.1 + F.col("id") % 5).alias("mean_elevation_ft"),
+                                    (F.col("id") % 5).cast("double").alias("effective_hdd"))
+    out = quality.directional(rows.mapInPandas(again, rows.schema), keys=("zip_code",))
+    assert [tuple(r) for r in out.select("low_hdd", "high_hdd").distinct().collect()] == [(1.0, 3.5)]
+    med = exact_quantiles(rows.mapInPandas(again, rows.schema), "mean_elevation_ft", {"m": 0.5}, keys=("zip_code",))
+    assert med.count() == 300 and med.where("m is null or abs(m - 102.1) > 1e-9").count() == 0
