@@ -23,6 +23,11 @@ def array_of(values):
     return F.array(*map(F.lit, values))
 
 
+def code(key: str):
+    """A key as a ZIP of at most five digits: longer keys give their first five, as lpad does in the SQL; the padding is the operator's."""
+    return F.substring(F.col(key).cast("string"), 1, 5)
+
+
 cte("stations", "SELECT * FROM (VALUES " + ", ".join(
     f"('{s}', {n}, {ft}, {la}::DOUBLE, {lo}::DOUBLE, {i})" for i, (s, n, ft, la, lo) in enumerate(STATIONS))
     + ") v(station_id, hdd_normal, elevation_ft, lat, lon, ord)")
