@@ -451,41 +451,54 @@ def road_heat(px: DataFrame, grid: Grid | DataFrame, roads: DataFrame) -> DataFr
     Pixels come from each segment's own rows and columns, so a segment costs what it covers; a
     pixel met by several segments of one road counts that road once. `grid` is the placement of the
     one grid in `px`, or the placement table of several.
+
+    Roads are dealt in blocks of rows. One with a single segment in its block meets no pixel twice, so its flux is
+    summed before the shuffle; only the others travel as rows per road and pixel.
     """
     seg = _segments(roads.where("size(pts) >= 2 and heat_flux_wm2 is not null")
                     .withColumn("_d", road_buffer_m("aadt")), ["road_id", "heat_flux_wm2", "_d"])
-    seg = spread(seg, "road_id", "x1", "y1")
     d = F.col("_d")
 
+    ends = ["x1", "y1", "x2", "y2", "_d"]
+    # what a segment needs for each of its pixels is made here, and without nulls: a longer loop would be too long to be compiled
+    seg = seg.where(" and ".join(f"{k} is not null" for k in ends)).withColumns({k: F.coalesce(k, F.lit(0.0)) for k in ends})
     seg = (seg.withColumn("_lo", F.least("y1", "y2") - d).withColumn("_hi", F.greatest("y1", "y2") + d)
-           .withColumn("_dx", F.col("x2") - F.col("x1")).withColumn("_dy", F.col("y2") - F.col("y1")))
+           .withColumn("_dx", F.col("x2") - F.col("x1")).withColumn("_dy", F.col("y2") - F.col("y1"))
+           .withColumn("_len2", F.col("_dx") * F.col("_dx") + F.col("_dy") * F.col("_dy")))
+    flat = F.nullif(F.col("_dy"), F.lit(0.0))
+    seg = (seg.withColumn("_len2", F.when(F.col("_len2") > 0, F.col("_len2")).otherwise(1.0))
+           .withColumn("_per", F.coalesce(1.0 / flat, F.lit(0.0))).withColumn("_part", F.coalesce(d / F.abs(flat), F.lit(1.0))))
     seg, p = on_grids(seg, grid, (F.least("x1", "x2") - d, F.col("_lo"), F.greatest("x1", "x2") + d, F.col("_hi")))
 
     def each_index(df: DataFrame, out: str, ends: tuple[Column, Column]) -> DataFrame:
         return (df.withColumn("_first", ends[0]).withColumn("_last", ends[1]).where("_first <= _last")
                 .withColumn(out, F.explode(F.sequence("_first", "_last"))))
 
+    ends = p.rows_between(F.col("_lo"), F.col("_hi"))
+    seg = seg.withColumn("_r0", ends[0]).withColumn("_r1", ends[1])
+    seg = each_index(seg, "_block", (F.floor(F.col("_r0") / SPAN_BLOCK), F.floor(F.col("_r1") / SPAN_BLOCK))).drop("_first", "_last")
+    one_road = [*p.keys, "_block", "road_id", "heat_flux_wm2"]
+    seg = spread(seg, *one_road).withColumn("_many", F.count(F.lit(1)).over(Window.partitionBy(*one_road)) > 1)
     # every step is a column of its own: inlined into one expression they would multiply
-    seg = each_index(seg, "row", p.rows_between(F.col("_lo"), F.col("_hi")))
+    seg = each_index(seg, "row", (F.greatest("_r0", F.col("_block") * SPAN_BLOCK), F.least("_r1", (F.col("_block") + 1) * SPAN_BLOCK - 1)))
     # only the part of the segment within reach of this row can touch its pixels
-    flat = F.nullif(F.col("_dy"), F.lit(0.0))
-    near = (seg.withColumn("_y", p.y(F.col("row"))).withColumn("_t1", (F.col("_y") - d - F.col("y1")) / flat)
-            .withColumn("_t2", (F.col("_y") + d - F.col("y1")) / flat)
-            .withColumn("_from", F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(F.least("_t1", "_t2"), F.lit(0.0)))))
-            .withColumn("_to", F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(F.greatest("_t1", "_t2"), F.lit(1.0)))))
-            .withColumn("_xa", F.col("x1") + F.col("_from") * F.col("_dx"))
-            .withColumn("_xb", F.col("x1") + F.col("_to") * F.col("_dx"))
-            .withColumn("_lo", F.least("_xa", "_xb") - d).withColumn("_hi", F.greatest("_xa", "_xb") + d))
+    def share(x: Column) -> Column:
+        return F.greatest(F.lit(0.0), F.least(F.lit(1.0), x))
+
+    near = (seg.withColumn("_py", p.y(F.col("row")) - F.col("y1")).withColumn("_mid", F.col("_py") * F.col("_per"))
+            .withColumn("_xa", F.col("x1") + share(F.col("_mid") - F.col("_part")) * F.col("_dx"))
+            .withColumn("_xb", F.col("x1") + share(F.col("_mid") + F.col("_part")) * F.col("_dx")))
+    near = near.withColumn("_lo", F.least("_xa", "_xb") - d).withColumn("_hi", F.greatest("_xa", "_xb") + d).drop("_xa", "_xb", "_mid")
     near = each_index(near, "col", p.cols_between(F.col("_lo"), F.col("_hi")))
     dx, dy = F.col("_dx"), F.col("_dy")
-    near = near.withColumn("_x", p.x(F.col("col")))
-    along = ((F.col("_x") - F.col("x1")) * dx + (F.col("_y") - F.col("y1")) * dy) / F.nullif(dx * dx + dy * dy, F.lit(0.0))
-    near = near.withColumn("_t", F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(along, F.lit(0.0)))))
-    gap2 = (F.pow(F.col("_x") - F.col("x1") - F.col("_t") * dx, 2) + F.pow(F.col("_y") - F.col("y1") - F.col("_t") * dy, 2))
+    near = near.withColumn("_px", p.x(F.col("col")) - F.col("x1"))
+    near = near.withColumn("_t", share((F.col("_px") * dx + F.col("_py") * dy) / F.col("_len2")))
+    near = near.withColumn("_gx", F.col("_px") - F.col("_t") * dx).withColumn("_gy", F.col("_py") - F.col("_t") * dy)
+    gap2 = F.col("_gx") * F.col("_gx") + F.col("_gy") * F.col("_gy")
     on = [*p.keys, "row", "col"]
-    # dealt by pixel once: distinct roads, their sum and the join with the pixels all fit that
-    touched = near.where(gap2 <= d * d).select(*p.keys, "road_id", "row", "col", "heat_flux_wm2").repartition(*on).distinct()
-    flux = touched.groupBy(*on).agg(F.sum("heat_flux_wm2").alias("_flux"))
+    own = [F.when(F.col("_many"), F.col(k)).alias(f"_{k}") for k in ("road_id", "heat_flux_wm2")]
+    touched = near.where(gap2 <= d * d).groupBy(*on, "_many", *own).agg(F.sum("heat_flux_wm2").alias("_all"), F.max("heat_flux_wm2").alias("_once"))
+    flux = touched.groupBy(*on).agg(F.sum(F.when(F.col("_many"), F.col("_once")).otherwise(F.col("_all"))).alias("_flux"))
     return (px.withColumn("row", F.col("row").cast("long")).withColumn("col", F.col("col").cast("long"))
             .join(flux, on, "left")
             .withColumn("road_heat_flux_wm2", F.coalesce("_flux", F.lit(0.0)))

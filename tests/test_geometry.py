@@ -1,4 +1,5 @@
 import math
+import re
 
 import numpy as np
 import pytest
@@ -148,3 +149,28 @@ def test_strips_of_a_ring_of_many_edges(spark):
     cells = geometry.create_cells(p, cell_size_m=1060 / 60)
     area = geometry.polygon_area(p).first()["area"]
     assert abs(cells.agg({"cell_area_sqm": "sum"}).first()[0] - area) < 1e-6 * area
+
+
+def test_road_seen_in_several_blocks_and_by_several_segments_counts_once(spark):
+    n = 2 * geometry.SPAN_BLOCK + 40
+    px = spark.range(n * 3).selectExpr("'g' AS grid_id", "id div 3 AS row", "id % 3 AS col")
+    there_and_back = [(1.5, 10.2), (1.5, n - 10.2), (1.5, 15.2)]
+    lines = [(5000, 100, there_and_back), (5000, 7, [(1.5, 20.2), (1.5, n - 20.2)]), (5000, 3, [(1.2, 30.2), (1.2, 30.2)])]
+    out = geometry.road_heat(px, Grid(1.0, 0.0, -1.0, float(n), n, 3), roads(spark, lines)).collect()
+    for r in out:
+        y = n - r["row"] - 0.5
+        x = r["col"] + 0.5
+        want = 100.0 * (math.hypot(x - 1.5, max(0, 10.2 - y, y - (n - 10.2))) <= 50) + 7.0 * (math.hypot(x - 1.5, max(0, 20.2 - y, y - (n - 20.2))) <= 50)
+        assert r["road_heat_flux_wm2"] == want + 3.0 * (math.hypot(x - 1.2, y - 30.2) <= 50)
+
+
+def test_the_loop_over_road_pixels_is_short_enough_to_be_compiled(spark, capsys):
+    """The JVM never compiles methods of more than 8,000 bytes; a loop in one is interpreted."""
+    px = spark.range(100).selectExpr("'g' AS grid_id", "id div 10 AS row", "id % 10 AS col")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        geometry.road_heat(px, Grid(1.0, 0.0, -1.0, 10.0, 10, 10), roads(spark, [(5000, 1, [(1, 1), (5, 3)])])).explain("codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    sizes = [int(k) for k in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) < 8000
