@@ -12,13 +12,15 @@ import sys
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import block_pairs, components, fresh, tasks, written
-from .shingles import LONG_CHUNK, MULTIPLIER, WORD, _mixed
+from .common import block_pairs, components, forest, fresh, tasks, written
+from .shingles import MULTIPLIER, _mixed
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -29,11 +31,17 @@ LEAST_WORDS = 4          # a block of fewer words takes in those after it: few c
 LENGTH_STEP = 1.5        # lines meet within a class of lengths of this ratio
 SHORT, NO_WORDS = 20, 40  # letters below which a line is known by all its letters but one; up to the second, lines of two words too
 NEVER = 10               # letters below which lines within the similarity are equal
-CHUNKS_KEPT = 100_000    # of a worker's dictionary
+PLANE, PLACES = 0x10000, 4096  # code points looked up in a table, letters of a word that have multipliers of their own
+HASHED_CHARS = 500_000   # letters hashed at once, or one longer line
 LINES_MET = 200_000      # whose hashes a worker keeps
 BLOCK_ROWS = 2048        # texts are copied once per block of their group, so blocks are large
-BATCH_ROWS = 2048        # lines that small groups bring together in one call
-GRAMS = 128              # buckets of letter pairs, whose counts bound the edit distance from below
+BATCH_ROWS = 8192        # lines that small groups bring together in one call
+LONG_LINE = 4096         # letters beyond which pairs are compared one by one
+SKIPS = sorted(((u, v) for u in range(5) for v in range(5) if u + v), key=lambda x: (sum(x), abs(x[0] - x[1])))  # words left out before the next equal one
+PIVOTS = 64              # lines of a bucket that meet the others in one turn, at most
+FEW_PAIRS = 8            # so do fewer pairs of near lengths
+TABLE_CELLS = 500_000    # letters of the pairs compared at once
+FAR = 30_000             # a distance beyond any within
 SCAN_CHARS = 4_000_000   # text worked on at once in a task, or one longer text
 LANES = 255              # words counted in one byte lane before it is full
 
@@ -144,17 +152,51 @@ def block_keys(words: np.ndarray, n: np.ndarray, letters: np.ndarray) -> tuple[n
         return np.concatenate([of, of[both]]), _mixed(np.concatenate([key, key[both]]) + _mixed(klass * MULTIPLIER))
 
 
-class Tokens(dict):
-    """Chunk between white space -> 64-bit hash of its letters and digits as bytes; none for punctuation alone."""
-
-    def __missing__(self, chunk: str) -> bytes:
-        own = "".join(WORD.findall(chunk))
-        out = xxhash.xxh64_intdigest(own).to_bytes(8, "little") if own else b""
-        if len(self) >= CHUNKS_KEPT:
-            self.clear()
-        if len(chunk) <= LONG_CHUNK:
-            self[chunk] = out
-        return out
+class Words:
+    """Hashes of the distinct words of many lines at once; a word is the letters and digits between white space, none for punctuation alone."""
+
+    def __init__(self) -> None:
+        self.letter = np.array([c.isalnum() or c == "_" for c in map(chr, range(PLANE))])
+        self.weight = _mixed(np.arange(1, PLACES + 1, dtype=np.uint64) * MULTIPLIER) | np.uint64(1)
+
+    def __call__(self, lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(hashes, number of each line's hashes) of normalised lines."""
+        hashes, numbers, lo, size = [np.zeros(0, dtype=np.uint64)], [np.zeros(0, dtype=np.int64)], 0, 0
+        for hi, line in enumerate(lines, 1):  # some lines at a time: arrays by letter take memory here
+            size += len(line)
+            if size >= HASHED_CHARS or hi == len(lines):
+                h, n = self._hashed(lines[lo:hi])
+                hashes.append(h)
+                numbers.append(n)
+                lo, size = hi, 0
+        return np.concatenate(hashes), np.concatenate(numbers)
+
+    def _hashed(self, lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        points = np.frombuffer("\n".join(lines).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        own = self.letter[np.minimum(points, PLANE - 1)]
+        far = np.flatnonzero(points >= PLANE)
+        if len(far):
+            kinds, of = np.unique(points[far], return_inverse=True)
+            own[far] = np.array([chr(c).isalnum() for c in kinds.tolist()])[of]
+        word = np.cumsum((points == 32) | (points == 10), dtype=np.int32)
+        at = np.flatnonzero(own)
+        if not len(at):
+            return np.zeros(0, dtype=np.uint64), np.zeros(len(lines), dtype=np.int64)
+        word = word[at]
+        starts = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+        place = np.arange(len(at)) - np.repeat(starts, np.diff(np.append(starts, len(at))))
+        letters = points[at].astype(np.uint64)
+        with np.errstate(over="ignore"):
+            if place.max() >= PLACES:
+                letters += (place // PLACES).astype(np.uint64) << np.uint64(21)
+                place %= PLACES
+            h = _mixed(_mixed(np.add.reduceat((letters + np.uint64(1)) * self.weight[place], starts)))
+        line = np.searchsorted(np.flatnonzero(points == 10), at[starts])
+        order = np.argsort((line.astype(np.uint64) << np.uint64(42)) | (h >> np.uint64(22)))
+        line, h = line[order], h[order]
+        new = np.ones(len(h), dtype=bool)  # distinct: else a few common words decide
+        new[1:] = (h[1:] != h[:-1]) | (line[1:] != line[:-1])
+        return h[new], np.bincount(line[new], minlength=len(lines))
 
 
 def letter_keys(line: str) -> list[int]:
@@ -213,81 +255,189 @@ def similar(a: str, b: str, threshold: float) -> bool:
     return distance_within(a, b, int((1 - threshold) * longest + 1e-9))
 
 
-def _gram_counts(texts) -> np.ndarray:
-    """Counts of letter pairs in buckets; an edit changes two at most, so differences bound the distance from below."""
-    out = np.zeros((len(texts), GRAMS), dtype=np.int16)
-    for k, t in enumerate(texts):
-        c = np.frombuffer(t.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-        if len(c) > 1:
-            out[k] = np.minimum(np.bincount((c[:-1] * 31 + c[1:]) & (GRAMS - 1), minlength=GRAMS), 32_000)
-    return out
+def _common(a: str, b: str) -> int:
+    """Length of the common beginning."""
+    lo, hi = 0, min(len(a), len(b))
+    while lo < hi:
+        k = (lo + hi + 1) // 2
+        lo, hi = (k, hi) if a[lo:k] == b[lo:k] else (lo, k - 1)
+    return lo
 
 
-def _traits(line: str, parts: list[str], chunks: Tokens) -> tuple[bytes, list[int]]:
-    """Hashes of the line's distinct words, or of its pieces, and its letter keys; one of the two is empty."""
-    if len(line) < NEVER:
-        return b"", []
-    w = b"".join(map(chunks.__getitem__, set(parts)))  # distinct: else a few common words decide
-    if len(line) < SHORT or (len(w) <= 16 and len(line) <= NO_WORDS):
-        return b"", letter_keys(line)
-    return w if len(w) > 16 else b"".join([xxhash.xxh64_intdigest(x).to_bytes(8, "little") for x in set(_pieces(line))]), []
+def _near_by_words(a: str, b: str, most: int) -> bool:
+    """Whether an alignment by words, the next equal ones met first, costs at most `most` edits; if not, the distance may still be less."""
+    x, y = a.split(" "), b.split(" ")
+    i = j = cost = 0
+    while i < len(x) and j < len(y):
+        if x[i] == y[j]:
+            i, j = i + 1, j + 1
+            continue
+        for u, v in SKIPS:
+            if i + u < len(x) and j + v < len(y) and x[i + u] == y[j + v]:
+                break
+        else:
+            u, v = 1, 1
+        cost += max(sum(map(len, x[i:i + u])) + u, sum(map(len, y[j:j + v])) + v) - (u == v)
+        if cost > most:
+            return False
+        i, j = i + u, j + v
+    return cost + max(sum(map(len, x[i:])) + len(x) - i, sum(map(len, y[j:])) + len(y) - j) <= most
+
+
+def _grid(texts: list[str], backwards: bool) -> np.ndarray:
+    """Code points by (place, text), padded behind the longest text's end, or before its begin if backwards."""
+    sizes = np.array([len(t) for t in texts])
+    points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    of = np.repeat(np.arange(len(texts)), sizes)
+    place = np.arange(len(points)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    out = np.zeros((sizes.max(), len(texts)), dtype=np.uint16 if points.max() < PLANE else np.uint32)
+    out[sizes.max() - 1 - place if backwards else place, of] = points
+    return out
+
 
+def _all_within(a: list[str], b: list[str], most: np.ndarray) -> np.ndarray:
+    """`distance_within` of many pairs of similar lengths at once, a never shorter than b, none empty.
 
-def _keyed(traits: list[tuple[bytes, list[int]]], letters: list[int]) -> tuple[np.ndarray, np.ndarray]:
-    """(line, key) of lines of those traits and lengths."""
-    line, key = block_keys(np.frombuffer(b"".join([w for w, _ in traits]), dtype=np.uint64), np.array([len(w) // 8 for w, _ in traits], dtype=np.int64),
-                           np.array(letters, dtype=np.int64))
-    short = np.repeat(np.arange(len(traits)), [len(own) for _, own in traits])
-    return np.concatenate([line, short]), np.concatenate([key, np.array([x for _, own in traits for x in own], dtype=np.uint64)])
+    The table of distances is filled by antidiagonals, all pairs together, on the diagonals that a path of `most` edits can touch.
+    """
+    n, m = np.array([len(x) for x in a]), np.array([len(x) for x in b])
+    low, high = int(((most - (n - m)) // 2).max()), int(((most + (n - m)) // 2).max())
+    rows, cols = _grid(a, False), _grid(b, True)
+    tall, wide, end = len(rows), len(cols), n + m
+    table = np.full((3, tall + 3, len(a)), FAR, dtype=np.int16)  # row i + 1 has distances of a's first i letters
+    out = np.zeros(len(a), dtype=np.int64)
+    order = np.argsort(end)
+    done = 0
+    for s in range(int(end.max()) + 1):
+        new, last, before = table[s % 3], table[(s - 1) % 3], table[(s - 2) % 3]
+        lo, hi = max(0, s - wide, -((low - s) // 2)), min(s, tall, (s + high) // 2)
+        if lo <= hi:
+            new[lo] = new[hi + 2] = FAR
+            x, y = max(lo, 1), min(hi, s - 1)
+            if x <= y:
+                near = np.minimum(last[x:y + 1], last[x + 1:y + 2])
+                near += 1
+                np.minimum(near, before[x:y + 1] + (rows[x - 1:y] != cols[wide - s + x:wide - s + y + 1]), out=new[x + 1:y + 2])
+            if lo == 0:
+                new[1] = s
+            if hi == s:
+                new[s + 1] = s
+        while done < len(order) and end[order[done]] == s:
+            k = order[done]
+            out[k] = new[n[k] + 1, k]
+            done += 1
+    return out <= most
+
+
+def all_similar(pairs: list[tuple[str, str]], threshold: float) -> np.ndarray:
+    """`similar` of many pairs: what differs between their common ends, pairs of near lengths together."""
+    out = np.zeros(len(pairs), dtype=bool)
+    left: list[tuple[int, int, str, str]] = []
+    for k, (a, b) in enumerate(pairs):
+        most = int((1 - threshold) * max(len(a), len(b)) + 1e-9)
+        if abs(len(a) - len(b)) > most:
+            continue
+        x = _common(a, b)
+        a, b = a[x:], b[x:]
+        x = _common(a[::-1], b[::-1])
+        a, b = a[:len(a) - x], b[:len(b) - x]
+        a, b = (a, b) if len(a) >= len(b) else (b, a)
+        if len(a) <= most or not b:
+            out[k] = len(a) <= most
+        elif _near_by_words(a, b, most):
+            out[k] = True
+        elif len(a) > LONG_LINE:
+            out[k] = distance_within(a, b, most)
+        else:
+            left.append((k, most, a, b))
+    left.sort(key=lambda x: len(x[2]))
+    lo = 0
+    while lo < len(left):
+        hi = lo + 1
+        while hi < len(left) and len(left[hi][2]) * (hi - lo) < TABLE_CELLS and len(left[hi][2]) <= 1.25 * len(left[lo][2]) + 16:
+            hi += 1
+        k, most, a, b = zip(*left[lo:hi])
+        if len(k) < FEW_PAIRS:
+            out[list(k)] = [distance_within(*x) for x in zip(a, b, most)]
+        else:
+            out[list(k)] = _all_within(list(a), list(b), np.array(most))
+        lo = hi
+    return out
 
 
-def _linked(texts, group, second, crossed, chunks: Tokens, threshold: float) -> np.ndarray:
+def _keyed(lines: list[str], words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """(line, key) of normalised lines: those of their words, or of their pieces where they have few, or the letter keys of short ones."""
+    hashes, n = words(lines)
+    letters = np.array([len(x) for x in lines], dtype=np.int64)
+    short = (letters < SHORT) | ((n <= 2) & (letters <= NO_WORDS))
+    plain = ~short & (n > 2)
+    by_words = np.repeat(plain, n)
+    line, key = block_keys(hashes[by_words], np.where(plain, n, 0), letters)
+    out = [(line, key)]
+    cut = np.flatnonzero(~short & ~plain)
+    if len(cut):
+        pieces = [[xxhash.xxh64_intdigest(x) for x in set(_pieces(lines[k]))] for k in cut.tolist()]
+        line, key = block_keys(np.array([x for own in pieces for x in own], dtype=np.uint64), np.array([len(x) for x in pieces], dtype=np.int64), letters[cut])
+        out.append((cut[line], key))
+    few = np.flatnonzero(short & (letters >= NEVER))
+    if len(few):
+        own = [letter_keys(lines[k]) for k in few.tolist()]
+        out.append((np.repeat(few, [len(x) for x in own]), np.array([x for keys in own for x in keys], dtype=np.uint64)))
+    line, key = zip(*out)
+    return np.concatenate(line), np.concatenate(key)
+
+
+def _linked(texts, group, second, crossed, words: Words, threshold: float) -> np.ndarray:
     """For each line the first line of its tree, over similar lines that share a key within their group.
 
     Of a group that is `crossed`, lines of its second block meet those of its first alone. Lines already connected are not compared.
     """
-    line, key = _keyed([_traits(t, t.split(), chunks) for t in texts], [len(t) for t in texts])
+    line, key = _keyed(list(texts), words)
     order = np.lexsort((line, key, group[line]))
     line, key = line[order], key[order]
     change = np.ones(len(line), dtype=bool)
     change[1:] = (key[1:] != key[:-1]) | (group[line[1:]] != group[line[:-1]])
     starts = np.flatnonzero(change)
     ends = np.append(starts[1:], len(line))
-    counts, size = _gram_counts(texts), np.array([len(t) for t in texts])
-    label, failed = np.arange(len(texts)), set()
-    for lo, hi in zip(starts[ends - starts > 1].tolist(), ends[ends - starts > 1].tolist()):
+    size, label = np.array([len(t) for t in texts]), np.arange(len(texts))
+    two = starts[ends - starts == 2]
+    a, b = line[two], line[two + 1]
+    own = (a != b) & (~crossed[group[a]] | (second[a] != second[b]))
+    met = [a[own] * len(texts) + b[own]]
+    rows_of = {}  # lines that share many keys are one bucket
+    for lo, hi in zip(starts[ends - starts > 2].tolist(), ends[ends - starts > 2].tolist()):
         rows = np.unique(line[lo:hi])
-        if (label[rows] == label[rows[0]]).all():
-            continue
-        cross = crossed[group[rows[0]]]
-        pivots, others = (rows[~second[rows]], rows[second[rows]]) if cross else (rows, rows)
-        for k, p in enumerate(pivots.tolist()):
-            q = others if cross else others[k + 1:]
-            q = q[label[q] != label[p]]
-            most = ((1 - threshold) * np.maximum(size[p], size[q]) + 1e-9).astype(np.int64)
-            fits = abs(size[q] - size[p]) <= most
-            q, most = q[fits], most[fits]
-            if not len(q):
+        if len(rows) > 1:
+            rows_of[rows.tobytes()] = rows
+    buckets = [(rows[~second[rows]], rows[second[rows]]) if crossed[group[rows[0]]] else (rows, rows) for rows in rows_of.values()]
+    failed: set[int] = set()
+    lo, hi = 0, 1
+    while buckets or lo == 0:  # in each turn some lines of every bucket, more and more, meet those that they aren't connected with yet
+        left = []
+        for pivots, others in buckets:
+            if lo >= len(pivots) or not len(others):
                 continue
-            d = counts[q] - counts[p]
-            q = q[np.maximum(np.maximum(d, 0).sum(axis=1), np.maximum(-d, 0).sum(axis=1)) <= 2 * most]
-            for r in q.tolist():
-                if label[r] == label[p] or (p, r) in failed:
-                    continue
-                if similar(texts[p], texts[r], threshold):
-                    low, high = sorted((label[p], label[r]))
-                    label[label == high] = low
-                else:
-                    failed.add((p, r))
+            left.append((pivots, others))
+            for k in range(lo, min(hi, len(pivots))):
+                p, q = pivots[k], others[k + 1:] if pivots is others else others
+                q = q[label[q] != label[p]]
+                q = q[abs(size[q] - size[p]) <= ((1 - threshold) * np.maximum(size[p], size[q]) + 1e-9).astype(np.int64)]
+                met.append(np.minimum(p, q) * len(texts) + np.maximum(p, q))
+        pairs = np.array([x for x in np.unique(np.concatenate(met)).tolist() if x not in failed] if met else [], dtype=np.int64)
+        a, b = np.divmod(pairs, len(texts))
+        same = all_similar(list(zip(texts[a], texts[b])), threshold)
+        failed.update(pairs[~same].tolist())
+        label = forest(label[a[same]], label[b[same]], np.arange(len(texts)))[label]
+        buckets = [x for x in left if (label[x[0]] != label[x[0][0]]).any() or (label[x[1]] != label[x[0][0]]).any()]
+        met, lo, hi = [], hi, hi + min(hi + 1, PIVOTS)
     return label
 
 
-def _rows_of(line: np.ndarray, values: np.ndarray, n: int) -> list[np.ndarray]:
+def _lists(line: np.ndarray, values: np.ndarray, n: int) -> pa.Array:
     """The values of each of n lines, `line` in any order."""
     order = np.argsort(line, kind="stable")
     ends = np.searchsorted(line[order], np.arange(n + 1))
-    values = values[order].view(np.int64)
-    return [values[a:b] for a, b in itertools.pairwise(ends.tolist())]
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values[order].view(np.int64)))
 
 
 def _led(line: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -301,34 +451,34 @@ def _led(line: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
     return line[first], key[first], led[0], led[1]
 
 
-def _scanned(ids: pd.Series, texts, chunks: Tokens, met: set[int]) -> pd.DataFrame:
-    of, at, hashes, times, traits, letters = [], [], [], [], [], []
-    for key, text in zip(ids.array, texts):
+def _scanned(texts: list[str], words: Words, met: set[int]) -> tuple[list[int], list[pa.Array]]:
+    """Places of the texts and (line, h, times, keys, near) of their lines."""
+    of, at, hashes, times, unmet, lines = [], [], [], [], [], []
+    for k, text in enumerate(texts):
         seen: dict[str, int] = {}
-        for k, line in enumerate(text.split("\n")):
-            parts = line.lower().split()
-            if not parts:
+        for place, line in enumerate(text.lower().split("\n")):
+            line = " ".join(line.split())
+            if not line:
                 continue
-            line = " ".join(parts)
             if line in seen:
                 times[seen[line]] += 1
                 continue
             seen[line] = len(of)
             h = xxhash.xxh64_intdigest(line)
-            traits.append((b"", []) if h in met else _traits(line, parts, chunks))  # an equal line's keys are the same
-            if len(met) >= LINES_MET:
-                met.clear()
-            met.add(h)
-            of.append(key)
-            at.append(k)
+            if h not in met:  # an equal line's keys are the same
+                if len(met) >= LINES_MET:
+                    met.clear()
+                met.add(h)
+                unmet.append(len(of))
+                lines.append(line)
+            of.append(k)
+            at.append(place)
             times.append(1)
             hashes.append(h)
-            letters.append(len(line))
-    line, key = _keyed(traits, letters)
+    line, key = _keyed(lines, words)
     h = np.array(hashes, dtype=np.uint64)
-    line, key, led, leader = _led(line, key)
-    return pd.DataFrame({"id": pd.Series(of, dtype=ids.dtype), "line": np.array(at, dtype=np.int32), "h": h.view(np.int64), "times": np.array(times, dtype=np.int32),
-                         "keys": pd.Series(_rows_of(line, key, len(of)), dtype=object), "near": pd.Series(_rows_of(led, h[leader], len(of)), dtype=object)})
+    line, key, led, leader = _led(np.array(unmet, dtype=np.int64)[line], key)
+    return of, [pa.array(at, pa.int32()), pa.array(h.view(np.int64)), pa.array(times, pa.int32()), _lists(line, key, len(of)), _lists(led, h[leader], len(of))]
 
 
 def line_table(docs: DataFrame, *, id_col: str, text_col: str) -> DataFrame:
@@ -341,15 +491,16 @@ def line_table(docs: DataFrame, *, id_col: str, text_col: str) -> DataFrame:
     kind = docs.schema[id_col].dataType.simpleString()
 
     def scan(batches):
-        chunks, met = Tokens(), set()
-        for pdf in batches:
-            texts = pdf["text"].to_numpy()
-            ends = np.cumsum([len(t) for t in texts]) // SCAN_CHARS  # some texts at a time: words take memory here
-            for part in np.split(np.arange(len(pdf)), np.flatnonzero(np.diff(ends)) + 1):
-                yield _scanned(pdf["id"].iloc[part], texts[part], chunks, met)
+        words, met = Words(), set()
+        for batch in batches:
+            ids, sizes = batch.column(0), np.cumsum(pc.utf8_length(batch.column(1)).to_numpy(zero_copy_only=False))
+            cuts = np.flatnonzero(np.diff(sizes // SCAN_CHARS)) + 1  # some texts at a time: words take memory here
+            for lo, hi in itertools.pairwise([0, *cuts.tolist(), len(sizes)]):
+                of, columns = _scanned(batch.column(1).slice(lo, hi - lo).to_pylist(), words, met)
+                yield pa.RecordBatch.from_arrays([ids.slice(lo, hi - lo).take(pa.array(of, pa.int64())), *columns], ["id", "line", "h", "times", "keys", "near"])
 
     rows = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInPandas(scan, f"id {kind}, line int, h long, times int, keys array<long>, near array<long>")
+    return rows.mapInArrow(scan, f"id {kind}, line int, h long, times int, keys array<long>, near array<long>")
 
 
 def line_groups(lines: DataFrame, docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = SIMILARITY) -> DataFrame:
@@ -399,7 +550,7 @@ def line_groups(lines: DataFrame, docs: DataFrame, *, id_col: str = "doc_id", te
         group = np.concatenate([[0], np.cumsum(new)]) if len(pdf) else np.zeros(0, dtype=np.int64)
         crossed = (marks[:, 1] != marks[:, 2])[np.flatnonzero(np.concatenate([[True], new]))] if len(pdf) else np.zeros(0, dtype=bool)
         h, texts = pdf["h"].to_numpy(), pdf["s"].to_numpy()
-        label = _linked(texts, group, pdf["block"].to_numpy() != pdf["block_a"].to_numpy(), crossed, Tokens(), threshold)
+        label = _linked(texts, group, pdf["block"].to_numpy() != pdf["block_a"].to_numpy(), crossed, Words(), threshold)
         led = label != np.arange(len(h))
         return pd.DataFrame({"a": h[led], "b": h[label[led]]})
 

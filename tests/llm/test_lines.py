@@ -123,3 +123,29 @@ def test_odd_lines(spark):
     report = {(r["doc_id"], r["n_lines"]): r["dropped"] for r in L.line_report(table(spark, rows)).collect()}
     assert report[3, 1] == [0] and report[5, 1] == [0] and report[7, 1] == [] and report[10, 1] == []
     assert (report[None, 1] == [0]) != (report[1, 2] != [])
+
+
+def test_pairs_compared_together():
+    r = random.Random(3)
+    pairs = []
+    for _ in range(600):
+        a = "".join(r.choice("abcdé𝒳 ") for _ in range(r.choice((1, 12, 30, 60, 61, 90))))
+        b = list(a)
+        for _ in range(r.randint(0, max(1, len(a) // 7))):
+            k = r.randrange(len(b) + 1)
+            b[k:k + r.randint(0, 1)] = r.choice(["", "x", "y z"])
+        pairs.append((a, "".join(b)) if r.random() < 0.5 else ("".join(b), a))
+    pairs += [("", ""), ("", "a"), ("a" * 5000, "a" * 4990 + "b" * 10), ("ab" * 3000, "ba" * 2500)]
+    got = L.all_similar(pairs, 0.9)
+    want = [edit(a, b) <= int(0.1 * max(len(a), len(b)) + 1e-9) if len(a) < 1000 else L.similar(a, b, 0.9) for a, b in pairs]
+    assert got.tolist() == want and 100 < sum(want) < 500
+
+
+def test_words_hashed_together():
+    words = L.Words()
+    lines = ["one two, two. three", "!!! ---", "Ünder wörd 𝒳y \U0001F600", "w" * 9000 + " " + "w" * 9001, "a b c d", "d c b a"]
+    h, n = words(lines)
+    assert n.tolist() == [3, 0, 3, 2, 4, 4]
+    per = [set(x.tolist()) for x in np.split(h, np.cumsum(n)[:-1])]
+    assert per[4] == per[5] and len(set.union(*per)) == 12
+    assert all((words([x])[0] == np.sort(y)).all() or set(words([x])[0].tolist()) == set(y.tolist()) for x, y in zip(lines, np.split(h, np.cumsum(n)[:-1])))
