@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from ..session import scratch_folder
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 MAX_STAR_ROUNDS = 100
+SOME_ROWS = 256
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -38,6 +40,12 @@ def spread_scan(df: DataFrame, *cols: str) -> DataFrame:
     return df.repartition(tasks(df.sparkSession), *cols)
 
 
+def some_rows(batch: pa.Array | pa.RecordBatch) -> Iterator:
+    """Slices of some rows, so that few texts of an Arrow batch are Python strings at once."""
+    for lo in range(0, len(batch) if isinstance(batch, pa.Array) else batch.num_rows, SOME_ROWS):
+        yield batch.slice(lo, SOME_ROWS)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that the table doesn't have yet."""
     taken = {c.lower() for c in df.columns}

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import itertools
 import sys
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -19,7 +20,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import block_pairs, components, forest, fresh, tasks, written
+from .common import block_pairs, components, forest, fresh, some_rows, written
 from .shingles import MULTIPLIER, _mixed
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -526,20 +527,25 @@ def line_groups(lines: DataFrame, docs: DataFrame, *, id_col: str = "doc_id", te
     found = texts.join(asked, F.col("id").eqNullSafe(F.col("witness"))).select("text", "asked")
 
     def fetch(batches):
-        for pdf in batches:
-            h, s = [], []
-            for text, asked in zip(pdf["text"], pdf["asked"]):
-                wanted = set(asked.tolist())
-                for line in text.split("\n") if isinstance(text, str) else ():
+        for batch in batches:
+            h, s, size = [], [], 0
+            for text, asked in zip(batch.column(0), batch.column(1)):  # one text at a time, so that few are held
+                text, wanted = text.as_py(), set(asked.as_py())
+                for line in text.split("\n") if text is not None else ():
                     line = normal(line)
-                    k = int(np.uint64(xxhash.xxh64_intdigest(line)).astype(np.int64))
+                    k = xxhash.xxh64_intdigest(line)
+                    k -= (k >> 63) << 64
                     if k in wanted:
                         wanted.discard(k)
                         h.append(k)
                         s.append(line)
-            yield pd.DataFrame({"h": pd.Series(h, dtype="int64"), "s": pd.Series(s, dtype=object)})
+                        size += len(line)
+                if size >= SCAN_CHARS:
+                    yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(s, pa.string())], ["h", "s"])
+                    h, s, size = [], [], 0
+            yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(s, pa.string())], ["h", "s"])
 
-    spoken = found.mapInPandas(fetch, "h long, s string")
+    spoken = found.mapInArrow(fetch, "h long, s string")
     ready = dealt.join(spoken, "h").select("component_id", "block", "block_a", "block_b", "h", "s")
 
     def verify_all(pdf):
@@ -582,6 +588,22 @@ def line_report(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     return out.select(F.col("id").alias(id_col), "n_lines", (F.col("distinct_lines") - F.size("dropped")).alias("n_kept"), "dropped")
 
 
+def _without(text: str | None, lost: list[int] | None) -> str | None:
+    """The text without lines of those hashes and without those that it had before."""
+    if text is None:
+        return None
+    seen, keep, lines = set(lost or ()), [], text.split("\n")
+    for line in lines:
+        flat = normal(line)
+        h = xxhash.xxh64_intdigest(flat) if flat else None
+        h = h if h is None else h - ((h >> 63) << 64)
+        if h is None or h not in seen:
+            keep.append(line)
+            if h is not None:
+                seen.add(h)
+    return "\n".join(keep) if len(keep) < len(lines) else text
+
+
 def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = SIMILARITY) -> DataFrame:
     """The documents with one line kept per group of near-equal lines; blank lines and all columns stay.
 
@@ -592,22 +614,11 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     key, gone = fresh(docs, "gone_id"), fresh(docs, "gone_lines")
     lost = g.where(~F.col("kept")).select("id", "h").distinct().groupBy(F.col("id").alias(key)).agg(F.collect_list("h").alias(gone))
 
-    @F.pandas_udf("string")
-    def cut(texts: pd.Series, lost: pd.Series) -> pd.Series:
-        out = []
-        for text, own in zip(texts, lost):
-            if isinstance(text, str):
-                seen, keep, lines = set() if own is None else set(own.tolist()), [], text.split("\n")
-                for line in lines:
-                    flat = normal(line)
-                    h = int(np.uint64(xxhash.xxh64_intdigest(flat)).astype(np.int64)) if flat else None
-                    if h is None or h not in seen:
-                        keep.append(line)
-                        if h is not None:
-                            seen.add(h)
-                text = "\n".join(keep) if len(keep) < len(lines) else text
-            out.append(text)
-        return pd.Series(out, dtype=object)
+    @F.arrow_udf("string")
+    def cut(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, lost in batches:
+            for part, own in zip(some_rows(texts), some_rows(lost)):
+                yield pa.array([_without(*x) for x in zip(part.to_pylist(), own.to_pylist())], pa.string())
 
     joined = docs.join(lost, docs[id_col].eqNullSafe(F.col(key)), "left").drop(key)
     return joined.withColumn(text_col, cut(F.col(text_col).cast("string"), F.col(gone))).drop(gone)

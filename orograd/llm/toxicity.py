@@ -8,11 +8,12 @@ import sys
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import tasks, written
+from .common import some_rows, written
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -76,8 +77,8 @@ def letter_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     def count(batches):
         table, sums = symbol_table(), np.zeros(SYMBOLS ** 3, dtype=np.int64)
         held, size = [], 0
-        for pdf in batches:
-            for text in pdf["text"]:
+        for batch in batches:
+            for text in (t for part in some_rows(batch) for t in part.column(0).to_pylist()):
                 for lo in range(0, len(text), TEXT_CHARS):  # at a cut within a very long text one word counts as two
                     held.append(text[lo:lo + TEXT_CHARS].lower())
                     size += len(held[-1])
@@ -86,10 +87,10 @@ def letter_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
                         held, size = [], 0
         sums += np.bincount(gram_numbers(" ".join(held), table), minlength=len(sums))
         own = np.flatnonzero(sums)
-        yield pd.DataFrame({"gram": own.astype(np.int32), "n": sums[own]})
+        yield pa.RecordBatch.from_pydict({"gram": pa.array(own.astype(np.int32)), "n": pa.array(sums[own])})
 
     rows = docs.select(F.col(text_col).cast("string").alias("text")).where("text is not null")
-    return rows.mapInPandas(count, "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    return rows.mapInArrow(count, "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
 def letter_model(grams: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -348,15 +349,15 @@ def score(docs: DataFrame, learned: dict, *, id_col: str = "doc_id", text_col: s
     def run(batches):
         weights = list(learned["weights"].values())
         chunks = _Features(Letters(learned["model"].value), list(learned["weights"]))
-        for pdf in batches:
+        for batch in batches:
             out = []
-            for text in pdf["text"]:
+            for text in (t for part in some_rows(batch) for t in part.column(1).to_pylist()):
                 s = learned["prior"]
                 if isinstance(text, str):
                     s += sum(weights[k] for k in sorted(chunks.of(text)))
                 out.append(1.0 / (1.0 + math.exp(-max(min(s, 30.0), -30.0))))
-            yield pd.DataFrame({"id": pdf["id"], "score": out})
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.float64())], ["id", "score"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    made = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInPandas(run, f"id {kind}, score double")
+    made = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, f"id {kind}, score double")
     return made.withColumnRenamed("id", id_col)

@@ -149,3 +149,16 @@ def test_words_hashed_together():
     per = [set(x.tolist()) for x in np.split(h, np.cumsum(n)[:-1])]
     assert per[4] == per[5] and len(set.union(*per)) == 12
     assert all((words([x])[0] == np.sort(y)).all() or set(words([x])[0].tolist()) == set(y.tolist()) for x, y in zip(lines, np.split(h, np.cumsum(n)[:-1])))
+
+
+def test_few_texts_held_at_once():
+    import pyarrow as pa
+
+    from orograd.llm.common import SOME_ROWS, some_rows
+    batch = pa.RecordBatch.from_pydict({"text": [None, *map(str, range(3 * SOME_ROWS))]})
+    parts = list(some_rows(batch))
+    assert max(p.num_rows for p in parts) == SOME_ROWS and pa.Table.from_batches(parts).to_pydict() == batch.to_pydict()
+    assert [p.to_pylist() for p in some_rows(batch.column(0))] == [p.column(0).to_pylist() for p in parts]
+    line = L.xxhash.xxh64_intdigest("a line")
+    lost = [line - ((line >> 63) << 64)]
+    assert L._without("A  line\nb\n\nb\nB", lost) == "b\n" and L._without(None, lost) is None and L._without("b\nc", None) == "b\nc"
