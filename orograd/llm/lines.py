@@ -8,6 +8,7 @@ twenty exchanged turns bits all over it.
 from __future__ import annotations
 
 import itertools
+import math
 import sys
 from collections.abc import Iterator
 
@@ -17,10 +18,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import block_pairs, components, forest, fresh, some_rows, written
+from .common import block_pairs, components, forest, fresh, some_rows, tasks, written
 from .shingles import MULTIPLIER, _mixed
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -35,15 +36,19 @@ NEVER = 10               # letters below which lines within the similarity are e
 PLANE, PLACES = 0x10000, 4096  # code points looked up in a table, letters of a word that have multipliers of their own
 HASHED_CHARS = 500_000   # letters hashed at once, or one longer line
 LINES_MET = 200_000      # whose hashes a worker keeps
+LEAST_BUCKETS = 256      # of keys, each matched in one call; two to a shuffle partition if that is more
 BLOCK_ROWS = 2048        # texts are copied once per block of their group, so blocks are large
+CROWD_BLOCKS = 16        # of a component at most, or it may be compared star by star
 BATCH_ROWS = 8192        # lines that small groups bring together in one call
 LONG_LINE = 4096         # letters beyond which pairs are compared one by one
 SKIPS = sorted(((u, v) for u in range(5) for v in range(5) if u + v), key=lambda x: (sum(x), abs(x[0] - x[1])))  # words left out before the next equal one
 PIVOTS = 64              # lines of a bucket that meet the others in one turn, at most
 FEW_PAIRS = 8            # so do fewer pairs of near lengths
 TABLE_CELLS = 500_000    # letters of the pairs compared at once
+PROFILE_BITS = 9         # of the hash of two letters
 FAR = 30_000             # a distance beyond any within
 SCAN_CHARS = 4_000_000   # text worked on at once in a task, or one longer text
+UNEVEN = ["  ", *(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n")]  # a text without them has its words parted by one blank
 LANES = 255              # words counted in one byte lane before it is full
 
 
@@ -72,11 +77,13 @@ def simhashes(words: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     starts = np.repeat(first, stretches) + at * LANES
     owner = np.cumsum(stretches) - stretches
     octets = np.ascontiguousarray(words).view(np.uint8).reshape(-1, 8)
-    ones = np.empty((len(full), 64), dtype=np.int64)
+    short = len(starts) == len(full)
+    half = (n // 2).astype(np.uint8 if short else np.int64)[:, None]
+    most = np.empty((len(full), 64), dtype=bool)
     for k in range(8):
         lanes = np.add.reduceat(_SPREAD[octets[:, k]], starts).view(np.uint8).reshape(-1, 8)
-        ones[:, 8 * k:8 * k + 8] = lanes if len(starts) == len(full) else np.add.reduceat(lanes, owner, axis=0, dtype=np.int64)
-    out[full] = np.packbits(2 * ones > n[:, None], axis=1).view(np.uint64)[:, 0]
+        most[:, 8 * k:8 * k + 8] = (lanes if short else np.add.reduceat(lanes, owner, axis=0, dtype=np.int64)) > half
+    out[full] = np.packbits(most, axis=1).view(np.uint64)[:, 0]
     return out
 
 
@@ -158,6 +165,7 @@ class Words:
 
     def __init__(self) -> None:
         self.letter = np.array([c.isalnum() or c == "_" for c in map(chr, range(PLANE))])
+        self.own, self.gap = bytes(self.letter[:256].tolist()), bytes(c in b" \n" for c in range(256))
         self.weight = _mixed(np.arange(1, PLACES + 1, dtype=np.uint64) * MULTIPLIER) | np.uint64(1)
 
     def __call__(self, lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -173,13 +181,19 @@ class Words:
         return np.concatenate(hashes), np.concatenate(numbers)
 
     def _hashed(self, lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        points = np.frombuffer("\n".join(lines).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-        own = self.letter[np.minimum(points, PLANE - 1)]
-        far = np.flatnonzero(points >= PLANE)
-        if len(far):
-            kinds, of = np.unique(points[far], return_inverse=True)
-            own[far] = np.array([chr(c).isalnum() for c in kinds.tolist()])[of]
-        word = np.cumsum((points == 32) | (points == 10), dtype=np.int32)
+        text = "\n".join(lines)
+        try:
+            text = text.encode("latin-1")
+            points = np.frombuffer(text, dtype=np.uint8)
+            own, gap = (np.frombuffer(text.translate(x), dtype=bool) for x in (self.own, self.gap))
+        except UnicodeEncodeError:
+            points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+            own, gap = self.letter[np.minimum(points, PLANE - 1)], (points == 32) | (points == 10)
+            far = np.flatnonzero(points >= PLANE)
+            if len(far):
+                kinds, of = np.unique(points[far], return_inverse=True)
+                own[far] = np.array([chr(c).isalnum() for c in kinds.tolist()])[of]
+        word = np.cumsum(gap, dtype=np.int32)
         at = np.flatnonzero(own)
         if not len(at):
             return np.zeros(0, dtype=np.uint64), np.zeros(len(lines), dtype=np.int64)
@@ -330,10 +344,30 @@ def _all_within(a: list[str], b: list[str], most: np.ndarray) -> np.ndarray:
     return out <= most
 
 
+def _profiles(texts: list[str]) -> np.ndarray:
+    """Counts of the pairs of neighbouring letters of each text, by a hash of the two."""
+    points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    of = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+    two = np.flatnonzero(of[1:] == of[:-1])
+    code = (points[two] * np.uint32(0x9E3779B1) + points[two + 1] * np.uint32(0x85EBCA6B)) >> np.uint32(32 - PROFILE_BITS)
+    return np.bincount((of[two] << PROFILE_BITS) + code, minlength=len(texts) << PROFILE_BITS).reshape(len(texts), -1)
+
+
+def _surely_far(a: list[str], b: list[str], most: list[int]) -> np.ndarray:
+    """Whether pairs are beyond `most` edits by their profiles alone: an edit takes two pairs of letters and puts in two at most."""
+    out, lo, size = [np.zeros(0, dtype=bool)], 0, 0
+    for hi, x in enumerate(a, 1):
+        size += len(x) + (1 << PROFILE_BITS)
+        if size >= TABLE_CELLS or hi == len(a):
+            out.append(np.abs(_profiles(a[lo:hi]) - _profiles(b[lo:hi])).sum(axis=1) > 4 * np.array(most[lo:hi]))
+            lo, size = hi, 0
+    return np.concatenate(out)
+
+
 def all_similar(pairs: list[tuple[str, str]], threshold: float) -> np.ndarray:
     """`similar` of many pairs: what differs between their common ends, pairs of near lengths together."""
     out = np.zeros(len(pairs), dtype=bool)
-    left: list[tuple[int, int, str, str]] = []
+    unsure, left = [], []
     for k, (a, b) in enumerate(pairs):
         most = int((1 - threshold) * max(len(a), len(b)) + 1e-9)
         if abs(len(a) - len(b)) > most:
@@ -345,7 +379,12 @@ def all_similar(pairs: list[tuple[str, str]], threshold: float) -> np.ndarray:
         a, b = (a, b) if len(a) >= len(b) else (b, a)
         if len(a) <= most or not b:
             out[k] = len(a) <= most
-        elif _near_by_words(a, b, most):
+        else:
+            unsure.append((k, most, a, b))
+    for (k, most, a, b), far in zip(unsure, _surely_far([x[2] for x in unsure], [x[3] for x in unsure], [x[1] for x in unsure]).tolist()):
+        if far:
+            continue
+        if _near_by_words(a, b, most):
             out[k] = True
         elif len(a) > LONG_LINE:
             out[k] = distance_within(a, b, most)
@@ -442,23 +481,45 @@ def _lists(line: np.ndarray, values: np.ndarray, n: int) -> pa.Array:
 
 
 def _led(line: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(line, key) of the first line of every key, and (line, first line) of the others, each once."""
-    order = np.lexsort((line, key))
+    """(line, key) of the first line of every key, by key, and (line, first line) of the others, each once."""
+    order = np.argsort(key)
     line, key = line[order], key[order]
     first = np.ones(len(key), dtype=bool)
     first[1:] = key[1:] != key[:-1]
-    leader = line[np.flatnonzero(first)[np.cumsum(first) - 1]] if len(key) else line
-    led = np.unique(np.stack([line, leader])[:, line != leader], axis=1)
-    return line[first], key[first], led[0], led[1]
+    at = np.flatnonzero(first)
+    least, again = line[at], np.flatnonzero(~first)
+    of = np.searchsorted(at, again, side="right") - 1
+    np.minimum.at(least, of, line[again])
+    mixed = np.concatenate([again, at[np.unique(of)]])     # most keys have one line
+    leader = least[np.searchsorted(at, mixed, side="right") - 1]
+    led = np.unique(np.stack([line[mixed], leader])[:, line[mixed] != leader], axis=1)
+    return least, key[at], led[0], led[1]
+
+
+def _cut(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Stretches of an array as bytes."""
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer((8 * ends).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _numbers(column: pa.ChunkedArray, kind: type) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=kind)
 
 
-def _scanned(texts: list[str], words: Words, met: set[int]) -> tuple[list[int], list[pa.Array]]:
-    """Places of the texts and (line, h, times, keys, near) of their lines."""
+def _stars(keys: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(a, b): each line of a key with the key's least line, each once."""
+    _, _, a, b = _led(owners, keys)
+    return a, b
+
+
+def _scanned(texts: list[str], words: Words, met: set[int], bits: int) -> tuple[list[int], list[pa.Array], list[pa.Array]]:
+    """Places of the texts and (line, h, times, near) of their lines; (bucket, keys, owners) of the keys by their first `bits` bits."""
     of, at, hashes, times, unmet, lines = [], [], [], [], [], []
     for k, text in enumerate(texts):
         seen: dict[str, int] = {}
-        for place, line in enumerate(text.lower().split("\n")):
-            line = " ".join(line.split())
+        text = text.lower()
+        even = not any(x in text for x in UNEVEN)
+        for place, line in enumerate(text.split("\n")):
+            line = line.strip() if even else " ".join(line.split())
             if not line:
                 continue
             if line in seen:
@@ -479,17 +540,25 @@ def _scanned(texts: list[str], words: Words, met: set[int]) -> tuple[list[int],
     line, key = _keyed(lines, words)
     h = np.array(hashes, dtype=np.uint64)
     line, key, led, leader = _led(np.array(unmet, dtype=np.int64)[line], key)
-    return of, [pa.array(at, pa.int32()), pa.array(h.view(np.int64)), pa.array(times, pa.int32()), _lists(line, key, len(of)), _lists(led, h[leader], len(of))]
+    rows = [pa.array(at, pa.int32()), pa.array(h.view(np.int64)), pa.array(times, pa.int32()), _lists(led, h[leader], len(of))]
+    bucket = (key >> np.uint64(64 - bits)).astype(np.int32)
+    ends = np.concatenate([np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])), [len(key)]]) if len(key) else np.zeros(1, dtype=np.int64)
+    return of, rows, [pa.array(bucket[ends[:-1]]), _cut(key, ends), _cut(h[line], ends)]
 
 
 def line_table(docs: DataFrame, *, id_col: str, text_col: str) -> DataFrame:
-    """(id, line, h, times, keys, near) of the first occurrence in its document of every line that is not blank, and how often it is there.
+    """(id, line, h, times, near) of the first occurrence in its document of every line that is not blank, and how often it is there.
 
+    Rows with a bucket have none of these: they are the keys of a stretch of text that fall in the bucket, eight bytes each, and the
+    hashes of their lines. One row a key would cost several times as much to write, deal out and sort.
     The keys of a line that a task met just before are left out, so a line of very many documents sends few. Of the lines
     of a stretch of text that share a key only the first has it; the others have that line's hash in `near`, so a key
-    of very many lines is one row a stretch.
+    of very many lines comes once a stretch.
     """
     kind = docs.schema[id_col].dataType.simpleString()
+    bits = math.ceil(math.log2(max(LEAST_BUCKETS, 2 * tasks(docs.sparkSession))))
+    names = ["id", "line", "h", "times", "near", "bucket", "keys", "owners"]
+    kinds = [pa.int32(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.int32(), pa.binary(), pa.binary()]
 
     def scan(batches):
         words, met = Words(), set()
@@ -497,11 +566,40 @@ def line_table(docs: DataFrame, *, id_col: str, text_col: str) -> DataFrame:
             ids, sizes = batch.column(0), np.cumsum(pc.utf8_length(batch.column(1)).to_numpy(zero_copy_only=False))
             cuts = np.flatnonzero(np.diff(sizes // SCAN_CHARS)) + 1  # some texts at a time: words take memory here
             for lo, hi in itertools.pairwise([0, *cuts.tolist(), len(sizes)]):
-                of, columns = _scanned(batch.column(1).slice(lo, hi - lo).to_pylist(), words, met)
-                yield pa.RecordBatch.from_arrays([ids.slice(lo, hi - lo).take(pa.array(of, pa.int64())), *columns], ["id", "line", "h", "times", "keys", "near"])
+                of, rows, keys = _scanned(batch.column(1).slice(lo, hi - lo).to_pylist(), words, met, bits)
+                yield pa.RecordBatch.from_arrays([ids.slice(lo, hi - lo).take(pa.array(of, pa.int64())), *rows, *(pa.nulls(len(of), k) for k in kinds[4:])], names)
+                yield pa.RecordBatch.from_arrays([pa.nulls(len(keys[0]), k) for k in (ids.type, *kinds[:4])] + keys, names)
 
     rows = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(scan, f"id {kind}, line int, h long, times int, keys array<long>, near array<long>")
+    return rows.mapInArrow(scan, f"id {kind}, line int, h long, times int, near array<long>, bucket int, keys binary, owners binary")
+
+
+def _only_lines(lines: DataFrame) -> DataFrame:
+    return lines.where("bucket is null").drop("bucket", "keys", "owners")
+
+
+def _scattered(near: DataFrame, stars: DataFrame, led: DataFrame) -> DataFrame:
+    """Candidates by group (id, component_id): components, but those of many blocks by their stars if that deals out fewer lines.
+
+    Chance meetings grow faster than the lines and join components, until most lines are one; its pairs of blocks would grow with
+    its square, but its stars grow with the meetings. Lines that share a key are in the star of the key's least line:
+    those led by another in their stretch of text go where that one goes.
+    """
+    dealt_out = F.col("n") * F.ceil(F.col("n") / BLOCK_ROWS)
+    most = CROWD_BLOCKS * BLOCK_ROWS
+    if near.count() <= most:
+        return near
+    large = written(near.groupBy("component_id").agg(F.count("*").alias("n")).where(F.col("n") > most), "line-crowds")
+    if not large.count():
+        return near
+    inside = written(near.join(large, "component_id").select("id", "component_id"), "line-crowded")
+    above = led.join(stars.select(F.col("a").alias("b"), F.col("b").alias("least")), "b").select("a", F.col("least").alias("b"))
+    met = stars.unionByName(led).unionByName(above).join(inside, F.col("b") == F.col("id"))
+    met = written(met.select("component_id", "b", F.explode(F.array("a", "b")).alias("a")).distinct(), "line-star-members")
+    by_star = met.groupBy("component_id", "b").agg(F.count("*").alias("n")).groupBy("component_id").agg(F.sum(dealt_out).alias("by_star"))
+    apart = written(large.join(by_star, "component_id").where(F.col("by_star") < dealt_out).select("component_id"), "line-scattered")
+    return near.join(apart, "component_id", "left_anti").select("id", "component_id").unionByName(
+        met.join(apart, "component_id").select(F.col("a").alias("id"), F.col("b").alias("component_id")))
 
 
 def line_groups(lines: DataFrame, docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = SIMILARITY) -> DataFrame:
@@ -511,18 +609,24 @@ def line_groups(lines: DataFrame, docs: DataFrame, *, id_col: str = "doc_id", te
     word, or in a letter if short, and nearly all that differ in up to a twelfth of their words; candidates of edit
     similarity `threshold` or more are linked. The kept line of a connected group is the first, by id and then by place.
     Only lines that share a key are compared: chance meetings make groups of candidates large. A key of any number of lines is a star about
-    its least, and groups of any size are compared block by block.
+    its least, and groups of any size are compared block by block, or star by star.
     """
+    packed, lines = lines.where("bucket is not null").select("bucket", "keys", "owners"), _only_lines(lines)
     nodes = written(lines.groupBy("h").agg(F.min("id").alias("witness"), F.min_by("line", "id").alias("place"), F.count("*").alias("k")), "line-nodes")
-    keys = lines.where(F.size("keys") > 0).select(F.col("h").alias("a"), F.explode("keys").alias("key"))
-    # a key has one row a stretch of text at most; the window sends each once, where joining its least back would send all again
-    stars = keys.select("a", F.min("a").over(Window.partitionBy("key")).alias("b")).where("a <> b")
-    edges = stars.unionByName(lines.where(F.size("near") > 0).select(F.col("h").alias("a"), F.explode("near").alias("b")))
-    near = components(edges, "line-candidates")
-    members = near.join(nodes, near["id"] == nodes["h"]).select(F.col("id").alias("h"), "component_id", "witness")
+
+    def meet(bucket: pa.Table) -> pa.Table:
+        a, b = _stars(_numbers(bucket["keys"], np.uint64), _numbers(bucket["owners"], np.int64))
+        return pa.table({"a": a, "b": b})
+
+    # a key comes once a stretch of text at most
+    stars = written(packed.groupBy("bucket").applyInArrow(meet, "a long, b long"), "line-stars")
+    led = lines.where(F.size("near") > 0).select(F.col("h").alias("a"), F.explode("near").alias("b")).distinct()
+    near = components(stars.unionByName(led), "line-candidates")
+    groups = _scattered(near, stars, led)
+    members = groups.join(nodes, groups["id"] == nodes["h"]).select("h", "component_id", "witness", "place")
     dealt = written(block_pairs(members, "component_id", F.col("h"), BLOCK_ROWS), "line-blocks")
     # written, so that Spark knows how little it is before it plans to send all texts to meet it
-    asked = written(dealt.select("witness", "h").distinct().groupBy("witness").agg(F.collect_list("h").alias("asked")), "line-asked")
+    asked = written(dealt.select("witness", "place", "h").distinct().groupBy("witness").agg(F.collect_list(F.struct("place", "h")).alias("asked")), "line-asked")
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     found = texts.join(asked, F.col("id").eqNullSafe(F.col("witness"))).select("text", "asked")
 
@@ -530,12 +634,15 @@ def line_groups(lines: DataFrame, docs: DataFrame, *, id_col: str = "doc_id", te
         for batch in batches:
             h, s, size = [], [], 0
             for text, asked in zip(batch.column(0), batch.column(1)):  # one text at a time, so that few are held
-                text, wanted = text.as_py(), set(asked.as_py())
-                for line in text.split("\n") if text is not None else ():
-                    line = normal(line)
+                text = text.as_py()
+                parts = text.split("\n") if text is not None else []
+                asked = [(x["place"], x["h"]) for x in asked.as_py()]
+                wanted = {h for _, h in asked}
+                for place in range(len(parts)) if any(x is None for x, _ in asked) else sorted({x for x, _ in asked if x < len(parts)}):
+                    line = normal(parts[place])
                     k = xxhash.xxh64_intdigest(line)
                     k -= (k >> 63) << 64
-                    if k in wanted:
+                    if k in wanted:  # not so in other rows of the id; rows without an id have no place and are searched
                         wanted.discard(k)
                         h.append(k)
                         s.append(line)
@@ -570,7 +677,7 @@ def line_groups(lines: DataFrame, docs: DataFrame, *, id_col: str = "doc_id", te
     fuzzy = some.join(first, "component_id").select("h", F.col("component_id").alias("group_id"), F.col("first.witness").alias("first_id"), F.col("first.place").alias("first_line"))
     equal = some.where("component_id is null").select("h", F.col("h").alias("group_id"), F.col("witness").alias("first_id"), F.col("place").alias("first_line"))
     kept = F.col("id").eqNullSafe(F.col("first_id")) & (F.col("line") == F.col("first_line"))
-    return lines.drop("keys", "near").join(fuzzy.unionByName(equal), "h").select("id", "line", "times", "h", "group_id", kept.alias("kept"))
+    return lines.drop("near").join(fuzzy.unionByName(equal), "h").select("id", "line", "times", "h", "group_id", kept.alias("kept"))
 
 
 def line_report(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = SIMILARITY) -> DataFrame:
@@ -583,7 +690,7 @@ def line_report(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     lines = written(line_table(docs, id_col=id_col, text_col=text_col), "lines")
     g = line_groups(lines, docs, id_col=id_col, text_col=text_col, threshold=threshold)
     gone = g.where(~F.col("kept")).groupBy(F.col("id").alias("of")).agg(F.sort_array(F.collect_list("line")).alias("dropped"))
-    per = lines.groupBy("id").agg(F.sum("times").alias("n_lines"), F.count("*").alias("distinct_lines"))
+    per = _only_lines(lines).groupBy("id").agg(F.sum("times").alias("n_lines"), F.count("*").alias("distinct_lines"))
     out = per.join(gone, F.col("id").eqNullSafe(F.col("of")), "left").withColumn("dropped", F.coalesce("dropped", F.array().cast("array<int>")))
     return out.select(F.col("id").alias(id_col), "n_lines", (F.col("distinct_lines") - F.size("dropped")).alias("n_kept"), "dropped")
 

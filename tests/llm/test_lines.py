@@ -162,3 +162,50 @@ def test_few_texts_held_at_once():
     line = L.xxhash.xxh64_intdigest("a line")
     lost = [line - ((line >> 63) << 64)]
     assert L._without("A  line\nb\n\nb\nB", lost) == "b\n" and L._without(None, lost) is None and L._without("b\nc", None) == "b\nc"
+
+
+def test_chance_meetings_grow_no_pairs_of_blocks(spark, monkeypatch):
+    r = random.Random(9)
+    words = ["".join(r.choice("abcdefghijklmnopqrst") for _ in range(9)) for _ in range(5002)]
+    rows = [(k, " ".join(words[k:k + 3])) for k in range(5000)]                # each line shares two words with the next, none is near
+    rows += [(9000, rows[7][1][:-1] + "z"), (9001, rows[2500][1][:-1] + "z")]  # but these two are near to one each
+    dealt = []
+
+    def counted(*args):
+        dealt.append(block_pairs(*args))
+        return dealt[0]
+
+    block_pairs = L.block_pairs
+    monkeypatch.setattr(L, "block_pairs", counted)
+    monkeypatch.setattr(L, "BLOCK_ROWS", 256)
+    report = {x["doc_id"]: x["dropped"] for x in L.line_report(table(spark, rows)).collect()}
+    assert {k for k, v in report.items() if v} == {9000, 9001}
+    assert dealt[0].count() < 2.5 * len(rows)                                  # pairs of blocks of the one component: twenty times the lines
+
+
+def test_far_pairs_by_profile():
+    r = random.Random(4)
+    pairs = []
+    for _ in range(400):
+        a = "".join(r.choice("abcdé𝒳 ") for _ in range(r.choice((1, 2, 30, 90))))
+        b = list(a)
+        for _ in range(r.randint(0, 20)):
+            k = r.randrange(len(b) + 1)
+            b[k:k + r.randint(0, 1)] = r.choice(["", "x", "y"])
+        pairs.append((a, "".join(b) or "z"))
+    for more in (0, 3):
+        far = L._surely_far(*map(list, zip(*pairs)), [max(edit(a, b) + more, 0) for a, b in pairs])
+        assert not far.any()
+    assert L._surely_far(["abcdefghij" * 9], ["klmnopqrst" * 9], [9]).all()
+
+
+def test_keys_by_bucket_meet_their_least_line(spark):
+    rng = np.random.default_rng(2)
+    key, line = rng.integers(0, 60, 400).astype(np.uint64) << np.uint64(58), rng.integers(-9, 9, 400)
+    a, b = L._stars(key, line)
+    assert set(zip(a.tolist(), b.tolist())) == {(x, m) for k in set(key.tolist()) for own in [line[key == k]] for m in [own.min()] for x in own if x != m}
+    rows = L.line_table(table(spark, [(1, "one two three four five six\nshort one here")]), id_col="doc_id", text_col="text").collect()
+    packed = [x for x in rows if x["bucket"] is not None]
+    assert packed and all(len(x["keys"]) == len(x["owners"]) > 0 and x["id"] is None for x in packed) and [x["line"] for x in rows if x["bucket"] is None] == [0, 1]
+    bits = max(8, (2 * L.tasks(spark) - 1).bit_length())
+    assert all((np.frombuffer(x["keys"], np.uint64) >> np.uint64(64 - bits) == x["bucket"]).all() for x in packed)
